@@ -60,3 +60,82 @@ wl AS (
   FROM rt
 )
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM wl GROUP BY word"""
+
+
+# events -> ip_trace / raw_block lines, parsed back
+_TRACE = r"""
+trace_lines AS (
+  SELECT replace(CAST(ts AS VARCHAR), ' ', 'T') || ' ' || CAST(event_id AS VARCHAR)
+         || ' 10.0.' || CAST(user_id // 50 AS VARCHAR) || '.' || CAST(user_id % 50 AS VARCHAR)
+         || '.' || CAST(1024 + event_id % 1000 AS VARCHAR)
+         || ' > 192.168.' || CAST(event_id % 7 AS VARCHAR) || '.' || CAST(event_id % 50 AS VARCHAR)
+         || '.80' AS value
+  FROM events
+),
+trace_parts AS (SELECT string_split(value, ' ') AS f FROM trace_lines),
+trace AS (
+  SELECT f[1] AS tm, CAST(f[2] AS BIGINT) AS conn_id, f[3] AS src, f[5] AS dst FROM trace_parts
+),
+block_lines AS (
+  SELECT CAST(event_id AS VARCHAR) || ' ' || CASE WHEN event_type = 'error' THEN 'Blocked' ELSE 'Allowed' END
+         AS value
+  FROM events
+),
+blocked AS (
+  SELECT CAST(string_split(value, ' ')[1] AS BIGINT) AS conn_id, string_split(value, ' ')[2] AS action
+  FROM block_lines WHERE contains(value, 'Blocked')
+),
+fw_log AS (
+  SELECT t.tm, t.conn_id,
+         regexp_replace(t.src, '[.][^.]*\z', '') AS src,
+         regexp_replace(t.dst, '[.][^.]*\z', '') AS dst,
+         b.action
+  FROM trace t JOIN blocked b ON t.conn_id = b.conn_id
+)"""
+
+ORACLE["firewall_parse"] = "WITH " + _TRACE + r"""
+SELECT tm, conn_id, src, dst FROM trace"""
+
+ORACLE["strip_last_component"] = "WITH " + _TRACE + r"""
+SELECT conn_id, regexp_replace(src, '[.][^.]*\z', '') AS src,
+       regexp_replace(dst, '[.][^.]*\z', '') AS dst FROM trace"""
+
+ORACLE["blocked_filter"] = "WITH " + _TRACE + r"""
+SELECT conn_id, action FROM blocked"""
+
+ORACLE["firewall_log"] = "WITH " + _TRACE + r"""
+SELECT tm, conn_id, src, dst, action FROM fw_log"""
+
+ORACLE["blocked_sources"] = "WITH " + _TRACE + r"""
+SELECT src, CAST(count(*) AS BIGINT) AS n FROM fw_log GROUP BY src"""
+
+# part -> 13-column comma lines -> repo rows
+_REPOS = r"""
+repo_lines AS (
+  SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), p_brand, p_name, p_type, CAST(p_size AS VARCHAR),
+                   '', '', '', '', '', '', '', CAST(p_retailprice AS VARCHAR)) AS value
+  FROM part
+),
+repos AS (
+  SELECT string_split(value, ',')[1] AS name, string_split(value, ',')[2] AS grp,
+         TRY_CAST(string_split(value, ',')[13] AS DOUBLE) AS score
+  FROM repo_lines
+)"""
+
+ORACLE["csv_positional_project"] = "WITH " + _REPOS + r"""
+SELECT name, grp, score FROM repos"""
+
+ORACLE["group_total_join_back"] = r"""
+SELECT p_partkey, p_brand, CAST(count(*) OVER (PARTITION BY p_brand) AS BIGINT) AS n FROM part"""
+
+ORACLE["group_count_argmax"] = "WITH " + _REPOS + r"""
+SELECT grp, CAST(count(*) AS BIGINT) AS n,
+       first(name ORDER BY score DESC, name ASC) AS best_id,
+       max(score) AS best_score
+FROM repos GROUP BY grp"""
+
+ORACLE["group_count_argmax_docs"] = r"""
+SELECT lang AS grp, CAST(count(*) AS BIGINT) AS n,
+       first(doc_id ORDER BY n_chars DESC, doc_id ASC) AS best_id,
+       max(n_chars) AS best_score
+FROM documents GROUP BY lang"""

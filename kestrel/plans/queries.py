@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators import ranking, text
+from kestrel.operators import ranking, relational, text
 from kestrel.sources import fixtures as fx
+from kestrel.sources import text as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,9 +41,78 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.order_by_count(counts, "n", "word")
 
 
+def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_ip_trace(fx.ip_trace_lines(spark, sf_dir))
+
+
+def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_block(relational.lines_containing(fx.raw_block_lines(spark, sf_dir), "Blocked"))
+
+
+def _firewall_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.firewall_log(_trace(spark, sf_dir), _blocked(spark, sf_dir))
+
+
+def q_firewall_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trace(spark, sf_dir)
+
+
+def q_strip_last_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.strip_endpoints(_trace(spark, sf_dir).select("conn_id", "src", "dst"))
+
+
+def q_blocked_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocked(spark, sf_dir)
+
+
+def q_firewall_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _firewall_log(spark, sf_dir).orderBy("conn_id")
+
+
+def q_blocked_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = relational.count_by(_firewall_log(spark, sf_dir), "src")
+    return ranking.order_by_count(counts, "n", "src")
+
+
+REPO_COLUMNS = {"name": (0, "string"), "grp": (1, "string"), "score": (12, "double")}
+
+
+def _repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_csv_positional(fx.repo_csv_lines(spark, sf_dir), REPO_COLUMNS, header=True)
+
+
+def q_csv_positional_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repos(spark, sf_dir)
+
+
+def q_group_total_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return relational.group_total_join_back(part, "p_brand").select("p_partkey", "p_brand", "n")
+
+
+def q_group_count_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = relational.group_count_argmax(_repos(spark, sf_dir), "grp", "name", "score")
+    return ranking.order_by_count(best, "n", "grp")
+
+
+def q_group_count_argmax_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fx.table(spark, sf_dir, "documents")
+    best = relational.group_count_argmax(docs, "lang", "doc_id", "n_chars")
+    return ranking.order_by_count(best, "n", "grp")
+
+
 QUERIES: dict[str, Query] = {
     "text_lines": q_text_lines,
     "bigram_count": q_bigram_count,
     "bigram_top_k": q_bigram_top_k,
     "word_count": q_word_count,
+    "firewall_parse": q_firewall_parse,
+    "strip_last_component": q_strip_last_component,
+    "blocked_filter": q_blocked_filter,
+    "firewall_log": q_firewall_log,
+    "blocked_sources": q_blocked_sources,
+    "csv_positional_project": q_csv_positional_project,
+    "group_total_join_back": q_group_total_join_back,
+    "group_count_argmax": q_group_count_argmax,
+    "group_count_argmax_docs": q_group_count_argmax_docs,
 }
