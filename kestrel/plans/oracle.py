@@ -139,3 +139,130 @@ SELECT lang AS grp, CAST(count(*) AS BIGINT) AS n,
        first(doc_id ORDER BY n_chars DESC, doc_id ASC) AS best_id,
        max(n_chars) AS best_score
 FROM documents GROUP BY lang"""
+
+
+# orders -> kv lines -> parsed pairs
+_KV = r"""
+kv_lines AS (
+  SELECT md5(CAST(o_orderkey AS VARCHAR)) || chr(9) || CAST(o_orderkey AS VARCHAR) AS value FROM orders
+),
+kv AS (
+  SELECT CASE WHEN strpos(value, chr(9)) > 0 THEN substr(value, 1, strpos(value, chr(9)) - 1) ELSE value END AS k,
+         CASE WHEN strpos(value, chr(9)) > 0 THEN substr(value, strpos(value, chr(9)) + 1) ELSE '' END AS v
+  FROM kv_lines
+),
+hist AS (
+  SELECT substr(k, 1, 1) AS ch, CAST(count(*) AS BIGINT) AS n FROM kv
+  WHERE ('0x' || substr(md5(k), 1, 8))::BIGINT % 1000000 < 20000
+  GROUP BY 1
+)"""
+
+# Equi-depth ranges as the literal running fold (recursive), independent of the closed form.
+_BOUNDS = _KV + r""",
+hrows AS (SELECT ch, n, row_number() OVER (ORDER BY ch) AS i FROM hist),
+params AS (SELECT sum(n) // 10 AS step FROM hist),
+fold AS (
+  SELECT 0 AS i, CAST(0 AS BIGINT) AS cnt, 0 AS closed, 0 AS prev, CAST(NULL AS VARCHAR) AS ch,
+         CAST(0 AS BIGINT) AS n
+  UNION ALL
+  SELECT h.i,
+         CASE WHEN f.cnt + h.n >= p.step AND f.closed < 10 THEN f.cnt + h.n - p.step ELSE f.cnt + h.n END,
+         CASE WHEN f.cnt + h.n >= p.step AND f.closed < 10 THEN f.closed + 1 ELSE f.closed END,
+         f.closed, h.ch, h.n
+  FROM fold f JOIN hrows h ON h.i = f.i + 1 CROSS JOIN params p
+),
+chars AS (
+  SELECT ch, n, prev, prev < (SELECT max(closed) FROM fold) AS is_closed,
+         CASE WHEN prev < (SELECT max(closed) FROM fold) THEN prev ELSE 9 END AS bucket
+  FROM fold WHERE i > 0
+),
+bounds AS (
+  SELECT CAST(bucket AS INTEGER) AS bucket, min(ch) AS lo, max(ch) AS hi, CAST(sum(n) AS BIGINT) AS n,
+         bool_or(is_closed) AS closed
+  FROM chars GROUP BY bucket
+),
+tagged AS (
+  SELECT k, v, CAST(coalesce((SELECT min(b.bucket) FROM bounds b WHERE b.closed AND b.hi >= substr(kv.k, 1, 1)), 9)
+                    AS INTEGER) AS bucket
+  FROM kv
+)"""
+
+ORACLE["kv_tab_parse"] = "WITH " + _KV + r"""
+SELECT k, v FROM kv"""
+
+ORACLE["kv_ws_parse"] = r"""
+WITH lines AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) || ' ' || CAST(o_orderkey AS VARCHAR) AS value FROM orders)
+SELECT regexp_split_to_array(value, '[ \t\n\x0B\f\r]+')[1] AS k,
+       regexp_split_to_array(value, '[ \t\n\x0B\f\r]+')[2] AS v
+FROM lines"""
+
+ORACLE["total_order_sort"] = "WITH " + _KV + r"""
+SELECT k, v, CAST(row_number() OVER (ORDER BY k, v) AS BIGINT) AS pos FROM kv"""
+
+ORACLE["first_char_histogram"] = "WITH " + _KV + r"""
+SELECT ch, n FROM hist"""
+
+ORACLE["equi_depth_boundaries"] = "WITH RECURSIVE " + _BOUNDS + r"""
+SELECT bucket, lo, hi, n, closed FROM bounds"""
+
+ORACLE["range_bucket_assign"] = "WITH RECURSIVE " + _BOUNDS + r"""
+SELECT bucket, CAST(count(*) AS BIGINT) AS n, min(k) AS min_k, max(k) AS max_k FROM tagged GROUP BY bucket"""
+
+ORACLE["custom_range_sort"] = "WITH RECURSIVE " + _BOUNDS + r"""
+SELECT k, v, bucket, CAST(row_number() OVER (PARTITION BY bucket ORDER BY k, v) AS BIGINT) AS pos_in_bucket
+FROM tagged"""
+
+# lineitem x orders -> "part customer" lines -> canonical edges
+_EDGES = r"""
+edge_lines AS (
+  SELECT CAST(l.l_partkey AS VARCHAR) || ' ' || CAST(o.o_custkey AS VARCHAR) AS value
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+edge_pairs AS (
+  SELECT CAST(regexp_split_to_array(value, '[ \t\n\x0B\f\r]+')[1] AS BIGINT) AS s,
+         CAST(regexp_split_to_array(value, '[ \t\n\x0B\f\r]+')[2] AS BIGINT) AS d
+  FROM edge_lines WHERE regexp_replace(value, '[ \t\n\x0B\f\r]', '', 'g') <> ''
+),
+e AS (SELECT DISTINCT least(s, d) AS src, greatest(s, d) AS dst FROM edge_pairs WHERE s <> d),
+sym AS (SELECT src AS v, dst AS u FROM e UNION ALL SELECT dst AS v, src AS u FROM e),
+tri AS (
+  SELECT e1.src AS a, e1.dst AS b, e2.dst AS c
+  FROM e e1 JOIN e e2 ON e1.dst = e2.src JOIN e e3 ON e3.src = e1.src AND e3.dst = e2.dst
+)"""
+
+ORACLE["edge_list"] = "WITH " + _EDGES + r"""
+SELECT src, dst FROM e"""
+
+ORACLE["edge_symmetrize"] = "WITH " + _EDGES + r"""
+SELECT v, u FROM sym"""
+
+ORACLE["adjacency"] = "WITH " + _EDGES + r""",
+ranked AS (
+  SELECT v, u, row_number() OVER (PARTITION BY v ORDER BY u) AS rk, count(*) OVER (PARTITION BY v) AS degree
+  FROM sym
+)
+SELECT v, CAST(degree AS BIGINT) AS degree, CAST((rk - 1) // 64 AS BIGINT) AS chunk,
+       array_to_string(list(u ORDER BY u), ' ') AS neighbours
+FROM ranked GROUP BY v, degree, (rk - 1) // 64"""
+
+# Brute force, as the reference does it: every wedge, counted per sorted triple.
+ORACLE["wedge_closure_histogram"] = "WITH " + _EDGES + r""",
+wedges AS (SELECT x.u AS p, x.v AS m, y.u AS q FROM sym x JOIN sym y ON x.v = y.v AND x.u < y.u),
+triples AS (SELECT list_sort([p, m, q]) AS t, count(*) AS c FROM wedges GROUP BY 1)
+SELECT CAST(c AS BIGINT) AS wedges, CAST(count(*) AS BIGINT) AS n_triples FROM triples GROUP BY c"""
+
+ORACLE["triangles"] = "WITH " + _EDGES + r"""
+SELECT a, b, c FROM tri"""
+
+ORACLE["triangle_count"] = "WITH " + _EDGES + r"""
+SELECT 'Total Triangles: ' || CAST(count(*) AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS n FROM tri"""
+
+ORACLE["range_xor_checksum"] = r"""
+WITH b AS (
+  SELECT doc_id, substr(hex(encode(text)), 21, 200) AS h FROM documents WHERE octet_length(encode(text)) > 10
+)
+SELECT doc_id,
+       CAST(list_reduce(list_transform(range(0, length(h) // 2),
+                                       lambda i: ('0x' || substr(h, 2 * i + 1, 2))::INTEGER),
+                        lambda a, x: xor(a, x)) AS BIGINT) AS checksum
+FROM b"""

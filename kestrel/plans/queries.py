@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators import ranking, relational, text
+from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
 from kestrel.sources import fixtures as fx
 from kestrel.sources import text as src
 
@@ -20,6 +20,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed query parameters (the reference's own settings where it has one).
 TOP_K = 10
+SORT_RANGES = 10          # reducers of both total-order sorts
+SAMPLE_FRACTION = 0.02    # share of keys in the first-char histogram
+N_BUCKETS = 10            # equi-depth ranges
+PREFIX_LEN = 1            # key characters that decide the range
+ADJ_CHUNK = 64            # neighbours per adjacency row
+XOR_OFFSET, XOR_LENGTH = 10, 100
 
 
 def q_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +107,82 @@ def q_group_count_argmax_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.order_by_count(best, "n", "grp")
 
 
+def _kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_kv_tab(fx.kv_lines(spark, sf_dir, "\t"))
+
+
+def _boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = rangesort.first_char_histogram(_kv(spark, sf_dir), "k", SAMPLE_FRACTION, PREFIX_LEN)
+    return rangesort.equi_depth_boundaries(hist, N_BUCKETS)
+
+
+def q_kv_tab_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kv(spark, sf_dir)
+
+
+def q_kv_ws_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_kv_ws(fx.kv_lines(spark, sf_dir, " "))
+
+
+def q_total_order_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangesort.total_order_sort(_kv(spark, sf_dir), ["k"], SORT_RANGES)
+
+
+def q_first_char_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangesort.first_char_histogram(_kv(spark, sf_dir), "k", SAMPLE_FRACTION, PREFIX_LEN)
+
+
+def q_equi_depth_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _boundaries(spark, sf_dir)
+
+
+def q_range_bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = rangesort.range_bucket_assign(_kv(spark, sf_dir), "k", _boundaries(spark, sf_dir),
+                                           N_BUCKETS, PREFIX_LEN)
+    return rangesort.bucket_stats(tagged, "k")
+
+
+def q_custom_range_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rangesort.custom_range_sort(_kv(spark, sf_dir), "k", _boundaries(spark, sf_dir),
+                                      N_BUCKETS, PREFIX_LEN, SORT_RANGES)
+    return out.select("k", "v", "bucket", "pos_in_bucket")
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.canonical_edges(src.parse_edges(fx.edge_lines(spark, sf_dir)))
+
+
+def q_edge_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(spark, sf_dir)
+
+
+def q_edge_symmetrize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.symmetrize(_edges(spark, sf_dir))
+
+
+def q_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adj = graph.adjacency(_edges(spark, sf_dir), ADJ_CHUNK)
+    return adj.select("v", "degree", "chunk",
+                      F.array_join(F.col("neighbours").cast("array<string>"), " ").alias("neighbours"))
+
+
+def q_wedge_closure_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.wedge_closure_histogram(_edges(spark, sf_dir))
+
+
+def q_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.triangles(_edges(spark, sf_dir))
+
+
+def q_triangle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.triangle_count(graph.triangles(_edges(spark, sf_dir)))
+
+
+def q_range_xor_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checksum.range_xor_checksum(fx.document_bytes(spark, sf_dir), "content",
+                                       XOR_OFFSET, XOR_LENGTH, keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "text_lines": q_text_lines,
     "bigram_count": q_bigram_count,
@@ -115,4 +197,18 @@ QUERIES: dict[str, Query] = {
     "group_total_join_back": q_group_total_join_back,
     "group_count_argmax": q_group_count_argmax,
     "group_count_argmax_docs": q_group_count_argmax_docs,
+    "kv_tab_parse": q_kv_tab_parse,
+    "kv_ws_parse": q_kv_ws_parse,
+    "total_order_sort": q_total_order_sort,
+    "first_char_histogram": q_first_char_histogram,
+    "equi_depth_boundaries": q_equi_depth_boundaries,
+    "range_bucket_assign": q_range_bucket_assign,
+    "custom_range_sort": q_custom_range_sort,
+    "edge_list": q_edge_list,
+    "edge_symmetrize": q_edge_symmetrize,
+    "adjacency": q_adjacency,
+    "wedge_closure_histogram": q_wedge_closure_histogram,
+    "triangles": q_triangles,
+    "triangle_count": q_triangle_count,
+    "range_xor_checksum": q_range_xor_checksum,
 }
