@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 # Fixed values (they define the semantics; keep them as they are).
 # Line breaks of a line-oriented text reader: CR LF, CR, LF.
 LINE_BREAK = r"\r\n|\r|\n"
-# Delimiters of the default string tokenizer: space, TAB, LF, CR, FF.
-TOKENIZER_WS = r"[ \t\n\r\f]+"
 # Java's \s class: space, TAB, LF, VT, FF, CR.
 JAVA_WS = r"[ \t\n\x0B\f\r]+"
-# A sentence ends at a token whose last character is one of . ! ?
-SENTENCE_END = r"[.!?](?:[ \t\n\r\f]+|\z)"
+# A sentence ends at a token whose last character is one of . ! ? (lines hold no CR/LF).
+SENTENCE_END = r"[.!?](?:[ \t\f]+|\z)"
 # Characters kept in a bigram word: lower-case ASCII letters and digits.
-NOT_WORD_CHAR = r"[^a-z0-9]"
-# Characters kept when cleaning a whole segment: word characters and the tokenizer whitespace.
-NOT_WORD_OR_WS = r"[^a-z0-9 \t\n\r\f]"
+NOT_WORD_CHAR_OR_WS = r"[^a-z0-9 \t\f\n]"
+# Delimiters of the default string tokenizer (space, TAB, LF, CR, FF) left in a line.
+LINE_WS = r"[ \t\f]+"
+# Every word that has a successor, captured together with it (overlapping matches).
+WORD_PAIR = r"(?<![a-z0-9])(?=([a-z0-9]+ [a-z0-9]+))"
 
 
 def _col(c) -> Column:
@@ -39,28 +39,21 @@ def split_lines(text) -> Column:
     return F.slice(parts, 1, F.size(parts) - drop_last)
 
 
-def clean_words(segment) -> Column:
-    """Tokens of a segment with every non ``[a-z0-9]`` char removed; empty results dropped.
+def line_bigrams(line) -> Column:
+    """All bigrams of one line, in order, as an array (four regex passes, no lambdas).
 
-    Removing junk characters from the whole segment (whitespace kept) and then splitting
-    gives the same words as cleaning token by token, with one regex pass per segment.
+    A line holds no CR or LF, so LF can mark sentence ends: (1) lower-case; (2) every
+    ``. ! ?`` that ends a raw token becomes LF - this must look at the raw token, before
+    any cleaning; (3) every char but ``[a-z0-9]``, the tokenizer whitespace and LF is
+    deleted, which cleans all tokens at once and makes pure-punctuation tokens vanish
+    (their neighbours still pair up); (4) runs of whitespace become one space; (5) each
+    word followed by a space and a word yields that pair. LF never matches the space in
+    the pair pattern, so no bigram crosses a sentence end.
     """
-    stripped = F.regexp_replace(_col(segment), NOT_WORD_OR_WS, "")
-    return F.filter(F.split(stripped, TOKENIZER_WS), lambda t: t != F.lit(""))
-
-
-def sentence_segments(line) -> Column:
-    """Lower-cased line cut after every token that ends in ``. ! ?``."""
-    return F.split(F.lower(_col(line)), SENTENCE_END)
-
-
-def adjacent_pairs(words) -> Column:
-    """``w[i-1] + ' ' + w[i]`` for consecutive words; empty for fewer than two words."""
-    w = _col(words)
-    successors = F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0)))
-    # zip_with pads the shorter side with null; the last word has no successor.
-    pairs = F.zip_with(w, successors, lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.filter(pairs, lambda p: p.isNotNull())
+    marked = F.regexp_replace(F.lower(_col(line)), SENTENCE_END, "\n")
+    cleaned = F.regexp_replace(marked, NOT_WORD_CHAR_OR_WS, "")
+    spaced = F.regexp_replace(cleaned, LINE_WS, " ")
+    return F.regexp_extract_all(spaced, F.lit(WORD_PAIR), 1)
 
 
 def java_ws_words(line) -> Column:

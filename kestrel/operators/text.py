@@ -1,6 +1,6 @@
 """Text operators: line counts, sentence-aware bigram counts, whitespace word counts.
 
-All tokenising is done with array expressions inside the scan stage (no shuffle, no
+All tokenising is done with regex and array expressions inside the scan stage (no shuffle, no
 UDF); the only exchange is the count's, which Spark plans as a partial (map-side)
 aggregate followed by a final one, so a hot word or bigram collapses to one row per task
 before it is shuffled.
@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions.text import (adjacent_pairs, clean_words, java_ws_words,
-                                    sentence_segments, split_lines)
+from kestrel.functions.text import java_ws_words, line_bigrams, split_lines
 
 
 def line_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -27,9 +26,7 @@ def bigrams(lines: DataFrame, line_col: str = "line", out_col: str = "bigram") -
     token to ``[a-z0-9]`` and drop empty ones, then pair consecutive words. Bigrams never
     cross a line or a sentence end; a pure-punctuation token neither emits nor breaks.
     """
-    segments = lines.select(F.explode(sentence_segments(line_col)).alias("_seg"))
-    words = segments.select(clean_words("_seg").alias("_w")).where(F.size("_w") >= 2)
-    return words.select(F.explode(adjacent_pairs("_w")).alias(out_col))
+    return lines.select(F.explode(line_bigrams(line_col)).alias(out_col))
 
 
 def bigram_count(lines: DataFrame, line_col: str = "line") -> DataFrame:

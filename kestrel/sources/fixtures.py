@@ -17,9 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` tasks only if it has fewer partitions.
+
+    A source stored as a few unsplittable files (one row group each) scans in a few tasks,
+    and CPU-heavy narrow work after it (tokenising, regex) would run on those few cores
+    until the first shuffle. Large inputs already have more splits than the cluster has
+    cores, so for them this is a no-op and adds no exchange.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lines``: one row per line of every document -> doc_id, line."""
-    return explode_lines(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return explode_lines(docs, "text", keep=["doc_id"])
 
 
 def kv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
