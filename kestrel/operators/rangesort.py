@@ -73,8 +73,9 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     bounds = (quant.where(F.col("_q") < r - 1).groupBy("_q").agg(F.max("_key").alias("_b"))
               .select(F.sort_array(F.collect_list("_b")).alias("_bounds")))
 
+    # coalesce makes _range non-nullable, so no inferred isnotnull filter re-runs the search
     ranged = (chunks.withColumn("_bounds", bounds.scalar())
-              .withColumn("_range", count_below(F.col("_bounds"), sort_key, r))
+              .withColumn("_range", F.coalesce(count_below(F.col("_bounds"), sort_key, r), F.lit(0)))
               .drop("_bounds"))
 
     # Base offset of each range: a prefix sum over at most R rows, broadcast by range id.
@@ -82,18 +83,21 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_range", F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
 
-    parts = ranged.repartitionById(r, "_range").join(F.broadcast(bases), on="_range", how="inner")
+    parts = ranged.repartitionById(r, "_range").join(F.broadcast(bases), on="_range", how="left")
     within = Window.partitionBy("_range").orderBy(*key_cols, "_chunk").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     starts = parts.withColumn("_start", F.col("_base") + F.sum("_w").over(within) - F.col("_w"))
     rows = starts.select(*key_cols, "_start",
                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
+    # The explicit sort keeps each range sorted even when a caller prunes the position
+    # (and with it the window); when the window is there, Spark drops it as redundant.
     out = rows.select(*cols, (F.col("_start") + F.col("_i") + 1).alias(pos_col))
     if not group_cols:
-        return out
+        return out.sortWithinPartitions(*key_cols)
     first = out.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"))
     return (out.join(first, on=group_cols, how="inner")
-            .select(*cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col)))
+            .select(*cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col))
+            .sortWithinPartitions(*key_cols))
 
 
 def total_order_sort(df: DataFrame, order_cols, n_ranges: int | None = None,

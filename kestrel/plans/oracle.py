@@ -50,7 +50,7 @@ ORACLE["bigram_top_k"] = "WITH " + _BIGRAM_COUNTS + r"""
 SELECT n, bigram FROM bigram_counts
 WHERE n IN (SELECT DISTINCT n FROM bigram_counts ORDER BY n DESC LIMIT 10)"""
 
-ORACLE["word_count"] = "WITH " + _LINES + r""",
+_WORD_COUNT = "WITH " + _LINES + r""",
 rt AS (
   SELECT line, regexp_replace(line, '[ \t\n\x0B\f\r]+\z', '') AS r FROM lines
 ),
@@ -61,6 +61,9 @@ wl AS (
 )
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM wl GROUP BY word"""
 
+ORACLE["word_count"] = _WORD_COUNT
+ORACLE["write_pairs"] = _WORD_COUNT
+
 
 # events -> ip_trace / raw_block lines, parsed back
 _TRACE = r"""

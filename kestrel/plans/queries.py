@@ -7,12 +7,15 @@ both sides (counts and positions are bigint).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel import sinks
 from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
+from kestrel.session import checkpoint_dir
 from kestrel.sources import fixtures as fx
 from kestrel.sources import text as src
 
@@ -183,6 +186,15 @@ def q_range_xor_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        XOR_OFFSET, XOR_LENGTH, keep=["doc_id"])
 
 
+def q_write_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts written as ``word<TAB>n`` text under the shared checkpoint folder, read back."""
+    counts = text.word_count(fx.doc_lines(spark, sf_dir))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/write_pairs-{uuid.uuid4().hex}"
+    sinks.write_pairs(counts, path, "word", "n", style="tab")
+    back = src.parse_kv_tab(src.read_lines(spark, path))
+    return back.select(F.col("k").alias("word"), F.col("v").cast("bigint").alias("n"))
+
+
 QUERIES: dict[str, Query] = {
     "text_lines": q_text_lines,
     "bigram_count": q_bigram_count,
@@ -211,4 +223,5 @@ QUERIES: dict[str, Query] = {
     "triangles": q_triangles,
     "triangle_count": q_triangle_count,
     "range_xor_checksum": q_range_xor_checksum,
+    "write_pairs": q_write_pairs,
 }
