@@ -45,9 +45,10 @@ def adjacency(edges: DataFrame, chunk_size: int = 1024, n_ranges: int | None = N
 
     A vertex's list is cut by the rank of each neighbour (from ``ordered_positions``), so
     no task or row ever holds more than ``chunk_size`` neighbours of a hub vertex.
+    ``edges`` must be canonical (``canonical_edges``): then every (v, u) is distinct.
     """
     sym = symmetrize(edges)
-    ranked = ordered_positions(sym, ["u"], ["v"], n_ranges, pos_col="_rank")
+    ranked = ordered_positions(sym, ["u"], ["v"], n_ranges, pos_col="_rank", distinct_rows=True)
     pieces = ranked.withColumn("chunk", F.expr(f"(_rank - 1) div {int(chunk_size)}"))
     lists = pieces.groupBy("v", "chunk").agg(F.sort_array(F.collect_list("u")).alias("neighbours"))
     deg = degrees(edges)

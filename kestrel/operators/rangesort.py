@@ -40,25 +40,33 @@ def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
 
 def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int | None = None,
                       pos_col: str = "pos", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                      sample_per_range: int = DEFAULT_SAMPLE_PER_RANGE) -> DataFrame:
+                      sample_per_range: int = DEFAULT_SAMPLE_PER_RANGE,
+                      distinct_rows: bool = False) -> DataFrame:
     """Every row of ``df`` with its 1-based position in the order ``group_cols + order_cols``.
 
     With ``group_cols`` the position restarts at 1 in each group. Rows equal in all
     columns are interchangeable; any other tie is broken by the remaining columns.
+    ``distinct_rows=True`` declares that no two rows are equal (e.g. a canonical edge
+    list), which skips the aggregate that collapses duplicates.
     """
     order_cols, group_cols = list(order_cols), list(group_cols)
     cols = df.columns
     key_cols = group_cols + order_cols + [c for c in cols if c not in group_cols + order_cols]
     r = _n_ranges(df, n_ranges)
 
-    collapsed = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_cnt"))
-    chunks = collapsed.select(
-        *key_cols, "_cnt",
-        F.explode(F.sequence(F.lit(0).cast("bigint"),
-                            F.expr(f"(_cnt - 1) div {int(chunk_rows)}"))).alias("_chunk"))
-    chunks = chunks.select(
-        *key_cols, "_chunk",
-        F.least(F.lit(chunk_rows).cast("bigint"), F.col("_cnt") - F.col("_chunk") * chunk_rows).alias("_w"))
+    if distinct_rows:
+        chunks = df.select(*key_cols, F.lit(0).cast("bigint").alias("_chunk"),
+                           F.lit(1).cast("bigint").alias("_w"))
+    else:
+        collapsed = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_cnt"))
+        chunks = collapsed.select(
+            *key_cols, "_cnt",
+            F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                F.expr(f"(_cnt - 1) div {int(chunk_rows)}"))).alias("_chunk"))
+        chunks = chunks.select(
+            *key_cols, "_chunk",
+            F.least(F.lit(chunk_rows).cast("bigint"),
+                    F.col("_cnt") - F.col("_chunk") * chunk_rows).alias("_w"))
     sort_key = F.struct(*[F.col(c) for c in key_cols], F.col("_chunk"))
 
     # Weighted quantile bounds from a bounded, deterministic sample.
@@ -79,11 +87,15 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
               .drop("_bounds"))
 
     # Base offset of each range: a prefix sum over at most R rows, broadcast by range id.
-    totals = ranged.groupBy("_range").agg(F.sum("_w").alias("_rw"))
+    # The totals read the same exchange as the main branch (Spark reuses it), so the
+    # binary search runs once per row; the exchange already clusters by range, so the
+    # totals need no shuffle of their own.
+    ranges = ranged.repartitionById(r, "_range")
+    totals = ranges.groupBy("_range").agg(F.sum("_w").alias("_rw"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_range", F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
 
-    parts = ranged.repartitionById(r, "_range").join(F.broadcast(bases), on="_range", how="left")
+    parts = ranges.join(F.broadcast(bases), on="_range", how="left")
     within = Window.partitionBy("_range").orderBy(*key_cols, "_chunk").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     starts = parts.withColumn("_start", F.col("_base") + F.sum("_w").over(within) - F.col("_w"))

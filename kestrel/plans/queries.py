@@ -32,7 +32,8 @@ XOR_OFFSET, XOR_LENGTH = 10, 100
 
 
 def q_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.line_counts(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
+    docs = fx.spread(fx.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return text.line_counts(docs, "doc_id", "text")
 
 
 def q_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:

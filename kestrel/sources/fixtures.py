@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks only if it has fewer partitions.
+    """Spread ``df`` over ``min_partitions`` tasks only if it has fewer partitions.
 
     A source stored as a few unsplittable files (one row group each) scans in a few tasks,
     and CPU-heavy narrow work after it (tokenising, regex) would run on those few cores
@@ -28,7 +28,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    # Hash of the (already pruned) row: deterministic on retry without the local sort a
+    # round-robin repartition needs for that.
+    return df.repartition(target, F.xxhash64(*df.columns))
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +42,8 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``kv``: k = md5 of the order key as text, v = the order key as text."""
     key = F.col("o_orderkey").cast("string")
-    return table(spark, sf_dir, "orders").select(F.md5(key).alias("k"), key.alias("v"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return orders.select(F.md5(key).alias("k"), key.alias("v"))
 
 
 def kv_lines(spark: SparkSession, sf_dir: str, sep: str = "\t") -> DataFrame:
@@ -51,7 +54,7 @@ def kv_lines(spark: SparkSession, sf_dir: str, sep: str = "\t") -> DataFrame:
 
 def ip_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ip_trace``: ``time conn_id src > dst`` lines from events."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
     tm = F.regexp_replace(F.col("ts").cast("string"), " ", "T")
     src = F.concat_ws(".", F.lit("10.0"), F.expr("user_id div 50").cast("string"),
                       (F.col("user_id") % 50).cast("string"),
@@ -64,7 +67,7 @@ def ip_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_block_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_block``: ``conn_id action`` lines; action is Blocked for error events."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "event_type"))
     action = F.when(F.col("event_type") == "error", F.lit("Blocked")).otherwise(F.lit("Allowed"))
     return e.select(F.concat_ws(" ", F.col("event_id").cast("string"), action).alias("value"))
 
@@ -86,7 +89,7 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order key, so the graph is linear in the data (duplicates and self-loops are left in
     for the edge-list parser to canonicalise).
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(F.concat_ws(" ", F.col("l_partkey").cast("string"),
@@ -95,5 +98,5 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bytes``: doc_id and the UTF-8 bytes of the text (``content binary``)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", F.encode("text", "UTF-8").alias("content"))

@@ -100,14 +100,16 @@ def parse_csv_positional(lines: DataFrame, columns: dict, value_col: str = "valu
 
 
 def parse_edges(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Whitespace-separated vertex pair per line; blank lines skipped -> src, dst bigint."""
-    trimmed = F.regexp_replace(F.col(value_col), r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+\z", "")
-    parts = F.split(trimmed, JAVA_WS)
-    return (
-        lines.where(trimmed != F.lit(""))
-        .select(F.get(parts, 0).cast("bigint").alias("src"),
-                F.get(parts, 1).cast("bigint").alias("dst"))
-    )
+    """Whitespace-separated vertex pair per line; blank lines skipped -> src, dst bigint.
+
+    The tokens are extracted once, inside a generator: filters on the parsed fields (the
+    blank-line test here, self-loops later) cannot be pushed below it, so they are not
+    rewritten into repeated regex evaluations of the raw line.
+    """
+    tokens = F.regexp_extract_all(F.col(value_col), F.lit(r"[^ \t\n\x0B\f\r]+"), 0)
+    parsed = lines.select(F.explode(F.array(tokens)).alias("_t"))
+    return (parsed.where(F.size("_t") > 0)
+            .select(F.col("_t")[0].cast("bigint").alias("src"), F.col("_t")[1].cast("bigint").alias("dst")))
 
 
 def read_binary_files(spark: SparkSession, path: str) -> DataFrame:

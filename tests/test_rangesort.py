@@ -148,3 +148,20 @@ def test_hash_sample_is_deterministic(spark):
     a = df.where(rangesort.hash_sample(F.col("k"), 0.02)).count()
     b = df.where(rangesort.hash_sample(F.col("k"), 0.02)).count()
     assert a == b and 250 < a < 550
+
+
+def test_count_below_linear_and_bisection_agree(spark):
+    from kestrel.functions import search
+
+    rnd = random.Random(4)
+    bounds = sorted(rnd.sample(range(0, 5000), 100))
+    keys = [rnd.randint(-10, 5010) for _ in range(500)] + bounds[:20]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    arr = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    out = df.select("k", search.count_below(arr, F.col("k"), 100).alias("bis"),
+                    search.count_below(F.slice(arr, 1, 10), F.col("k"), 10).alias("lin"),
+                    search.count_below(arr, F.col("k"), 100, inclusive=True).alias("inc")).collect()
+    for r in out:
+        assert r.bis == sum(1 for b in bounds if b < r.k)
+        assert r.lin == sum(1 for b in bounds[:10] if b < r.k)
+        assert r.inc == sum(1 for b in bounds if b <= r.k)
