@@ -34,9 +34,13 @@ def split_lines(text) -> Column:
     A final line break ends the last line instead of opening an empty one, so one
     trailing empty piece is dropped; an empty text has no lines.
     """
-    parts = F.split(_col(text), LINE_BREAK)
-    drop_last = F.when(F.element_at(parts, -1) == F.lit(""), F.lit(1)).otherwise(F.lit(0))
-    return F.slice(parts, 1, F.size(parts) - drop_last)
+    t = _col(text)
+    # Drop one final line break, then split once (a generator gets no common-subexpression
+    # elimination, so the split must not be repeated).
+    final_break = (F.when(t.endswith("\r\n"), F.lit(2))
+                   .when(t.endswith("\n") | t.endswith("\r"), F.lit(1)).otherwise(F.lit(0)))
+    body = t.substr(F.lit(1), F.length(t) - final_break)
+    return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
 
 
 def line_bigrams(line) -> Column:
