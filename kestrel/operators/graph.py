@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from kestrel.operators.rangesort import ordered_positions
 
+# Fixed value: the label of the reference's triangle-count output record.
+TRIANGLE_LABEL = "Total Triangles: "
+
 
 def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """src < dst, self-loops dropped, duplicates and reversed copies merged."""
@@ -93,7 +96,7 @@ def triangles(edges: DataFrame, by: str = "degree") -> DataFrame:
 def triangle_count(tris: DataFrame) -> DataFrame:
     """label, n: one row, ``Total Triangles: <n>``."""
     n = tris.agg(F.count(F.lit(1)).alias("n"))
-    return n.select(F.concat(F.lit("Total Triangles: "), F.col("n").cast("string")).alias("label"), "n")
+    return n.select(F.concat(F.lit(TRIANGLE_LABEL), F.col("n").cast("string")).alias("label"), "n")
 
 
 def wedge_closure_histogram(edges: DataFrame, by: str = "degree") -> DataFrame:

@@ -13,8 +13,8 @@ partition, and stays balanced when one value holds a large share of the rows:
    subquery of at most R-1 structs) - deterministic, so a lost task recomputes the same
    range id;
 4. ``repartitionById(R)`` puts range r in partition r; per-range totals (R rows,
-   broadcast) give each range's base offset, a window inside the range gives the offset
-   of each chunk, and exploding the chunk gives every row its position.
+   broadcast) give each range's base offset; chunks are expanded back into rows inside
+   their range and a ``row_number`` in key order gives every row its position.
 
 The result is range-partitioned (partition i holds only keys <= those of partition i+1)
 and sorted within partitions, i.e. a total-order sort that can be written as is.
@@ -96,20 +96,21 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     bases = totals.select("_range", F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
 
     parts = ranges.join(F.broadcast(bases), on="_range", how="left")
-    within = Window.partitionBy("_range").orderBy(*key_cols, "_chunk").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    starts = parts.withColumn("_start", F.col("_base") + F.sum("_w").over(within) - F.col("_w"))
-    rows = starts.select(*key_cols, "_start",
-                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
+    # Chunks are expanded back into rows inside their range (each range holds about
+    # 1/R of the rows by the weighted bounds), then numbered in key order; identical rows
+    # are interchangeable, so their relative numbering is free.
+    rows = parts.select("_range", *key_cols, "_base",
+                        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
+    within = Window.partitionBy("_range").orderBy(*key_cols)
+    out = rows.select("_range", *cols, (F.col("_base") + F.row_number().over(within)).alias(pos_col))
+    if group_cols:
+        first = out.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"))
+        out = (out.join(first, on=group_cols, how="inner")
+               .select("_range", *cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col)))
     # The explicit sort keeps each range sorted even when a caller prunes the position
-    # (and with it the window); when the window is there, Spark drops it as redundant.
-    out = rows.select(*cols, (F.col("_start") + F.col("_i") + 1).alias(pos_col))
-    if not group_cols:
-        return out.sortWithinPartitions(*key_cols)
-    first = out.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"))
-    return (out.join(first, on=group_cols, how="inner")
-            .select(*cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col))
-            .sortWithinPartitions(*key_cols))
+    # (and with it the window); otherwise the window's order (_range, keys) satisfies it
+    # and Spark drops it as redundant.
+    return out.sortWithinPartitions("_range", *key_cols).drop("_range")
 
 
 def total_order_sort(df: DataFrame, order_cols, n_ranges: int | None = None,
