@@ -145,7 +145,7 @@ FROM documents GROUP BY lang"""
 
 
 # orders -> kv lines -> parsed pairs
-_KV = r"""
+_KV_SOURCE = r"""
 kv_lines AS (
   SELECT md5(CAST(o_orderkey AS VARCHAR)) || chr(9) || CAST(o_orderkey AS VARCHAR) AS value FROM orders
 ),
@@ -153,15 +153,27 @@ kv AS (
   SELECT CASE WHEN strpos(value, chr(9)) > 0 THEN substr(value, 1, strpos(value, chr(9)) - 1) ELSE value END AS k,
          CASE WHEN strpos(value, chr(9)) > 0 THEN substr(value, strpos(value, chr(9)) + 1) ELSE '' END AS v
   FROM kv_lines
-),
+)"""
+
+# documents -> first line as key, id as value
+_KV_SKEWED_SOURCE = r"""
+kv AS (
+  SELECT regexp_extract(text, '^[^\r\n]*', 0) AS k, CAST(doc_id AS VARCHAR) AS v FROM documents
+)"""
+
+
+def _hist(threshold: int) -> str:
+    """First-char histogram over the md5 hash sample (threshold out of 1,000,000)."""
+    return r""",
 hist AS (
   SELECT substr(k, 1, 1) AS ch, CAST(count(*) AS BIGINT) AS n FROM kv
-  WHERE ('0x' || substr(md5(k), 1, 8))::BIGINT % 1000000 < 20000
+  WHERE ('0x' || substr(md5(k), 1, 8))::BIGINT % 1000000 < """ + str(threshold) + r"""
   GROUP BY 1
 )"""
 
+
 # Equi-depth ranges as the literal running fold (recursive), independent of the closed form.
-_BOUNDS = _KV + r""",
+_FOLD = r""",
 hrows AS (SELECT ch, n, row_number() OVER (ORDER BY ch) AS i FROM hist),
 params AS (SELECT sum(n) // 10 AS step FROM hist),
 fold AS (
@@ -190,6 +202,9 @@ tagged AS (
   FROM kv
 )"""
 
+_KV = _KV_SOURCE + _hist(20000)
+_BOUNDS = _KV + _FOLD
+
 ORACLE["kv_tab_parse"] = "WITH " + _KV + r"""
 SELECT k, v FROM kv"""
 
@@ -215,6 +230,10 @@ ORACLE["custom_range_sort"] = "WITH RECURSIVE " + _BOUNDS + r"""
 SELECT k, v, bucket, CAST(row_number() OVER (PARTITION BY bucket ORDER BY k, v) AS BIGINT) AS pos_in_bucket
 FROM tagged"""
 
+ORACLE["skewed_range_sort"] = "WITH RECURSIVE " + _KV_SKEWED_SOURCE + _hist(250000) + _FOLD + r"""
+SELECT k, v, bucket, CAST(row_number() OVER (PARTITION BY bucket ORDER BY k, v) AS BIGINT) AS pos_in_bucket
+FROM tagged"""
+
 # lineitem x orders -> "part customer" lines -> canonical edges
 _EDGES = r"""
 edge_lines AS (

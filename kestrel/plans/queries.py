@@ -29,6 +29,7 @@ N_BUCKETS = 10            # equi-depth ranges
 PREFIX_LEN = 1            # key characters that decide the range
 ADJ_CHUNK = 64            # neighbours per adjacency row
 XOR_OFFSET, XOR_LENGTH = 10, 100
+SKEWED_SAMPLE_FRACTION = 0.25  # first lines of documents: fewer keys, so a larger sample
 
 
 def q_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +153,14 @@ def q_custom_range_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", "v", "bucket", "pos_in_bucket")
 
 
+def q_skewed_range_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kv = fx.kv_skewed(spark, sf_dir)
+    hist = rangesort.first_char_histogram(kv, "k", SKEWED_SAMPLE_FRACTION, PREFIX_LEN)
+    bounds = rangesort.equi_depth_boundaries(hist, N_BUCKETS)
+    out = rangesort.custom_range_sort(kv, "k", bounds, N_BUCKETS, PREFIX_LEN, SORT_RANGES)
+    return out.select("k", "v", "bucket", "pos_in_bucket")
+
+
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.canonical_edges(src.parse_edges(fx.edge_lines(spark, sf_dir)))
 
@@ -217,6 +226,7 @@ QUERIES: dict[str, Query] = {
     "equi_depth_boundaries": q_equi_depth_boundaries,
     "range_bucket_assign": q_range_bucket_assign,
     "custom_range_sort": q_custom_range_sort,
+    "skewed_range_sort": q_skewed_range_sort,
     "edge_list": q_edge_list,
     "edge_symmetrize": q_edge_symmetrize,
     "adjacency": q_adjacency,

@@ -46,6 +46,17 @@ def kv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.md5(key).alias("k"), key.alias("v"))
 
 
+def kv_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kv_skewed``: k = first line of each document, v = its id as text.
+
+    Many first characters, very uneven and often non-ASCII: the hard case for a first-char
+    range partition.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(F.regexp_extract("text", r"^[^\r\n]*", 0).alias("k"),
+                       F.col("doc_id").cast("string").alias("v"))
+
+
 def kv_lines(spark: SparkSession, sf_dir: str, sep: str = "\t") -> DataFrame:
     """``kv`` as text lines ``k<sep>v`` (``value string``)."""
     kv = kv_pairs(spark, sf_dir)
