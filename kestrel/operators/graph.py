@@ -61,36 +61,40 @@ def adjacency(edges: DataFrame, chunk_size: int = 1024, n_ranges: int | None = N
 def orient(edges: DataFrame, by: str = "degree") -> DataFrame:
     """Direct each canonical edge low -> high: by (degree, id) or by id alone.
 
-    -> x, y, ry where ry orders the head vertices (used to pair wedges consistently).
+    -> x, y, dy: tail, head and the head's rank degree (0 when orienting by id), so that
+    heads compare as (dy, y) with plain column compares.
     """
     if by == "id":
         return edges.select(F.col("src").alias("x"), F.col("dst").alias("y"),
-                            F.struct(F.col("dst").alias("id")).alias("ry"))
+                            F.lit(0).cast("bigint").alias("dy"))
     if by != "degree":
         raise ValueError("orient by 'degree' or 'id'")
     deg = degrees(edges)
     ds = deg.select(F.col("v").alias("src"), F.col("degree").alias("_ds"))
     dd = deg.select(F.col("v").alias("dst"), F.col("degree").alias("_dd"))
     e = edges.join(ds, "src").join(dd, "dst")
-    rs = F.struct(F.col("_ds").alias("d"), F.col("src").alias("id"))
-    rd = F.struct(F.col("_dd").alias("d"), F.col("dst").alias("id"))
-    forward = rs < rd
+    forward = _rank_less(F.col("_ds"), F.col("src"), F.col("_dd"), F.col("dst"))
     return e.select(F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("x"),
                     F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("y"),
-                    F.when(forward, rd).otherwise(rs).alias("ry"))
+                    F.when(forward, F.col("_dd")).otherwise(F.col("_ds")).alias("dy"))
+
+
+def _rank_less(d1, id1, d2, id2):
+    """(d1, id1) < (d2, id2), lexicographically."""
+    return (d1 < d2) | ((d1 == d2) & (id1 < id2))
 
 
 def triangles(edges: DataFrame, by: str = "degree") -> DataFrame:
     """a, b, c (a < b < c by id): every triangle of the canonical edge list once."""
     o = orient(edges, by)
-    left = o.select(F.col("x").alias("p"), F.col("y").alias("q1"), F.col("ry").alias("r1"))
-    right = o.select(F.col("x").alias("p"), F.col("y").alias("q2"), F.col("ry").alias("r2"))
-    wedges = left.join(right, "p").where(F.col("r1") < F.col("r2"))
+    left = o.select(F.col("x").alias("p"), F.col("y").alias("q1"), F.col("dy").alias("d1"))
+    right = o.select(F.col("x").alias("p"), F.col("y").alias("q2"), F.col("dy").alias("d2"))
+    wedges = left.join(right, "p").where(_rank_less(F.col("d1"), F.col("q1"), F.col("d2"), F.col("q2")))
     close = o.select(F.col("x").alias("q1"), F.col("y").alias("q2"))
     tri = wedges.join(close, ["q1", "q2"], "left_semi")
-    ids = F.array_sort(F.array("p", "q1", "q2"))
-    return tri.select(ids.alias("_t")).select(F.col("_t")[0].alias("a"), F.col("_t")[1].alias("b"),
-                                              F.col("_t")[2].alias("c"))
+    p, q1, q2 = F.col("p"), F.col("q1"), F.col("q2")
+    middle = F.greatest(F.least(p, q1), F.least(F.greatest(p, q1), q2))
+    return tri.select(F.least(p, q1, q2).alias("a"), middle.alias("b"), F.greatest(p, q1, q2).alias("c"))
 
 
 def triangle_count(tris: DataFrame) -> DataFrame:
