@@ -30,9 +30,14 @@ from kestrel.functions.text import key_prefix
 
 DEFAULT_CHUNK_ROWS = 1 << 20
 DEFAULT_SAMPLE_PER_RANGE = 64
+# Upper bound on the rows that reach the single task computing the bounds (as Spark's own
+# range partitioner caps its sample); with very many ranges each gets fewer sample rows.
+MAX_SAMPLE_ROWS = 1_000_000
 
 
 def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
+    """Ranges to cut the order into; by default the session's shuffle partition count,
+    which a cluster sizes to its data (each range is one task's share)."""
     if n_ranges:
         return int(n_ranges)
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -72,7 +77,7 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     # Weighted quantile bounds from a bounded, deterministic sample.
     sample = (chunks.select(sort_key.alias("_key"), "_w",
                             F.xxhash64(*key_cols, "_chunk").alias("_h"))
-              .orderBy("_h", "_key").limit(r * sample_per_range))
+              .orderBy("_h", "_key").limit(min(r * sample_per_range, MAX_SAMPLE_ROWS)))
     cum = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy(F.lit(0))
     quant = sample.select(
