@@ -181,10 +181,11 @@ fold AS (
          CAST(0 AS BIGINT) AS n
   UNION ALL
   SELECT h.i,
-         CASE WHEN f.cnt + h.n >= p.step AND f.closed < 10 THEN f.cnt + h.n - p.step ELSE f.cnt + h.n END,
-         CASE WHEN f.cnt + h.n >= p.step AND f.closed < 10 THEN f.closed + 1 ELSE f.closed END,
+         CASE WHEN f.cnt + h.n >= (SELECT step FROM params) AND f.closed < 10
+              THEN f.cnt + h.n - (SELECT step FROM params) ELSE f.cnt + h.n END,
+         CASE WHEN f.cnt + h.n >= (SELECT step FROM params) AND f.closed < 10 THEN f.closed + 1 ELSE f.closed END,
          f.closed, h.ch, h.n
-  FROM fold f JOIN hrows h ON h.i = f.i + 1 CROSS JOIN params p
+  FROM fold f JOIN hrows h ON h.i = f.i + 1
 ),
 chars AS (
   SELECT ch, n, prev, prev < (SELECT max(closed) FROM fold) AS is_closed,

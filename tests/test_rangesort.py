@@ -165,3 +165,16 @@ def test_count_below_linear_and_bisection_agree(spark):
         assert r.bis == sum(1 for b in bounds if b < r.k)
         assert r.lin == sum(1 for b in bounds[:10] if b < r.k)
         assert r.inc == sum(1 for b in bounds if b <= r.k)
+
+
+def test_positions_with_null_keys(spark):
+    rows = [(None, "b"), ("a", None), ("a", "x"), (None, None), ("c", "y"), (None, "b"), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    out = rangesort.total_order_sort(df, ["k"], n_ranges=3).collect()
+    got = [(r.k, r.v) for r in sorted(out, key=lambda r: r.pos)]
+
+    def key(t):  # ascending, nulls first
+        return tuple((x is not None, x or "") for x in t)
+
+    assert sorted(r.pos for r in out) == list(range(1, len(rows) + 1))
+    assert got == sorted(rows, key=key)
