@@ -50,14 +50,24 @@ def parse_kv_ws(lines: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def split_once(lines: DataFrame, pieces, name: str = "_f") -> DataFrame:
+    """``lines`` with one array column ``name`` computed once per row, inside a generator.
+
+    Filters on fields taken from the array (including the not-null filters Spark infers
+    from a join key) cannot be pushed below a generator, so they are not rewritten into
+    repeated evaluations of the split over the raw line.
+    """
+    return lines.select(F.explode(F.array(pieces)).alias(name))
+
+
 def parse_space_fields(lines: DataFrame, fields: dict, value_col: str = "value") -> DataFrame:
     """Split on single spaces and keep ``{name: (index, type)}`` fields (ANSI casts)."""
-    parts = F.split(F.col(value_col), " ")
+    parts = split_once(lines, F.split(F.col(value_col), " "))
     cols = []
     for name, (index, dtype) in fields.items():
-        item = F.get(parts, index)
+        item = F.get(F.col("_f"), index)
         cols.append((item.cast(dtype) if dtype != "string" else item).alias(name))
-    return lines.select(*cols)
+    return parts.select(*cols)
 
 
 def parse_ip_trace(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -83,12 +93,12 @@ def parse_csv_positional(lines: DataFrame, columns: dict, value_col: str = "valu
     failing the job. With ``header=True`` a line whose numeric fields all fail to parse
     (a header line, wherever it sits in a split dataset) is dropped.
     """
-    parts = F.split(F.col(value_col), ",")
+    parts = split_once(lines, F.split(F.col(value_col), ","))
     cols = []
     for name, (index, dtype) in columns.items():
-        item = F.get(parts, index)
+        item = F.get(F.col("_f"), index)
         cols.append((item.try_cast(dtype) if dtype != "string" else item).alias(name))
-    out = lines.select(*cols)
+    out = parts.select(*cols)
     if header:
         numeric = [n for n, (_, t) in columns.items() if t != "string"]
         if numeric:
@@ -102,12 +112,11 @@ def parse_csv_positional(lines: DataFrame, columns: dict, value_col: str = "valu
 def parse_edges(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Whitespace-separated vertex pair per line; blank lines skipped -> src, dst bigint.
 
-    The tokens are extracted once, inside a generator: filters on the parsed fields (the
-    blank-line test here, self-loops later) cannot be pushed below it, so they are not
-    rewritten into repeated regex evaluations of the raw line.
+    The tokens are extracted once (``split_once``): the blank-line test here and the
+    self-loop filter later do not re-run the regex over the raw line.
     """
     tokens = F.regexp_extract_all(F.col(value_col), F.lit(r"[^ \t\n\x0B\f\r]+"), 0)
-    parsed = lines.select(F.explode(F.array(tokens)).alias("_t"))
+    parsed = split_once(lines, tokens, "_t")
     return (parsed.where(F.size("_t") > 0)
             .select(F.col("_t")[0].cast("bigint").alias("src"), F.col("_t")[1].cast("bigint").alias("dst")))
 
