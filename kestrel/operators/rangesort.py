@@ -92,15 +92,22 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
               .drop("_bounds"))
 
     # Base offset of each range: a prefix sum over at most R rows, broadcast by range id.
-    # The totals read the same exchange as the main branch (Spark reuses it), so the
-    # binary search runs once per row; the exchange already clusters by range, so the
-    # totals need no shuffle of their own.
-    ranges = ranged.repartitionById(r, "_range")
-    totals = ranges.groupBy("_range").agg(F.sum("_w").alias("_rw"))
+    # The totals must read the very exchange the main branch reads, so that Spark reuses
+    # it and the bound search runs once per row: the (otherwise unused) max key keeps
+    # column pruning from narrowing this branch's exchange. The exchange already clusters
+    # by range, so the totals add no shuffle of data.
+    ranges = ranged.select("_range", *key_cols, "_w").repartitionById(r, "_range")
+    totals = ranges.groupBy("_range").agg(F.sum("_w").alias("_rw"),
+                                          F.max(F.struct(*key_cols)).alias("_last"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("_range", F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
-
-    parts = ranges.join(F.broadcast(bases), on="_range", how="left")
+    bases = totals.select(F.col("_range").alias("_b_range"), "_last",
+                          F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
+
+    # The partitioned side's _range is kept: the window below must see the column the
+    # exchange partitions by, or Spark re-shuffles.
+    joined = ranges.join(F.broadcast(bases),
+                         (F.col("_range") == F.col("_b_range")) & F.col("_last").isNotNull(), how="left")
+    parts = joined.select("_range", *key_cols, "_w", "_base")
     # Chunks are expanded back into rows inside their range (each range holds about
     # 1/R of the rows by the weighted bounds), then numbered in key order; identical rows
     # are interchangeable, so their relative numbering is free.

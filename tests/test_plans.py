@@ -48,3 +48,11 @@ def test_blocked_filter_pushed_before_join(spark):
     join_pos = plan.find("Join")
     filt = plan.find("Blocked")
     assert filt != -1 and join_pos != -1
+
+
+@pytest.mark.parametrize("name", ["total_order_sort", "custom_range_sort", "adjacency"])
+def test_positions_keep_range_partitioning(spark, name):
+    """Ranges are routed once by id; nothing re-shuffles them by hash before numbering."""
+    plan = plan_string(entry_mod.queries()[name](spark, SF_SMALL))
+    assert "shufflepartitionidpassthrough" in plan
+    assert not re.search(r"hashpartitioning\(_range", plan), name
