@@ -46,16 +46,22 @@ def degrees(edges: DataFrame) -> DataFrame:
 def adjacency(edges: DataFrame, chunk_size: int = 1024, n_ranges: int | None = None) -> DataFrame:
     """v, degree, chunk, neighbours: sorted neighbour lists in pieces of <= chunk_size.
 
-    A vertex's list is cut by the rank of each neighbour (from ``ordered_positions``), so
-    no task or row ever holds more than ``chunk_size`` neighbours of a hub vertex.
-    ``edges`` must be canonical (``canonical_edges``): then every (v, u) is distinct.
+    A vertex of degree <= chunk_size (usually almost all) gets its whole list as chunk 0
+    from one bounded ``collect_list``. Only the neighbours of larger (hub) vertices are
+    ranked with ``ordered_positions`` and cut by rank, so no task or row ever holds more
+    than ``chunk_size`` neighbours of a hub. ``edges`` must be canonical
+    (``canonical_edges``): then every (v, u) is distinct.
     """
-    sym = symmetrize(edges)
-    ranked = ordered_positions(sym, ["u"], ["v"], n_ranges, pos_col="_rank", distinct_rows=True)
-    pieces = ranked.withColumn("chunk", F.expr(f"(_rank - 1) div {int(chunk_size)}"))
-    lists = pieces.groupBy("v", "chunk").agg(F.sort_array(F.collect_list("u")).alias("neighbours"))
-    deg = degrees(edges)
-    return lists.join(deg, on="v", how="inner").select("v", "degree", "chunk", "neighbours")
+    c = int(chunk_size)
+    sym = symmetrize(edges).join(degrees(edges), on="v", how="inner")
+    small = (sym.where(F.col("degree") <= c).groupBy("v", "degree")
+             .agg(F.lit(0).cast("bigint").alias("chunk"), F.sort_array(F.collect_list("u")).alias("neighbours")))
+    hubs = sym.where(F.col("degree") > c)
+    ranked = ordered_positions(hubs.select("v", "u", "degree"), ["u"], ["v", "degree"], n_ranges,
+                               pos_col="_rank", distinct_rows=True)
+    pieces = ranked.withColumn("chunk", F.expr(f"(_rank - 1) div {c}"))
+    big = pieces.groupBy("v", "degree", "chunk").agg(F.sort_array(F.collect_list("u")).alias("neighbours"))
+    return small.unionByName(big).select("v", "degree", "chunk", "neighbours")
 
 
 def orient(edges: DataFrame, by: str = "degree") -> DataFrame:

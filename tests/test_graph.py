@@ -78,13 +78,16 @@ def test_triangle_invariances(spark):
     assert len(_tri(spark, relabeled)) == base
 
 
-def test_adjacency_chunks(spark):
-    pairs = _random_graph(3, n=30, m=200)
+@pytest.mark.parametrize("chunk", [4, 12])
+def test_adjacency_chunks(spark, chunk):
+    """Hub vertices (degree > chunk) are cut by rank, the others come whole as chunk 0."""
+    pairs = _random_graph(3, n=30, m=200) + [(100 + i, i) for i in range(10)]   # some degree-1 vertices
     e = graph.canonical_edges(_edges(spark, pairs))
-    adj = graph.adjacency(e, chunk_size=4, n_ranges=3).collect()
+    adj = graph.adjacency(e, chunk_size=chunk, n_ranges=3).collect()
+    assert {r.degree > chunk for r in adj} == {True, False}
     full = {}
     for r in adj:
-        assert len(r.neighbours) <= 4
+        assert len(r.neighbours) <= chunk
         full.setdefault(r.v, {})[r.chunk] = list(r.neighbours)
     expected = {}
     for a, b in pairs:
