@@ -35,3 +35,14 @@ def test_xor_micro(spark):
     assert [r.checksum for r in range_xor_checksum(df, "content", 1, 2, keep=["id"]).collect()] == [6]
     assert [r.checksum for r in range_xor_checksum(df, "content", 3, 5, keep=["id"]).collect()] == [8]
     assert range_xor_checksum(df, "content", 9, 5, keep=["id"]).collect() == []
+
+
+def test_read_lines_many_paths_and_directories(spark, tmp_path):
+    d = tmp_path / "dir"
+    d.mkdir()
+    (d / "a.txt").write_text("a1\na2\n")          # final newline: no extra empty line
+    (d / "b.txt").write_text("b1\n\nb3")          # empty middle line kept, no final newline
+    single = tmp_path / "c.txt"
+    single.write_text("c1\r\nc2\r\n")
+    lines = sorted(r.value for r in src.read_lines(spark, [str(d), str(single)]).collect())
+    assert lines == ["", "a1", "a2", "b1", "b3", "c1", "c2"]
