@@ -7,8 +7,8 @@ partition, and stays balanced when one value holds a large share of the rows:
 1. identical rows are collapsed to ``(row, count)`` by a partial + final aggregate, and a
    value repeated more than ``chunk_rows`` times is split into chunks of at most that
    many rows, so a hot value becomes many small, orderable pieces;
-2. range bounds are weighted quantiles of a bounded sample (the ``R * sample_per_range``
-   chunk rows with the smallest hash - a TakeOrdered with a fixed size);
+2. range bounds are weighted quantiles of a bounded, size-proportional sample (about
+   ``R * sample_per_range`` chunk rows picked by hash, every chunk of a hot value kept);
 3. each chunk row finds its range by binary search over the bound array (a scalar
    subquery of at most R-1 structs) - deterministic, so a lost task recomputes the same
    range id;
@@ -33,6 +33,7 @@ DEFAULT_SAMPLE_PER_RANGE = 64
 # Upper bound on the rows that reach the single task computing the bounds (as Spark's own
 # range partitioner caps its sample); with very many ranges each gets fewer sample rows.
 MAX_SAMPLE_ROWS = 1_000_000
+HASH_SPACE = 1 << 30
 
 
 def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
@@ -74,15 +75,26 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
                     F.col("_cnt") - F.col("_chunk") * chunk_rows).alias("_w"))
     sort_key = F.struct(*[F.col(c) for c in key_cols], F.col("_chunk"))
 
-    # Weighted quantile bounds from a bounded, deterministic sample.
-    sample = (chunks.select(sort_key.alias("_key"), "_w",
-                            F.xxhash64(*key_cols, "_chunk").alias("_h"))
-              .orderBy("_h", "_key").limit(min(r * sample_per_range, MAX_SAMPLE_ROWS)))
+    # Weighted quantile bounds from a bounded, deterministic, size-proportional sample: a
+    # chunk row of weight w is kept with probability p = min(1, target * w / W) (its hash
+    # decides; W, the total weight, is a scalar subquery, so this stays lazy) and counts
+    # w / p in the quantiles. The chunks of a hot value are all kept, so the bounds can cut
+    # it; about `target` rows survive in all, so the TakeOrdered that trims them never
+    # gathers more than that from the partitions (a plain orderBy(hash).limit would send
+    # every partition's top `target` rows to one task).
+    target = min(r * sample_per_range, MAX_SAMPLE_ROWS)
+    total_w = chunks.agg(F.sum("_w")).scalar()
+    h = F.pmod(F.xxhash64(*key_cols, "_chunk"), F.lit(HASH_SPACE))
+    p_keep = F.least(F.lit(1.0), F.lit(float(target)) * F.col("_w") / total_w)
+    sample = (chunks.select(sort_key.alias("_key"), "_w", h.alias("_h"), p_keep.alias("_p"))
+              .where(F.col("_h") < F.col("_p") * HASH_SPACE)
+              .orderBy("_h", "_key").limit(target))
     cum = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy(F.lit(0))
+    sw = F.col("_w") / F.col("_p")
     quant = sample.select(
         "_key",
-        F.floor((F.sum("_w").over(cum) - F.col("_w")) * r / F.sum("_w").over(total)).alias("_q"))
+        F.floor((F.sum(sw).over(cum) - sw) * r / F.sum(sw).over(total)).alias("_q"))
     bounds = (quant.where(F.col("_q") < r - 1).groupBy("_q").agg(F.max("_key").alias("_b"))
               .select(F.sort_array(F.collect_list("_b")).alias("_bounds")))
 

@@ -17,9 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-SPREAD_BYTES_PER_TASK = 256 << 10
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread ``df`` over ``min_partitions`` tasks only if it has fewer partitions.
 
@@ -29,10 +26,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cores, so for them this is a no-op and adds no exchange.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    # Never more than one task per 256 KB of input: a small table on a large cluster must not
-    # fan out into thousands of near-empty tasks.
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    target = max(1, min(target, -(-size // SPREAD_BYTES_PER_TASK)))
     if df.rdd.getNumPartitions() >= target:
         return df
     # Hash of the (already pruned) row: deterministic on retry without the local sort a
