@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 LINE_BREAK = r"\r\n|\r|\n"
 # Java's \s class: space, TAB, LF, VT, FF, CR.
 JAVA_WS = r"[ \t\n\x0B\f\r]+"
-# A sentence ends at a token whose last character is one of . ! ? (lines hold no CR/LF).
-SENTENCE_END = r"[.!?](?:[ \t\f]+|\z)"
-# Characters kept in a bigram word: lower-case ASCII letters and digits.
-NOT_WORD_CHAR_OR_WS = r"[^a-z0-9 \t\f\n]"
+# A sentence ends at a token whose last character is one of . ! ? - the token is followed
+# by tokenizer whitespace, a line break or the end of the value.
+SENTENCE_END = r"[.!?](?:[ \t\f]+|(?=[\r\n])|\z)"
+# Characters kept in a bigram word: lower-case ASCII letters and digits (plus the
+# whitespace and line breaks that separate words and lines).
+NOT_WORD_CHAR_OR_WS = r"[^a-z0-9 \t\f\n\r]"
 # Delimiters of the default string tokenizer (space, TAB, LF, CR, FF) left in a line.
 LINE_WS = r"[ \t\f]+"
 # Every word that has a successor, captured together with it (overlapping matches).
@@ -44,15 +46,17 @@ def split_lines(text) -> Column:
 
 
 def line_bigrams(line) -> Column:
-    """All bigrams of one line, in order, as an array (four regex passes, no lambdas).
-
-    A line holds no CR or LF, so LF can mark sentence ends: (1) lower-case; (2) every
-    ``. ! ?`` that ends a raw token becomes LF - this must look at the raw token, before
-    any cleaning; (3) every char but ``[a-z0-9]``, the tokenizer whitespace and LF is
-    deleted, which cleans all tokens at once and makes pure-punctuation tokens vanish
-    (their neighbours still pair up); (4) runs of whitespace become one space; (5) each
-    word followed by a space and a word yields that pair. LF never matches the space in
-    the pair pattern, so no bigram crosses a sentence end.
+    """All bigrams of a line - or of a whole text, line by line - in order, as an array.
+
+    Four regex passes, no lambdas. Line breaks and sentence ends are hard breaks, so a
+    text gives exactly the bigrams of its lines and the caller need not split it:
+    (1) lower-case; (2) every ``. ! ?`` that ends a raw token becomes LF - this must look
+    at the raw token, before any cleaning; (3) every char but ``[a-z0-9]``, the tokenizer
+    whitespace and CR/LF is deleted, which cleans all tokens at once and makes
+    pure-punctuation tokens vanish (their neighbours still pair up); (4) runs of
+    space/TAB/FF become one space; (5) each word followed by one space and a word yields
+    that pair. CR and LF never match the space in the pair pattern, so no bigram crosses a
+    sentence end or a line.
     """
     marked = F.regexp_replace(F.lower(_col(line)), SENTENCE_END, "\n")
     cleaned = F.regexp_replace(marked, NOT_WORD_CHAR_OR_WS, "")

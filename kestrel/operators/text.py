@@ -25,6 +25,7 @@ def bigrams(lines: DataFrame, line_col: str = "line", out_col: str = "bigram") -
     Per line: lower-case, cut into sentences after tokens ending in ``. ! ?``, clean each
     token to ``[a-z0-9]`` and drop empty ones, then pair consecutive words. Bigrams never
     cross a line or a sentence end; a pure-punctuation token neither emits nor breaks.
+    A value holding several lines (a whole document) gives the bigrams of its lines.
     """
     return lines.select(F.explode(line_bigrams(line_col)).alias(out_col))
 

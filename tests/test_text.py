@@ -121,3 +121,12 @@ def test_counts_and_no_python_eval(spark):
     assert wc == {"a": 2, "b.": 1, "A": 1, "B": 1, "c": 1, "b": 1, "": 1}
     plan = plan_string(text.bigram_count(lines))
     assert "EvalPython" not in plan and "HashAggregate" in plan
+
+
+def test_text_bigrams_equal_per_line(spark):
+    """A whole multi-line text gives exactly the bigrams of its lines, in order."""
+    texts = _random_lines(13, 1500, alphabet=ALPHABET + ["\n", "\r", "\r\n", ".\n", "a\r"], max_len=20)
+    got = _per_row(spark, texts, line_bigrams)
+    for i, t in enumerate(texts):
+        expected = [b for line in reader_lines(t) for b in bigrams_state_machine(line)] if t else []
+        assert got[i] == expected, repr(t)
