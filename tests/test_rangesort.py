@@ -178,3 +178,14 @@ def test_positions_with_null_keys(spark):
 
     assert sorted(r.pos for r in out) == list(range(1, len(rows) + 1))
     assert got == sorted(rows, key=key)
+
+
+def test_empty_and_tiny_inputs(spark):
+    empty = spark.createDataFrame([], "k string, v string")
+    assert rangesort.total_order_sort(empty, ["k"], n_ranges=3).collect() == []
+    hist = spark.createDataFrame([("a", 1), ("b", 2)], "ch string, n bigint")   # total < buckets: step 0
+    got, _ = _spark_buckets(spark, [("a", 1), ("b", 2)])
+    assert got == fold_buckets([("a", 1), ("b", 2)])
+    b = rangesort.equi_depth_boundaries(hist.where("n > 5"), 10)          # empty histogram
+    keys = spark.createDataFrame([("x",)], "k string")
+    assert [r.bucket for r in rangesort.range_bucket_assign(keys, "k", b).collect()] == [9]
