@@ -47,13 +47,16 @@ def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
 def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int | None = None,
                       pos_col: str = "pos", chunk_rows: int = DEFAULT_CHUNK_ROWS,
                       sample_per_range: int = DEFAULT_SAMPLE_PER_RANGE,
-                      distinct_rows: bool = False) -> DataFrame:
+                      distinct_rows: bool = False, max_groups: int | None = None) -> DataFrame:
     """Every row of ``df`` with its 1-based position in the order ``group_cols + order_cols``.
 
     With ``group_cols`` the position restarts at 1 in each group. Rows equal in all
     columns are interchangeable; any other tie is broken by the remaining columns.
     ``distinct_rows=True`` declares that no two rows are equal (e.g. a canonical edge
-    list), which skips the aggregate that collapses duplicates.
+    list), which skips the aggregate that collapses duplicates. ``max_groups`` declares
+    an upper bound on the number of groups (e.g. equi-depth buckets); the group starts
+    are then one broadcast row per group, otherwise they come from range-local windows
+    plus a broadcast of at most 2R range-end groups.
     """
     order_cols, group_cols = list(order_cols), list(group_cols)
     cols = df.columns
@@ -127,10 +130,31 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
     within = Window.partitionBy("_range").orderBy(*key_cols)
     out = rows.select("_range", *cols, (F.col("_base") + F.row_number().over(within)).alias(pos_col))
-    if group_cols:
+    if group_cols and max_groups is not None:
+        # At most max_groups groups: their first positions are a table of that many rows.
         first = out.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"))
-        out = (out.join(first, on=group_cols, how="inner")
+        out = (out.join(F.broadcast(first), on=group_cols, how="inner")
                .select("_range", *cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col)))
+    elif group_cols:
+        # Group start = position of the group's first row. Inside a range it is a window over
+        # (range, group), which the range partitioning and sort already satisfy (no shuffle).
+        # Only a range's first or last group can continue across ranges, so the true start
+        # of such a group is the smallest local start among those range-end groups: at most
+        # 2R rows, broadcast back by group key.
+        by_group = Window.partitionBy("_range", *group_cols)
+        local = out.withColumn("_lfirst", F.min(pos_col).over(by_group))
+        end = F.struct(*[F.col(c) for c in group_cols], F.col("_lfirst").alias("_s"))
+        per_range = local.groupBy("_range").agg(F.min(end).alias("_lo"), F.max(end).alias("_hi"))
+        spans = (per_range.select(F.explode(F.array("_lo", "_hi")).alias("_e"))
+                 .select(*[F.col("_e")[c].alias(f"_g_{c}") for c in group_cols], F.col("_e._s").alias("_s"))
+                 .groupBy(*[f"_g_{c}" for c in group_cols]).agg(F.min("_s").alias("_gstart")))
+        cond = None
+        for c in group_cols:
+            eq = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+            cond = eq if cond is None else cond & eq
+        start = F.least(F.col("_gstart"), F.col("_lfirst"))   # least() skips a null _gstart
+        out = (local.join(F.broadcast(spans), cond, how="left")
+               .select("_range", *cols, (F.col(pos_col) - start + 1).alias(pos_col)))
     # The explicit sort keeps each range sorted even when a caller prunes the position
     # (and with it the window); otherwise the window's order (_range, keys) satisfies it
     # and Spark drops it as redundant.
@@ -224,7 +248,8 @@ def custom_range_sort(df: DataFrame, key_col: str, boundaries: DataFrame, n_buck
     """
     tagged = range_bucket_assign(df, key_col, boundaries, n_buckets, prefix_len)
     others = [c for c in df.columns if c != key_col]
-    return ordered_positions(tagged, [key_col] + others, ["bucket"], n_ranges, pos_col, **kw)
+    return ordered_positions(tagged, [key_col] + others, ["bucket"], n_ranges, pos_col,
+                             max_groups=n_buckets, **kw)
 
 
 def route_by_bucket(df: DataFrame, n_buckets: int, bucket_col: str = "bucket", order_cols=()) -> DataFrame:

@@ -189,3 +189,15 @@ def test_empty_and_tiny_inputs(spark):
     b = rangesort.equi_depth_boundaries(hist.where("n > 5"), 10)          # empty histogram
     keys = spark.createDataFrame([("x",)], "k string")
     assert [r.bucket for r in rangesort.range_bucket_assign(keys, "k", b).collect()] == [9]
+
+
+def test_group_positions_with_group_bound(spark):
+    rows = _skewed_rows(seed=5, n=1200)
+    df = spark.createDataFrame([(k[0], k, v) for k, v in rows], "g string, k string, v string")
+    out = rangesort.ordered_positions(df, ["k", "v"], ["g"], n_ranges=4, chunk_rows=20, max_groups=20).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r.g, []).append(r)
+    for g, rs in groups.items():
+        assert [(r.k, r.v) for r in sorted(rs, key=lambda r: r.pos)] == sorted((r.k, r.v) for r in rs)
+        assert sorted(r.pos for r in rs) == list(range(1, len(rs) + 1))
