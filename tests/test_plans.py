@@ -57,3 +57,11 @@ def test_positions_keep_range_partitioning(spark, name):
     plan = plan_string(entry_mod.queries()[name](spark, SF_SMALL))
     assert "shufflepartitionidpassthrough" in plan
     assert not re.search(r"hashpartitioning\(_range", plan), name
+
+
+def test_sort_sample_is_filtered_before_take_ordered(spark):
+    """The bounds sample is cut by a hash threshold before the TakeOrdered that trims it, so
+    no partition ships its own top-`target` rows to the single task."""
+    plan = plan_string(entry_mod.queries()["total_order_sort"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in plan
+    assert re.search(r"Condition : [^\n]*pmod\(xxhash64", plan), "sample not pre-filtered"
