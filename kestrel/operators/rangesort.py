@@ -138,15 +138,22 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     elif group_cols:
         # Group start = position of the group's first row. Inside a range it is a window over
         # (range, group), which the range partitioning and sort already satisfy (no shuffle).
-        # Only a range's first or last group can continue across ranges, so the true start
-        # of such a group is the smallest local start among those range-end groups: at most
-        # 2R rows, broadcast back by group key.
+        # Only a range's first or last group can continue across ranges; their starts come
+        # from hash aggregates over the range exchange (no second sort): the first group of
+        # range r starts at base_r + 1, the last at base_r + total_r - rows_of_it_in_r + 1.
+        # The true start of a group is the smallest of these (at most 2R rows, broadcast).
         by_group = Window.partitionBy("_range", *group_cols)
         local = out.withColumn("_lfirst", F.min(pos_col).over(by_group))
-        end = F.struct(*[F.col(c) for c in group_cols], F.col("_lfirst").alias("_s"))
-        per_range = local.groupBy("_range").agg(F.min(end).alias("_lo"), F.max(end).alias("_hi"))
-        spans = (per_range.select(F.explode(F.array("_lo", "_hi")).alias("_e"))
-                 .select(*[F.col("_e")[c].alias(f"_g_{c}") for c in group_cols], F.col("_e._s").alias("_s"))
+        gkey = F.struct(*[F.col(c) for c in group_cols])
+        ends = parts.groupBy("_range").agg(F.min(gkey).alias("_gmin"), F.max(gkey).alias("_gmax"),
+                                           F.sum("_w").alias("_rt"), F.first("_base").alias("_rb"))
+        last_rows = (parts.join(F.broadcast(ends.select("_range", "_gmax")), on="_range", how="inner")
+                     .where(gkey == F.col("_gmax")).groupBy("_range").agg(F.sum("_w").alias("_lc")))
+        starts = ends.join(last_rows, on="_range", how="inner").select(F.explode(F.array(
+            F.struct(F.col("_gmin").alias("g"), (F.col("_rb") + 1).alias("s")),
+            F.struct(F.col("_gmax").alias("g"), (F.col("_rb") + F.col("_rt") - F.col("_lc") + 1).alias("s")),
+        )).alias("_e"))
+        spans = (starts.select(*[F.col("_e.g")[c].alias(f"_g_{c}") for c in group_cols], F.col("_e.s").alias("_s"))
                  .groupBy(*[f"_g_{c}" for c in group_cols]).agg(F.min("_s").alias("_gstart")))
         cond = None
         for c in group_cols:
