@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from kestrel.llm import mixing
+from kestrel.llm import decontam, mixing, ngram_join
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_decontamination": decontam.op2_decontamination,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
 }
 
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
+    "op2_decontamination": decontam.OP2_SQL,
 }
