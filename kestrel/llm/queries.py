@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, mixing, ngram_join
+from kestrel.llm import decontam, mixing, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_decontamination": decontam.op2_decontamination,
+    "op5_quality": quality.op5_quality,
     "op7_ngram_join": ngram_join.op7_ngram_join,
+    "op9_warc": warc.op9_warc,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op2_decontamination": decontam.OP2_SQL,
+    "op9_warc": warc.OP9_SQL,
 }
