@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, mixing, ngram_join, quality, toxicity, warc
+from kestrel.llm import decontam, embed_dedup, html_main, mixing, ngram_join, pii, quality, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_decontamination": decontam.op2_decontamination,
+    "op3_embedding_dedup": embed_dedup.op3_embedding_dedup,
+    "op4_html_extraction": html_main.op4_html_extraction,
     "op5_quality": quality.op5_quality,
     "op7_ngram_join": ngram_join.op7_ngram_join,
+    "op8_pii": pii.op8_pii,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
 }
