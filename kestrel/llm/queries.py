@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, embed_dedup, html_main, mixing, ngram_join, pii, quality, toxicity, warc
+from kestrel.llm import decontam, embed_dedup, html_main, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_embedding_dedup": embed_dedup.op3_embedding_dedup,
     "op4_html_extraction": html_main.op4_html_extraction,
     "op5_quality": quality.op5_quality,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_pii": pii.op8_pii,
     "op9_warc": warc.op9_warc,
