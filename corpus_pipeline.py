@@ -1,10 +1,93 @@
-"""The corpus pipeline over ``documents`` (stages are added as their operators are)."""
+"""The corpus pipeline over ``documents``: quality, near-duplicates, decontamination, PII, mixing.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
+again as the next stage's ``docs``; all but the last return the columns of ``documents``.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    from kestrel.llm.common import table
+import uuid
 
-    return table(spark, sf_dir, "documents")
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from kestrel.llm import decontam, mixing, ngram_join, pii, quality
+from kestrel.llm.common import cut, drop_folder, shared_dir, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.score_quality(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("keep").select(*COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one with the smallest id (any one
+    of equal rows). An id with several texts goes if one of them does; null ids stay."""
+    classes = ngram_join.similarity_classes(docs)
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.select(*COLUMNS, F.xxhash64("text").alias("_k")).join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    once = Window.partitionBy("doc_id", "_k").orderBy("lang", "source", "n_chars")
+    return (kept.withColumn("_r", F.row_number().over(once)).where(F.col("doc_id").isNull() | (F.col("_r") == 1)).select(*COLUMNS))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("text_key").distinct()
+    return docs.withColumn("text_key", F.xxhash64("text")).join(found, "text_key", "left_anti").select(*COLUMNS)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets; ``n_chars`` follows the new text."""
+    found = (pii.find_spans(docs).where(F.size("spans") > 0).select(F.col("text_key").alias("_k"), "spans")
+             .dropDuplicates(["_k"]))    # spans depend on the text alone
+    d = docs.select(*COLUMNS, F.xxhash64("text").alias("_t")).join(found, F.col("_t") == F.col("_k"), "left")
+    text = F.when(F.col("spans").isNotNull(), pii.mask(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    masked = d.select("doc_id", text.alias("text"), "lang", "source", "n_chars", F.col("spans").isNotNull().alias("_new"))
+    return masked.select("doc_id", "text", "lang", "source",
+                         F.when(F.col("_new"), F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: one row per drawn piece with its shard, its place there and its text.
+
+    The plan is made on narrow rows; the texts are joined to the pieces once.
+    """
+    d = docs.select(*COLUMNS, F.xxhash64("text").alias("text_key"))
+    plan = mixing.mix_plan(d, keep=["text_key"])
+    pieces = mixing.pieces(plan).select("doc_id", "text_key", "shard", "place", "epoch", "first_word", "words", "size", "target")
+    keyed = pieces.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_k")
+    rows = d.join(keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_k")))
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    part = F.array_join(F.slice(words, (F.col("first_word") + 1).cast("int"), F.col("words").cast("int")), " ")
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(part)
+    return rows.select("shard", "place", "doc_id", "epoch", "first_word", F.col("words").alias("n_words"), text.alias("text"), "lang", "source",
+                       F.col("target").alias("source_target"))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("PII", pii_stage),
+    ("mixing sources to target weights", mixing_stage),
+]
+
+ORACLE_SQL = None  # the classifiers are not SQL; the stages are tested against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``. Intermediate tables live in the shared folder until the result is
+    written there itself, so the call is eager."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            out = cut(out)
+            drop_folder(spark, folder)
+            return out
+        out.write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+    return docs

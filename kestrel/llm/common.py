@@ -38,3 +38,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

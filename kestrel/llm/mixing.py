@@ -223,17 +223,18 @@ def mix_plan(docs: DataFrame, seed: int = 7, block_words: int = 256, depth: int
                        "pieces", *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
-def draw_mix(plan: DataFrame, seed: int = 7, n_partitions: int | None = None) -> DataFrame:
-    """The mix itself: one row per drawn piece, by shard, in a pseudo-random order inside it.
-
-    ``plan`` is ``mix_plan(..., keep=[...])``. -> shard, place (order hash), epoch, first_word,
-    words and the plan's columns.
-    """
+def pieces(plan: DataFrame, seed: int = 7) -> DataFrame:
+    """One row per drawn piece: shard, epoch, first_word, words, place (its order inside the
+    shard, pseudo-random) and the plan's columns."""
     rest = [c for c in plan.columns if c != "pieces"]
     rows = plan.select(*rest, F.explode("pieces").alias("_p")).select("_p.*", *rest)
-    rows = rows.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "epoch", "first_word"))
-    # a shard may be larger than a task: it is dealt over hash ranges, each sorted by itself
-    key = ["shard", "place"]
+    return rows.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "epoch", "first_word"))
+
+
+def draw_mix(plan: DataFrame, seed: int = 7, n_partitions: int | None = None) -> DataFrame:
+    """The mix in order: ``pieces`` by shard and place. A shard may be larger than a task: it is
+    dealt over ranges of places, each sorted by itself."""
+    rows, key = pieces(plan, seed), ["shard", "place"]
     rows = rows.repartitionByRange(n_partitions, *key) if n_partitions else rows.repartitionByRange(*key)
     return rows.sortWithinPartitions(*key)
 

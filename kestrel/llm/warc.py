@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, shared_dir
+from kestrel.llm.common import cut, drop_folder, shared_dir
 
 SEGMENT_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 14
@@ -203,11 +203,6 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(grouped.mapInArrow(_reassemble, WHOLE))
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def round_trip(pages: DataFrame, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to per page, from the archives.
 
