@@ -123,7 +123,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
 
     # Items per document: the windows of one passage mostly have the same items, so the
     # distinct sets of items are taken before they are opened.
-    items = (hits.select(*key, "cls").distinct()
+    # The filtered count keeps this branch on the distinct hits, so both branches read one exchange.
+    items = (hits.groupBy(*key, "cls").agg(F.count("at").alias("_n")).where("_n > 0")
              .join(wins.select("cls", "items").distinct(), "cls", "inner")
              .select(*key, F.explode("items").alias("item")).distinct())
     words = d.select(*key, F.coalesce(F.regexp_count("text", F.lit(WORDS_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
