@@ -8,21 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Up to this many bounds a linear scan is faster than bisection (measured at 8 bounds: 2x).
-LINEAR_MAX = 32
-
-
 def count_below(sorted_arr: Column, key: Column, max_len: int, inclusive: bool = False) -> Column:
     """Number of elements of ``sorted_arr`` that are ``< key`` (``<= key`` if inclusive).
 
     Bisection in ``ceil(log2(max_len + 1)) + 1`` steps of ``aggregate``: O(log n) compares
-    per row instead of a nested-loop join against every bound; up to ``LINEAR_MAX`` bounds
-    a linear count is cheaper. ``max_len`` is an upper bound on the array size (the number
-    of ranges asked for).
+    per row instead of a nested-loop join against every bound. ``max_len`` is an upper bound
+    on the array size (the number of ranges asked for).
     """
-    if max_len <= LINEAR_MAX:
-        # Few bounds: one pass of compares beats the per-step struct updates of bisection.
-        return F.size(F.filter(sorted_arr, lambda b: (b <= key) if inclusive else (b < key)))
     steps = max(1, math.ceil(math.log2(max(1, max_len) + 1)) + 1)
     init = F.struct(F.lit(0).alias("lo"), F.size(sorted_arr).alias("hi"))
 

@@ -43,24 +43,31 @@ def degrees(edges: DataFrame) -> DataFrame:
     return symmetrize(edges).groupBy("v").agg(F.count(F.lit(1)).alias("degree"))
 
 
-def adjacency(edges: DataFrame, chunk_size: int = 1024, n_ranges: int | None = None) -> DataFrame:
+# A vertex up to this degree has its whole list gathered in one row before it is cut.
+HUB_DEGREE = 1 << 20
+
+
+def adjacency(edges: DataFrame, chunk_size: int = 1024, n_ranges: int | None = None,
+              hub_degree: int = HUB_DEGREE) -> DataFrame:
     """v, degree, chunk, neighbours: sorted neighbour lists in pieces of <= chunk_size.
 
-    A vertex of degree <= chunk_size (usually almost all) gets its whole list as chunk 0
-    from one bounded ``collect_list``. Only the neighbours of larger (hub) vertices are
-    ranked with ``ordered_positions`` and cut by rank, so no task or row ever holds more
-    than ``chunk_size`` neighbours of a hub. ``edges`` must be canonical
-    (``canonical_edges``): then every (v, u) is distinct.
+    One shuffle by vertex gathers, sorts and cuts the lists of at most ``hub_degree``
+    neighbours (8 MB). Larger vertices - at most 2 m / hub_degree of them - are known from their degree
+    counts; their neighbours are ranked by range instead, so no task holds a hub's list.
+    ``edges`` must be canonical (``canonical_edges``): then every (v, u) is distinct.
     """
     c = int(chunk_size)
-    sym = symmetrize(edges).join(degrees(edges), on="v", how="inner")
-    small = (sym.where(F.col("degree") <= c).groupBy("v", "degree")
-             .agg(F.lit(0).cast("bigint").alias("chunk"), F.sort_array(F.collect_list("u")).alias("neighbours")))
-    hubs = sym.where(F.col("degree") > c)
-    ranked = ordered_positions(hubs.select("v", "u", "degree"), ["u"], ["v", "degree"], n_ranges,
-                               pos_col="_rank", distinct_rows=True)
-    pieces = ranked.withColumn("chunk", F.expr(f"(_rank - 1) div {c}"))
-    big = pieces.groupBy("v", "degree", "chunk").agg(F.sort_array(F.collect_list("u")).alias("neighbours"))
+    sym = symmetrize(edges)
+    hubs = degrees(edges).where(F.col("degree") > hub_degree)
+    lists = (sym.join(hubs.select("v"), "v", "left_anti").groupBy("v").agg(F.sort_array(F.collect_list("u")).alias("_all"))
+             .withColumn("degree", F.size("_all").cast("bigint")))
+    cut = F.transform(F.sequence(F.lit(0), F.expr(f"cast((degree - 1) div {c} as int)")),
+                      lambda i: F.struct(i.cast("bigint").alias("chunk"), F.slice("_all", i * c + 1, F.lit(c)).alias("neighbours")))
+    small = lists.select("v", "degree", F.explode(cut).alias("_c")).select("v", "degree", "_c.*")
+    ranked = ordered_positions(sym.join(hubs, "v"), ["u"], ["v", "degree"], n_ranges, pos_col="_rank",
+                             repeated_rows=False)
+    big = (ranked.withColumn("chunk", F.expr(f"(_rank - 1) div {c}")).groupBy("v", "degree", "chunk")
+           .agg(F.sort_array(F.collect_list("u")).alias("neighbours")))
     return small.unionByName(big).select("v", "degree", "chunk", "neighbours")
 
 
@@ -90,12 +97,38 @@ def _rank_less(d1, id1, d2, id2):
     return (d1 < d2) | ((d1 == d2) & (id1 < id2))
 
 
-def triangles(edges: DataFrame, by: str = "degree") -> DataFrame:
+# Out-neighbours of one vertex that meet in one join key; larger tails are cut into blocks.
+TAIL_BLOCK = 4096
+
+
+def tail_blocks(oriented: DataFrame, block: int = TAIL_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the wedge join: (p, i, j, q1, d1) and (p, i, j, q2, d2).
+
+    The out-neighbours of a tail are cut by hash into blocks of about ``block`` and every
+    pair of blocks (i <= j) is a join key of its own, so a heavy tail is many small keys. Tails up to
+    ``block`` have the one key (0, 0).
+    """
+    heavy = (oriented.groupBy("x").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+             .select(F.col("x").alias("_x"), F.ceil(F.col("_n") / block).cast("int").alias("_nb")))
+    o = (oriented.join(heavy, F.col("x") == F.col("_x"), "left")
+         .select(F.col("x").alias("p"), F.col("y").alias("q"), F.col("dy").alias("d"), F.coalesce("_nb", F.lit(1)).alias("_nb")))
+    o = o.withColumn("_b", F.when(F.col("_nb") > 1, F.pmod(F.xxhash64("q"), F.col("_nb")).cast("int")).otherwise(F.lit(0)))
+    left = o.select("p", F.col("_b").alias("i"), F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("j"),
+                    F.col("q").alias("q1"), F.col("d").alias("d1"))
+    right = o.select("p", F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("i"), F.col("_b").alias("j"),
+                     F.col("q").alias("q2"), F.col("d").alias("d2"))
+    return left, right
+
+
+def triangles(edges: DataFrame, by: str = "degree", block: int = TAIL_BLOCK) -> DataFrame:
     """a, b, c (a < b < c by id): every triangle of the canonical edge list once."""
     o = orient(edges, by)
-    left = o.select(F.col("x").alias("p"), F.col("y").alias("q1"), F.col("dy").alias("d1"))
-    right = o.select(F.col("x").alias("p"), F.col("y").alias("q2"), F.col("dy").alias("d2"))
-    wedges = left.join(right, "p").where(_rank_less(F.col("d1"), F.col("q1"), F.col("d2"), F.col("q2")))
+    left, right = tail_blocks(o, block)
+    up = _rank_less(F.col("d1"), F.col("q1"), F.col("d2"), F.col("q2"))
+    # inside a block each pair is met twice and kept once; between blocks it is met once
+    wedges = left.join(right, ["p", "i", "j"]).where((F.col("i") < F.col("j")) | up)
+    wedges = wedges.select("p", F.when(up, F.col("q1")).otherwise(F.col("q2")).alias("q1"),
+                           F.when(up, F.col("q2")).otherwise(F.col("q1")).alias("q2"))
     close = o.select(F.col("x").alias("q1"), F.col("y").alias("q2"))
     tri = wedges.join(close, ["q1", "q2"], "left_semi")
     p, q1, q2 = F.col("p"), F.col("q1"), F.col("q2")
@@ -109,19 +142,29 @@ def triangle_count(tris: DataFrame) -> DataFrame:
     return n.select(F.concat(F.lit(TRIANGLE_LABEL), F.col("n").cast("string")).alias("label"), "n")
 
 
+def wedges_of(degree: str):
+    """degree * (degree - 1) / 2 in whole numbers (one of the factors is even)."""
+    d = F.col(degree).cast("bigint")
+    even = d % 2 == 0
+    half = F.when(even, F.expr(f"cast({degree} as bigint) div 2")).otherwise(F.expr(f"(cast({degree} as bigint) - 1) div 2"))
+    other = F.when(even, d - 1).otherwise(d)
+    return (half.cast("decimal(19,0)") * other.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def wedge_closure_histogram(edges: DataFrame, by: str = "degree") -> DataFrame:
     """wedges, n_triples: triples having 1 wedge (open paths) and 3 wedges (triangles).
 
     Both numbers come from aggregates (no wedge list): all wedges = sum C(deg, 2), and the
     triangle count from ``triangles``. Empty classes are left out.
     """
-    w = degrees(edges).select(F.lit("w").alias("_k"),
-                              (F.col("degree") * (F.col("degree") - 1) / 2).cast("bigint").alias("_x"))
-    t = triangles(edges, by).select(F.lit("t").alias("_k"), F.lit(1).cast("bigint").alias("_x"))
+    whole = "decimal(38,0)"
+    w = degrees(edges).select(F.lit("w").alias("_k"), wedges_of("degree").alias("_x"))
+    t = triangles(edges, by).select(F.lit("t").alias("_k"), F.lit(1).cast(whole).alias("_x"))
+    zero = F.lit(0).cast(whole)
     totals = w.unionByName(t).agg(
-        F.coalesce(F.sum(F.when(F.col("_k") == "w", F.col("_x"))), F.lit(0).cast("bigint")).alias("_w"),
-        F.coalesce(F.sum(F.when(F.col("_k") == "t", F.col("_x"))), F.lit(0).cast("bigint")).alias("_t"))
+        F.coalesce(F.sum(F.when(F.col("_k") == "w", F.col("_x"))), zero).cast(whole).alias("_w"),
+        F.coalesce(F.sum(F.when(F.col("_k") == "t", F.col("_x"))), zero).cast(whole).alias("_t"))
     rows = totals.select(F.explode(F.array(
-        F.struct(F.lit(1).cast("bigint").alias("wedges"), (F.col("_w") - 3 * F.col("_t")).alias("n_triples")),
-        F.struct(F.lit(3).cast("bigint").alias("wedges"), F.col("_t").alias("n_triples")))).alias("_r"))
+        F.struct(F.lit(1).cast("bigint").alias("wedges"), (F.col("_w") - 3 * F.col("_t")).cast("bigint").alias("n_triples")),
+        F.struct(F.lit(3).cast("bigint").alias("wedges"), F.col("_t").cast("bigint").alias("n_triples")))).alias("_r"))
     return rows.select("_r.wedges", "_r.n_triples").where(F.col("n_triples") > 0)

@@ -1,20 +1,20 @@
 """Range partitioning and total orders: global positions, equi-depth boundaries, bucket sorts.
 
-``ordered_positions`` is the core: a total order with a global position per row that
-never puts more than one range into a task, never windows over the whole data in one
-partition, and stays balanced when one value holds a large share of the rows:
-
-1. identical rows are collapsed to ``(row, count)`` by a partial + final aggregate, and a
-   value repeated more than ``chunk_rows`` times is split into chunks of at most that
-   many rows, so a hot value becomes many small, orderable pieces;
-2. range bounds are weighted quantiles of a bounded, size-proportional sample (about
-   ``R * sample_per_range`` chunk rows picked by hash, every chunk of a hot value kept);
-3. each chunk row finds its range by binary search over the bound array (a scalar
-   subquery of at most R-1 structs) - deterministic, so a lost task recomputes the same
-   range id;
-4. ``repartitionById(R)`` puts range r in partition r; per-range totals (R rows,
-   broadcast) give each range's base offset; chunks are expanded back into rows inside
-   their range and a ``row_number`` in key order gives every row its position.
+``range_sort`` is a plain range-partitioned sort (no positions). ``ordered_positions`` adds a
+global position per row without a window over the whole data:
+
+1. range bounds are weighted quantiles of a size-proportional hash sample (about
+   ``R * sample_per_range`` narrow rows: the order and tie-break columns, a 64-bit row hash and a
+   chunk number - not the payload);
+2. each row finds its range by binary search over the bounds (a scalar subquery of at most
+   R-1 such structs) - deterministic, so a lost task recomputes the same range id;
+3. ``repartitionById(R)`` puts range r in partition r (the one shuffle of whole rows);
+   per-range totals (R rows, broadcast) give each range's base offset and a ``row_number``
+   in key order gives every row its position.
+
+Inputs in which equal rows may be a large share are collapsed to (row, count) first and a
+row repeated more than ``chunk_rows`` times is cut into chunks, so a hot value becomes many
+small, orderable pieces and is spread over many ranges.
 
 The result is range-partitioned (partition i holds only keys <= those of partition i+1)
 and sorted within partitions, i.e. a total-order sort that can be written as is.
@@ -30,9 +30,6 @@ from kestrel.functions.text import key_prefix
 
 DEFAULT_CHUNK_ROWS = 1 << 20
 DEFAULT_SAMPLE_PER_RANGE = 64
-# Upper bound on the rows that reach the single task computing the bounds (as Spark's own
-# range partitioner caps its sample); with very many ranges each gets fewer sample rows.
-MAX_SAMPLE_ROWS = 1_000_000
 HASH_SPACE = 1 << 30
 
 
@@ -44,29 +41,31 @@ def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_sort(df: DataFrame, order_cols, n_ranges: int | None = None) -> DataFrame:
+    """Rows in range partitions, sorted within each: a total order without positions."""
+    return df.repartitionByRange(_n_ranges(df, n_ranges), *order_cols).sortWithinPartitions(*order_cols)
+
+
 def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int | None = None,
                       pos_col: str = "pos", chunk_rows: int = DEFAULT_CHUNK_ROWS,
                       sample_per_range: int = DEFAULT_SAMPLE_PER_RANGE,
-                      distinct_rows: bool = False, max_groups: int | None = None) -> DataFrame:
+                      repeated_rows: bool = True, tie_cols=None) -> DataFrame:
     """Every row of ``df`` with its 1-based position in the order ``group_cols + order_cols``.
 
-    With ``group_cols`` the position restarts at 1 in each group. Rows equal in all
-    columns are interchangeable; any other tie is broken by the remaining columns.
-    ``distinct_rows=True`` declares that no two rows are equal (e.g. a canonical edge
-    list), which skips the aggregate that collapses duplicates. ``max_groups`` declares
-    an upper bound on the number of groups (e.g. equi-depth buckets); the group starts
-    are then one broadcast row per group, otherwise they come from range-local windows
-    plus a broadcast of at most 2R range-end groups.
+    With ``group_cols`` the position restarts at 1 in each group (a null group is a group);
+    the groups are few (buckets): one row per group meets in one task. Ties in the order
+    are broken by ``tie_cols`` (default: the remaining columns, in order). The bounds hold these
+    columns, so name short ones, or none, for wide rows: what is still tied goes by a hash of the
+    row, and equal rows are interchangeable. ``repeated_rows=False`` skips the shuffle that collapses equal rows: right
+    for rows with an id, and never wrong, but a hot row then stays in one range.
     """
     order_cols, group_cols = list(order_cols), list(group_cols)
-    cols = df.columns
-    key_cols = group_cols + order_cols + [c for c in cols if c not in group_cols + order_cols]
+    cols, named = df.columns, group_cols + order_cols
+    named = named + [c for c in (cols if tie_cols is None else tie_cols) if c not in named]
+    key_cols = named + [c for c in cols if c not in named]
     r = _n_ranges(df, n_ranges)
 
-    if distinct_rows:
-        chunks = df.select(*key_cols, F.lit(0).cast("bigint").alias("_chunk"),
-                           F.lit(1).cast("bigint").alias("_w"))
-    else:
+    if repeated_rows:
         collapsed = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_cnt"))
         chunks = collapsed.select(
             *key_cols, "_cnt",
@@ -76,96 +75,73 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
             *key_cols, "_chunk",
             F.least(F.lit(chunk_rows).cast("bigint"),
                     F.col("_cnt") - F.col("_chunk") * chunk_rows).alias("_w"))
-    sort_key = F.struct(*[F.col(c) for c in key_cols], F.col("_chunk"))
-
-    # Weighted quantile bounds from a bounded, deterministic, size-proportional sample: a
-    # chunk row of weight w is kept with probability p = min(1, target * w / W) (its hash
-    # decides; W, the total weight, is a scalar subquery, so this stays lazy) and counts
-    # w / p in the quantiles. The chunks of a hot value are all kept, so the bounds can cut
-    # it; about `target` rows survive in all, so the TakeOrdered that trims them never
-    # gathers more than that from the partitions (a plain orderBy(hash).limit would send
-    # every partition's top `target` rows to one task).
-    target = min(r * sample_per_range, MAX_SAMPLE_ROWS)
+    else:
+        chunks = df.select(*key_cols, F.lit(0).cast("bigint").alias("_chunk"),
+                           F.lit(1).cast("bigint").alias("_w"))
+    tie = F.xxhash64(*key_cols)
+    sort_key = F.struct(*[F.col(c) for c in named], tie.alias("_tie"), F.col("_chunk"))
+
+    # A row of weight w is in the sample with probability p = min(1, target * w / W) (its
+    # hash decides; W is a scalar subquery, so this stays lazy) and counts w / p. The chunks of
+    # a hot value are all kept, so the bounds can cut it.
+    target = r * sample_per_range
     total_w = chunks.agg(F.sum("_w")).scalar()
-    h = F.pmod(F.xxhash64(*key_cols, "_chunk"), F.lit(HASH_SPACE))
+    h = F.pmod(F.xxhash64(tie, "_chunk"), F.lit(HASH_SPACE))
     p_keep = F.least(F.lit(1.0), F.lit(float(target)) * F.col("_w") / total_w)
     sample = (chunks.select(sort_key.alias("_key"), "_w", h.alias("_h"), p_keep.alias("_p"))
-              .where(F.col("_h") < F.col("_p") * HASH_SPACE)
-              .orderBy("_h", "_key").limit(target))
+              .where(F.col("_h") < F.col("_p") * HASH_SPACE))
     cum = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy(F.lit(0))
     sw = F.col("_w") / F.col("_p")
     quant = sample.select(
         "_key",
         F.floor((F.sum(sw).over(cum) - sw) * r / F.sum(sw).over(total)).alias("_q"))
-    bounds = (quant.where(F.col("_q") < r - 1).groupBy("_q").agg(F.max("_key").alias("_b"))
-              .select(F.sort_array(F.collect_list("_b")).alias("_bounds")))
+    # the last key of each quantile, as a sorted array
+    last = Window.orderBy("_key")
+    ends = (quant.withColumn("_next", F.lead("_q").over(last))
+            .where((F.col("_q") < r - 1) & ~F.col("_q").eqNullSafe(F.col("_next"))))
+    bounds = ends.agg(F.sort_array(F.collect_list("_key")).alias("_bounds"))
 
     # coalesce makes _range non-nullable, so no inferred isnotnull filter re-runs the search
     ranged = (chunks.withColumn("_bounds", bounds.scalar())
               .withColumn("_range", F.coalesce(count_below(F.col("_bounds"), sort_key, r), F.lit(0)))
               .drop("_bounds"))
 
-    # Base offset of each range: a prefix sum over at most R rows, broadcast by range id.
-    # The totals must read the very exchange the main branch reads, so that Spark reuses
-    # it and the bound search runs once per row: the (otherwise unused) max key keeps
-    # column pruning from narrowing this branch's exchange. The exchange already clusters
-    # by range, so the totals add no shuffle of data.
+    # Base offset of each range: a prefix sum over at most R rows, broadcast by range id. The
+    # guard (a fixed-width checksum of all columns) keeps column pruning from giving the
+    # totals a narrower exchange, so they read the one that the rows read.
     ranges = ranged.select("_range", *key_cols, "_w").repartitionById(r, "_range")
     totals = ranges.groupBy("_range").agg(F.sum("_w").alias("_rw"),
-                                          F.max(F.struct(*key_cols)).alias("_last"))
+                                          F.expr("bit_xor(xxhash64({}))".format(", ".join(f"`{c}`" for c in key_cols))).alias("_guard"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(F.col("_range").alias("_b_range"), "_last",
+    bases = totals.select(F.col("_range").alias("_b_range"), "_guard",
                           F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_base"))
 
     # The partitioned side's _range is kept: the window below must see the column the
     # exchange partitions by, or Spark re-shuffles.
     joined = ranges.join(F.broadcast(bases),
-                         (F.col("_range") == F.col("_b_range")) & F.col("_last").isNotNull(), how="left")
-    parts = joined.select("_range", *key_cols, "_w", "_base")
-    # Chunks are expanded back into rows inside their range (each range holds about
-    # 1/R of the rows by the weighted bounds), then numbered in key order; identical rows
-    # are interchangeable, so their relative numbering is free.
-    rows = parts.select("_range", *key_cols, "_base",
-                        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
-    within = Window.partitionBy("_range").orderBy(*key_cols)
-    out = rows.select("_range", *cols, (F.col("_base") + F.row_number().over(within)).alias(pos_col))
-    if group_cols and max_groups is not None:
-        # At most max_groups groups: their first positions are a table of that many rows.
-        first = out.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"))
-        out = (out.join(F.broadcast(first), on=group_cols, how="inner")
-               .select("_range", *cols, (F.col(pos_col) - F.col("_first") + 1).alias(pos_col)))
-    elif group_cols:
-        # Group start = position of the group's first row. Inside a range it is a window over
-        # (range, group), which the range partitioning and sort already satisfy (no shuffle).
-        # Only a range's first or last group can continue across ranges; their starts come
-        # from hash aggregates over the range exchange (no second sort): the first group of
-        # range r starts at base_r + 1, the last at base_r + total_r - rows_of_it_in_r + 1.
-        # The true start of a group is the smallest of these (at most 2R rows, broadcast).
-        by_group = Window.partitionBy("_range", *group_cols)
-        local = out.withColumn("_lfirst", F.min(pos_col).over(by_group))
-        gkey = F.struct(*[F.col(c) for c in group_cols])
-        ends = parts.groupBy("_range").agg(F.min(gkey).alias("_gmin"), F.max(gkey).alias("_gmax"),
-                                           F.sum("_w").alias("_rt"), F.first("_base").alias("_rb"))
-        last_rows = (parts.join(F.broadcast(ends.select("_range", "_gmax")), on="_range", how="inner")
-                     .where(gkey == F.col("_gmax")).groupBy("_range").agg(F.sum("_w").alias("_lc")))
-        starts = ends.join(last_rows, on="_range", how="inner").select(F.explode(F.array(
-            F.struct(F.col("_gmin").alias("g"), (F.col("_rb") + 1).alias("s")),
-            F.struct(F.col("_gmax").alias("g"), (F.col("_rb") + F.col("_rt") - F.col("_lc") + 1).alias("s")),
-        )).alias("_e"))
-        spans = (starts.select(*[F.col("_e.g")[c].alias(f"_g_{c}") for c in group_cols], F.col("_e.s").alias("_s"))
-                 .groupBy(*[f"_g_{c}" for c in group_cols]).agg(F.min("_s").alias("_gstart")))
-        cond = None
+                         (F.col("_range") == F.col("_b_range")) & F.col("_guard").isNotNull(), how="left")
+    if repeated_rows:
+        # Chunks are expanded back into rows inside their range, then numbered in key order.
+        joined = joined.select("_range", *key_cols, "_base",
+                               F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_w") - 1)).alias("_i"))
+    within_order = [*named, F.xxhash64(*key_cols), *[c for c in key_cols if c not in named]]
+    within = Window.partitionBy("_range").orderBy(*within_order)
+    out = joined.select("_range", *cols, (F.col("_base") + F.row_number().over(within)).alias(pos_col))
+    if group_cols:
+        # Start of a group = rows of the groups before it: one row per group.
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_size"))
+        earlier = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols],
+                              F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+        cond = F.lit(True)
         for c in group_cols:
-            eq = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-            cond = eq if cond is None else cond & eq
-        start = F.least(F.col("_gstart"), F.col("_lfirst"))   # least() skips a null _gstart
-        out = (local.join(F.broadcast(spans), cond, how="left")
-               .select("_range", *cols, (F.col(pos_col) - start + 1).alias(pos_col)))
-    # The explicit sort keeps each range sorted even when a caller prunes the position
-    # (and with it the window); otherwise the window's order (_range, keys) satisfies it
-    # and Spark drops it as redundant.
-    return out.sortWithinPartitions("_range", *key_cols).drop("_range")
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+        out = out.join(starts, cond, how="left").select("_range", *cols, (F.col(pos_col) - F.col("_start")).alias(pos_col))
+        return out.drop("_range")
+    # The explicit sort keeps each range sorted even when a caller prunes the position (and
+    # with it the window); otherwise the window's order satisfies it and Spark drops it.
+    return out.sortWithinPartitions("_range", *within_order).drop("_range")
 
 
 def total_order_sort(df: DataFrame, order_cols, n_ranges: int | None = None,
@@ -174,16 +150,20 @@ def total_order_sort(df: DataFrame, order_cols, n_ranges: int | None = None,
     return ordered_positions(df, order_cols, (), n_ranges, pos_col, **kw)
 
 
-def hash_sample(key: Column, fraction: float, resolution: int = 1_000_000) -> Column:
-    """Deterministic sample predicate from the key's MD5 (same rows in any engine)."""
-    bucket = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % resolution
+def hash_sample(cols, fraction: float, resolution: int = 1_000_000) -> Column:
+    """Deterministic row sample: the MD5 of the row's columns, TAB-joined (same rows in any engine).
+
+    Rows are drawn, not keys: a key with half of all rows has about half of the sample.
+    """
+    row = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    bucket = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint") % resolution
     return bucket < F.lit(int(round(fraction * resolution)))
 
 
 def first_char_histogram(df: DataFrame, key_col: str, sample_fraction: float = 0.02,
                          prefix_len: int = 1) -> DataFrame:
-    """ch, n: key prefixes counted over a deterministic ``sample_fraction`` sample."""
-    sampled = df.where(hash_sample(F.col(key_col), sample_fraction)) if sample_fraction < 1 else df
+    """ch, n: key prefixes counted over a deterministic ``sample_fraction`` sample of the rows."""
+    sampled = df.where(hash_sample(df.columns, sample_fraction)) if sample_fraction < 1 else df
     return sampled.groupBy(key_prefix(key_col, prefix_len).alias("ch")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -255,15 +235,4 @@ def custom_range_sort(df: DataFrame, key_col: str, boundaries: DataFrame, n_buck
     """
     tagged = range_bucket_assign(df, key_col, boundaries, n_buckets, prefix_len)
     others = [c for c in df.columns if c != key_col]
-    return ordered_positions(tagged, [key_col] + others, ["bucket"], n_ranges, pos_col,
-                             max_groups=n_buckets, **kw)
-
-
-def route_by_bucket(df: DataFrame, n_buckets: int, bucket_col: str = "bucket", order_cols=()) -> DataFrame:
-    """Send bucket i to partition i and sort inside it (one file per bucket on write).
-
-    This is the reference's own layout; a bucket that holds most rows is one task. Use
-    the range-partitioned output of ``custom_range_sort`` where that matters.
-    """
-    out = df.repartitionById(n_buckets, bucket_col)
-    return out.sortWithinPartitions(*order_cols) if order_cols else out
+    return ordered_positions(tagged, [key_col] + others, ["bucket"], n_ranges, pos_col, **kw)

@@ -48,21 +48,24 @@ def group_total_join_back(df: DataFrame, group_col: str, out_col: str = "n") ->
     The group sizes are an aggregate (one row per group) joined back on the group key.
     A windowed ``count() over (partition by g)`` would put a hot group in one task; the
     join lets AQE broadcast the aggregate when it is small at run time, or split a hot
-    key's partition with its skew-join rule when it is not.
+    key's partition with its skew-join rule when it is not. The null group is a group.
     """
-    totals = count_by(df, group_col, out_col)
-    return df.join(totals, on=group_col, how="inner")
+    totals = count_by(df, group_col, out_col).withColumnRenamed(group_col, "_group")
+    joined = df.join(totals, F.col(group_col).eqNullSafe(F.col("_group")), how="inner")
+    return joined.select(*df.columns, out_col)
 
 
 def group_count_argmax(df: DataFrame, group_col: str, id_col: str, score_col: str) -> DataFrame:
     """grp, n, best_id, best_score: rows per group and the row with the largest score.
 
-    One aggregation: ``min(struct(-score, id))`` picks the largest score and, among equal
-    scores, the smallest id. Rows with a null score are counted but cannot win.
+    Two hash aggregates: count and largest score per group, then the smallest id among the
+    rows that have that score (joined back; the null group is a group). Rows with a null
+    score are counted but cannot win; NaN is larger than any number, as in SQL.
     """
-    score = F.col(score_col)
-    cand = F.when(score.isNotNull(), F.struct((-score).alias("neg"), F.col(id_col).alias("id")))
-    agg = df.groupBy(F.col(group_col).alias("grp")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(cand).alias("_best"))
-    return agg.select("grp", "n", F.col("_best.id").alias("best_id"),
-                      (-F.col("_best.neg")).alias("best_score"))
+    rows = df.select(F.col(group_col).alias("grp"), F.col(id_col).alias("_id"), F.col(score_col).alias("_score"))
+    totals = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max("_score").alias("best_score"))
+    tops = totals.select(F.col("grp").alias("_g"), F.col("best_score").alias("_top"))
+    winners = (rows.join(tops, F.col("grp").eqNullSafe(F.col("_g")) & (F.col("_score") == F.col("_top")), "inner")
+               .groupBy(F.col("grp").alias("_wg")).agg(F.min("_id").alias("best_id")))
+    return (totals.join(winners, F.col("grp").eqNullSafe(F.col("_wg")), "left")
+            .select("grp", "n", "best_id", "best_score"))

@@ -16,13 +16,15 @@ from kestrel import sinks
 from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
 from kestrel.sources import text as src
 
+
 def xor_checksum_job(spark: SparkSession, path: str, offset: int = 10**9, length: int = 1000) -> DataFrame:
     """XOR of ``length`` bytes at ``offset`` of each file -> path, checksum.
 
-    Files are read whole by the binary-file source, which limits them to 2 GB each.
+    Only the range is read; a file that ends at or before ``offset`` gives no row.
     """
-    return checksum.range_xor_checksum(src.read_binary_files(spark, path), "content", offset, length,
-                                       keep=["path"])
+    pieces = src.read_byte_range(spark, path, offset, length)
+    folded = checksum.range_xor_checksum(pieces, "content", 0, length, keep=["path"])
+    return folded.groupBy("path").agg(F.bit_xor("checksum").alias("checksum"))
 
 
 def bigram_job(spark: SparkSession, inputs, output: str, k: int = 10) -> None:
@@ -33,11 +35,16 @@ def bigram_job(spark: SparkSession, inputs, output: str, k: int = 10) -> None:
     sinks.write_lines(sinks.tab_pairs(ordered, "n", "bigram"), output)
 
 
-def sampled_sort_job(spark: SparkSession, inputs, output: str, n_ranges: int = 10) -> None:
-    """Total-order sort of ``key<ws>value`` lines into ``n_ranges`` ordered files."""
+def sampled_sort_job(spark: SparkSession, inputs, output: str, n_ranges: int | None = None) -> int:
+    """Total-order sort of ``key<ws>value`` lines into ordered files -> number of malformed lines.
+
+    ``n_ranges`` files (default: the session's shuffle partitions). A line without a value
+    is malformed: it is counted and left out of the output.
+    """
     kv = src.parse_kv_ws(src.read_lines(spark, inputs))
-    ordered = rangesort.total_order_sort(kv, ["k"], n_ranges)
+    ordered = rangesort.range_sort(kv.where("v is not null"), ["k", "v"], n_ranges)
     sinks.write_lines(sinks.tab_pairs(ordered, "k", "v"), output)
+    return kv.where("v is null").count()
 
 
 def histogram_sort_job(spark: SparkSession, inputs, output: str, sample_fraction: float = 0.02,
@@ -50,10 +57,10 @@ def histogram_sort_job(spark: SparkSession, inputs, output: str, sample_fraction
     kv = src.parse_kv_tab(src.read_lines(spark, inputs))
     hist = rangesort.first_char_histogram(kv, "k", sample_fraction, prefix_len)
     bounds = rangesort.equi_depth_boundaries(hist, n_buckets)
-    ordered = rangesort.custom_range_sort(kv, "k", bounds, n_buckets, prefix_len, n_ranges)
-    # A partitioned write sorts each task's rows by the partition column unless they are
-    # known to be ordered by it; that sort is not stable, so order by (bucket, k, v) here.
-    ordered = ordered.sortWithinPartitions("bucket", "k", "v")
+    # No position is wanted, so one plain range sort does. A partitioned write keeps this
+    # order because it begins with the partition column.
+    ordered = rangesort.range_sort(rangesort.range_bucket_assign(kv, "k", bounds, n_buckets, prefix_len),
+                                   ["bucket", "k", "v"], n_ranges)
     lines = ordered.select("bucket", F.concat_ws("\t", "k", "v").alias("value"))
     sinks.write_lines(lines, output, partition_by=["bucket"])
 
@@ -84,12 +91,19 @@ def firewall_job(spark: SparkSession, trace_path: str, block_path: str, log_outp
         log.unpersist()
 
 
-def top_repo_job(spark: SparkSession, inputs, output: str) -> None:
-    """Repos per language and the most-starred one: ``language count repo stars``."""
+def top_repo_job(spark: SparkSession, inputs, output: str, header: str | None = None) -> None:
+    """Repos per language and the most-starred one: ``language count repo stars``.
+
+    Every row counts; rows whose stars are no number cannot be the most-starred one. ``header``
+    is the text of the header line, if the files have one. Whole numbers are written as such.
+    """
     repos = src.parse_csv_positional(src.read_lines(spark, inputs),
-                                     {"repo": (0, "string"), "language": (1, "string"), "stars": (12, "bigint")},
-                                     header=True)
+                                     {"repo": (0, "string"), "language": (1, "string"), "stars": (12, "double")},
+                                     header=header)
     best = ranking.order_by_count(relational.group_count_argmax(repos, "language", "repo", "stars"), "n", "grp")
+    stars = F.col("best_score")
+    whole = (stars == F.floor(stars)) & (F.abs(stars) < 1e15)
+    best = best.withColumn("best_score", F.when(whole, stars.cast("bigint").cast("string")).otherwise(stars.cast("string")))
     sinks.write_lines(sinks.space_joined(best, "grp", "n", "best_id", "best_score"), output)
 
 

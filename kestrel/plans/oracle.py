@@ -155,19 +155,20 @@ kv AS (
   FROM kv_lines
 )"""
 
-# documents -> first line as key, id as value
-_KV_SKEWED_SOURCE = r"""
+# documents -> every line as key, id and line number as value
+_KV_SKEWED_SOURCE = _LINES + r""",
 kv AS (
-  SELECT regexp_extract(text, '^[^\r\n]*', 0) AS k, CAST(doc_id AS VARCHAR) AS v FROM documents
+  SELECT line AS k, CAST(doc_id AS VARCHAR) || ':' || CAST(ln AS VARCHAR) AS v
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS ln FROM doc_line_lists)
 )"""
 
 
 def _hist(threshold: int) -> str:
-    """First-char histogram over the md5 hash sample (threshold out of 1,000,000)."""
+    """First-char histogram over the md5 row sample (threshold out of 1,000,000)."""
     return r""",
 hist AS (
   SELECT substr(k, 1, 1) AS ch, CAST(count(*) AS BIGINT) AS n FROM kv
-  WHERE ('0x' || substr(md5(k), 1, 8))::BIGINT % 1000000 < """ + str(threshold) + r"""
+  WHERE ('0x' || substr(md5(k || chr(9) || v), 1, 8))::BIGINT % 1000000 < """ + str(threshold) + r"""
   GROUP BY 1
 )"""
 
@@ -289,3 +290,30 @@ SELECT doc_id,
                                        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::INTEGER),
                         lambda a, x: xor(a, x)) AS BIGINT) AS checksum
 FROM b"""
+
+# The jobs: what their output files hold.
+ORACLE["job_word_count"] = _WORD_COUNT
+ORACLE["job_bigrams"] = ORACLE["bigram_top_k"]
+ORACLE["job_firewall_log"] = ORACLE["firewall_log"]
+ORACLE["job_firewall_sources"] = ORACLE["blocked_sources"]
+ORACLE["job_histogram_sort"] = ORACLE["kv_tab_parse"]
+ORACLE["stage_parquet"] = _WORD_COUNT.replace("SELECT word, CAST(count(*) AS BIGINT) AS n FROM wl",
+                                              "SELECT word, CAST(count(*) AS BIGINT) AS n, true AS few_files FROM wl")
+ORACLE["job_sampled_sort"] = r"""
+WITH kv AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS k, CAST(o_orderkey AS VARCHAR) AS v FROM orders)
+SELECT k, v FROM kv WHERE v NOT LIKE '%3'
+UNION ALL SELECT NULL, CAST(count(*) AS VARCHAR) FROM kv WHERE v LIKE '%3'"""
+
+_ODD_REPOS = r"""
+repos AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS name, p_brand AS grp,
+         CASE WHEN p_size <= 5 OR p_size > 45 THEN NULL ELSE CAST(p_retailprice AS DOUBLE) END AS score
+  FROM part
+)"""
+ORACLE["csv_malformed_scores"] = "WITH " + _ODD_REPOS + r"""
+SELECT grp, CAST(count(*) AS BIGINT) AS n, arg_min(name, name) FILTER (WHERE score = top) AS best_id, max(score) AS best_score
+FROM (SELECT *, max(score) OVER (PARTITION BY grp) AS top FROM repos) GROUP BY grp"""
+ORACLE["job_top_repo"] = ORACLE["csv_malformed_scores"]
+ORACLE["group_total_null_group"] = r"""
+SELECT p_partkey, grp, CAST(count(*) OVER (PARTITION BY grp) AS BIGINT) AS n
+FROM (SELECT p_partkey, CASE WHEN p_size > 10 THEN p_brand END AS grp FROM part)"""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kestrel import sinks
 from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
+from kestrel.plans.job_queries import JOB_QUERIES
 from kestrel.session import checkpoint_dir
 from kestrel.sources import fixtures as fx
 from kestrel.sources import text as src
@@ -33,7 +34,7 @@ SKEWED_SAMPLE_FRACTION = 0.25  # first lines of documents: fewer keys, so a larg
 
 
 def q_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.spread(fx.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     return text.line_counts(docs, "doc_id", "text")
 
 
@@ -89,7 +90,7 @@ REPO_COLUMNS = {"name": (0, "string"), "grp": (1, "string"), "score": (12, "doub
 
 
 def _repos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.parse_csv_positional(fx.repo_csv_lines(spark, sf_dir), REPO_COLUMNS, header=True)
+    return src.parse_csv_positional(fx.repo_csv_lines(spark, sf_dir), REPO_COLUMNS)
 
 
 def q_csv_positional_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +131,7 @@ def q_kv_ws_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_total_order_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rangesort.total_order_sort(_kv(spark, sf_dir), ["k"], SORT_RANGES)
+    return rangesort.total_order_sort(_kv(spark, sf_dir), ["k", "v"], SORT_RANGES, repeated_rows=False)
 
 
 def q_first_char_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +150,7 @@ def q_range_bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_custom_range_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rangesort.custom_range_sort(_kv(spark, sf_dir), "k", _boundaries(spark, sf_dir),
-                                      N_BUCKETS, PREFIX_LEN, SORT_RANGES)
+                                      N_BUCKETS, PREFIX_LEN, SORT_RANGES, repeated_rows=False)
     return out.select("k", "v", "bucket", "pos_in_bucket")
 
 
@@ -206,6 +207,7 @@ def q_write_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    **JOB_QUERIES,
     "text_lines": q_text_lines,
     "bigram_count": q_bigram_count,
     "bigram_top_k": q_bigram_top_k,

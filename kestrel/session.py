@@ -32,7 +32,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder created and set.
+    Only a local session (driver and executors in one process, as in tests) may name none; it
+    gets a private folder. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,6 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named

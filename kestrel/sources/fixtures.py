@@ -17,44 +17,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` over ``min_partitions`` tasks only if it has fewer partitions.
-
-    A source stored as a few unsplittable files (one row group each) scans in a few tasks,
-    and CPU-heavy narrow work after it (tokenising, regex) would run on those few cores
-    until the first shuffle. Large inputs already have more splits than the cluster has
-    cores, so for them this is a no-op and adds no exchange.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    # Hash of the (already pruned) row: deterministic on retry without the local sort a
-    # round-robin repartition needs for that.
-    return df.repartition(target, F.xxhash64(*df.columns))
-
-
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lines``: one row per line of every document -> doc_id, line."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return explode_lines(docs, "text", keep=["doc_id"])
 
 
 def kv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``kv``: k = md5 of the order key as text, v = the order key as text."""
     key = F.col("o_orderkey").cast("string")
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
     return orders.select(F.md5(key).alias("k"), key.alias("v"))
 
 
 def kv_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``kv_skewed``: k = first line of each document, v = its id as text.
+    """``kv_skewed``: k = every line of each document, v = ``<doc_id>:<line number>``.
 
-    Many first characters, very uneven and often non-ASCII: the hard case for a first-char
-    range partition.
+    Many first characters, very uneven and often non-ASCII, and repeated lines: the hard case
+    for a first-char range partition.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select(F.regexp_extract("text", r"^[^\r\n]*", 0).alias("k"),
-                       F.col("doc_id").cast("string").alias("v"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = explode_lines(docs, "text", keep=["doc_id"], line_col="k", number_col="_n")
+    return lines.select("k", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("_n").cast("string")).alias("v"))
 
 
 def kv_lines(spark: SparkSession, sf_dir: str, sep: str = "\t") -> DataFrame:
@@ -65,7 +49,7 @@ def kv_lines(spark: SparkSession, sf_dir: str, sep: str = "\t") -> DataFrame:
 
 def ip_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ip_trace``: ``time conn_id src > dst`` lines from events."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     tm = F.regexp_replace(F.col("ts").cast("string"), " ", "T")
     src = F.concat_ws(".", F.lit("10.0"), F.expr("user_id div 50").cast("string"),
                       (F.col("user_id") % 50).cast("string"),
@@ -78,18 +62,24 @@ def ip_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_block_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_block``: ``conn_id action`` lines; action is Blocked for error events."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "event_type"))
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
     action = F.when(F.col("event_type") == "error", F.lit("Blocked")).otherwise(F.lit("Allowed"))
     return e.select(F.concat_ws(" ", F.col("event_id").cast("string"), action).alias("value"))
 
 
-def repo_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``repo``: 13-column comma lines from part; 0 = repo, 1 = language, 12 = stars."""
+def repo_csv_lines(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFrame:
+    """``repo``: 13-column comma lines from part; 0 = repo, 1 = language, 12 = stars.
+
+    ``malformed``: the stars of small parts are text, those of large parts are blank.
+    """
     p = table(spark, sf_dir, "part")
+    stars = F.col("p_retailprice").cast("string")
+    if malformed:
+        stars = F.when(F.col("p_size") <= 5, F.lit("N/A")).when(F.col("p_size") > 45, F.lit("")).otherwise(stars)
     fields = [F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_name"),
               F.col("p_type"), F.col("p_size").cast("string")]
     fields += [F.lit("")] * 7
-    fields.append(F.col("p_retailprice").cast("string"))
+    fields.append(stars)
     return p.select(F.concat_ws(",", *fields).alias("value"))
 
 
@@ -100,7 +90,7 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order key, so the graph is linear in the data (duplicates and self-loops are left in
     for the edge-list parser to canonicalise).
     """
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(F.concat_ws(" ", F.col("l_partkey").cast("string"),
@@ -109,5 +99,5 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bytes``: doc_id and the UTF-8 bytes of the text (``content binary``)."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", F.encode("text", "UTF-8").alias("content"))

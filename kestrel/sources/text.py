@@ -86,27 +86,21 @@ def parse_block(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def parse_csv_positional(lines: DataFrame, columns: dict, value_col: str = "value",
-                         header: bool = False) -> DataFrame:
+                         header: str | None = None) -> DataFrame:
     """Naive CSV: split on every comma (no quoting) and keep ``{name: (index, type)}``.
 
-    Numeric fields use ``try_cast``: a header or malformed value becomes null instead of
-    failing the job. With ``header=True`` a line whose numeric fields all fail to parse
-    (a header line, wherever it sits in a split dataset) is dropped.
+    Numeric fields use ``try_cast``: a blank or malformed number becomes null and its row
+    stays. Only lines equal to ``header`` (the text of the header line, which every split of
+    a dataset may repeat) are left out.
     """
+    if header is not None:
+        lines = lines.where(~F.col(value_col).eqNullSafe(F.lit(header)))
     parts = split_once(lines, F.split(F.col(value_col), ","))
     cols = []
     for name, (index, dtype) in columns.items():
         item = F.get(F.col("_f"), index)
         cols.append((item.try_cast(dtype) if dtype != "string" else item).alias(name))
-    out = parts.select(*cols)
-    if header:
-        numeric = [n for n, (_, t) in columns.items() if t != "string"]
-        if numeric:
-            parsed = F.col(numeric[0]).isNotNull()
-            for n in numeric[1:]:
-                parsed = parsed | F.col(n).isNotNull()
-            out = out.where(parsed)
-    return out
+    return parts.select(*cols)
 
 
 def parse_edges(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -121,6 +115,31 @@ def parse_edges(lines: DataFrame, value_col: str = "value") -> DataFrame:
             .select(F.col("_t")[0].cast("bigint").alias("src"), F.col("_t")[1].cast("bigint").alias("dst")))
 
 
-def read_binary_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as ``path, content binary`` (each file must be under 2 GB)."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def read_byte_range(spark: SparkSession, path: str, offset: int, length: int, piece: int = 1 << 20) -> DataFrame:
+    """The bytes ``[offset, offset + length)`` of every file -> path, offset, content binary.
+
+    Files are listed without their content and only the range is read: a task opens the
+    file, seeks, and reads its pieces of at most ``piece`` bytes, so neither the file's size nor the
+    range's is bounded by a row. A file that ends inside the range gives what it has. Paths
+    are read through the Hadoop-independent Arrow file systems, which need the files mounted
+    or in a store that Arrow knows.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))
+    end = F.least(F.col("size"), F.lit(offset + length))
+    starts = F.when(end > offset, F.sequence(F.lit(offset).cast("bigint"), end - 1, F.lit(piece).cast("bigint")))
+    pieces = files.select("path", F.explode(starts).alias("offset"), end.alias("_end"))
+    pieces = pieces.select("path", "offset", F.least(F.lit(piece).cast("bigint"), F.col("_end") - F.col("offset")).alias("n"))
+
+    def fetch(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, at, n in zip(*[batch.column(c).to_pylist() for c in ("path", "offset", "n")]):
+                uri = "file://" + name[len("file:"):] if name.startswith("file:/") and not name.startswith("file://") else name
+                store, inner = fs.FileSystem.from_uri(uri)
+                with store.open_input_file(inner) as f:
+                    f.seek(at)
+                    yield pa.RecordBatch.from_pydict({"path": [name], "offset": [at], "content": [f.read(n)]})
+
+    return pieces.mapInArrow(fetch, "path string, offset bigint, content binary")

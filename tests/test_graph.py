@@ -98,3 +98,33 @@ def test_adjacency_chunks(spark, chunk):
         joined = [u for c in sorted(chunks) for u in chunks[c]]
         assert joined == sorted(expected[v])
     assert set(full) == set(expected)
+
+
+def test_wedge_counts_are_whole_numbers(spark):
+    df = spark.createDataFrame([(200_000_003,), (300_000_007,), (4_000_000_007,), (0,), (1,), (2,)], "degree long")
+    for r in df.select("degree", graph.wedges_of("degree").alias("w")).collect():
+        assert int(r.w) == r.degree * (r.degree - 1) // 2
+
+
+def test_heavy_tails_meet_in_small_blocks(spark):
+    import itertools
+    import random
+
+    rnd = random.Random(8)
+    n, block = 60, 8
+    pairs = [(0, i) for i in range(1, n)] + [tuple(sorted(rnd.sample(range(1, n), 2))) for _ in range(300)]
+    edges = graph.canonical_edges(spark.createDataFrame(pairs, "src long, dst long"))
+    have = {tuple(sorted(p)) for p in pairs}
+    want = {t for t in itertools.combinations(range(n), 3) if {(t[0], t[1]), (t[0], t[2]), (t[1], t[2])} <= have}
+    for by in ("id", "degree"):
+        assert {tuple(r) for r in graph.triangles(edges, by, block=block).collect()} == want
+        for side in graph.tail_blocks(graph.orient(edges, by), block):
+            assert side.groupBy("p", "i", "j").count().agg({"count": "max"}).first()[0] <= 4 * block
+
+
+def test_adjacency_ranks_hubs_by_range(spark):
+    pairs = [(0, i) for i in range(1, 200)] + [(1, i) for i in range(2, 20)]
+    edges = graph.canonical_edges(spark.createDataFrame(pairs, "src long, dst long"))
+    plain = sorted(tuple(r) for r in graph.adjacency(edges, 16).collect())
+    hubs = sorted(tuple(r) for r in graph.adjacency(edges, 16, n_ranges=4, hub_degree=10).collect())
+    assert plain == hubs and all(len(r[3]) <= 16 for r in plain)

@@ -54,10 +54,23 @@ def test_top_repo_job(spark, tmp_path):
     inp = _write(tmp_path, "repos.csv", ["repo,language" + pad + ",stars", "r1,Java" + pad + ",5", "r2,Java" + pad + ",9",
                                          "r3,Go" + pad + ",2", "r4,Java" + pad + ",9"])
     out = str(tmp_path / "out")
-    jobs.top_repo_job(spark, [inp], out)
+    jobs.top_repo_job(spark, [inp], out, header="repo,language" + pad + ",stars")
     assert [x for p in _read_parts(out) for x in p] == ["Java 3 r2 9", "Go 1 r3 2"]
 
 
+def test_top_repo_job_counts_rows_without_a_number(spark, tmp_path):
+    pad = "," * 10
+    inp = _write(tmp_path, "repos.csv", [f"r{i},Java{pad},{s}" for i, s in enumerate(["5", "N/A", "", "9.5"])])
+    jobs.top_repo_job(spark, [inp], str(tmp_path / "out"))
+    assert [x for p in _read_parts(str(tmp_path / "out")) for x in p] == ["Java 4 r3 9.5"]
+
+
+def test_sampled_sort_job_counts_malformed_lines(spark, tmp_path):
+    inp = _write(tmp_path, "kv.txt", ["b 2", "lonely", "a 1"])
+    assert jobs.sampled_sort_job(spark, [inp], str(tmp_path / "out"), n_ranges=2) == 1
+    assert [x for p in _read_parts(str(tmp_path / "out")) for x in p] == ["a\t1", "b\t2"]
+
+
 def test_triangle_job(spark, tmp_path):
     inp = _write(tmp_path, "g.txt", ["1 2", "", "2 3", "3 1", "3 4"])
     out = str(tmp_path / "out")
@@ -86,6 +99,20 @@ def test_sort_jobs_globally_ordered(spark, tmp_path, which):
     assert sum(1 for p in parts if p) >= 2
 
 
+def test_xor_checksum_of_a_file_over_two_gb(spark, tmp_path):
+    """Only the range is read: the (sparse) file is larger than a row can be."""
+    p = tmp_path / "big.bin"
+    with open(p, "wb") as f:
+        f.seek(3 * 10**9)
+        f.write(bytes(range(200)) * 10)
+    want = 0
+    for b in (bytes(range(200)) * 10)[100:1100]:
+        want ^= b
+    rows = jobs.xor_checksum_job(spark, str(p), offset=3 * 10**9 + 100, length=1000).collect()
+    assert [r.checksum for r in rows] == [want]
+    assert jobs.xor_checksum_job(spark, str(p), offset=4 * 10**9).collect() == []
+
+
 def test_xor_checksum_job(spark, tmp_path):
     p = tmp_path / "blob.bin"
     p.write_bytes(bytes([1, 2, 4, 8, 16]))

@@ -9,17 +9,19 @@ from kestrel.operators import rangesort
 
 
 def fold_buckets(hist, nb=10):
-    """The running fold with carry, literally: char -> bucket."""
-    total = sum(n for _, n in hist)
-    step = total // nb
-    count, closed, prev = 0, 0, []
-    for _, n in hist:
-        prev.append(closed)
-        count += n
-        if count >= step and closed < nb:
-            closed += 1
-            count -= step
-    return {ch: (p if p < closed else nb - 1) for (ch, _), p in zip(hist, prev)}
+    """The definition on cumulative counts: range t (from 1) ends at the first char after the end
+    of range t - 1 up to which at least t steps have been counted; chars after the last end are in
+    the open last bucket."""
+    step = sum(n for _, n in hist) // nb
+    reached = [sum(n for _, n in hist[:i + 1]) for i in range(len(hist))]
+    ends = []
+    for t in range(1, nb + 1):
+        after = ends[-1] + 1 if ends else 0
+        end = next((i for i in range(after, len(hist)) if reached[i] >= t * step), None)
+        if end is None:
+            break
+        ends.append(end)
+    return {ch: next((t for t, e in enumerate(ends) if i <= e), nb - 1) for i, (ch, _) in enumerate(hist)}
 
 
 def closed_form_buckets(hist, nb=10):
@@ -145,12 +147,39 @@ def test_custom_range_sort_keeps_every_row(spark):
 
 def test_hash_sample_is_deterministic(spark):
     df = spark.range(0, 20000).select(F.col("id").cast("string").alias("k"))
-    a = df.where(rangesort.hash_sample(F.col("k"), 0.02)).count()
-    b = df.where(rangesort.hash_sample(F.col("k"), 0.02)).count()
+    a = df.where(rangesort.hash_sample(["k"], 0.02)).count()
+    b = df.where(rangesort.hash_sample(["k"], 0.02)).count()
     assert a == b and 250 < a < 550
 
 
-def test_count_below_linear_and_bisection_agree(spark):
+def test_sample_draws_rows_not_keys(spark):
+    """A key with half of the rows has about half of the sample."""
+    df = spark.range(0, 40000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                      F.col("id").cast("string").alias("v"))
+    picked = df.where(rangesort.hash_sample(["k", "v"], 0.05))
+    n, hot = picked.count(), picked.where("k = 'hot'").count()
+    assert 1700 < n < 2300 and 0.45 < hot / n < 0.55
+
+
+def test_more_ranges_than_a_linear_scan_would_like(spark):
+    """Over 32 ranges and a wide payload that is not in the order: every row once, in order."""
+    df = spark.range(0, 4000).select((F.col("id") * 7919 % 1000).alias("k"), F.repeat(F.lit("x"), 300).alias("wide"),
+                                     F.col("id").cast("string").alias("v"))
+    out = rangesort.total_order_sort(df, ["k"], n_ranges=40, repeated_rows=False, tie_cols=[])
+    got = out.select("k", "v", "pos", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.pos for r in got) == list(range(1, 4001))
+    keys = [r.k for r in sorted(got, key=lambda r: r.pos)]
+    assert keys == sorted(keys) and len({r.v for r in got}) == 4000 and len({r.p for r in got}) > 32
+
+
+def test_null_groups_keep_their_rows(spark):
+    rows = [(None, "a"), (None, "b"), ("g", "c")]
+    df = spark.createDataFrame(rows, "g string, k string")
+    out = {(r.g, r.k): r.pos for r in rangesort.ordered_positions(df, ["k"], ["g"], n_ranges=2).collect()}
+    assert out == {(None, "a"): 1, (None, "b"): 2, ("g", "c"): 1}
+
+
+def test_count_below_bisection(spark):
     from kestrel.functions import search
 
     rnd = random.Random(4)
@@ -194,7 +223,7 @@ def test_empty_and_tiny_inputs(spark):
 def test_group_positions_with_group_bound(spark):
     rows = _skewed_rows(seed=5, n=1200)
     df = spark.createDataFrame([(k[0], k, v) for k, v in rows], "g string, k string, v string")
-    out = rangesort.ordered_positions(df, ["k", "v"], ["g"], n_ranges=4, chunk_rows=20, max_groups=20).collect()
+    out = rangesort.ordered_positions(df, ["k", "v"], ["g"], n_ranges=4, chunk_rows=20).collect()
     groups = {}
     for r in out:
         groups.setdefault(r.g, []).append(r)

@@ -44,10 +44,3 @@ def test_parquet_round_trip(spark, tmp_path):
 def test_space_joined(spark):
     df = spark.createDataFrame([("t", 1, "s", "d", "Blocked")], "tm string, id long, s string, d string, a string")
     assert sinks.space_joined(df, "tm", "id", "s", "d", "a").collect()[0].value == "t 1 s d Blocked"
-
-
-def test_route_by_bucket(spark):
-    df = spark.createDataFrame([(b, f"k{b}{i}") for b in range(4) for i in range(5)], "bucket int, k string")
-    routed = rangesort.route_by_bucket(df, 4, "bucket", ["k"]).withColumn("p", F.spark_partition_id())
-    for r in routed.collect():
-        assert r.p == r.bucket

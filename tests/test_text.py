@@ -12,20 +12,14 @@ from kestrel.operators import text
 
 # ---- literal restatements (tests only) -------------------------------------------------
 
-def bigrams_state_machine(line: str) -> list[str]:
-    """Per-token loop with a carried predecessor, as the reference's mapper does it."""
-    out, prev = [], ""
-    for tok in re.split(r"[ \t\n\r\f]+", line.lower()):
-        if not tok:
-            continue
-        clean = re.sub(r"[^a-z0-9]", "", tok)
-        if prev and clean:
-            out.append(prev + " " + clean)
-        if tok[-1] in ".!?":
-            prev = ""
-        elif clean:
-            prev = clean
-    return out
+def bigrams_by_sentence(line: str) -> list[str]:
+    """The rule in words: cut the tokens into sentences after each one that ends in . ! or ?;
+    inside a sentence clean the tokens, drop those that become empty, and pair neighbours."""
+    tokens = [t for t in re.split(r"[ \t\n\r\f]+", line.lower()) if t]
+    ends = [i + 1 for i, t in enumerate(tokens) if t.endswith((".", "!", "?"))]
+    sentences = [tokens[a:b] for a, b in zip([0, *ends], [*ends, len(tokens)])]
+    cleaned = [[c for c in (re.sub("[^a-z0-9]", "", t) for t in s) if c] for s in sentences]
+    return [f"{a} {b}" for s in cleaned for a, b in zip(s, s[1:])]
 
 
 def java_split_ws(s: str) -> list[str]:
@@ -94,7 +88,7 @@ def test_bigrams_equal_state_machine(spark):
     lines = _random_lines(7, 3000)
     got = _per_row(spark, lines, line_bigrams)
     for i, line in enumerate(lines):
-        assert got[i] == bigrams_state_machine(line), repr(line)
+        assert got[i] == bigrams_by_sentence(line), repr(line)
 
 
 def test_words_equal_java_split(spark):
@@ -128,5 +122,5 @@ def test_text_bigrams_equal_per_line(spark):
     texts = _random_lines(13, 1500, alphabet=ALPHABET + ["\n", "\r", "\r\n", ".\n", "a\r"], max_len=20)
     got = _per_row(spark, texts, line_bigrams)
     for i, t in enumerate(texts):
-        expected = [b for line in reader_lines(t) for b in bigrams_state_machine(line)] if t else []
+        expected = [b for line in reader_lines(t) for b in bigrams_by_sentence(line)] if t else []
         assert got[i] == expected, repr(t)
