@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.operators import text
-from kestrel.session import checkpoint_dir
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -16,16 +15,15 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.load(path).withColumnRenamed("value", "line")
 
 
-def running_counts(lines: DataFrame, kind: str = "words", sink: str = "memory", name: str = "counts",
-                   checkpoint: str | None = None, output_mode: str = "update"):
+def running_counts(lines: DataFrame, kind: str, sink: str, checkpoint: str, name: str = "counts",
+                   output_mode: str = "update"):
     """Start a streaming query of running word or bigram counts.
 
     ``update`` mode emits only the counts that changed in each micro-batch. The state
-    store and offsets go to ``checkpoint`` (default: a folder under the session's shared
-    checkpoint directory), so a restarted query resumes where it stopped.
+    store and offsets go to ``checkpoint``, a shared folder: a query restarted on it resumes
+    where it stopped. The caller names the sink (``memory`` holds all counts on the driver and
+    is for tests).
     """
     counts = text.word_count(lines) if kind == "words" else text.bigram_count(lines)
-    spark = lines.sparkSession
-    location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     return (counts.writeStream.outputMode(output_mode).format(sink).queryName(name)
-            .option("checkpointLocation", location).start())
+            .option("checkpointLocation", checkpoint).start())

@@ -10,7 +10,7 @@ def test_running_word_counts(spark, tmp_path):
     src.mkdir()
     (src / "a.txt").write_text("x y x\n")
     name = "wc_" + uuid.uuid4().hex[:8]
-    q = running_counts(stream_lines(spark, str(src)), "words", name=name, output_mode="complete",
+    q = running_counts(stream_lines(spark, str(src)), "words", "memory", name=name, output_mode="complete",
                        checkpoint=str(tmp_path / "ckpt"))
     try:
         q.processAllAvailable()
@@ -29,13 +29,13 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     ckpt = str(tmp_path / "ckpt")
     (src / "a.txt").write_text("The end. The end\n")
     name1 = "bg_" + uuid.uuid4().hex[:8]
-    q = running_counts(stream_lines(spark, str(src)), "bigrams", name=name1, output_mode="complete",
+    q = running_counts(stream_lines(spark, str(src)), "bigrams", "memory", name=name1, output_mode="complete",
                        checkpoint=ckpt)
     q.processAllAvailable()
     q.stop()
     (src / "b.txt").write_text("the end of it\n")
     name2 = "bg_" + uuid.uuid4().hex[:8]
-    q = running_counts(stream_lines(spark, str(src)), "bigrams", name=name2, output_mode="complete",
+    q = running_counts(stream_lines(spark, str(src)), "bigrams", "memory", name=name2, output_mode="complete",
                        checkpoint=ckpt)
     try:
         q.processAllAvailable()
