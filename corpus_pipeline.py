@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm import decontam, mixing, ngram_join, pii, quality
-from kestrel.llm.common import cut, drop_folder, shared_dir, table
+from kestrel.llm.common import cut, drop_folder, if_small, shared_dir, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,23 +26,30 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates stays: the one with the smallest id (any one
     of equal rows). An id with several texts goes if one of them does; null ids stay."""
     classes = ngram_join.similarity_classes(docs)
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.select(*COLUMNS, F.xxhash64("text").alias("_k")).join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    once = Window.partitionBy("doc_id", "_k").orderBy("lang", "source", "n_chars")
-    return (kept.withColumn("_r", F.row_number().over(once)).where(F.col("doc_id").isNull() | (F.col("_r") == 1)).select(*COLUMNS))
+    gone = cut(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct())
+    keyed = docs.select(*COLUMNS, F.xxhash64("text").alias("_k"))
+    kept = keyed.join(if_small(gone), F.col("doc_id") == F.col("_id"), "left_anti")
+    twice = cut(keyed.where("doc_id is not null").groupBy("doc_id", "_k").count().where("count > 1")
+                .select(F.col("doc_id").alias("_d"), F.col("_k").alias("_t")))
+    if not twice.isEmpty():     # equal rows: one of each stays
+        once = Window.partitionBy("doc_id", "_k").orderBy("lang", "source", "n_chars")
+        same = (F.col("doc_id") == F.col("_d")) & (F.col("_k") == F.col("_t"))
+        again = kept.join(if_small(twice), same, "left_semi").withColumn("_r", F.row_number().over(once)).where("_r = 1").drop("_r")
+        kept = kept.join(if_small(twice), same, "left_anti").unionByName(again)
+    return kept.select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("text_key").distinct()
-    return docs.withColumn("text_key", F.xxhash64("text")).join(found, "text_key", "left_anti").select(*COLUMNS)
+    return docs.withColumn("text_key", F.xxhash64("text")).join(if_small(cut(found)), "text_key", "left_anti").select(*COLUMNS)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets; ``n_chars`` follows the new text."""
     found = (pii.find_spans(docs).where(F.size("spans") > 0).select(F.col("text_key").alias("_k"), "spans")
              .dropDuplicates(["_k"]))    # spans depend on the text alone
-    d = docs.select(*COLUMNS, F.xxhash64("text").alias("_t")).join(found, F.col("_t") == F.col("_k"), "left")
+    d = docs.select(*COLUMNS, F.xxhash64("text").alias("_t")).join(if_small(cut(found), 100_000), F.col("_t") == F.col("_k"), "left")
     text = F.when(F.col("spans").isNotNull(), pii.mask(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
     masked = d.select("doc_id", text.alias("text"), "lang", "source", "n_chars", F.col("spans").isNotNull().alias("_new"))
     return masked.select("doc_id", "text", "lang", "source",

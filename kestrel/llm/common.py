@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,3 +45,31 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+BATCH_ROWS = 2_000
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches cut to at most ``BATCH_ROWS`` rows.
+
+    Whole texts and pages are large rows: a smaller batch bounds what the JVM and a Python
+    worker hold at a time. A session that asks for less keeps its own number.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+BROADCAST_ROWS = 500_000
+
+
+def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is.
+
+    For narrow tables of ids that are cheap to count (written before, with ``cut``). Beyond the
+    bound the join is a plain one, which shuffles both sides.
+    """
+    return F.broadcast(df) if df.count() <= rows else df

@@ -1,6 +1,6 @@
 """Connected components of links, with the alternating large-star / small-star method.
 
-Each round replaces links by links to smaller ends; it stops when nothing changes, after a
+Each round replaces links by links to smaller ends; it stops at a forest of stars, after a
 number of rounds that grows with the logarithm of the size of a component. Every step is an
 aggregate and an equi-join on the end of a link; rounds are written to the shared folder.
 """
@@ -20,8 +20,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
     e = cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
     while True:
+        # A forest of stars is done: every id is either a centre or has one link to a centre.
+        roles = (e.select(F.col("u").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("centre"))
+                 .union(e.select("v", F.lit(0), F.lit(1))).groupBy("id").agg(F.sum("child").alias("child"), F.max("centre").alias("centre")))
+        if roles.where("child + centre > 1").isEmpty():
+            return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
+                e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         # large star: larger neighbours of u move to u's smallest neighbour (or u itself)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
@@ -32,8 +37,3 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = e1.join(low, "u")
         e = cut(moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                 .union(low.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-                e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        before = now

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import cut, shuffle_width
+from kestrel.llm.common import cut, in_batches, shuffle_width
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
@@ -232,7 +232,7 @@ def extract_main(pages: DataFrame) -> DataFrame:
     elements end with their parent, an unclosed tag or comment with the page; an empty table gives no
     rows; other columns are ignored.
     """
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").alias("html"))
+    p = in_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").alias("html"))
     p = p.withColumn("k", F.xxhash64("page_id", "url", "html"))
     near = neighbours(p.select("k", "url"))
     lines = p.select("k", "html").mapInArrow(_line_rows, "k long, lines array<long>").dropDuplicates(["k"])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
+from kestrel.llm.common import in_batches
 from kestrel.llm.toxicity import held_out, labelled_sample
 
 MAX_TRAIN, MAX_POOL = 12_000, 12_000
@@ -220,7 +221,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     learnt from; without labels of both classes everything scores 1 and is kept; repeated rows
     are scored each; an empty table gives no rows; other columns are ignored.
     """
-    base = docs.select("doc_id", F.col("text").alias("text"), F.col("lang").cast("string").alias("lang"),
+    base = in_batches(docs).select("doc_id", F.col("text").alias("text"), F.col("lang").cast("string").alias("lang"),
                        F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     schema = "doc_id long, label int, text binary, meta binary"
     cols = ["doc_id", "text", "lang", "source", "n_chars"]

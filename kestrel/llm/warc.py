@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, drop_folder, shared_dir
+from kestrel.llm.common import cut, drop_folder, in_batches, shared_dir
 
 SEGMENT_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 14
@@ -116,7 +116,7 @@ def _to_records(segment_bytes: int):
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES,
                    records_per_file: int = RECORDS_PER_FILE) -> None:
     """WARC files (gzip) of ``pages`` (page_id, url, html) under ``path``."""
-    records = classify(pages).mapInArrow(_to_records(segment_bytes), "record binary")
+    records = classify(in_batches(pages)).mapInArrow(_to_records(segment_bytes), "record binary")
     (records.select(F.col("record").cast("string").alias("record")).write.option("lineSep", "\r\n\r\n")
      .option("compression", "gzip").option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path))
 
