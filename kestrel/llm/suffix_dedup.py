@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import cut
+from kestrel.llm.common import cut, in_batches
 
 LENGTH = 400
 GRAM = 128           # a power of two below LENGTH
@@ -231,12 +231,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     if not TOP <= length <= 2 * TOP or gram >= length or gram not in (32, 64, 128, 256):
         raise ValueError("length must be 256 to 512 and gram a smaller power of two")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    base = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     base = base.withColumn("k", F.xxhash64("doc_id", "text"))
     runs = base.select("k", "text").mapInArrow(_run_rows(length, gram), RUNS)
 
     # initial buckets
-    shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    # cut: a join with a plain exchange on both sides is one whose hot keys Spark can split
+    shared = cut(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     runs = cut(runs.join(shared, "bucket"))
     # refined buckets: equal runs. min_by gives the position that belongs to the smallest k
     same = ["bucket", "span", "run"]
