@@ -14,7 +14,8 @@ Two documents link when ``100 * |A n B| >= 75 * |A u B|`` for their sets of 5-wo
    ranges) is traversed against itself; a pair of nodes goes when its sizes or its largest
    possible overlap exclude 0.75, and so does every pair already in one component.
 4. Surviving pairs are verified exactly on the full sets, in three rounds: first a spanning
-   forest per group, then the four best partners outside one's component, last all that is left.
+   forest per group, then the four best partners outside one's component, last all that is left
+   (from the second round on a pair counts only in the group of the smallest shingle it shares).
    After each round, links are merged into components, so dense groups of near
    copies are never expanded into all pairs, and no link between different sets is lost.
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import cut
+from kestrel.llm.common import cut, if_small, in_batches
 from kestrel.llm.components import components
 
 SHINGLE = 5
@@ -71,11 +72,9 @@ def _profile(batches):
         n_all, s1, s2, sketch, bits = [], [], [], [], []
         for a, b, sets, begins in shingle_sets(text):
             n = np.diff(begins)
-            with np.errstate(over="ignore"):
-                c1 = np.concatenate([[np.uint64(0)], np.cumsum(sets, dtype=np.uint64)])
-                c2 = np.concatenate([[np.uint64(0)], np.cumsum(W.mix64(sets + np.uint64(77)), dtype=np.uint64)])
-                s1.append((c1[begins[1:]] - c1[begins[:-1]]).view(np.int64))
-                s2.append((c2[begins[1:]] - c2[begins[:-1]]).view(np.int64))
+            i1, i2 = _identity(sets, begins)
+            s1.append(i1)
+            s2.append(i2)
             n_all.append(n)
             widths = bitmap_width(n)
             for i in range(b - a):
@@ -93,13 +92,22 @@ def _profile(batches):
             names=["doc_id", "n_shingles", "s1", "s2", "sketch", "bits"])
 
 
+def _identity(sets, begins):
+    """Two 64-bit sums that name each set."""
+    with np.errstate(over="ignore"):
+        c1 = np.concatenate([[np.uint64(0)], np.cumsum(sets, dtype=np.uint64)])
+        c2 = np.concatenate([[np.uint64(0)], np.cumsum(W.mix64(sets + np.uint64(77)), dtype=np.uint64)])
+        return (c1[begins[1:]] - c1[begins[:-1]]).view(np.int64), (c2[begins[1:]] - c2[begins[:-1]]).view(np.int64)
+
+
 def _full_sets(batches):
     for batch in batches:
-        ids, text = batch.column("rep"), batch.column("text")
-        sets_out = []
-        for a, b, sets, begins in shingle_sets(text):
-            sets_out += [sets[begins[i]:begins[i + 1]].tobytes() for i in range(b - a)]
-        yield pa.RecordBatch.from_arrays([ids, pa.array(sets_out, pa.binary())], names=["rep", "set"])
+        for a, b, sets, begins in shingle_sets(batch.column("text")):
+            s1, s2 = _identity(sets, begins)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.diff(begins), pa.int64()), pa.array(s1), pa.array(s2),
+                 pa.array([sets[begins[i]:begins[i + 1]].tobytes() for i in range(b - a)], pa.binary())],
+                names=["n_shingles", "s1", "s2", "set"])
 
 
 # ---- signature trees -------------------------------------------------------------------
@@ -107,10 +115,21 @@ def _full_sets(batches):
 class _Groups:
     """Members of consecutive groups as flat arrays; bitmaps are kept as Python bytes."""
 
-    def __init__(self, key, side, rep, comp, n, bits):
-        self.key, self.side, self.rep, self.comp, self.n, self.bits = key, side, rep, comp, n, bits
+    def __init__(self, k, side, rep, comp, n, t, bits, sketch):
+        self.key, self.side, self.rep, self.comp, self.n, self.token, self.bits = k, side, rep, comp, n, t.view(np.uint64), bits
+        self.sketch = sketch       # rows of SKETCH smallest shingles, padded with the largest number; None in the first round
         self.rows = {}
 
+    def here(self, x, y):
+        """Which pairs of members belong to this group: that of the smallest shingle they share."""
+        ok = np.ones(len(x), bool)
+        if self.sketch is not None:
+            for at in range(0, len(x), 8192):
+                a, b = self.sketch[x[at:at + 8192]], self.sketch[y[at:at + 8192]]
+                shared = (a[:, :, None] == b[:, None, :]).any(2)
+                ok[at:at + 8192] = a[np.arange(len(a)), shared.argmax(1)] == self.token[x[at:at + 8192]]
+        return ok
+
     def bitmap(self, i: int, width: int) -> np.ndarray:
         """Member ``i``'s bitmap folded to ``width`` bits, as 64-bit words."""
         got = self.rows.get((i, width))
@@ -223,6 +242,8 @@ def _small_pairs(g: _Groups, starts, sizes):
     x, y = (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int),) * 2
     keep = (g.comp[x] != g.comp[y]) & _reach(g.n[x], g.n[y])
     x, y = x[keep], y[keep]
+    keep = g.here(x, y)
+    x, y = x[keep], y[keep]
     lens = np.array([len(b) for b in g.bits], np.int64)
     width = np.minimum(lens[x], lens[y])
     score = np.zeros(len(x))
@@ -265,11 +286,12 @@ def _emit(g: _Groups, x, y, score, best: int):
 
 
 def _candidates(best: int):
-    schema = ["k", "side", "rep", "comp", "n", "bits"]
+    flat = ["k", "side", "rep", "comp", "n", "t"]
 
     def run(held):
-        cols = {c: np.concatenate([h[c] for h in held]) if c != "bits" else [x for h in held for x in h[c]] for c in schema}
-        g = _Groups(**{"key" if c == "k" else c: v for c, v in cols.items()})
+        cols = {c: np.concatenate([h[c] for h in held]) for c in flat}
+        g = _Groups(**cols, bits=[x for h in held for x in h["bits"]],
+                    sketch=np.concatenate([h["sketch"] for h in held]) if best != 1 else None)
         bounds = np.flatnonzero(np.concatenate([[True], g.key[1:] != g.key[:-1], [True]]))
         starts, sizes = bounds[:-1], np.diff(bounds)
         small = (sizes >= 2) & (sizes <= LEAF)
@@ -282,6 +304,7 @@ def _candidates(best: int):
 
             def visit(i, j, sc):
                 cross = (g.comp[i] != g.comp[j]) & ((g.side[i] != g.side[j]) | (g.side[i] == 0))
+                cross[cross] = g.here(i[cross], j[cross])
                 for a, b, c in zip(i[cross], j[cross], sc[cross], strict=True):
                     if not met or union.join(int(g.comp[a]), int(g.comp[b])):
                         found.append((a, b, c))
@@ -302,12 +325,18 @@ def _candidates(best: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in schema[:-1]}
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in flat}
             part["bits"] = batch.column("bits").to_pylist()
+            if best != 1:
+                lists = batch.column("sketch")
+                size = np.diff(lists.offsets.to_numpy())
+                rows_at = np.repeat(np.arange(len(size)), size)
+                cols_at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                part["sketch"] = np.full((len(size), SKETCH), np.iinfo(np.uint64).max, np.uint64)
+                part["sketch"][rows_at, cols_at] = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             key = part["k"]
             if rows + len(key) >= 1 << 15 and rows:
                 # everything before this batch's last key is whole
-                cut_at = int(np.searchsorted(key != key[-1], False, side="left")) if key[0] != key[-1] else 0
                 cut_at = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
                 if cut_at:
                     held.append({c: v[:cut_at] for c, v in part.items()})
@@ -341,57 +370,70 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
 
     Defined cases: null, empty or wordless text has an empty set and links with nothing;
     a text of fewer than five words has one shingle, the whole; equal sets always link;
-    repeated rows (same id and text) give one row, rows of one id with different texts one row
-    each, and links through any of them count for the id; a null id keeps its row with its
-    set size and links with nothing (component null); an empty table gives no rows; other
-    columns are ignored.
+    repeated rows (same id and text) give one row, rows of one id with different sets one row
+    each; a null id keeps its row with its set size, links with nothing and has a null
+    component; an empty table gives no rows; other columns are ignored.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    base = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     profile = cut(base.mapInArrow(_profile, PROFILE))
     same = ["n_shingles", "s1", "s2"]
+    cid = F.xxhash64(*same).alias("cid")
     classes = cut(profile.where("n_shingles > 0 and doc_id is not null")
-                  .groupBy(*same, "sketch", "bits").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+                  .groupBy(*same, "sketch", "bits").agg(F.min("doc_id").alias("rep"))
+                  .select(cid, "rep", F.col("n_shingles").alias("n"), "sketch", "bits"))
 
-    tokens = classes.select("rep", F.explode("sketch").alias("t"))
+    tokens = classes.select("cid", F.explode("sketch").alias("t"))
+    # cut: a join with a plain exchange on both sides is one whose hot keys Spark can split
     shared = cut(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    grouped = cut(tokens.join(shared, "t").select("t", "rep", "c"))
-    suspects = grouped.select("rep").distinct()
-    sets = cut(base.join(suspects, base["doc_id"] == suspects["rep"], "inner").select("rep", "text").distinct()
-               .mapInArrow(_full_sets, "rep long, set binary"))
-    # an id with several texts keeps the sets of its classes apart by their identity
-    marks = classes.select("rep", F.col("n_shingles").alias("n"), "bits")
-
-    labels, links, tested = None, None, None
+    grouped = cut(tokens.join(shared, "t").select("t", "cid", "c"))
+    marks = classes.select("cid", "n", "bits", "sketch")
+
+    labels, links, tested, sets = None, None, None, None
     for best in (1, 4, 0):
-        rows = grouped.join(marks, "rep")
+        rows = grouped.join(marks, "cid")
         if labels is None:
-            rows = rows.withColumn("comp", F.col("rep"))
+            rows = rows.withColumn("comp", F.col("cid"))
         else:
-            rows = rows.join(labels, rows["rep"] == labels["id"], "left").withColumn("comp", F.coalesce("component", "rep"))
+            rows = rows.join(labels, rows["cid"] == labels["id"], "left").withColumn("comp", F.coalesce("component", "cid"))
             open_ = rows.groupBy("t").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("t")
             rows = rows.join(open_, "t", "left_semi")
         # groups beyond BLOCK members: blocks by hash, every pair of blocks (and each by itself)
         n_blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
-        mine = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
+        mine = F.pmod(F.xxhash64("cid"), n_blocks).cast("int")
         rows = rows.withColumn("_b", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         rows = rows.select(F.xxhash64("t", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("k"),
                            F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2).alias("side"),
-                           "rep", "comp", "n", "bits")
-        pairs = (rows.repartition("k").sortWithinPartitions("k").mapInArrow(_candidates(best), "a long, b long").distinct())
+                           F.col("cid").alias("rep"), "comp", "n", "t", "bits", *([] if best == 1 else ["sketch"]))
+        pairs = rows.repartition("k").sortWithinPartitions("k").mapInArrow(_candidates(best), "a long, b long").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a")
-                .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b"))
+        if sets is None:
+            # Whoever has a possible partner is in the first round's forests: only their sets are
+            # needed, and only they can meet again.
+            ends = cut(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+            wanted = cut(classes.join(ends, "cid").select(F.col("rep").alias("_id")).distinct())
+            texts = base.join(if_small(wanted), F.col("doc_id") == F.col("_id"), "inner").select("text")
+            sets = cut(texts.mapInArrow(_full_sets, "n_shingles long, s1 long, s2 long, set binary").select(cid, "set"))
+            grouped = cut(grouped.join(ends, "cid"))
+        if pairs.isEmpty():
+            break       # nothing untested is left across components
+        both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a")
+                .join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b"))
         found = cut(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
         tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = cut(components(links))
-
-    named = (classes.select(*same, "rep").join(labels, classes["rep"] == labels["id"], "left")
-             .select(*[F.col(c).alias(f"_{c}") for c in same], F.coalesce("component", "rep").alias("component_id")))
-    out = profile.select("doc_id", *same).distinct().join(
-        named, [F.col(c) == F.col(f"_{c}") for c in same], "left")
+        if labels is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = components(links)
+
+    if labels is None:
+        labels = classes.select(F.col("cid").alias("id"), F.col("cid").alias("component")).limit(0)
+    # the smallest document id of every component
+    member = classes.join(labels, classes["cid"] == labels["id"], "left").select("cid", "rep", F.coalesce("component", "cid").alias("comp"))
+    least = member.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    named = member.join(least, "comp").select(F.col("cid").alias("_c"), "component_id")
+    out = profile.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid")).distinct()
+    out = out.join(named, F.col("cid") == F.col("_c"), "left")
     return out.select("doc_id", "n_shingles",
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
