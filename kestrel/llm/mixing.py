@@ -243,7 +243,7 @@ def op1_mixing(spark, sf_dir):
     from kestrel.llm.common import table
 
     plan = mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", F.size("pieces").cast("long").alias("n_pieces"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 # The prefix of the permuted stream, restated in plain SQL (the tree only decides the shards).
