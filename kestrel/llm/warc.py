@@ -16,6 +16,7 @@ against the total length, and decoded. Revisits take length and digest from the
 
 from __future__ import annotations
 
+import base64
 import uuid
 import zlib
 
@@ -47,13 +48,13 @@ def payload_digest(payload: Column) -> Column:
 
 
 def classify(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, digest, refers_to: null for the page that is written whole.
+    """page_id, url, html, digest (SHA-1 in hex), refers_to: null for the page that is written whole.
 
     Pages with a null id never stand for others.
     """
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    p = p.withColumn("digest", payload_digest(F.encode("html", "UTF-8")))
+    p = p.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     last = p.groupBy("digest").agg(F.max("page_id").alias("_last"))
     refers = F.when(F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last")), F.col("_last"))
     return p.join(last, "digest").select("page_id", "url", F.when(refers.isNull(), F.col("html")).alias("html"), "digest",
@@ -94,6 +95,7 @@ def _to_records(segment_bytes: int):
             out = []
             for page, url, html, digest, refers in zip(*[batch.column(c).to_pylist() for c in (
                     "page_id", "url", "html", "digest", "refers_to")], strict=True):
+                digest = base64.b32encode(bytes.fromhex(digest)).decode()
                 # a null id gets a record id of its own payload
                 rid = f"urn:page:{page}" if page is not None else f"urn:nopage:{digest}"
                 uri = None if url is None else "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
