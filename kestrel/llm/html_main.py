@@ -3,15 +3,16 @@
 1. Pages are ordered by host and URL path; a page's neighbour is the page before or after it in that
    order, on the same host, whose path shares the longer prefix. The order is cut into ranges, so a host
    with a third of all pages is many tasks, and the ends of the ranges are matched exactly.
-2. Every page is read into text blocks (a block element's text). The neighbour sends the hashes
-   of its blocks; blocks on a longest common subsequence of both pages are shared.
-3. Shared blocks are deleted. Elements that say what they are decide before that: navigation, page header
-   and footer, aside, form, script, style and blocks named as advert, notice, menu, comment and the like go
-   in any case; blocks inside an article element (else main) stay although a neighbour repeats
-   them, and when there are such blocks, everything outside them goes.
+2. Every page is read into text blocks (a block element's text). Navigation, page header and footer,
+   aside, form, script, style and blocks named as advert, notice, menu, comment and the like go in any
+   case. The neighbour sends the hashes of all its other blocks; blocks on a longest common subsequence
+   of both pages are shared.
+3. Shared blocks are deleted. An article element stays whole if any of its blocks is the page's own,
+   so paragraphs that two articles share are kept; one that the neighbour repeats whole (a teaser) goes
+   if the page's own text is longer.
 
 Differencing alone deletes paragraphs that two articles share and keeps adverts that change with the
-page, hence the rule in 3. Pages are parsed in Arrow batches; html is shuffled once.
+page, hence the elements and names. Pages are parsed in Arrow batches; html is shuffled once.
 """
 
 from __future__ import annotations
@@ -67,17 +68,18 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
     return bool(names & NAMED) or ("header" in names and not in_article)
 
 
-def blocks(page: str) -> list[tuple[str, str]]:
-    """(zone, text) of every non-empty block: zone is drop, article, main or body."""
+def blocks(page: str) -> list[tuple[str, int, str]]:
+    """(zone, article, text) of every non-empty block that is not dropped: zone is article, main or
+    body; article numbers the innermost article element (0 outside)."""
     out, text = [], []
-    stack = []          # (tag, zone) of open elements
-    zone = "body"
+    stack = []          # (tag, zone, article) of open elements
+    zone, article, n_articles = "body", 0, 0
 
     def flush():
         if text:
             line = " ".join(html.unescape("".join(text)).split())
-            if line:
-                out.append((zone, line))
+            if line and zone != "drop":
+                out.append((zone, article, line))
             text.clear()
 
     for m in TOKEN.finditer(page):
@@ -94,29 +96,29 @@ def blocks(page: str) -> list[tuple[str, str]]:
         if tag not in INLINE:
             flush()
         if m[2]:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, *_ in stack):
                 while stack:
-                    t, _ = stack.pop()
-                    if t == tag:
+                    if stack.pop()[0] == tag:
                         break
         elif tag not in VOID:
             ends = CLOSES_SELF.get(tag)
             if ends and stack and stack[-1][0] in ends:
                 stack.pop()
-                zone = stack[-1][1] if stack else "body"
-            new = zone
+                _, zone, article = stack[-1] if stack else ("", "body", 0)
+            new, inner = zone, article
             if zone != "drop":
                 inside = zone == "article"
                 if _is_noise(tag, m[4], inside):
                     flush()
                     new = "drop"
                 elif tag == "article":
-                    new = "article"
+                    n_articles += 1
+                    new, inner = "article", n_articles
                 elif tag == "main" and zone == "body":
                     new = "main"
             if not m[4].rstrip().endswith("/"):
-                stack.append((tag, new))
-        zone = stack[-1][1] if stack else "body"
+                stack.append((tag, new, inner))
+        _, zone, article = stack[-1] if stack else ("", "body", 0)
     flush()
     return out
 
@@ -161,21 +163,35 @@ def shared_lines(a, b) -> set[int]:
 def main_text(page: str, neighbour=None) -> str:
     """The main text of a page, given its neighbour's block hashes (None: no neighbour)."""
     got = blocks(page)
-    for zone in ("article", "main"):
-        if any(z == zone for z, _ in got):
-            return " ".join(x for z, x in got if z == zone)
-    rest = [x for z, x in got if z == "body"]
-    if neighbour is not None and rest:
-        own = _hashes(rest).tolist()
-        shared = shared_lines(own, list(neighbour))
-        kept = [x for i, x in enumerate(rest) if i not in shared]
-        rest = kept or rest     # a copy of the neighbour says nothing about what is boilerplate
-    return " ".join(rest)
+    zones = {z for z, _, _ in got}
+    best = next((z for z in ("article", "main", "body") if z in zones), "body")
+    marked = [i for i, (z, _, _) in enumerate(got) if z == best]
+    if neighbour is not None:
+        shared = shared_lines(_hashes([x for _, _, x in got]).tolist(), list(neighbour))
+        stay = _told(got, shared)
+        # a copy of the neighbour says nothing about what is boilerplate
+        marked = [i for i in marked if i in stay] or marked
+    return " ".join(got[i][2] for i in marked)
+
+
+def _told(got, shared: set[int]) -> set[int]:
+    """Blocks that stay by their elements and by the difference together."""
+    own = {i for i in range(len(got)) if i not in shared}
+    length = sum(len(got[i][2]) for i in own)
+    articles = {}
+    for i, (_, a, _) in enumerate(got):
+        if a:
+            articles.setdefault(a, []).append(i)
+    stay = set(own)
+    for rows in articles.values():
+        if not own.isdisjoint(rows) or sum(len(got[i][2]) for i in rows) >= length:
+            stay.update(rows)
+    return stay | {i for i, (z, _, _) in enumerate(got) if z == "main"}
 
 
 def _line_rows(batches):
     for batch in batches:
-        out = [_hashes([x for z, x in blocks(p or "") if z == "body"]) for p in batch.column("html").to_pylist()]
+        out = [_hashes([x for _, _, x in blocks(p or "")]) for p in batch.column("html").to_pylist()]
         lens = np.cumsum([0, *[len(x) for x in out]]).astype(np.int32)
         lines = pa.ListArray.from_arrays(pa.array(lens), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64), pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column("k"), lines], names=["k", "lines"])

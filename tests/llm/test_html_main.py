@@ -61,6 +61,14 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert got[(903, "http://same/a")][0] == "same page"
 
 
+def test_the_difference_takes_part_where_there_is_an_article(spark):
+    teaser = "<article><p>Read our other story</p></article>"
+    html = ["<html><body><main><article><p>Own paragraph of page {i}</p><p>A shared paragraph</p><p>Last of {i}</p></article>{t}</main>".format(i=i, t=teaser)
+            for i in (1, 2)]
+    got = {r.page_id: r.text for r in html_main.extract_main(spark_pages(spark, [(i, f"http://h/{i}", html[i - 1]) for i in (1, 2)])).collect()}
+    assert got == {i: f"Own paragraph of page {i} A shared paragraph Last of {i}" for i in (1, 2)}
+
+
 def test_neighbours_do_not_depend_on_the_ranges(spark):
     rows = [(i, f"http://h/{i // 3:02d}/{i:03d}", page([str(i)])) for i in range(60)]
     out = []
