@@ -9,7 +9,9 @@
    of both pages are shared.
 3. Shared blocks are deleted. An article element stays whole if any of its blocks is the page's own,
    so paragraphs that two articles share are kept; one that the neighbour repeats whole (a teaser) goes
-   if the page's own text is longer.
+   if the page's own text is longer. In main, shared blocks between two that stay are kept as well.
+   The page's own blocks stay wherever they are. Without a neighbour, or if it repeats all blocks, all
+   stay, except those outside both main and articles where there is a main.
 
 Differencing alone deletes paragraphs that two articles share and keeps adverts that change with the
 page, hence the elements and names. Pages are parsed in Arrow batches; html is shuffled once.
@@ -69,8 +71,8 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
 
 
 def blocks(page: str) -> list[tuple[str, int, str]]:
-    """(zone, article, text) of every non-empty block that is not dropped: zone is article, main or
-    body; article numbers the innermost article element (0 outside)."""
+    """(zone, article, text) of every non-empty block that is not dropped: zone is main or body;
+    article numbers the innermost article element (0 outside)."""
     out, text = [], []
     stack = []          # (tag, zone, article) of open elements
     zone, article, n_articles = "body", 0, 0
@@ -107,14 +109,13 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 _, zone, article = stack[-1] if stack else ("", "body", 0)
             new, inner = zone, article
             if zone != "drop":
-                inside = zone == "article"
-                if _is_noise(tag, m[4], inside):
+                if _is_noise(tag, m[4], article > 0):
                     flush()
                     new = "drop"
                 elif tag == "article":
                     n_articles += 1
-                    new, inner = "article", n_articles
-                elif tag == "main" and zone == "body":
+                    inner = n_articles
+                elif tag == "main" and not article:
                     new = "main"
             if not m[4].rstrip().endswith("/"):
                 stack.append((tag, new, inner))
@@ -163,30 +164,32 @@ def shared_lines(a, b) -> set[int]:
 def main_text(page: str, neighbour=None) -> str:
     """The main text of a page, given its neighbour's block hashes (None: no neighbour)."""
     got = blocks(page)
-    zones = {z for z, _, _ in got}
-    best = next((z for z in ("article", "main", "body") if z in zones), "body")
-    marked = [i for i, (z, _, _) in enumerate(got) if z == best]
+    stay = set()
     if neighbour is not None:
-        shared = shared_lines(_hashes([x for _, _, x in got]).tolist(), list(neighbour))
-        stay = _told(got, shared)
-        # a copy of the neighbour says nothing about what is boilerplate
-        marked = [i for i in marked if i in stay] or marked
-    return " ".join(got[i][2] for i in marked)
+        stay = _told(got, shared_lines(_hashes([x for *_, x in got]).tolist(), list(neighbour)))
+    if not stay:    # no neighbour, or a copy of it, says nothing about what is boilerplate; main does
+        has_main = any(z == "main" for z, *_ in got)
+        stay = {i for i, (z, a, _) in enumerate(got) if z == "main" or a or not has_main}
+    return " ".join(got[i][2] for i in sorted(stay))
 
 
 def _told(got, shared: set[int]) -> set[int]:
-    """Blocks that stay by their elements and by the difference together."""
-    own = {i for i in range(len(got)) if i not in shared}
-    length = sum(len(got[i][2]) for i in own)
+    """Blocks that stay by their elements and by the difference together; none if all are shared."""
+    stay = {i for i in range(len(got)) if i not in shared}
+    if not stay:
+        return stay
+    length = sum(len(got[i][2]) for i in stay)
     articles = {}
     for i, (_, a, _) in enumerate(got):
         if a:
             articles.setdefault(a, []).append(i)
-    stay = set(own)
     for rows in articles.values():
-        if not own.isdisjoint(rows) or sum(len(got[i][2]) for i in rows) >= length:
+        if not stay.isdisjoint(rows) or sum(len(got[i][2]) for i in rows) >= length:
             stay.update(rows)
-    return stay | {i for i, (z, _, _) in enumerate(got) if z == "main"}
+    inside = [i for i in stay if got[i][0] == "main"]
+    if inside:
+        stay.update(i for i in range(min(inside), max(inside)) if got[i][0] == "main" and not got[i][1])
+    return stay
 
 
 def _line_rows(batches):

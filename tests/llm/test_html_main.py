@@ -69,6 +69,24 @@ def test_the_difference_takes_part_where_there_is_an_article(spark):
     assert got == {i: f"Own paragraph of page {i} A shared paragraph Last of {i}" for i in (1, 2)}
 
 
+def test_text_outside_an_article_stays_unless_the_neighbour_has_it():
+    def near(page):
+        return html_main._hashes([x for *_, x in html_main.blocks(page)]).tolist()
+
+    lead = "<main><p>{0} lead</p><article><p>{0} x</p></article><p>{0} rest</p></main>"
+    assert html_main.main_text(lead.format(1)) == "1 lead 1 x 1 rest"
+    assert html_main.main_text(lead.format(1), near(lead.format(2))) == "1 lead 1 x 1 rest"
+    crumbs = "<div>Home and more</div><main><p>Crumbs</p><p>{0} lead</p><p>both</p><article><p>{0} x</p></article><p>See also</p></main><p>{0} after</p><p>End</p>"
+    assert html_main.main_text(crumbs.format(1), near(crumbs.format(2))) == "1 lead both 1 x 1 after"
+    for tag in ("div", "main"):
+        teaser = f"<{tag}><p>The long main text of page {{0}}</p></{tag}><article><p>A {{1}} card</p></article>"
+        assert html_main.main_text(teaser.format(1, "teaser")) == "The long main text of page 1 A teaser card"
+        assert html_main.main_text(teaser.format(1, "teaser"), near(teaser.format(2, "teaser"))) == "The long main text of page 1"
+        assert html_main.main_text(teaser.format(1, "first"), near(teaser.format(2, "second"))) == "The long main text of page 1 A first card"
+    copy = "<article><p>An article under two addresses</p></article>"
+    assert html_main.main_text(copy + "<p>Printed at 9</p>", near(copy)) == "An article under two addresses Printed at 9"
+
+
 def test_neighbours_do_not_depend_on_the_ranges(spark):
     rows = [(i, f"http://h/{i // 3:02d}/{i:03d}", page([str(i)])) for i in range(60)]
     out = []
