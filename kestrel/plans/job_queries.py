@@ -35,12 +35,12 @@ def _fields(lines: DataFrame, pattern: str, **cols: str) -> DataFrame:
 
 
 def _write_doc_lines(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
-    """The documents' lines as two inputs (odd and even ids), for jobs that take many paths."""
+    """The documents' lines as two inputs (odd and even ids, null ids with the even), for jobs that take many paths."""
     lines = fx.doc_lines(spark, sf_dir)
     paths = []
     for i in (0, 1):
         paths.append(f"{folder}/in{i}")
-        sinks.write_lines(lines.where(F.pmod("doc_id", F.lit(2)) == i).select(F.col("line").alias("value")), paths[-1])
+        sinks.write_lines(lines.where(F.coalesce(F.pmod("doc_id", F.lit(2)), F.lit(0)) == i).select(F.col("line").alias("value")), paths[-1])
     return paths
 
 

@@ -22,6 +22,15 @@ def _read_parts(path):
     return out
 
 
+def test_job_queries_count_documents_with_a_null_id(spark, tmp_path):
+    from kestrel.plans import job_queries
+
+    rows = [(1, "a b\nb"), (2, "b c"), (None, "a a d")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.word: r.n for r in job_queries.job_word_count(spark, str(tmp_path)).collect()} == {"a": 3, "b": 3, "c": 1, "d": 1}
+    assert {r.bigram: r.n for r in job_queries.job_bigrams(spark, str(tmp_path)).collect()} == {"a b": 1, "b c": 1, "a a": 1, "a d": 1}
+
+
 def test_bigram_job(spark, tmp_path):
     inp = _write(tmp_path, "in.txt", ["a b. a b", "x - y a b", "Q"])
     out = str(tmp_path / "out")
