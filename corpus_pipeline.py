@@ -59,13 +59,18 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: one row per drawn piece with its shard, its place there and its text.
 
-    The plan is made on narrow rows; the texts are joined to the pieces once.
+    The plan is made on narrow rows; the texts, one of each id and text, are joined to the pieces once.
     """
     d = docs.select(*COLUMNS, F.xxhash64("text").alias("text_key"))
-    plan = mixing.mix_plan(d, keep=["text_key"])
-    pieces = mixing.pieces(plan).select("doc_id", "text_key", "shard", "place", "epoch", "first_word", "words", "size", "target")
-    keyed = pieces.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_k")
-    rows = d.join(keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_k")))
+    plan = mixing.mix_plan(d, keep=["text_key", "lang"])
+    pieces = mixing.pieces(plan).select("doc_id", "text_key", "lang", "source", "shard", "place", "epoch", "first_word", "words", "size", "target")
+    texts = d.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_k"), "text")
+    twice = cut(texts.groupBy("_id", "_k").count().where("count > 1").select(F.col("_id").alias("_d"), F.col("_k").alias("_t")))
+    if not twice.isEmpty():     # every row has its own pieces: one text serves them all
+        same = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t"))
+        again = texts.join(if_small(twice), same, "left_semi").dropDuplicates(["_id", "_k"])
+        texts = texts.join(if_small(twice), same, "left_anti").unionByName(again)
+    rows = texts.join(pieces, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_k")))
     words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
     part = F.array_join(F.slice(words, (F.col("first_word") + 1).cast("int"), F.col("words").cast("int")), " ")
     text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(part)

@@ -51,6 +51,21 @@ def test_near_duplicate_stage_keeps_one_of_equal_rows(spark):
     assert got == sorted([(1, "a b c d e f"), (3, ""), (None, "x")], key=str)
 
 
+def test_mixing_stage_draws_each_piece_once_for_repeated_rows(spark):
+    rows = [(None, "one two three four", "en", "a", 18)] * 3 + [(None, "one two three four", "de", "b", 18), (5, "five six seven", "en", "a", 14),
+            (5, "five six seven", "en", "a", 14), (6, "eight nine ten", None, "b", 14), (7, "x", "en", None, 1), (8, None, "en", "a", None)]
+    got = pipeline.mixing_stage(spark, odd.documents(spark, rows), SMALL).collect()
+    size = {}
+    for _, t, lang, source, _ in rows:
+        size[source] = size.get(source, 0) + len((t or "").split())
+    drawn = {}
+    for r in got:
+        assert len(r.text.split()) == r.n_words and (r.doc_id, r.lang, r.source) in {(i, x, s) for i, _, x, s, _ in rows}
+        drawn[r.source] = drawn.get(r.source, 0) + r.n_words
+    target = {r.source: r.source_target for r in got}
+    assert all(abs(drawn[s] - target[s]) <= 1 and drawn[s] <= 2 * size[s] for s in drawn) and len(drawn) == 3
+
+
 def test_run_registers_and_works(spark):
     import __spark_entry__ as entry
 
