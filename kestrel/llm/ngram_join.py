@@ -417,6 +417,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
             sets = cut(texts.mapInArrow(_full_sets, "n_shingles long, s1 long, s2 long, set binary").select(cid, "set"))
             grouped = cut(grouped.join(ends, "cid"))
         if pairs.isEmpty():
+            if best == 4:
+                continue    # all the best are tested: what is left is listed in the last round
             break       # nothing untested is left across components
         both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b"))
