@@ -3,10 +3,11 @@
 The text view reads shape statistics of the whole text (character classes, word and line lengths,
 repeats, sentence ends); the metadata view reads language, source and length columns, never the
 text. Each is a logistic model on standardised features. Starting from a bounded sample of
-labelled rows (``MAX_TRAIN``, smallest id hashes) and a bounded pool of unlabelled rows
-(``MAX_POOL``), in each round every view hands its confident pseudo-labels to the other's training set.
+labelled rows (``MAX_TRAIN``, smallest id hashes), in each round every view hands its confident
+pseudo-labels, among all rows that the sample does not hold, to the other's training set. Their features
+are written once, and the scores' histograms and the sums of the Newton steps are aggregates over them.
 Both views are then calibrated on labelled rows that neither has seen, and a logistic model of the two
-calibrated logits scores all documents in Arrow batches. Only features of the samples reach the driver.
+calibrated logits scores all documents in Arrow batches. Only features of the sample and sums reach the driver.
 """
 
 from __future__ import annotations
@@ -17,11 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import in_batches
+from kestrel.llm.common import cut, in_batches
 from kestrel.llm.toxicity import held_out, labelled_sample
 
-MAX_TRAIN, MAX_POOL = 12_000, 12_000
+MAX_TRAIN = 12_000
 ROUNDS, CONFIDENT, SHARE = 4, 0.97, 0.1   # per round a view may hand over this share of the pool
+WEIGHT, STEPS = 0.5, 25                   # of a pseudo-label; Newton steps at most
+VIEWS = ("text", "meta")
+BINS = 4_096                              # of a score's histogram
+SURE = float(np.log(CONFIDENT / (1 - CONFIDENT)))
 VALID = 0.3                               # share of the sample kept for calibration
 MAX_REJECTED_CLEAN = 0.005                # share of clean calibration rows the cut may reject
 SOURCE_SLOTS, LANG_SLOTS = 32, 8
@@ -142,22 +147,36 @@ class Logistic:
         z = np.hstack([z, z * z - 1]) if self.squares else z
         return np.hstack([np.clip(z, -8, 8), np.ones((len(x), 1))])
 
-    def fit(self, x, y, weight=None):
-        self.mean, self.sd = x.mean(0), x.std(0) + 1e-9
+    def scale(self, n, total, squared):
+        """Standardisation from a count, sums and sums of squares."""
+        self.mean = total / n
+        self.sd = np.sqrt(np.maximum(squared / n - self.mean ** 2, 0)) + 1e-9
         self.sd[self.sd < 1e-6] = 1.0
-        a, w = self.lift(x), np.ones(len(y)) if weight is None else weight
-        rate = np.clip((w * y).sum() / w.sum(), 1e-3, 1 - 1e-3)
-        self.beta = np.zeros(a.shape[1])
+
+    def start(self, rate):
+        rate = np.clip(rate, 1e-3, 1 - 1e-3)
+        self.beta = np.zeros(self.lift(self.mean[None]).shape[1])
         self.beta[-1] = np.log(rate / (1 - rate))
-        pull = np.full(a.shape[1], self.l2)
+
+    def sums(self, x, y, w):
+        """Gradient and Hessian of the rows, without the penalty."""
+        a = self.lift(x)
+        p = _sigmoid(a @ self.beta)
+        return a.T @ (w * (p - y)), (a * (w * p * (1 - p) + 1e-9)[:, None]).T @ a
+
+    def step(self, grad, hess) -> bool:
+        """One Newton step; whether it was the last."""
+        pull = np.full(len(self.beta), self.l2)
         pull[-1] = 1e-6
-        for _ in range(25):
-            p = _sigmoid(a @ self.beta)
-            grad = a.T @ (w * (p - y)) + pull * self.beta
-            hess = (a * (w * p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag(pull)
-            step = np.linalg.solve(hess, grad)
-            self.beta -= np.clip(step, -4, 4)
-            if np.abs(step).max() < 1e-6:
+        step = np.linalg.solve(hess + np.diag(pull), grad + pull * self.beta)
+        self.beta = self.beta - np.clip(step, -4, 4)
+        return bool(np.abs(step).max() < 1e-6)
+
+    def fit(self, x, y):
+        self.scale(*_moments(x))
+        self.start(y.mean())
+        for _ in range(STEPS):
+            if self.step(*self.sums(x, y, np.ones(len(y)))):
                 break
         return self
 
@@ -165,30 +184,121 @@ class Logistic:
         return self.lift(x) @ self.beta
 
 
-def co_train(text, meta, y, pool_text, pool_meta, seed: int = 5):
-    """(text model, metadata model, combiner, cut): see the module's text."""
+def _moments(x):
+    return np.array(float(len(x))), x.sum(0), (x * x).sum(0)
+
+
+def _bins(z):
+    return np.clip(((z + 40) * (BINS / 80)).astype(np.int64), 0, BINS - 1)
+
+
+def _given(x, draw, past):
+    """Per view the pseudo-label that the past rounds hand over for each pool row (nan: none). The first one stays."""
+    out = {v: np.full(len(draw), np.nan) for v in VIEWS}
+    for models, limits in past:
+        for view, other in (VIEWS, VIEWS[::-1]):
+            z = models[view].logit(x[view])
+            b = _bins(z)
+            for label, sign in ((1, 1), (0, -1)):
+                edge, share = limits[view][label]
+                pick = (sign * z >= SURE) & ((sign * (b - edge) > 0) | ((b == edge) & (draw < share)))
+                out[other][pick & np.isnan(out[other])] = label
+    return out
+
+
+def _pool_sums(what, past, models):
+    """A function of pool rows whose results add up: ``bins`` (scores per view), ``moments`` or ``newton``
+    of the rows handed to each view so far."""
+    def run(x, draw):
+        if what == "bins":
+            return [np.bincount(_bins(models[v].logit(x[v])), minlength=BINS).astype(float) for v in VIEWS]
+        out = []
+        for v, y in _given(x, draw, past).items():
+            at = ~np.isnan(y)
+            rows = x[v][at]
+            out += [*_moments(rows), np.array(y[at].sum())] if what == "moments" else models[v].sums(rows, y[at], np.full(len(rows), WEIGHT))
+        return out
+    return run
+
+
+class ArrayPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, text, meta):
+        self.x = dict(zip(VIEWS, (text, meta), strict=True))
+        self.draw = W.mix64(np.arange(len(text), dtype=np.uint64)) / 2.0 ** 64
+        self.size = len(text)
+
+    def total(self, *asked):
+        return _pool_sums(*asked)(self.x, self.draw)
+
+
+class TablePool:
+    """Unlabelled rows as a table of features (text, meta, draw); sums are Spark aggregates."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.size = rows, rows.count()
+
+    def total(self, *asked):
+        def run(batches):
+            add, total = _pool_sums(*asked), None
+            for batch in batches:
+                if batch.num_rows:
+                    x = {v: np.frombuffer(b"".join(batch.column(v).to_pylist())).reshape(batch.num_rows, -1) for v in VIEWS}
+                    got = add(x, batch.column("draw").to_numpy(zero_copy_only=False))
+                    total = got if total is None else [a + b for a, b in zip(total, got, strict=True)]
+            if total is not None:
+                for i, t in enumerate(total):
+                    flat = np.asarray(t).ravel()
+                    at = np.flatnonzero(flat) if flat.any() else np.zeros(1, int)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(flat[at]),
+                                                      pa.array([list(np.shape(t))] * len(at), pa.list_(pa.int32()))], names=["part", "at", "x", "shape"])
+
+        got = self.rows.mapInArrow(run, "part int, at int, x double, shape array<int>")
+        out = {}
+        for r in got.groupBy("part", "at", "shape").agg(F.sum("x").alias("x")).collect():   # one row per number
+            out.setdefault(r.part, np.zeros(r.shape)).reshape(-1)[r.at] = r.x
+        return [out[i] for i in range(len(out))]
+
+
+def _limits(counts, most: int):
+    """Per label the last bin and the share of it that are among the ``most`` surest rows."""
+    out = {}
+    for label, order in ((1, np.arange(BINS)[::-1]), (0, np.arange(BINS))):
+        run = np.cumsum(counts[order])
+        i = min(int(np.searchsorted(run, most, side="right")), BINS - 1)
+        out[label] = int(order[i]), min(1.0, float((most - (run[i] - counts[order[i]])) / max(counts[order[i]], 1)))
+    return out
+
+
+def co_train(text, meta, y, pool_text, pool_meta=None, seed: int = 5):
+    """(text model, metadata model, combiner, cut): see the module's text. ``pool_text`` may be a pool."""
+    pool = pool_text if pool_meta is None else ArrayPool(pool_text, pool_meta)
     r = np.random.default_rng(seed)
     order = r.permutation(len(y))
     n_valid = int(len(y) * VALID)
     valid, fit = order[:n_valid], order[n_valid:]
-    given = {"text": {}, "meta": {}}      # pool row -> pseudo-label handed to that view
-    models = {}
-    for rnd in range(ROUNDS + 1):
-        for name, x, px in (("text", text, pool_text), ("meta", meta, pool_meta)):
-            rows = np.array(sorted(given[name]), int)
-            labels = np.array([given[name][i] for i in rows], float)
-            models[name] = Logistic(squares=name == "text").fit(
-                np.vstack([x[fit], px[rows]]), np.concatenate([y[fit], labels]),
-                np.concatenate([np.ones(len(fit)), np.full(len(rows), 0.5)]))
-        if rnd == ROUNDS or not len(pool_text):
-            break
-        for name, other, px in (("text", "meta", pool_text), ("meta", "text", pool_meta)):
-            p = _sigmoid(models[name].logit(px))
-            most = int(SHARE * len(p))
-            for label, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:most]
-                for i in best[sure[best] >= CONFIDENT]:
-                    given[other].setdefault(int(i), label)
+    x = {"text": text[fit], "meta": meta[fit]}
+    models = {v: Logistic(squares=v == "text").fit(x[v], y[fit]) for v in VIEWS}
+    past = []           # models and limits of every round: they tell each row's pseudo-labels
+    for _ in range(ROUNDS if pool.size else 0):
+        counts = pool.total("bins", None, models)
+        past.append((models, {v: _limits(c, int(SHARE * pool.size)) for v, c in zip(VIEWS, counts, strict=True)}))
+        got = pool.total("moments", past, None)
+        models, done = {v: Logistic(squares=v == "text") for v in VIEWS}, set()
+        for v, (n, total, squared, ones) in zip(VIEWS, (got[:4], got[4:]), strict=True):
+            own = _moments(x[v])
+            models[v].scale(own[0] + n, own[1] + total, own[2] + squared)
+            models[v].start((y[fit].sum() + WEIGHT * ones) / (len(fit) + WEIGHT * n))
+        for _ in range(STEPS):
+            got = pool.total("newton", past, models)
+            for v, (grad, hess) in zip(VIEWS, (got[:2], got[2:]), strict=True):
+                if v not in done:
+                    own = models[v].sums(x[v], y[fit], np.ones(len(fit)))
+                    if models[v].step(own[0] + grad, own[1] + hess):
+                        done.add(v)
+            if len(done) == len(VIEWS):
+                break
     both = lambda t, m: np.stack([models["text"].logit(t), models["meta"].logit(m)], axis=1)
     combiner = Logistic(l2=0.1).fit(both(text[valid], meta[valid]), y[valid].astype(float))
     score = _sigmoid(combiner.logit(both(text[valid], meta[valid])))
@@ -210,7 +320,7 @@ def _score_rows(model):
     return run
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_pool: int = MAX_POOL) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """``docs`` (doc_id, text, lang, source, n_chars) with ``score`` and ``keep`` for every row.
 
     ``score`` is the calibrated probability of quality 1; ``keep`` cuts it where at most
@@ -218,7 +328,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 
     Defined cases: null or empty text has all-zero statistics; null language, source or length
     have slots of their own; null labels and ids, and ids with contradicting labels, are not
-    learnt from; without labels of both classes everything scores 1 and is kept; repeated rows
+    learnt from as labels (such rows, null ids too, are pseudo-labelled; labelled rows of the held-out
+    fold are not); without labels of both classes everything scores 1 and is kept; repeated rows
     are scored each; an empty table gives no rows; other columns are ignored.
     """
     base = in_batches(docs).select("doc_id", F.col("text").alias("text"), F.col("lang").cast("string").alias("lang"),
@@ -230,18 +341,20 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     y = np.array([r.label for r in got], float)
     if not len(y) or y.min() == y.max():
         return base.withColumn("score", F.lit(1.0)).withColumn("keep", F.lit(True))
-    ids = base.select("doc_id").where("doc_id is not null").join(labels.select("doc_id").distinct(), "doc_id", "left_anti").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool).withColumnRenamed("doc_id", "_id")
-    pool = base.join(ids, base["doc_id"] == ids["_id"]).select(*cols, F.lit(None).cast("int").alias("label"))
-    free = sorted(pool.mapInArrow(_feature_rows, schema).collect(), key=lambda r: (r.doc_id, bytes(r.text)))
+    spark = docs.sparkSession
+    seen = spark.createDataFrame([(i,) for i in sorted({r.doc_id for r in got})], "_id long")
+    seen = seen.union(labels.where(F.col("quality").isNotNull() & held_out()).select(F.col("doc_id").alias("_id")).distinct())
+    feats = base.select(*cols, F.lit(None).cast("int").alias("label")).mapInArrow(_feature_rows, schema)
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text", "meta"), 11) / F.lit(2.0 ** 53)
+    free = cut(feats.join(seen, F.col("doc_id") == F.col("_id"), "left_anti").select("text", "meta", draw.alias("draw")))
 
     def stack(rows, name, width):
         return np.array([np.frombuffer(bytes(r[name]), float) for r in rows]).reshape(len(rows), width)
 
     width = stack(got[:1], "meta", -1).shape[1]
     t, m, c, limit = co_train(stack(got, "text", TEXT_FEATURES), stack(got, "meta", width), y,
-                              stack(free, "text", TEXT_FEATURES), stack(free, "meta", width))
-    model = docs.sparkSession.sparkContext.broadcast([vars(x) for x in (t, m, c)])  # plain arrays of fixed size
+                              TablePool(free))
+    model = spark.sparkContext.broadcast([vars(x) for x in (t, m, c)])  # plain arrays of fixed size
     types = "doc_id long, text string, lang string, source string, n_chars long, score double"
     return base.mapInArrow(_score_rows(model), types).withColumn("keep", F.col("score") >= F.lit(limit))
 

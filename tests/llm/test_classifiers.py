@@ -71,6 +71,30 @@ def test_views_exchange_pseudo_labels():
     assert ((score >= 0.5) == pool).mean() > 0.97 and 0 < limit <= 0.5
 
 
+def test_pseudo_labels_come_from_all_rows_outside_the_sample(spark, monkeypatch):
+    docs, labels = corpus(4, 300)
+    pools, co_train = [], quality.co_train
+
+    def watched(text, meta, y, *pool):
+        pools.append(pool[0])
+        return co_train(text, meta, y, *pool)
+
+    monkeypatch.setattr(quality, "co_train", watched)
+    frame = odd.documents(spark, docs + docs[:1] + [(None, "alpha beta", "en", "s1", 10)] * 2)
+    held = [i for i, *_ in docs if zlib.crc32(str(i).encode()) % 5 == 0]
+    n = 303 - len(held) - (docs[0][0] in held)
+    got = quality.score_quality(frame, labels_frame(spark, labels), max_train=100).collect()     # every id is labelled
+    assert len(got) == 303 and pools[0].size in (n - 100, n - 101)
+    sums = quality.ArrayPool(*(np.array([np.frombuffer(bytes(r[v])) for r in pools[0].rows.collect()]) for v in quality.VIEWS))
+    sums.draw = np.array([r.draw for r in pools[0].rows.collect()])
+    models = {v: quality.Logistic(squares=v == "text").fit(sums.x[v], sums.x[v][:, 0] > np.median(sums.x[v][:, 0])) for v in quality.VIEWS}
+    counts = sums.total("bins", None, models)
+    past = [(models, {v: quality._limits(c, 40) for v, c in zip(quality.VIEWS, counts)})]
+    for what in ("bins", "moments", "newton"):
+        for a, b in zip(sums.total(what, past, models), pools[0].total(what, past, models), strict=True):
+            assert np.allclose(a, b) and np.shape(a) == np.shape(b)
+
+
 def test_without_labels_and_empty_tables(spark):
     none = labels_frame(spark, [])
     assert toxicity.score_documents(odd.empty(spark), none).collect() == []
