@@ -3,6 +3,7 @@
 1. Equal vectors are one class (its smallest id stands for it), so copies never meet in pairs.
 2. Two independent codebooks, one per half of the vectors, are fitted by k-means on a bounded
    sample (``SAMPLE`` classes). Their product is a grid of cells; every vector lies in one cell.
+   Vectors of each dimension have a grid and a sample of their own.
 3. A vector visits the cells of the grid in the order of the multi-sequence traversal: by the sum,
    over the halves, of the squared distance to the border of the codeword's region. It stops at the cost at which
    ``RECALL`` of neighbours lying exactly on the threshold (the hardest ones), drawn around sample
@@ -125,25 +126,30 @@ ROWS = "cell long, side int, rep long, copies long, v binary"
 
 def _place(model):
     def run(batches):
-        grid = Grid.__new__(Grid)
-        grid.__dict__.update(model.value)
+        grids = [Grid.__new__(Grid) for _ in model.value]
+        for grid, (_, state) in zip(grids, model.value, strict=True):
+            grid.__dict__.update(state)
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 v = batch.column("v").to_pylist()
-                fits = np.array([len(b) == 8 * grid.d for b in v])
-                x = np.frombuffer(b"".join(b for b, f in zip(v, fits, strict=True) if f), np.float64).reshape(-1, grid.d)
-                rep = batch.column("rep").to_numpy(zero_copy_only=False)[fits]
-                n = batch.column("copies").to_numpy(zero_copy_only=False)[fits]
-                rows, cells = grid.visits(x)
-                own = grid.cells(x)
-                pick = np.concatenate([np.arange(len(x)), rows]).astype(int)
-                packed = [x[i].tobytes() for i in range(len(x))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([own, cells]), pa.int64()),
-                     pa.array(np.concatenate([np.zeros(len(x)), np.ones(len(rows))]).astype(np.int32)),
-                     pa.array(rep[pick], pa.int64()), pa.array(n[pick], pa.int64()),
-                     pa.array([packed[i] for i in pick], pa.binary())], names=["cell", "side", "rep", "copies", "v"])
+                size = np.array([len(b) for b in v])
+                for grid, (base, _) in zip(grids, model.value, strict=True):
+                    fits = size == 8 * grid.d
+                    if not fits.any():
+                        continue
+                    x = np.frombuffer(b"".join(b for b, f in zip(v, fits, strict=True) if f), np.float64).reshape(-1, grid.d)
+                    rep = batch.column("rep").to_numpy(zero_copy_only=False)[fits]
+                    n = batch.column("copies").to_numpy(zero_copy_only=False)[fits]
+                    rows, cells = grid.visits(x)
+                    own = grid.cells(x)
+                    pick = np.concatenate([np.arange(len(x)), rows]).astype(int)
+                    packed = [x[i].tobytes() for i in range(len(x))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate([own, cells]) + base, pa.int64()),
+                         pa.array(np.concatenate([np.zeros(len(x)), np.ones(len(rows))]).astype(np.int32)),
+                         pa.array(rep[pick], pa.int64()), pa.array(n[pick], pa.int64()),
+                         pa.array([packed[i] for i in pick], pa.binary())], names=["cell", "side", "rep", "copies", "v"])
     return run
 
 
@@ -213,8 +219,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """vec_id, n_links, component_id, kept for every vector.
 
     Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link
-    with nothing; vectors of another dimension than the sample's most frequent one link only with
-    equal ones; rows that repeat id and vector count once; a null id links with nothing
+    with nothing; vectors of different dimensions do not link; rows that repeat id and vector
+    count once; a null id links with nothing
     and has a null component; an empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -222,16 +228,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     units = cut(base.mapInArrow(_unit_rows, "vec_id long, v binary").distinct())
     classes = cut(units.where("v is not null and vec_id is not null").groupBy("v").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    total = classes.count()
+    dims = sorted((r.d, r.n) for r in classes.groupBy((F.length("v") / 8).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
     links = None
     counts = classes.select(F.col("rep").alias("a"), F.lit(0).cast("long").alias("n")).limit(0)
-    if total:
-        got = [bytes(r.v) for r in classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").collect()]
-        sizes = [len(v) for v in got]
-        d = max(sorted(set(sizes)), key=sizes.count) // 8
-        sample = np.array([np.frombuffer(v, np.float64) for v in got if len(v) == 8 * d])
-        k = int(np.clip(np.sqrt(total / PER_CELL), 1, max(1, len(sample) // 2)))
-        model = spark.sparkContext.broadcast(vars(Grid(sample, k, threshold)))   # two codebooks, bounded by the sample
+    if dims:
+        grids, cells = [], 0        # (number of the grid's first cell, its arrays) per dimension
+        for d, total in dims:
+            own = classes.where(F.length("v") == 8 * d).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE)
+            sample = np.array([np.frombuffer(bytes(r.v), np.float64) for r in own.select("v").collect()])
+            k = int(np.clip(np.sqrt(total / PER_CELL), 1, max(1, len(sample) // 2)))
+            grid = Grid(sample, k, threshold)
+            grids.append((cells, vars(grid)))
+            cells += len(grid.books[0]) * len(grid.books[1])
+        model = spark.sparkContext.broadcast(grids)   # two codebooks per dimension, bounded by the samples
         rows = classes.mapInArrow(_place(model), ROWS)
         sizes = rows.groupBy("cell").agg(F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("m"), F.sum("side").alias("q"))
         sizes = sizes.select(F.col("cell"), F.greatest(F.lit(1), F.ceil(F.col("m") / MEMBERS)).cast("int").alias("mb"),

@@ -53,5 +53,16 @@ def test_hot_cells_are_cut_into_blocks(spark, monkeypatch):
     assert {tuple(x) for x in embed_dedup.near_duplicates(df).collect()} == brute(rows)
 
 
+def test_vectors_of_every_dimension_are_compared(spark):
+    r = np.random.default_rng(4)
+    rows = []
+    for d, n in ((16, 60), (8, 30), (1, 3)):
+        base = r.normal(size=(n, d))
+        rows += [(1000 * d + i, x.tolist()) for i, x in enumerate(base)] + [(1000 * d + 500 + i, (x + r.normal(size=d) * 0.05).tolist()) for i, x in enumerate(base)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {tuple(x) for x in embed_dedup.near_duplicates(df).collect()}
+    assert got == brute(rows) and sum(x[1] > 0 for x in got if x[0] // 1000 == 8) == 60
+
+
 def test_empty_table(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
