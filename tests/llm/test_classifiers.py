@@ -1,3 +1,4 @@
+import collections
 import random
 import zlib
 
@@ -95,6 +96,26 @@ def test_pseudo_labels_come_from_all_rows_outside_the_sample(spark, monkeypatch)
             assert np.allclose(a, b) and np.shape(a) == np.shape(b)
 
 
+def test_the_sample_bounds_rows_not_ids(spark):
+    docs, labels = corpus(6, 60)
+    i = next(d[0] for d in docs if zlib.crc32(str(d[0]).encode()) % 5)
+    many = [(i, f"text {j}", "en", "s1", 6) for j in range(200)]
+    frame = odd.documents(spark, docs + many + many + docs).select("doc_id", "lang", "text")
+    for most in (50, 1000):
+        got = toxicity.labelled_sample(frame, labels_frame(spark, labels), "toxic", most).collect()
+        assert len(got) == len({(r.doc_id, r.text) for r in got}) == min(most, 200 + sum(zlib.crc32(str(d[0]).encode()) % 5 != 0 for d in docs))
+        assert all(r.label == dict((d, t) for d, _, t in labels)[r.doc_id] for r in got)
+
+
+def test_word_buckets_wait_in_a_file():
+    rnd = np.random.default_rng(1)
+    parts = [rnd.integers(0, 99, (n, toxicity.PER_WORD)).astype(np.int32) for n in (3, 0, 7)]
+    Row = collections.namedtuple("Row", "doc_id text_key label lang buckets")
+    spool = toxicity.Spool(Row(9 - i, 0, i % 2, None, p.tobytes()) for i, p in enumerate(parts))
+    assert len(spool) == 3 and [k[0] for k in spool.keys] == [7, 8, 9]
+    assert all((a == b).all() and a.shape == b.shape for a, b in zip(spool, parts[::-1], strict=True))
+
+
 def test_without_labels_and_empty_tables(spark):
     none = labels_frame(spark, [])
     assert toxicity.score_documents(odd.empty(spark), none).collect() == []
