@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, embed_dedup, html_main, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
+from kestrel.llm import decontam, embed_dedup, html_main, merkle, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_merkle": merkle.op12_merkle,
 }
 
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op2_decontamination": decontam.OP2_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op12_merkle": merkle.OP12_SQL,
 }
