@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, embed_dedup, html_main, merkle, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
+from kestrel.llm import decontam, embed_dedup, html_main, language, merkle, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
     "op12_merkle": merkle.op12_merkle,
+    "op13_language": language.op13_language,
 }
 
 ORACLE = {
