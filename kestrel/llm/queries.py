@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontam, embed_dedup, html_main, language, merkle, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, warc
+from kestrel.llm import decontam, embed_dedup, html_main, language, merkle, mixing, ngram_join, pii, quality, suffix_dedup, token_align, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_token_align": token_align.op11_token_align,
     "op12_merkle": merkle.op12_merkle,
     "op13_language": language.op13_language,
 }
