@@ -160,6 +160,16 @@ def hash_sample(cols, fraction: float, resolution: int = 1_000_000) -> Column:
     return bucket < F.lit(int(round(fraction * resolution)))
 
 
+def bounded_sample(df: DataFrame, fraction: float, max_rows: int) -> DataFrame:
+    """A hash sample of ``fraction`` of the rows, but at most ``max_rows``: those whose MD5 comes first.
+
+    The same rows in any engine and partitioning; a task keeps at most ``max_rows`` rows. Rows
+    that are equal in all columns have one MD5, so which of them stay makes no difference.
+    """
+    row = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    return df.where(hash_sample(df.columns, fraction)).orderBy(F.md5(row), *df.columns).limit(int(max_rows))
+
+
 def first_char_histogram(df: DataFrame, key_col: str, sample_fraction: float = 0.02,
                          prefix_len: int = 1) -> DataFrame:
     """ch, n: key prefixes counted over a deterministic ``sample_fraction`` sample of the rows."""

@@ -12,20 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel import sinks
-from kestrel.operators import relational, text
+from kestrel.operators import rangesort, relational, text
 from kestrel.plans import jobs
 from kestrel.session import checkpoint_dir
 from kestrel.sources import fixtures as fx
 from kestrel.sources import text as src
+from kestrel.sources.byterange import read_byte_range
 
 
 def _in_folder(spark: SparkSession, body: Callable[[str], DataFrame]) -> DataFrame:
     """``body(folder)`` computed to the checkpoint folder; ``folder`` is removed afterwards."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
-    out = body(folder).checkpoint(eager=True)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return out
+    try:
+        return body(folder).checkpoint(eager=True)
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _fields(lines: DataFrame, pattern: str, **cols: str) -> DataFrame:
@@ -121,6 +123,52 @@ def stage_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_folder(spark, body)
 
 
+# Range of the byte-range queries: it begins inside the longer files, ends beyond the shorter ones, and is several pieces.
+RANGE_OFFSET, RANGE_LENGTH, RANGE_PIECE = 1000, 3500, 1024
+
+
+def _write_shards(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The documents' ids and sizes as text files, one for every 300 ids, ordered by id."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars").where("doc_id is not null")
+    lines = docs.select(F.expr("doc_id div 300").alias("shard"), "doc_id",
+                        F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("doc_id", "source", "lang", "n_chars")]).alias("value"))
+    ordered = lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    ordered.select("shard", "value").write.partitionBy("shard").text(f"{folder}/in")
+    return f"{folder}/in"
+
+
+def _shard():
+    return F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("bigint").alias("shard")
+
+
+def byte_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of a byte range of many files: where each begins, its size and its MD5."""
+    def body(folder):
+        pieces = read_byte_range(spark, _write_shards(spark, sf_dir, folder), RANGE_OFFSET, RANGE_LENGTH, RANGE_PIECE)
+        return pieces.select(_shard(), "offset", F.octet_length("content").cast("bigint").alias("n_bytes"), F.md5("content").alias("md5"))
+    return _in_folder(spark, body)
+
+
+def job_xor_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def body(folder):
+        sums = jobs.xor_checksum_job(spark, _write_shards(spark, sf_dir, folder), RANGE_OFFSET, RANGE_LENGTH)
+        return sums.select(_shard(), "checksum")
+    return _in_folder(spark, body)
+
+
+def job_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def body(folder):
+        sinks.write_lines(fx.edge_lines(spark, sf_dir), f"{folder}/in")
+        jobs.triangle_job(spark, f"{folder}/in", f"{folder}/out")
+        return src.read_lines(spark, f"{folder}/out").select(F.col("value").alias("label"))
+    return _in_folder(spark, body)
+
+
+def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row sample of a tenth of the pairs, but at most 10,000 of them."""
+    return rangesort.bounded_sample(src.parse_kv_tab(fx.kv_lines(spark, sf_dir, "\t")), 0.1, 10_000)
+
+
 def csv_malformed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = src.parse_csv_positional(fx.repo_csv_lines(spark, sf_dir, malformed=True),
                                     {"name": (0, "string"), "grp": (1, "string"), "score": (12, "double")})
@@ -134,4 +182,4 @@ def group_total_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 JOB_QUERIES = {f.__name__: f for f in (job_word_count, job_bigrams, job_firewall_log, job_firewall_sources, job_top_repo,
                                       job_sampled_sort, job_histogram_sort, stage_parquet, csv_malformed_scores,
-                                      group_total_null_group)}
+                                      group_total_null_group, byte_ranges, job_xor_checksum, job_triangles, bounded_sample)}

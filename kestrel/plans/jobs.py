@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kestrel import sinks
 from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
 from kestrel.sources import text as src
+from kestrel.sources.byterange import read_byte_range
 
 
 def xor_checksum_job(spark: SparkSession, path: str, offset: int = 10**9, length: int = 1000) -> DataFrame:
@@ -22,7 +23,7 @@ def xor_checksum_job(spark: SparkSession, path: str, offset: int = 10**9, length
 
     Only the range is read; a file that ends at or before ``offset`` gives no row.
     """
-    pieces = src.read_byte_range(spark, path, offset, length)
+    pieces = read_byte_range(spark, path, offset, length)
     folded = checksum.range_xor_checksum(pieces, "content", 0, length, keep=["path"])
     return folded.groupBy("path").agg(F.bit_xor("checksum").alias("checksum"))
 

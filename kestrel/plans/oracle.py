@@ -317,3 +317,26 @@ ORACLE["job_top_repo"] = ORACLE["csv_malformed_scores"]
 ORACLE["group_total_null_group"] = r"""
 SELECT p_partkey, grp, CAST(count(*) OVER (PARTITION BY grp) AS BIGINT) AS n
 FROM (SELECT p_partkey, CASE WHEN p_size > 10 THEN p_brand END AS grp FROM part)"""
+
+# Files of 300 ids, joined line by line; everything in them is ASCII, so characters are bytes.
+_SHARDS = r"""
+files AS (
+  SELECT doc_id // 300 AS shard,
+         string_agg(CAST(doc_id AS VARCHAR) || chr(9) || coalesce(source, '-') || chr(9) || coalesce(lang, '-') || chr(9)
+                    || coalesce(CAST(n_chars AS VARCHAR), '-') || chr(10), '' ORDER BY doc_id) AS body
+  FROM documents WHERE doc_id IS NOT NULL GROUP BY 1
+),
+ranges AS (SELECT shard, substr(body, 1001, 3500) AS part FROM files WHERE length(body) > 1000)"""
+ORACLE["byte_ranges"] = "WITH " + _SHARDS + r""",
+pieces AS (SELECT shard, part, unnest(range(0, length(part), 1024)) AS at FROM ranges)
+SELECT shard, CAST(1000 + at AS BIGINT) AS offset, CAST(length(substr(part, at + 1, 1024)) AS BIGINT) AS n_bytes,
+       md5(substr(part, at + 1, 1024)) AS md5
+FROM pieces"""
+ORACLE["job_xor_checksum"] = "WITH " + _SHARDS + r"""
+SELECT shard, CAST(list_reduce(list_transform(string_split(part, ''), lambda c: ascii(c)), lambda a, x: xor(a, x)) AS BIGINT) AS checksum
+FROM ranges"""
+ORACLE["job_triangles"] = "WITH " + _EDGES + r"""
+SELECT 'Total Triangles: ' || CAST(count(*) AS VARCHAR) AS label FROM tri"""
+ORACLE["bounded_sample"] = "WITH " + _KV_SOURCE + r"""
+SELECT k, v FROM kv WHERE ('0x' || substr(md5(k || chr(9) || v), 1, 8))::BIGINT % 1000000 < 100000
+ORDER BY md5(k || chr(9) || v), k, v LIMIT 10000"""

@@ -113,33 +113,3 @@ def parse_edges(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = split_once(lines, tokens, "_t")
     return (parsed.where(F.size("_t") > 0)
             .select(F.col("_t")[0].cast("bigint").alias("src"), F.col("_t")[1].cast("bigint").alias("dst")))
-
-
-def read_byte_range(spark: SparkSession, path: str, offset: int, length: int, piece: int = 1 << 20) -> DataFrame:
-    """The bytes ``[offset, offset + length)`` of every file -> path, offset, content binary.
-
-    Files are listed without their content and only the range is read: a task opens the
-    file, seeks, and reads its pieces of at most ``piece`` bytes, so neither the file's size nor the
-    range's is bounded by a row. A file that ends inside the range gives what it has. Paths
-    are read through the Hadoop-independent Arrow file systems, which need the files mounted
-    or in a store that Arrow knows.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))
-    end = F.least(F.col("size"), F.lit(offset + length))
-    starts = F.when(end > offset, F.sequence(F.lit(offset).cast("bigint"), end - 1, F.lit(piece).cast("bigint")))
-    pieces = files.select("path", F.explode(starts).alias("offset"), end.alias("_end"))
-    pieces = pieces.select("path", "offset", F.least(F.lit(piece).cast("bigint"), F.col("_end") - F.col("offset")).alias("n"))
-
-    def fetch(batches):
-        import pyarrow as pa
-        from pyarrow import fs
-
-        for batch in batches:
-            for name, at, n in zip(*[batch.column(c).to_pylist() for c in ("path", "offset", "n")]):
-                uri = "file://" + name[len("file:"):] if name.startswith("file:/") and not name.startswith("file://") else name
-                store, inner = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(inner) as f:
-                    f.seek(at)
-                    yield pa.RecordBatch.from_pydict({"path": [name], "offset": [at], "content": [f.read(n)]})
-
-    return pieces.mapInArrow(fetch, "path string, offset bigint, content binary")

@@ -127,3 +127,58 @@ def test_xor_checksum_job(spark, tmp_path):
     p.write_bytes(bytes([1, 2, 4, 8, 16]))
     row = jobs.xor_checksum_job(spark, str(p), offset=1, length=3).collect()[0]
     assert row.checksum == 2 ^ 4 ^ 8
+
+
+def test_byte_ranges_across_pieces_and_past_the_end(spark, tmp_path):
+    from kestrel.sources import byterange
+
+    bodies = {"a": bytes(range(256)) * 20, "b": b"short", "sub/c": b"x" * 700, "_hidden": b"no" * 500, "empty": b""}
+    for name, body in bodies.items():
+        p = tmp_path / "in" / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(body)
+    for arrow in (byterange.OPENED_BY_ARROW, ()):          # through Arrow, and through the JVM's reader
+        rows = byterange.read_byte_range(spark, str(tmp_path / "in"), 600, 1000, 64, arrow).collect()
+        got = {}
+        for r in sorted(rows, key=lambda r: r.offset):
+            name = r.path.split("/in/")[1]
+            assert len(r.content) <= 64 and r.offset == 600 + len(got.get(name, b""))
+            got[name] = got.get(name, b"") + bytes(r.content)
+        assert got == {"a": bodies["a"][600:1600], "sub/c": b"x" * 100}
+    assert byterange.read_byte_range(spark, str(tmp_path / "in"), 10**10, 5).collect() == []
+    assert byterange.read_byte_range(spark, str(tmp_path / "in" / "a"), 0, 0).collect() == []
+    with pytest.raises(FileNotFoundError):
+        byterange.read_byte_range(spark, str(tmp_path / "nothing"), 0, 5)
+
+
+def test_a_piece_is_a_partition_and_only_the_range_is_read(spark, tmp_path):
+    from kestrel.sources import byterange
+
+    p = tmp_path / "sparse.bin"
+    with open(p, "wb") as f:
+        f.truncate(3 * 10**9)
+    reader = byterange.ByteRangeReader([(str(p), f"file://{p}", 3 * 10**9)], 2 * 10**9, 10**9, 1 << 20)
+    parts = reader.partitions()
+    step = byterange.ROWS_PER_PARTITION << 20
+    assert all(x.end - x.start <= step for x in parts) and sum(x.end - x.start for x in parts) == 10**9
+    assert sum(len(c) for _, _, c in reader.read(parts[-1])) == parts[-1].end - parts[-1].start
+
+
+def test_byte_range_of_a_mounted_view(spark, tmp_path):
+    """A view file system's mount resolves to the store behind it."""
+    from kestrel.sources import byterange
+
+    (tmp_path / "f.bin").write_bytes(b"0123456789")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.kestreltest.link./in", f"file://{tmp_path}")
+    rows = byterange.read_byte_range(spark, "viewfs://kestreltest/in/f.bin", 3, 4).collect()
+    assert [(r.path, r.offset, bytes(r.content)) for r in rows] == [("viewfs://kestreltest/in/f.bin", 3, b"3456")]
+
+
+def test_bounded_sample(spark):
+    from kestrel.operators import rangesort
+
+    df = spark.range(2000).selectExpr("cast(id as string) as k", "id % 7 as v").repartition(7)
+    few, more = rangesort.bounded_sample(df, 0.5, 100), rangesort.bounded_sample(df.repartition(3), 0.5, 5000)
+    assert few.count() == 100 and 900 < more.count() < 1100
+    assert {r.k for r in few.collect()} <= {r.k for r in more.collect()}
