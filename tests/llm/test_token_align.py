@@ -81,11 +81,27 @@ def test_segments_encode_like_whole_texts(aligner):
             assert same == Counter(links), repr(t)
 
 
+def test_encoding_by_rank_equals_the_tokenizer(aligner):
+    """On segments of the given texts, random strings, joined vocabulary entries (the hard case for the order
+    of merges) and many code points."""
+    import pyarrow.parquet as pq
+
+    rnd = random.Random(3)
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
+    segments = [*{s for t in texts for s in aligner.segments(t)}]
+    words = [t.decode() for t in aligner.a_bytes if t.isascii() and t]
+    segments += ["".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))).strip() for _ in range(20_000)]
+    segments += [f"a{chr(c)}b {chr(c)} 1{chr(c)}.{chr(c)}  {chr(c)}{chr(c)}" for c in range(0, 0x30000, 3) if not 0xD800 <= c < 0xE000]
+    assert aligner.fast is not None
+    want = [e.ids for e in aligner.a.encode_batch([" " + s for s in segments], add_special_tokens=False)]
+    assert aligner.encode_a(segments) == want
+
+
 def test_long_texts_and_a_full_store(aligner, monkeypatch):
     monkeypatch.setattr(T, "CHUNK", 50)
     monkeypatch.setattr(T, "CACHE", 5)
     rnd = random.Random(6)
-    texts = [odd.prose(rnd, 400), "x" * 500, odd.prose(rnd, 3)]
+    texts = [odd.prose(rnd, 400), "x" * 5000, odd.prose(rnd, 3)]
     for t, got in zip(texts, aligner.texts(texts), strict=True):
         groups, _ = links_of(aligner, *whole(aligner, t))
         assert got[4] == hashlib.sha256(";".join(groups).encode()).hexdigest()
