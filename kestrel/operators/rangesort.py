@@ -5,9 +5,10 @@ global position per row without a window over the whole data:
 
 1. range bounds are weighted quantiles of a size-proportional hash sample (about
    ``R * sample_per_range`` narrow rows: the order and tie-break columns, a 64-bit row hash and a
-   chunk number - not the payload);
-2. each row finds its range by binary search over the bounds (a scalar subquery of at most
-   R-1 such structs) - deterministic, so a lost task recomputes the same range id;
+   chunk number - not the payload); a large sample is cut into about sqrt(R) coarse ranges first, which
+   find their own bounds, so no task sees it whole;
+2. each row finds its range by binary search over the bounds (a scalar subquery of at most ``ONE_LEVEL``
+   such structs, or two levels of about sqrt(R)) - deterministic, so a lost task recomputes the same range id;
 3. ``repartitionById(R)`` puts range r in partition r (the one shuffle of whole rows);
    per-range totals (R rows, broadcast) give each range's base offset and a ``row_number``
    in key order gives every row its position.
@@ -22,6 +23,8 @@ and sorted within partitions, i.e. a total-order sort that can be written as is.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,8 @@ from kestrel.functions.text import key_prefix
 DEFAULT_CHUNK_ROWS = 1 << 20
 DEFAULT_SAMPLE_PER_RANGE = 64
 HASH_SPACE = 1 << 30
+SMALL_SAMPLE = 1 << 15      # expected sample rows whose bounds one task finds
+ONE_LEVEL = 1 << 12         # ranges whose bounds every task holds; more are looked up in two levels
 
 
 def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
@@ -46,6 +51,96 @@ def range_sort(df: DataFrame, order_cols, n_ranges: int | None = None) -> DataFr
     return df.repartitionByRange(_n_ranges(df, n_ranges), *order_cols).sortWithinPartitions(*order_cols)
 
 
+def _coarse_ranges(r: int) -> int:
+    """Ranges of the first level: about the square root of ``r``."""
+    return max(1, math.isqrt(r - 1) + 1)
+
+
+def _cut_points(sample: DataFrame, pieces: int) -> DataFrame:
+    """One row ``_cuts``: the last key of every piece but the last, for ``pieces`` of equal weight of a
+    small weighted sample (``_key``, ``_sw``), as a sorted array."""
+    cum = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.partitionBy(F.lit(0))
+    quant = sample.select("_key", F.floor((F.sum("_sw").over(cum) - F.col("_sw")) * pieces / F.sum("_sw").over(total)).alias("_q"))
+    last = Window.orderBy("_key")
+    ends = (quant.withColumn("_next", F.lead("_q").over(last))
+            .where((F.col("_q") < pieces - 1) & ~F.col("_q").eqNullSafe(F.col("_next"))))
+    return ends.agg(F.sort_array(F.collect_list("_key")).alias("_cuts"))
+
+
+class Bounds:
+    """Sort bounds: one sorted array (``flat``, one row ``_cuts``), or two levels: ``coarse`` (one row ``_cuts``) and
+    ``fine`` (a row per coarse range with its bounds ``_fine`` and the number of those before, ``_from``)."""
+
+    def __init__(self, flat: DataFrame | None = None, coarse: DataFrame | None = None, fine: DataFrame | None = None, n_coarse: int = 1):
+        self.flat, self.coarse, self.fine, self.n_coarse = flat, coarse, fine, n_coarse
+
+
+def _sampled_bounds(keyed: DataFrame, r: int, per_range: int, row_hash: Column) -> Bounds:
+    """Bounds of ``r`` ranges of about equal weight of the rows (``_key``, ``_w``).
+
+    A row of weight w is in the sample with probability p = min(1, r * per_range * w / W) (its hash decides; W is
+    a scalar subquery, so this stays lazy) and counts w / p. The chunks of a hot value are all kept, so
+    the bounds can cut it. Up to ``SMALL_SAMPLE`` expected rows the sample meets in one task. A larger one
+    is first cut into about sqrt(r) coarse ranges by a sample of it of ``per_range`` rows for each of these, and every coarse
+    range finds its own bounds: no task sees more than about sqrt(r) * per_range rows of the sample.
+    """
+    total_w = keyed.agg(F.sum("_w")).scalar()
+    p_keep = F.least(F.lit(1.0), F.lit(float(r * per_range)) * F.col("_w") / total_w)
+    drawn = keyed.select("_key", row_hash.alias("_h"), p_keep.alias("_p"), "_w").where(F.col("_h") < F.col("_p") * HASH_SPACE)
+    sample = drawn.select("_key", "_h", (F.col("_w") / F.col("_p")).alias("_sw"), "_p")
+    if r * per_range <= SMALL_SAMPLE:
+        return Bounds(flat=_cut_points(sample, r))
+    c = _coarse_ranges(r)
+    # the same hash decides again, with a smaller share: a sample of the sample
+    few = sample.withColumn("_share", F.lit(c / r))
+    few = few.where(F.col("_h") < F.col("_p") * F.col("_share") * HASH_SPACE).select("_key", (F.col("_sw") / F.col("_share")).alias("_sw"))
+    coarse = _cut_points(few, c)
+    placed = sample.withColumn("_cuts", coarse.scalar()).select("_key", "_sw", _count_in("_cuts", c).alias("_c"))
+    before = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_c").agg(F.sum("_sw").alias("_s"))           # one row per coarse range
+    starts = sums.select("_c", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_at"), F.sum("_s").over(Window.partitionBy(F.lit(0))).alias("_all"))
+    inside = Window.partitionBy("_c").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.select("_c", "_key", F.coalesce(F.sum("_sw").over(inside), F.lit(0.0)).alias("_in"))
+    quant = (ranked.join(F.broadcast(starts), "_c")
+             .select("_c", "_key", F.floor((F.col("_at") + F.col("_in")) * r / F.col("_all")).alias("_q")).where(F.col("_q") < r - 1))
+    # the last key of every quantile, which is the last coarse range's if several hold the quantile
+    ends = quant.groupBy("_q").agg(F.max(F.struct("_key", "_c")).alias("_e")).select("_e._c", "_e._key")
+    lists = ends.groupBy("_c").agg(F.sort_array(F.collect_list("_key")).alias("_fine"))
+    every = keyed.sparkSession.range(c).select(F.col("id").cast("int").alias("_c"))
+    filled = every.join(lists, "_c", "left").select("_c", "_fine", F.greatest(F.coalesce(F.size("_fine"), F.lit(0)), F.lit(0)).alias("_n"))
+    return Bounds(coarse=coarse, n_coarse=c, fine=filled.select("_c", "_fine", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int").alias("_from")))
+
+
+def _count_in(cuts: str, most: int) -> Column:
+    # coalesce makes the number non-nullable, so no inferred isnotnull filter re-runs the search
+    return F.coalesce(count_below(F.col(cuts), F.col("_key"), most), F.lit(0))
+
+
+def range_ids(keyed: DataFrame, bounds: Bounds, r: int) -> DataFrame:
+    """``keyed`` (with ``_key``) with ``_range``: the number of bounds below the key.
+
+    Up to ``ONE_LEVEL`` ranges all bounds are one array, a scalar in every task. Beyond, a task only holds the about
+    sqrt(r) coarse bounds; rows meet their coarse range's bounds (about sqrt(r) as well) in an equi-join, spread over
+    copies of these so that no coarse range is one task's. What is sent to all tasks grows with sqrt(r).
+    """
+    if bounds.flat is not None:
+        cuts = bounds.flat
+    elif r <= ONE_LEVEL:
+        cuts = bounds.fine.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_c", "_fine"))),
+                                                     lambda x: F.coalesce(x["_fine"], F.array()))).alias("_cuts"))
+    else:
+        spread = max(1, r // bounds.n_coarse)
+        rows = keyed.withColumn("_cuts", bounds.coarse.scalar())
+        rows = rows.withColumn("_c", _count_in("_cuts", bounds.n_coarse).cast("int")).drop("_cuts")
+        rows = rows.withColumn("_s", F.pmod(F.xxhash64("_key"), F.lit(spread)).cast("int"))
+        copies = bounds.fine.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        found = rows.join(copies, ["_c", "_s"], "left")
+        inner = F.when(F.col("_fine").isNull(), F.lit(0)).otherwise(F.coalesce(count_below(F.col("_fine"), F.col("_key"), r), F.lit(0)))
+        return found.select(*keyed.columns, (F.coalesce("_from", F.lit(0)) + inner).cast("int").alias("_range"))
+    return keyed.withColumn("_cuts", cuts.scalar()).withColumn("_range", _count_in("_cuts", r)).drop("_cuts")
+
+
 def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int | None = None,
                       pos_col: str = "pos", chunk_rows: int = DEFAULT_CHUNK_ROWS,
                       sample_per_range: int = DEFAULT_SAMPLE_PER_RANGE,
@@ -81,31 +176,9 @@ def ordered_positions(df: DataFrame, order_cols, group_cols=(), n_ranges: int |
     tie = F.xxhash64(*key_cols)
     sort_key = F.struct(*[F.col(c) for c in named], tie.alias("_tie"), F.col("_chunk"))
 
-    # A row of weight w is in the sample with probability p = min(1, target * w / W) (its
-    # hash decides; W is a scalar subquery, so this stays lazy) and counts w / p. The chunks of
-    # a hot value are all kept, so the bounds can cut it.
-    target = r * sample_per_range
-    total_w = chunks.agg(F.sum("_w")).scalar()
-    h = F.pmod(F.xxhash64(tie, "_chunk"), F.lit(HASH_SPACE))
-    p_keep = F.least(F.lit(1.0), F.lit(float(target)) * F.col("_w") / total_w)
-    sample = (chunks.select(sort_key.alias("_key"), "_w", h.alias("_h"), p_keep.alias("_p"))
-              .where(F.col("_h") < F.col("_p") * HASH_SPACE))
-    cum = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = Window.partitionBy(F.lit(0))
-    sw = F.col("_w") / F.col("_p")
-    quant = sample.select(
-        "_key",
-        F.floor((F.sum(sw).over(cum) - sw) * r / F.sum(sw).over(total)).alias("_q"))
-    # the last key of each quantile, as a sorted array
-    last = Window.orderBy("_key")
-    ends = (quant.withColumn("_next", F.lead("_q").over(last))
-            .where((F.col("_q") < r - 1) & ~F.col("_q").eqNullSafe(F.col("_next"))))
-    bounds = ends.agg(F.sort_array(F.collect_list("_key")).alias("_bounds"))
-
-    # coalesce makes _range non-nullable, so no inferred isnotnull filter re-runs the search
-    ranged = (chunks.withColumn("_bounds", bounds.scalar())
-              .withColumn("_range", F.coalesce(count_below(F.col("_bounds"), sort_key, r), F.lit(0)))
-              .drop("_bounds"))
+    ranged = chunks.withColumn("_key", sort_key)
+    bounds = _sampled_bounds(ranged, r, sample_per_range, F.pmod(F.xxhash64(tie, "_chunk"), F.lit(HASH_SPACE)))
+    ranged = range_ids(ranged, bounds, r).drop("_key")
 
     # Base offset of each range: a prefix sum over at most R rows, broadcast by range id. The
     # guard (a fixed-width checksum of all columns) keeps column pruning from giving the

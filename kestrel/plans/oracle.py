@@ -328,9 +328,9 @@ files AS (
 ),
 ranges AS (SELECT shard, substr(body, 1001, 3500) AS part FROM files WHERE length(body) > 1000)"""
 ORACLE["byte_ranges"] = "WITH " + _SHARDS + r""",
-pieces AS (SELECT shard, part, unnest(range(0, length(part), 1024)) AS at FROM ranges)
-SELECT shard, CAST(1000 + at AS BIGINT) AS offset, CAST(length(substr(part, at + 1, 1024)) AS BIGINT) AS n_bytes,
-       md5(substr(part, at + 1, 1024)) AS md5
+pieces AS (SELECT shard, part, unnest(range(0, length(part), 1024)) AS pos FROM ranges)
+SELECT shard, CAST(1000 + pos AS BIGINT) AS "offset", CAST(length(substr(part, pos + 1, 1024)) AS BIGINT) AS n_bytes,
+       md5(substr(part, pos + 1, 1024)) AS md5
 FROM pieces"""
 ORACLE["job_xor_checksum"] = "WITH " + _SHARDS + r"""
 SELECT shard, CAST(list_reduce(list_transform(string_split(part, ''), lambda c: ascii(c)), lambda a, x: xor(a, x)) AS BIGINT) AS checksum

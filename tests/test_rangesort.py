@@ -5,6 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from conftest import plan_string
+
 from kestrel.operators import rangesort
 
 
@@ -230,3 +232,72 @@ def test_group_positions_with_group_bound(spark):
     for g, rs in groups.items():
         assert [(r.k, r.v) for r in sorted(rs, key=lambda r: r.pos)] == sorted((r.k, r.v) for r in rs)
         assert sorted(r.pos for r in rs) == list(range(1, len(rs) + 1))
+
+
+def _keyed(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v string").repartition(3)
+    return df.select("k", "v", F.struct("k", "v", F.xxhash64("k", "v").alias("_tie"), F.lit(0).cast("bigint").alias("_chunk")).alias("_key"),
+                     F.lit(1).cast("bigint").alias("_w"))
+
+
+def _two_level(spark, rows, r, per_range=4):
+    keyed = _keyed(spark, rows)
+    h = F.pmod(F.xxhash64("_key", F.lit(7)), F.lit(rangesort.HASH_SPACE))
+    bounds = rangesort._sampled_bounds(keyed, r, per_range, h)
+    return keyed, bounds
+
+
+def test_two_level_bounds_cut_into_even_ranges(spark, monkeypatch):
+    """Forced to two levels, with and without the join: same ids, monotone, and about even."""
+    monkeypatch.setattr(rangesort, "SMALL_SAMPLE", 10)
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abcdefgh") * rnd.randint(1, 3) + str(rnd.randint(0, 10**6)), str(i)) for i in range(6000)]
+    keyed, bounds = _two_level(spark, rows, 40, 50)
+    assert bounds.flat is None
+    ids = {}
+    for limit in (1 << 12, 1):
+        monkeypatch.setattr(rangesort, "ONE_LEVEL", limit)
+        got = rangesort.range_ids(keyed, bounds, 40).select("k", "v", "_range").collect()
+        ids[limit] = {(r.k, r.v): r._range for r in got}
+        assert len(got) == len(rows)
+    assert ids[1 << 12] == ids[1]
+    in_order = [ids[1][x] for x in sorted(ids[1])]
+    assert in_order == sorted(in_order) and set(in_order) == set(range(40))
+    sizes = [in_order.count(i) for i in range(40)]
+    assert max(sizes) < 3 * 6000 / 40
+
+
+def test_two_level_sort_is_a_total_order(spark, monkeypatch):
+    monkeypatch.setattr(rangesort, "SMALL_SAMPLE", 10)
+    monkeypatch.setattr(rangesort, "ONE_LEVEL", 1)
+    rows = _skewed_rows(seed=12, n=1200)
+    df = spark.createDataFrame(rows, "k string, v string")
+    out = rangesort.total_order_sort(df, ["k"], n_ranges=9, chunk_rows=50, sample_per_range=8).collect()
+    assert sorted(r.pos for r in out) == list(range(1, len(rows) + 1))
+    assert [(r.k, r.v) for r in sorted(out, key=lambda r: r.pos)] == sorted(rows)
+
+
+def test_what_every_task_holds_does_not_grow_with_the_ranges(spark):
+    """10^5 ranges: the array sent to all tasks has about sqrt of them, as has each coarse range's list."""
+    r = 100_000
+    rows = [(f"{i * 7919 % 30011:05d}", str(i)) for i in range(30_000)]
+    keyed, bounds = _two_level(spark, rows, r, 1)
+    assert bounds.flat is None and bounds.n_coarse == 317
+    assert bounds.coarse.select(F.size("_cuts")).first()[0] <= 316
+    sizes = [x[0] for x in bounds.fine.select(F.size("_fine")).collect() if x[0]]
+    assert max(sizes) <= 10 * 317
+    plan = plan_string(rangesort.range_ids(keyed, bounds, r))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = [x[0] for x in rangesort.range_ids(keyed, bounds, r).orderBy("k", "v").select("_range").collect()]
+    assert got == sorted(got) and len(set(got)) > 25_000
+
+
+def test_no_task_sees_a_large_sample(spark):
+    """At 400,000 ranges the sample's windows are partitioned by coarse range; those without partitions only read
+    the coarse sample (633 / 400,000 of it) and sums of one row per coarse range."""
+    keyed, bounds = _two_level(spark, [("a", "b")], 400_000, 64)
+    assert bounds.n_coarse == 633 and f"* {633 / 400_000}" in plan_string(bounds.coarse)
+    windows = [w for w in plan_string(bounds.fine).split("\n") if w.startswith("Arguments: [") and "windowspecdefinition(" in w]
+    whole = [w for w in windows if "sum(_sw" in w and ("windowspecdefinition(_key" in w or "windowspecdefinition(specified" in w)]
+    coarse = [w for w in plan_string(bounds.coarse).split("\n") if w.startswith("Arguments: [") and "sum(_sw" in w]
+    assert any("sum(_sw" in w and "windowspecdefinition(_c" in w for w in windows) and len(whole) == len(coarse)
