@@ -4,7 +4,8 @@ Triangles are found with the degree-ordered scheme (each edge is directed from t
 endpoint of lower (degree, id) to the higher one): a vertex's out-degree is then at most
 sqrt(2m), so the wedges enumerated at a vertex stay bounded even when one vertex touches
 a third of all edges, and the total work is O(m^1.5) instead of sum(deg^2). Each wedge is
-closed by an equi-join on its two outer vertices - no per-vertex neighbour list is built.
+made once, from lists of bounded size; those that a Bloom filter of the edges (one per vertex, over its
+out-neighbours) shows to be open go before the shuffle, the others are closed by an equi-join on the outer vertices.
 
 The wedge histogram of the reference (how many of a triple's three wedges exist) follows
 from two aggregates without enumerating any wedge: a simple graph has
@@ -101,36 +102,80 @@ def _rank_less(d1, id1, d2, id2):
 TAIL_BLOCK = 4096
 
 
-def tail_blocks(oriented: DataFrame, block: int = TAIL_BLOCK) -> tuple[DataFrame, DataFrame]:
-    """The two sides of the wedge join: (p, i, j, q1, d1) and (p, i, j, q2, d2).
-
-    The out-neighbours of a tail are cut by hash into blocks of about ``block`` and every
-    pair of blocks (i <= j) is a join key of its own, so a heavy tail is many small keys. Tails up to
-    ``block`` have the one key (0, 0).
-    """
+def _in_blocks(oriented: DataFrame, block: int) -> DataFrame:
+    """``oriented`` with ``_nb``, the blocks of its tail's out-neighbours (1 up to ``block`` of them), and ``_b``, its own."""
     heavy = (oriented.groupBy("x").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
              .select(F.col("x").alias("_x"), F.ceil(F.col("_n") / block).cast("int").alias("_nb")))
-    o = (oriented.join(heavy, F.col("x") == F.col("_x"), "left")
-         .select(F.col("x").alias("p"), F.col("y").alias("q"), F.col("dy").alias("d"), F.coalesce("_nb", F.lit(1)).alias("_nb")))
-    o = o.withColumn("_b", F.when(F.col("_nb") > 1, F.pmod(F.xxhash64("q"), F.col("_nb")).cast("int")).otherwise(F.lit(0)))
-    left = o.select("p", F.col("_b").alias("i"), F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("j"),
-                    F.col("q").alias("q1"), F.col("d").alias("d1"))
-    right = o.select("p", F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("i"), F.col("_b").alias("j"),
-                     F.col("q").alias("q2"), F.col("d").alias("d2"))
-    return left, right
+    o = oriented.join(heavy, F.col("x") == F.col("_x"), "left").withColumn("_nb", F.coalesce("_nb", F.lit(1))).drop("_x")
+    return o.withColumn("_b", F.when(F.col("_nb") > 1, F.pmod(F.xxhash64("y"), F.col("_nb")).cast("int")).otherwise(F.lit(0)))
+
+
+# Bits of a vertex's Bloom filter over its out-neighbours, in 64-bit words.
+FILTER_WORDS = 4
+
+
+def _bit(vertex: str):
+    """Number of the filter's bit that stands for a vertex."""
+    return F.pmod(F.xxhash64(F.lit(17), F.col(vertex)), F.lit(64 * FILTER_WORDS)).cast("int")
+
+
+def with_filters(oriented: DataFrame) -> DataFrame:
+    """``oriented`` with ``bit``, that of the head, and ``f0`` .. the Bloom filter of the head's out-neighbours.
+
+    A wedge (q1, q2) can only be closed if q2's bit is set in q1's filter. One aggregate (a bitwise OR,
+    combined before the shuffle) and one equi-join on the head; a head without out-neighbours has an empty filter.
+    """
+    o = oriented.withColumn("bit", _bit("y"))
+    word = [F.bit_or(F.when(F.shiftright("bit", 6) == i, F.expr("shiftleft(1L, bit & 63)")).otherwise(F.lit(0).cast("bigint"))).alias(f"f{i}")
+            for i in range(FILTER_WORDS)]
+    filters = o.groupBy(F.col("x").alias("_v")).agg(*word)
+    return o.join(filters, F.col("y") == F.col("_v"), "left").select(
+        "x", "y", "dy", "bit", *[F.coalesce(f"f{i}", F.lit(0).cast("bigint")).alias(f"f{i}") for i in range(FILTER_WORDS)])
+
+
+def _may_hold(filters, bit: str):
+    """Whether the bit numbered ``bit`` is set in the filter whose words are the columns ``filters``."""
+    word = " ".join(f"when {i} then {f}" for i, f in enumerate(filters))
+    return F.expr(f"shiftrightunsigned(case {bit} >> 6 {word} end, {bit} & 63) & 1 = 1")
+
+
+def wedges(oriented: DataFrame, block: int = TAIL_BLOCK, filtered: bool = True) -> DataFrame:
+    """p, q1, q2: pairs of out-neighbours of p, q1 below q2, each once; ``filtered`` leaves out pairs that
+    the Bloom filters show to have no edge.
+
+    The out-neighbours of a tail come together as sorted lists of at most about ``block``, and each is paired
+    with those after it. Blocks of one heavy tail (cut by hash) meet as rows, every two of them by an equi-join of their
+    own, so no list and no join key grows with a tail.
+    """
+    fs = [f"f{i}" for i in range(FILTER_WORDS)]
+    o = _in_blocks(with_filters(oriented) if filtered else oriented, block)
+    if not filtered:
+        o = o.select("*", F.lit(0).alias("bit"), *[F.lit(0).cast("bigint").alias(f) for f in fs])
+    lists = (o.groupBy("x", "_b").agg(F.sort_array(F.collect_list(F.struct(F.col("dy").alias("d"), F.col("y").alias("q"), "bit", *fs))).alias("_l"))
+             .where(F.size("_l") > 1).withColumn("_r", F.transform("_l", lambda e: F.struct(e["q"].alias("q"), e["bit"].alias("bit")))))
+    each = lists.select("x", "_r", F.posexplode("_l").alias("_i", "_e"))
+    pairs = each.select("x", "_e", F.explode(F.slice("_r", F.col("_i") + 2, F.lit(1 << 30))).alias("_o"))
+    keep = _may_hold([f"_e.{f}" for f in fs], "_o.bit") if filtered else F.lit(True)
+    inside = pairs.where(keep).select(F.col("x").alias("p"), F.col("_e.q").alias("q1"), F.col("_o.q").alias("q2"))
+
+    big = o.where("_nb > 1")
+    left = big.select(F.col("x").alias("p"), F.col("_b").alias("i"), F.explode(F.sequence(F.col("_b"), F.col("_nb"))).alias("j"),
+                      *[F.col(c).alias(f"{c}1") for c in ("y", "dy", "bit", *fs)], "_nb").where("j > i and j < _nb")
+    right = big.select(F.col("x").alias("p"), F.explode(F.sequence(F.lit(-1), F.col("_b") - 1)).alias("i"), F.col("_b").alias("j"),
+                       *[F.col(c).alias(f"{c}2") for c in ("y", "dy", "bit", *fs)]).where("i >= 0")
+    met = left.drop("_nb").join(right, ["p", "i", "j"])
+    up = _rank_less(F.col("dy1"), F.col("y1"), F.col("dy2"), F.col("y2"))
+    if filtered:
+        met = met.where(F.when(up, _may_hold([f"{f}1" for f in fs], "bit2")).otherwise(_may_hold([f"{f}2" for f in fs], "bit1")))
+    across = met.select("p", F.when(up, F.col("y1")).otherwise(F.col("y2")).alias("q1"), F.when(up, F.col("y2")).otherwise(F.col("y1")).alias("q2"))
+    return inside.unionByName(across)
 
 
 def triangles(edges: DataFrame, by: str = "degree", block: int = TAIL_BLOCK) -> DataFrame:
     """a, b, c (a < b < c by id): every triangle of the canonical edge list once."""
     o = orient(edges, by)
-    left, right = tail_blocks(o, block)
-    up = _rank_less(F.col("d1"), F.col("q1"), F.col("d2"), F.col("q2"))
-    # inside a block each pair is met twice and kept once; between blocks it is met once
-    wedges = left.join(right, ["p", "i", "j"]).where((F.col("i") < F.col("j")) | up)
-    wedges = wedges.select("p", F.when(up, F.col("q1")).otherwise(F.col("q2")).alias("q1"),
-                           F.when(up, F.col("q2")).otherwise(F.col("q1")).alias("q2"))
     close = o.select(F.col("x").alias("q1"), F.col("y").alias("q2"))
-    tri = wedges.join(close, ["q1", "q2"], "left_semi")
+    tri = wedges(o, block).join(close, ["q1", "q2"], "left_semi")
     p, q1, q2 = F.col("p"), F.col("q1"), F.col("q2")
     middle = F.greatest(F.least(p, q1), F.least(F.greatest(p, q1), q2))
     return tri.select(F.least(p, q1, q2).alias("a"), middle.alias("b"), F.greatest(p, q1, q2).alias("c"))

@@ -252,7 +252,7 @@ def first_char_histogram(df: DataFrame, key_col: str, sample_fraction: float = 0
 
 
 def equi_depth_boundaries(hist: DataFrame, n_buckets: int = 10, ch_col: str = "ch",
-                          n_col: str = "n") -> DataFrame:
+                          n_col: str = "n", prefix_len: int = 1) -> DataFrame:
     """bucket, lo, hi, n, closed: equi-depth ranges over a histogram ordered by ``ch``.
 
     Running total with carry: with ``step = total div n_buckets``, a range closes at the
@@ -261,9 +261,11 @@ def equi_depth_boundaries(hist: DataFrame, n_buckets: int = 10, ch_col: str = "c
     form, with i the row number and cs the running sum,
     ``closed_i = least(n_buckets, i + least(0, min_{j<=i}(cs_j div step - j)))``;
     char i belongs to bucket ``closed_{i-1}`` unless no range closes after it, in which
-    case it is in the open last bucket. The histogram has one row per distinct prefix,
-    so the windows over it are small.
+    case it is in the open last bucket. With one character the histogram has a row per character
+    of the alphabet, so the windows over it are small; longer prefixes go to ``trie_boundaries``.
     """
+    if prefix_len > 1:
+        return trie_boundaries(hist, n_buckets, prefix_len, ch_col, n_col)
     nb = int(n_buckets)
     w = Window.orderBy(ch_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -286,6 +288,56 @@ def equi_depth_boundaries(hist: DataFrame, n_buckets: int = 10, ch_col: str = "c
         F.max(F.col("_prev") < F.col("_last")).alias("closed"))
 
 
+def _children(hist: DataFrame, frontier: DataFrame, depth: int) -> DataFrame:
+    """_t, _node, _upto, _before: under each threshold's node, the child in which the running count reaches it.
+
+    ``frontier`` has a row per threshold (_t, _need, _node, _before: the rows before the node). Only the children
+    of these nodes are counted; a window holds the children of one node (characters of the alphabet)."""
+    nodes = F.broadcast(frontier.select(F.col("_node").alias("_at")).distinct())     # one per threshold at most
+    parent = F.substring("_p", 1, depth - 1)
+    grown = (hist.join(nodes, parent == F.col("_at")).groupBy("_at", F.substring("_p", 1, depth).alias("_child"))
+             .agg(F.sum("_n").alias("_n")))
+    run = Window.partitionBy("_at").orderBy("_child").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = grown.select("_at", "_child", "_n", F.sum("_n").over(run).alias("_cum"))
+    met = sums.join(F.broadcast(frontier), F.col("_at") == F.col("_node"))
+    met = met.where((F.col("_before") + F.col("_cum") >= F.col("_need")) & (F.col("_before") + F.col("_cum") - F.col("_n") < F.col("_need")))
+    return met.select("_t", "_need", F.col("_child").alias("_node"), (F.col("_before") + F.col("_cum") - F.col("_n")).alias("_before"))
+
+
+def trie_boundaries(hist: DataFrame, n_buckets: int, prefix_len: int, ch_col: str = "ch", n_col: str = "n") -> DataFrame:
+    """``equi_depth_boundaries`` for long prefixes, of which there may be very many.
+
+    Range t closes at the first prefix after the end of range t - 1 up to which t steps are counted. The prefix
+    at which t steps are reached is found in a trie that grows only under the at most ``n_buckets`` nodes that hold
+    such a place, one level (and one aggregate over the histogram) for each character; where several ranges meet
+    in one prefix, they close at the next ones, so the ``n_buckets`` prefixes from each place on are kept
+    too (a grouped limit: a task sends at most that many of each group). No step orders all distinct prefixes.
+    """
+    nb = int(n_buckets)
+    h = hist.select(F.col(ch_col).alias("_p"), F.col(n_col).cast("bigint").alias("_n"))
+    step = h.agg(F.expr(f"sum(_n) div {nb}").alias("_step"))
+    frontier = (step.select(F.explode(F.sequence(F.lit(1), F.lit(nb))).alias("_t"), "_step")
+                .select("_t", F.greatest(F.col("_t") * F.col("_step"), F.lit(1).cast("bigint")).alias("_need"), F.lit("").alias("_node"), F.lit(0).cast("bigint").alias("_before")))
+    for depth in range(1, int(prefix_len) + 1):
+        frontier = _children(h, frontier, depth)
+    places = frontier.agg(F.sort_array(F.collect_list(F.struct("_t", "_node"))).alias("_l")).select(
+        F.transform("_l", lambda x: x["_node"]).alias("_q"))                          # n_buckets prefixes, ascending
+    near = h.withColumn("_q", places.scalar())
+    near = near.select("_p", F.coalesce(count_below(F.col("_q"), F.col("_p"), nb, inclusive=True), F.lit(0)).alias("_g")).where("_g > 0").distinct()
+    first = Window.partitionBy("_g").orderBy("_p")
+    near = near.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= nb)
+    row = near.agg(F.sort_array(F.collect_list("_p")).alias("_c")).withColumn("_q", places.scalar())
+    # range t ends at the largest of: the place of t, and those of earlier ranges s moved on by t - s prefixes
+    ends = F.expr(f"""array_distinct(filter(transform(sequence(1, {nb}), t -> get(_c, cast(array_max(transform(sequence(1, t),
+        s -> array_position(_c, element_at(_q, s)) - 1 + (t - s))) as int))), x -> x is not null))""")
+    his = row.where(F.size("_q") == nb).select(ends.alias("_his"))
+    tagged = h.withColumn("_his", F.coalesce(his.scalar(), F.array().cast("array<string>")))
+    tagged = tagged.select("_p", "_n", F.size("_his").alias("_k"), F.coalesce(count_below(F.col("_his"), F.col("_p"), nb), F.lit(0)).alias("_i"))
+    in_range = F.col("_i") < F.col("_k")
+    return tagged.select(F.when(in_range, F.col("_i")).otherwise(F.lit(nb - 1)).cast("int").alias("bucket"), "_p", "_n", in_range.alias("_in")).groupBy("bucket").agg(
+        F.min("_p").alias("lo"), F.max("_p").alias("hi"), F.sum("_n").alias("n"), F.max("_in").alias("closed"))
+
+
 def range_bucket_assign(df: DataFrame, key_col: str, boundaries: DataFrame, n_buckets: int = 10,
                         prefix_len: int = 1, bucket_col: str = "bucket") -> DataFrame:
     """Every row with the equi-depth bucket of its key prefix; no row is ever dropped.

@@ -9,7 +9,7 @@ default to the reference's settings (10 bigram counts, 10 sort ranges, a 2 % key
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel import sinks
@@ -42,10 +42,15 @@ def sampled_sort_job(spark: SparkSession, inputs, output: str, n_ranges: int | N
     ``n_ranges`` files (default: the session's shuffle partitions). A line without a value
     is malformed: it is counted and left out of the output.
     """
-    kv = src.parse_kv_ws(src.read_lines(spark, inputs))
-    ordered = rangesort.range_sort(kv.where("v is not null"), ["k", "v"], n_ranges)
-    sinks.write_lines(sinks.tab_pairs(ordered, "k", "v"), output)
-    return kv.where("v is null").count()
+    bad = F.col("v").isNull()
+    # Malformed lines go through the sort, to be counted by the task that writes; each split's go to a
+    # place of their own, so that many equal ones do not meet.
+    place = F.when(bad, F.hex(F.xxhash64(F.input_file_name(), F.input_file_block_start()))).otherwise(F.col("k"))
+    kv = src.parse_kv_ws(src.read_lines(spark, inputs)).withColumn("_place", place)
+    seen = Observation()
+    ordered = rangesort.range_sort(kv, ["_place", "v"], n_ranges).observe(seen, F.count(F.when(bad, F.lit(1))).alias("malformed"))
+    sinks.write_lines(sinks.tab_pairs(ordered.where(~bad), "k", "v"), output)
+    return seen.get["malformed"]
 
 
 def histogram_sort_job(spark: SparkSession, inputs, output: str, sample_fraction: float = 0.02,
@@ -57,7 +62,7 @@ def histogram_sort_job(spark: SparkSession, inputs, output: str, sample_fraction
     """
     kv = src.parse_kv_tab(src.read_lines(spark, inputs))
     hist = rangesort.first_char_histogram(kv, "k", sample_fraction, prefix_len)
-    bounds = rangesort.equi_depth_boundaries(hist, n_buckets)
+    bounds = rangesort.equi_depth_boundaries(hist, n_buckets, prefix_len=prefix_len)
     # No position is wanted, so one plain range sort does. A partitioned write keeps this
     # order because it begins with the partition column.
     ordered = rangesort.range_sort(rangesort.range_bucket_assign(kv, "k", bounds, n_buckets, prefix_len),

@@ -340,3 +340,11 @@ SELECT 'Total Triangles: ' || CAST(count(*) AS VARCHAR) AS label FROM tri"""
 ORACLE["bounded_sample"] = "WITH " + _KV_SOURCE + r"""
 SELECT k, v FROM kv WHERE ('0x' || substr(md5(k || chr(9) || v), 1, 8))::BIGINT % 1000000 < 100000
 ORDER BY md5(k || chr(9) || v), k, v LIMIT 10000"""
+
+# The fold over four-character prefixes of every line.
+_LONG = _KV_SKEWED_SOURCE + r""",
+hist AS (SELECT substr(k, 1, 4) AS ch, CAST(count(*) AS BIGINT) AS n FROM kv GROUP BY 1)""" + _FOLD.replace("substr(kv.k, 1, 1)", "substr(kv.k, 1, 4)")
+ORACLE["long_prefix_boundaries"] = "WITH RECURSIVE " + _LONG + r"""
+SELECT bucket, lo, hi, n, closed FROM bounds"""
+ORACLE["long_prefix_buckets"] = "WITH RECURSIVE " + _LONG + r"""
+SELECT bucket, CAST(count(*) AS BIGINT) AS n, min(k) AS min_k, max(k) AS max_k FROM tagged GROUP BY bucket"""

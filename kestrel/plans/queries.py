@@ -162,6 +162,21 @@ def q_skewed_range_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", "v", "bucket", "pos_in_bucket")
 
 
+LONG_PREFIX = 4
+
+
+def q_long_prefix_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equi-depth ranges over the four-character prefixes of every line of the documents."""
+    hist = rangesort.first_char_histogram(fx.kv_skewed(spark, sf_dir), "k", 1.0, LONG_PREFIX)
+    return rangesort.equi_depth_boundaries(hist, N_BUCKETS, prefix_len=LONG_PREFIX)
+
+
+def q_long_prefix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kv = fx.kv_skewed(spark, sf_dir)
+    bounds = rangesort.equi_depth_boundaries(rangesort.first_char_histogram(kv, "k", 1.0, LONG_PREFIX), N_BUCKETS, prefix_len=LONG_PREFIX)
+    return rangesort.bucket_stats(rangesort.range_bucket_assign(kv, "k", bounds, N_BUCKETS, LONG_PREFIX), "k")
+
+
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.canonical_edges(src.parse_edges(fx.edge_lines(spark, sf_dir)))
 
@@ -229,6 +244,8 @@ QUERIES: dict[str, Query] = {
     "range_bucket_assign": q_range_bucket_assign,
     "custom_range_sort": q_custom_range_sort,
     "skewed_range_sort": q_skewed_range_sort,
+    "long_prefix_boundaries": q_long_prefix_boundaries,
+    "long_prefix_buckets": q_long_prefix_buckets,
     "edge_list": q_edge_list,
     "edge_symmetrize": q_edge_symmetrize,
     "adjacency": q_adjacency,

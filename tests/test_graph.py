@@ -117,9 +117,28 @@ def test_heavy_tails_meet_in_small_blocks(spark):
     have = {tuple(sorted(p)) for p in pairs}
     want = {t for t in itertools.combinations(range(n), 3) if {(t[0], t[1]), (t[0], t[2]), (t[1], t[2])} <= have}
     for by in ("id", "degree"):
-        assert {tuple(r) for r in graph.triangles(edges, by, block=block).collect()} == want
-        for side in graph.tail_blocks(graph.orient(edges, by), block):
-            assert side.groupBy("p", "i", "j").count().agg({"count": "max"}).first()[0] <= 4 * block
+        assert sorted(tuple(r) for r in graph.triangles(edges, by, block=block).collect()) == sorted(want)
+        o = graph.orient(edges, by)
+        blocks = graph._in_blocks(o, block).groupBy("x", "_b").count()
+        assert blocks.agg({"count": "max"}).first()[0] <= 4 * block and blocks.where("_b > 0").count() > 0
+
+
+def test_every_wedge_once_and_open_ones_filtered(spark):
+    """Unfiltered: each pair of out-neighbours once, in order. Filtered: all closed ones, and few of the open ones."""
+    pairs = _random_graph(7, n=300, m=3000)
+    edges = graph.canonical_edges(_edges(spark, pairs)).cache()
+    o = graph.orient(edges).cache()
+    out, rank = {}, {}
+    for r in o.collect():
+        out.setdefault(r.x, set()).add(r.y)
+        rank[r.y] = (r.dy, r.y)
+    want = sorted((p, *sorted(c, key=rank.get)) for p, ns in out.items() for c in itertools.combinations(ns, 2))
+    closed = {w for w in want if w[2] in out.get(w[1], ())}
+    for block in (4096, 4):
+        assert sorted(tuple(r) for r in graph.wedges(o, block, filtered=False).collect()) == want
+        kept = [tuple(r) for r in graph.wedges(o, block).collect()]
+        assert len(kept) == len(set(kept)) and closed <= set(kept) <= set(want)
+        assert len(kept) - len(closed) < 0.3 * (len(want) - len(closed))
 
 
 def test_adjacency_ranks_hubs_by_range(spark):

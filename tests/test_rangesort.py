@@ -301,3 +301,31 @@ def test_no_task_sees_a_large_sample(spark):
     whole = [w for w in windows if "sum(_sw" in w and ("windowspecdefinition(_key" in w or "windowspecdefinition(specified" in w)]
     coarse = [w for w in plan_string(bounds.coarse).split("\n") if w.startswith("Arguments: [") and "sum(_sw" in w]
     assert any("sum(_sw" in w and "windowspecdefinition(_c" in w for w in windows) and len(whole) == len(coarse)
+
+
+def test_trie_boundaries_equal_the_fold(spark):
+    """Long prefixes, heavy ones, short keys, more ranges than prefixes: the literal fold on each."""
+    rnd = random.Random(21)
+    cases = [[("a", 100), ("b", 5), ("c", 5)], [("a", 1), ("b", 2)], [("", 50), ("a", 1), ("aa", 1), ("aaa", 1), ("ab", 50)],
+             [("zz", 7)], [("z", 3), ("é", 10), ("éa", 30)]]
+    for _ in range(4):
+        keys = sorted({"".join(rnd.choice("abé") for _ in range(rnd.randint(0, 3))) for _ in range(rnd.randint(2, 40))}, key=lambda k: k.encode())
+        cases.append([(k, rnd.choice([1, 2, 30, 400])) for k in keys])
+    for hist in cases:
+        nb = rnd.choice([3, 10])
+        b = rangesort.equi_depth_boundaries(spark.createDataFrame(hist, "ch string, n bigint"), nb, prefix_len=3)
+        want, closed = fold_buckets(hist, nb), {}
+        for ch, n in hist:
+            lo, hi, total = closed.get(want[ch], (ch, ch, 0))
+            closed[want[ch]] = (lo, ch, total + n)
+        assert {r.bucket: (r.lo, r.hi, r.n) for r in b.collect()} == closed, hist
+        keys = spark.createDataFrame([(c,) for c, _ in hist], "k string")
+        assert {r.k: r.bucket for r in rangesort.range_bucket_assign(keys, "k", b, nb, 3).collect()} == want
+
+
+def test_no_window_over_all_prefixes(spark):
+    hist = spark.range(5).selectExpr("cast(id as string) as ch", "id as n")
+    plan = plan_string(rangesort.equi_depth_boundaries(hist, 10, prefix_len=4))
+    windows = [w for w in plan.split("\n") if "windowspecdefinition(" in w]
+    assert windows and all("windowspecdefinition(_at" in w or "windowspecdefinition(_g" in w for w in windows)
+    assert "WindowGroupLimit" in plan
