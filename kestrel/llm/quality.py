@@ -12,6 +12,8 @@ calibrated logits scores all documents in Arrow batches. Only features of the sa
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +25,8 @@ from kestrel.llm.toxicity import held_out, labelled_sample
 
 MAX_TRAIN = 12_000
 ROUNDS, CONFIDENT, SHARE = 4, 0.97, 0.1   # per round a view may hand over this share of the pool
-WEIGHT, STEPS = 0.5, 25                   # of a pseudo-label; Newton steps at most
+WEIGHT, STEPS = 0.5, 25                   # of a pseudo-label; Newton steps at most, on the sample
+ROUND_STEPS = 3                           # Newton steps of a round, each a pass over all rows
 VIEWS = ("text", "meta")
 BINS = 4_096                              # of a score's histogram
 SURE = float(np.log(CONFIDENT / (1 - CONFIDENT)))
@@ -207,16 +210,15 @@ def _given(x, draw, past):
 
 
 def _pool_sums(what, past, models):
-    """A function of pool rows whose results add up: ``bins`` (scores per view), ``moments`` or ``newton``
-    of the rows handed to each view so far."""
+    """A function of pool rows whose results add up: ``bins`` (scores per view), or ``newton``, the sums
+    for a step over the rows handed to each view so far."""
     def run(x, draw):
         if what == "bins":
             return [np.bincount(_bins(models[v].logit(x[v])), minlength=BINS).astype(float) for v in VIEWS]
         out = []
         for v, y in _given(x, draw, past).items():
             at = ~np.isnan(y)
-            rows = x[v][at]
-            out += [*_moments(rows), np.array(y[at].sum())] if what == "moments" else models[v].sums(rows, y[at], np.full(len(rows), WEIGHT))
+            out += models[v].sums(x[v][at], y[at], np.full(int(at.sum()), WEIGHT))
         return out
     return run
 
@@ -233,11 +235,20 @@ class ArrayPool:
         return _pool_sums(*asked)(self.x, self.draw)
 
 
+POOL_ROWS = 200_000     # rows of features that one task of a pass reads, if there are so many
+PACKS = 64              # rows that reach the driver in a pass, at most
+
+
 class TablePool:
-    """Unlabelled rows as a table of features (text, meta, draw); sums are Spark aggregates."""
+    """Unlabelled rows as a table of features (text, meta, draw); sums are Spark aggregates.
+
+    A task packs its sums in one row; these are added up by at most ``PACKS`` tasks, whose rows the driver adds."""
 
     def __init__(self, rows: DataFrame):
-        self.rows, self.size = rows, rows.count()
+        self.size = rows.count()
+        tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-self.size // POOL_ROWS))
+        self.rows = rows.coalesce(tasks)
+        self.packs = max(1, min(PACKS, tasks // 16))
 
     def total(self, *asked):
         def run(batches):
@@ -248,17 +259,35 @@ class TablePool:
                     got = add(x, batch.column("draw").to_numpy(zero_copy_only=False))
                     total = got if total is None else [a + b for a, b in zip(total, got, strict=True)]
             if total is not None:
-                for i, t in enumerate(total):
-                    flat = np.asarray(t).ravel()
-                    at = np.flatnonzero(flat) if flat.any() else np.zeros(1, int)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(flat[at]),
-                                                      pa.array([list(np.shape(t))] * len(at), pa.list_(pa.int32()))], names=["part", "at", "x", "shape"])
+                yield _packed(total)
+
+        def merge(batches):
+            total = None
+            for batch in batches:
+                for raw, shapes in zip(batch.column("x").to_pylist(), batch.column("shapes").to_pylist(), strict=True):
+                    got = _unpacked(raw, shapes)
+                    total = got if total is None else [a + b for a, b in zip(total, got, strict=True)]
+            if total is not None:
+                yield _packed(total)
+
+        schema = "x binary, shapes array<array<int>>"
+        packs = self.rows.mapInArrow(run, schema).repartition(self.packs).mapInArrow(merge, schema).collect()
+        sums = [_unpacked(bytes(r.x), r.shapes) for r in packs]
+        return [sum(parts) for parts in zip(*sums, strict=True)]
 
-        got = self.rows.mapInArrow(run, "part int, at int, x double, shape array<int>")
-        out = {}
-        for r in got.groupBy("part", "at", "shape").agg(F.sum("x").alias("x")).collect():   # one row per number
-            out.setdefault(r.part, np.zeros(r.shape)).reshape(-1)[r.at] = r.x
-        return [out[i] for i in range(len(out))]
+
+def _packed(parts):
+    return pa.RecordBatch.from_arrays([pa.array([b"".join(np.asarray(p, float).tobytes() for p in parts)], pa.binary()),
+                                       pa.array([[list(np.shape(p)) for p in parts]], pa.list_(pa.list_(pa.int32())))], names=["x", "shapes"])
+
+
+def _unpacked(raw, shapes):
+    flat, out, at = np.frombuffer(raw), [], 0
+    for shape in shapes:
+        size = int(np.prod(shape))
+        out.append(flat[at:at + size].reshape(shape))
+        at += size
+    return out
 
 
 def _limits(counts, most: int):
@@ -284,13 +313,9 @@ def co_train(text, meta, y, pool_text, pool_meta=None, seed: int = 5):
     for _ in range(ROUNDS if pool.size else 0):
         counts = pool.total("bins", None, models)
         past.append((models, {v: _limits(c, int(SHARE * pool.size)) for v, c in zip(VIEWS, counts, strict=True)}))
-        got = pool.total("moments", past, None)
-        models, done = {v: Logistic(squares=v == "text") for v in VIEWS}, set()
-        for v, (n, total, squared, ones) in zip(VIEWS, (got[:4], got[4:]), strict=True):
-            own = _moments(x[v])
-            models[v].scale(own[0] + n, own[1] + total, own[2] + squared)
-            models[v].start((y[fit].sum() + WEIGHT * ones) / (len(fit) + WEIGHT * n))
-        for _ in range(STEPS):
+        # each round goes on from the last one's coefficients, on the same scale
+        models, done = {v: copy.copy(models[v]) for v in VIEWS}, set()
+        for _ in range(ROUND_STEPS):
             got = pool.total("newton", past, models)
             for v, (grad, hess) in zip(VIEWS, (got[:2], got[2:]), strict=True):
                 if v not in done:
