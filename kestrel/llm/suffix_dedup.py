@@ -217,12 +217,14 @@ def _removed(batches):
         cols = list(zip(*out, strict=True)) if out else [()] * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-             pa.array([hashlib.sha256(x).hexdigest() for x in cols[3]], pa.string()), pa.array(cols[3], pa.binary())],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+             pa.array([hashlib.sha256(x).hexdigest() for x in cols[3]], pa.string()), pa.array(cols[3], pa.binary()),
+             pa.array([x.decode("utf-8", "ignore") for x in cols[3]], pa.string())],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text"])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) per document.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) and text (these decoded, without
+    the parts of characters that a cut may leave) per document.
 
     ``length`` is 2 TOP at most and TOP at least. Defined cases: null or empty text has no bytes;
     shorter texts than ``length`` lose nothing; repeated rows are documents of their own, so each
@@ -261,10 +263,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     again = rows.groupBy("w").agg(F.sum("c").alias("n")).where("n > 1").select("w")
     hot = rows.where("c = 1").join(again, "w").select("k", "a", (F.col("a") + length).alias("b"))
 
-    spans = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     out = texts.join(spans.hint("shuffle_hash"), "k", "left")
     return out.select("doc_id", "text", "spans").mapInArrow(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text string")
 
 
 def op6_suffix_dedup(spark, sf_dir):

@@ -39,7 +39,7 @@ def test_against_brute_force(spark, monkeypatch, length, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     docs = rows(length + hot)
     df = odd.documents(spark, [(d, t, None, None, None) for d, t in docs])
-    got = suffix_dedup.remove_repeats(df, length).drop("kept").collect()
+    got = suffix_dedup.remove_repeats(df, length).drop("kept", "text").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(docs, length)
 
 
@@ -48,9 +48,18 @@ def test_long_texts_in_segments(spark, monkeypatch):
     rnd = random.Random(9)
     x = "".join(rnd.choice("abcdef") for _ in range(9000))
     docs = [(1, x), (2, "tail" + x[2500:8200]), (3, x[100:1300] + "!" + x[100:1300])]
-    got = suffix_dedup.remove_repeats(odd.documents(spark, [(*d, None, None, None) for d in docs])).drop("kept").collect()
+    got = suffix_dedup.remove_repeats(odd.documents(spark, [(*d, None, None, None) for d in docs])).drop("kept", "text").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(docs, 400)
 
 
+def test_many_equal_rows_of_one_id_and_the_kept_text(spark):
+    text = "é" + "passage of words " * 40
+    docs = [(7, text)] * 1000 + [(8, "own words before it. " + text + " and after"), (9, "short"), (None, None)]
+    got = suffix_dedup.remove_repeats(odd.documents(spark, [(*d, None, None, None) for d in docs])).collect()
+    assert len(got) == 1003 and all(r.n_removed == len(text.encode()) and r.n_spans == 1 and r.text == "" for r in got if r.doc_id == 7)
+    rest = {r.doc_id: r.text for r in got}
+    assert rest[8] == "own words before it.  and after" and rest[9] == "short" and rest[None] == ""
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(odd.empty(spark)).collect() == []
