@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,39 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of one job in a folder of the shared file system, each removed as soon as it is of no more use.
+
+    ``cut`` writes a table (Parquet, so that a lost executor only reads it again) and ``drop`` removes it; ``release``
+    also lets Spark remove the shuffle files of what has run, which it does when nothing refers to them any more.
+    ``close`` removes the folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.n, self.places = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", 0, {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path, self.n = f"{self.folder}/{self.n}", self.n + 1
+        df.write.parquet(path)
+        out = self.spark.read.parquet(path)
+        self.places[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        for t in tables:
+            if t is not None:
+                drop_folder(self.spark, self.places.pop(id(t))[1])
+
+    def release(self) -> None:
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+    def close(self) -> None:
+        self.places.clear()
+        drop_folder(self.spark, self.folder)
+        self.release()
+
+
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

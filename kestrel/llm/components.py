@@ -10,16 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut
+from kestrel.llm.common import Scratch, cut
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", scratch: Scratch | None = None) -> DataFrame:
     """id, component: the smallest id reachable, for every id that has a link to another.
 
-    Links with a null end or from an id to itself are ignored; repeats do no harm.
+    Links with a null end or from an id to itself are ignored; repeats do no harm. With ``scratch`` the rounds
+    are its tables, of which the last one stays.
     """
+    keep, gone = (cut, None) if scratch is None else (scratch.cut, scratch.drop)
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
-    e = cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = keep(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
         # A forest of stars is done: every id is either a centre or has one link to a centre.
         roles = (e.select(F.col("u").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("centre"))
@@ -35,5 +37,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: smaller neighbours of u, and u, move to the smallest of them
         low = e1.groupBy("u").agg(F.min("v").alias("m"))
         moved = e1.join(low, "u")
-        e = cut(moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                .union(low.select("u", F.col("m").alias("v"))).distinct())
+        last, e = e, keep(moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+                          .union(low.select("u", F.col("m").alias("v"))).distinct())
+        if gone is not None:
+            gone(last)

@@ -5,7 +5,7 @@ Two documents link when ``100 * |A n B| >= 75 * |A u B|`` for their sets of 5-wo
 1. One pass over the texts gives per document the size of its set, an identity of the set (two
    64-bit sums), a token bitmap about two to four bits per shingle wide, and the ``SKETCH``
    smallest shingle hashes. Documents with the same set are one class; only its smallest id goes on.
-2. Classes that share a sketch token meet in that token's group. For a pair at or above 0.75 the
+2. Classes that share a sketch token meet in that token's group; tokens with the same classes are one group. For a pair at or above 0.75 the
    smallest hash of the union is shared with probability 0.75, the next one likewise, so a
    pair misses all groups with probability at most 0.25 ** SKETCH, below a collision of the
    64-bit hashes that name shingles; a set of at most ``4 * SKETCH`` shingles cannot miss (its
@@ -15,7 +15,7 @@ Two documents link when ``100 * |A n B| >= 75 * |A u B|`` for their sets of 5-wo
    possible overlap exclude 0.75, and so does every pair already in one component.
 4. Surviving pairs are verified exactly on the full sets, in three rounds: first a spanning
    forest per group, then the four best partners outside one's component, last all that is left
-   (from the second round on a pair counts only in the group of the smallest shingle it shares).
+   (from the second round on a pair counts only in the first group it shares).
    After each round, links are merged into components, so dense groups of near
    copies are never expanded into all pairs, and no link between different sets is lost.
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import cut, if_small, in_batches
+from kestrel.llm.common import Scratch, cut, if_small, in_batches
 from kestrel.llm.components import components
 
 SHINGLE = 5
@@ -117,11 +117,11 @@ class _Groups:
 
     def __init__(self, k, side, rep, comp, n, t, bits, sketch):
         self.key, self.side, self.rep, self.comp, self.n, self.token, self.bits = k, side, rep, comp, n, t.view(np.uint64), bits
-        self.sketch = sketch       # rows of SKETCH smallest shingles, padded with the largest number; None in the first round
+        self.sketch = sketch       # rows of the groups a member is in, padded with the largest number; None in the first round
         self.rows = {}
 
     def here(self, x, y):
-        """Which pairs of members belong to this group: that of the smallest shingle they share."""
+        """Which pairs of members belong to this group: the first one they share."""
         ok = np.ones(len(x), bool)
         if self.sketch is not None:
             for at in range(0, len(x), 8192):
@@ -374,70 +374,94 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     each; a null id keeps its row with its set size, links with nothing and has a null
     component; an empty table gives no rows; other columns are ignored.
     """
-    base = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    profile = cut(base.mapInArrow(_profile, PROFILE))
+    scratch = Scratch(docs.sparkSession)
+    try:
+        return _classes(in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), scratch)
+    finally:
+        scratch.close()
+
+
+def _classes(base: DataFrame, scratch: Scratch) -> DataFrame:
+    profile = scratch.cut(base.mapInArrow(_profile, PROFILE))
     same = ["n_shingles", "s1", "s2"]
     cid = F.xxhash64(*same).alias("cid")
-    classes = cut(profile.where("n_shingles > 0 and doc_id is not null")
-                  .groupBy(*same, "sketch", "bits").agg(F.min("doc_id").alias("rep"))
-                  .select(cid, "rep", F.col("n_shingles").alias("n"), "sketch", "bits"))
+    classes = scratch.cut(profile.where("n_shingles > 0 and doc_id is not null")
+                          .groupBy(*same, "sketch", "bits").agg(F.min("doc_id").alias("rep"))
+                          .select(cid, "rep", F.col("n_shingles").alias("n"), "sketch", "bits"))
+    out = scratch.cut(profile.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid")).distinct())
+    scratch.drop(profile)
 
+    # Tokens whose classes are the same are one group, named by the smallest: near copies share most of their tokens.
     tokens = classes.select("cid", F.explode("sketch").alias("t"))
-    # cut: a join with a plain exchange on both sides is one whose hot keys Spark can split
-    shared = cut(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    grouped = cut(tokens.join(shared, "t").select("t", "cid", "c"))
-    marks = classes.select("cid", "n", "bits", "sketch")
+    shared = (tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("_h1"), F.bit_xor(F.xxhash64("cid", F.lit(2))).alias("_h2"))
+              .where("c > 1").groupBy("c", "_h1", "_h2").agg(F.min("t").alias("t")))
+    shared = scratch.cut(shared.select("t", "c"))
+    # written: a join with a plain exchange on both sides is one whose hot keys Spark can split
+    grouped = scratch.cut(tokens.join(shared, "t").select("t", "cid", "c"))
+    homes = grouped.groupBy("cid").agg(F.sort_array(F.collect_list("t")).alias("homes"))      # SKETCH groups at most
+    marks = scratch.cut(classes.join(homes, "cid").select("cid", "n", "bits", "homes"))
+    names = scratch.cut(classes.select("cid", "rep"))
+    scratch.drop(classes, shared)
+    scratch.release()
 
     labels, links, tested, sets = None, None, None, None
     for best in (1, 4, 0):
-        rows = grouped.join(marks, "cid")
         if labels is None:
-            rows = rows.withColumn("comp", F.col("cid"))
+            rows = grouped.withColumn("comp", F.col("cid"))
         else:
-            rows = rows.join(labels, rows["cid"] == labels["id"], "left").withColumn("comp", F.coalesce("component", "cid"))
+            # only groups of several components go on, and only then do their members' bitmaps join
+            rows = (grouped.join(labels, grouped["cid"] == labels["id"], "left")
+                    .select("t", "cid", "c", F.coalesce("component", "cid").alias("comp")))
             open_ = rows.groupBy("t").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("t")
-            rows = rows.join(open_, "t", "left_semi")
+            rows = scratch.cut(rows.join(open_, "t", "left_semi"))
+            if rows.isEmpty():
+                break
+        meet = rows.join(marks, "cid")
         # groups beyond BLOCK members: blocks by hash, every pair of blocks (and each by itself)
         n_blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
         mine = F.pmod(F.xxhash64("cid"), n_blocks).cast("int")
-        rows = rows.withColumn("_b", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        rows = rows.select(F.xxhash64("t", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("k"),
+        meet = meet.withColumn("_b", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        meet = meet.select(F.xxhash64("t", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("k"),
                            F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2).alias("side"),
-                           F.col("cid").alias("rep"), "comp", "n", "t", "bits", *([] if best == 1 else ["sketch"]))
-        pairs = rows.repartition("k").sortWithinPartitions("k").mapInArrow(_candidates(best), "a long, b long").distinct()
+                           F.col("cid").alias("rep"), "comp", "n", "t", "bits", *([] if best == 1 else [F.col("homes").alias("sketch")]))
+        pairs = meet.repartition("k").sortWithinPartitions("k").mapInArrow(_candidates(best), "a long, b long").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs = scratch.cut(pairs)
+        if labels is not None:
+            scratch.drop(rows)
         if sets is None:
             # Whoever has a possible partner is in the first round's forests: only their sets are
             # needed, and only they can meet again.
-            ends = cut(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
-            wanted = cut(classes.join(ends, "cid").select(F.col("rep").alias("_id")).distinct())
+            ends = scratch.cut(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+            wanted = scratch.cut(names.join(ends, "cid").select(F.col("rep").alias("_id")).distinct())
             texts = base.join(if_small(wanted), F.col("doc_id") == F.col("_id"), "inner").select("text")
-            sets = cut(texts.mapInArrow(_full_sets, "n_shingles long, s1 long, s2 long, set binary").select(cid, "set"))
-            grouped = cut(grouped.join(ends, "cid"))
+            sets = scratch.cut(texts.mapInArrow(_full_sets, "n_shingles long, s1 long, s2 long, set binary").select(cid, "set"))
+            all_groups, grouped = grouped, scratch.cut(grouped.join(ends, "cid").select("t", "cid", "c"))
+            scratch.drop(all_groups, wanted, ends)
+        scratch.release()
         if pairs.isEmpty():
             if best == 4:
                 continue    # all the best are tested: what is left is listed in the last round
             break       # nothing untested is left across components
         both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b"))
-        found = cut(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
+        found = scratch.cut(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
         tested = pairs if tested is None else tested.union(pairs)
         if labels is None or not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = components(links)
+            labels = components(links, scratch=scratch)
+        scratch.release()
 
     if labels is None:
-        labels = classes.select(F.col("cid").alias("id"), F.col("cid").alias("component")).limit(0)
+        labels = names.select(F.col("cid").alias("id"), F.col("cid").alias("component")).limit(0)
     # the smallest document id of every component
-    member = classes.join(labels, classes["cid"] == labels["id"], "left").select("cid", "rep", F.coalesce("component", "cid").alias("comp"))
+    member = names.join(labels, names["cid"] == labels["id"], "left").select("cid", "rep", F.coalesce("component", "cid").alias("comp"))
     least = member.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = member.join(least, "comp").select(F.col("cid").alias("_c"), "component_id")
-    out = profile.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid")).distinct()
     out = out.join(named, F.col("cid") == F.col("_c"), "left")
-    return out.select("doc_id", "n_shingles",
-                      F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return cut(out.select("doc_id", "n_shingles",
+                          F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
 def op7_ngram_join(spark, sf_dir):
