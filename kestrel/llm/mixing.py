@@ -74,23 +74,24 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _walk(s: Column, lower: bool) -> Column:
-    """Probabilities relative to the mode's, from the mode outwards to ``a`` (or ``b``)."""
-    def ratio(x):      # P(x) / P(x - 1)
-        x = x.cast("double")
-        return (s["g"] - x + 1) * (s["d"] - x + 1) / (x * (s["p"] - s["g"] - s["d"] + x))
+def _ratio(s: Column, x: Column) -> Column:
+    """P(x) / P(x - 1)"""
+    x = x.cast("double")
+    return (s["g"] - x + 1) * (s["d"] - x + 1) / (x * (s["p"] - s["g"] - s["d"] + x))
 
+
+def _weigh(s: Column, lower: bool) -> Column:
+    """Walk from the mode (weight 1) to ``a`` (or ``b``): the last weight and the sum of those walked over."""
     if lower:
         steps = F.when(s["m"] > s["a"], F.sequence(s["m"], s["a"] + 1, F.lit(-1).cast("long")))
     else:
         steps = F.when(s["b"] > s["m"], F.sequence(s["m"] + 1, s["b"]))
 
-    def push(acc, x):
-        w = F.coalesce(F.element_at(acc, -1), F.lit(1.0))
-        return F.array_append(acc, w / ratio(x) if lower else w * ratio(x))
+    def go(acc, x):
+        w = acc["w"] / _ratio(s, x) if lower else acc["w"] * _ratio(s, x)
+        return F.struct(w.alias("w"), (acc["t"] + w).alias("t"))
 
-    first = F.array(F.lit(1.0))
-    return F.aggregate(F.coalesce(steps, F.array().cast("array<bigint>")), first, push)
+    return F.aggregate(F.coalesce(steps, F.array().cast("array<bigint>")), F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("t")), go)
 
 
 def _hypergeometric(pop: Column, good: Column, draws: Column, u: Column) -> Column:
@@ -110,17 +111,18 @@ def _hypergeometric(pop: Column, good: Column, draws: Column, u: Column) -> Colu
                         F.least(hi, mode + reach).alias("b"))
 
     def invert(s):
-        weights = F.concat(F.slice(F.reverse(_walk(s, True)), 1, (s["m"] - s["a"]).cast("int")), _walk(s, False))
+        # three folds with a running weight: both sums, then from ``a`` up to the drawn share of all
+        def pick(t):
+            goal = s["u"] * (t["lower"]["t"] + 1.0 + t["upper"]["t"])
+
+            def go(acc, x):
+                c = acc["c"] + acc["w"]
+                return F.struct((acc["w"] * _ratio(s, x + 1)).alias("w"), c.alias("c"), (acc["k"] + F.when(c < goal, 1).otherwise(0)).cast("long").alias("k"))
 
-        def pick(w):
-            total = F.aggregate(w, F.lit(0.0), lambda c, x: c + x)
-            hit = F.aggregate(w, F.struct(F.lit(0.0).alias("c"), F.lit(0).cast("long").alias("k")),
-                              lambda c, x: F.struct((c["c"] + x).alias("c"),
-                                                    (c["k"] + F.when(c["c"] + x < s["u"] * total, 1).otherwise(0)).cast("long").alias("k")),
-                              lambda c: c["k"])
-            return F.least(s["b"], s["a"] + hit)
+            start = F.struct(t["lower"]["w"].alias("w"), F.lit(0.0).alias("c"), F.lit(0).cast("long").alias("k"))
+            return F.least(s["b"], s["a"] + F.aggregate(F.sequence(s["a"], s["b"]), start, go, lambda acc: acc["k"]))
 
-        return _let(weights, pick)
+        return _let(F.struct(_weigh(s, True).alias("lower"), _weigh(s, False).alias("upper")), pick)
 
     args = F.struct(pop.cast("double").alias("p"), good.cast("double").alias("g"), draws.cast("double").alias("d"), u.alias("u"))
     return _let(_let(args, window), invert)
