@@ -17,17 +17,16 @@ against the total length, and decoded. Revisits take length and digest from the
 from __future__ import annotations
 
 import base64
-import uuid
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, drop_folder, in_batches, shared_dir
+from kestrel.llm.common import Scratch, cut, in_batches
 
-SEGMENT_BYTES = 1 << 16
-CHUNK_BYTES = 1 << 14
+SEGMENT_BYTES = 1 << 12
+CHUNK_BYTES = 1 << 11
 RECORDS_PER_FILE = 512
 CRLF = b"\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: the base-32 digits
@@ -142,35 +141,28 @@ def _page_of(urn: str | None):
     return int(urn.removeprefix("urn:page:")) if urn.startswith("urn:page:") else None
 
 
-WHOLE = "rid string, page_id long, type string, refers_to long, header_digest string, payload binary"
-PART = "rid string, segment int, total long, header_digest string, block binary"
+PARSED = "rid string, page_id long, type string, refers_to long, header_digest string, segment int, total long, body binary"
 
 
-def _parse(segments: bool):
-    def run(batches):
-        for batch in batches:
-            for content in batch.column("content"):
-                raw = content.as_py()
-                raw = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
-                rows = []
-                for f, block in _records(raw):
-                    part = "WARC-Segment-Number" in f
-                    digest = f.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
-                    if segments and part:
-                        rid = (f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"]).strip("<>")
-                        total = f.get("WARC-Segment-Total-Length")
-                        rows.append((rid, int(f["WARC-Segment-Number"]), int(total) if total else None, digest, block))
-                    elif not segments and not part:
-                        payload = None if f["WARC-Type"] == "revisit" else _payload(block)
-                        rid = f["WARC-Record-ID"].strip("<>")
-                        rows.append((rid, _page_of(rid), f["WARC-Type"], _page_of(f.get("WARC-Refers-To")), digest, payload))
-                names = ["rid", "segment", "total", "header_digest", "block"] if segments else [
-                    "rid", "page_id", "type", "refers_to", "header_digest", "payload"]
-                types = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.binary()] if segments else [
-                    pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-                cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
-    return run
+def _parse(batches):
+    """Records of archive files: ``body`` is the decoded payload of a whole record, the block of a segment
+    (``segment`` is not null), or null (a revisit)."""
+    names = [x.split()[0] for x in PARSED.split(", ")]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+    for batch in batches:
+        for content in batch.column("content"):
+            raw = content.as_py()
+            raw = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
+            rows = []
+            for f, block in _records(raw):
+                rid = (f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"]).strip("<>")
+                digest = f.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
+                number, total = f.get("WARC-Segment-Number"), f.get("WARC-Segment-Total-Length")
+                body = block if number else None if f["WARC-Type"] == "revisit" else _payload(block)
+                rows.append((rid, _page_of(rid), "response" if number else f["WARC-Type"], _page_of(f.get("WARC-Refers-To")), digest,
+                             int(number) if number else None, int(total) if total else None, body))
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
 
 def _payload(block: bytes) -> bytes:
@@ -192,20 +184,28 @@ def _reassemble(batches):
                                          names=["rid", "page_id", "type", "refers_to", "header_digest", "payload"])
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """rid, page_id, type, refers_to, header_digest, payload of every page record under ``path``.
+WHOLE = "rid string, page_id long, type string, refers_to long, header_digest string, payload binary"
 
-    Payloads are decoded from their chunks; those of revisits are null. Incomplete segments fail.
-    """
-    files = spark.read.format("binaryFile").load(path).select("content")
-    whole = files.mapInArrow(_parse(False), WHOLE)
-    parts = files.mapInArrow(_parse(True), PART)
-    grouped = (parts.groupBy("rid").agg(F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("parts"),
-                                        F.max("total").alias("total"), F.max("header_digest").alias("header_digest")))
-    return whole.unionByName(grouped.mapInArrow(_reassemble, WHOLE))
 
+def read_archives(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
+    """rid, page_id, type, refers_to, header_digest, payload of every page record under ``path``.
 
-def round_trip(pages: DataFrame, path: str) -> DataFrame:
+    Payloads are decoded from their chunks; those of revisits are null. Incomplete segments fail, and so does
+    a payload without the digest that its record names. Every archive is read once: its parsed
+    records are a table of ``scratch``, from which whole records and segments are taken.
+    """
+    parsed = scratch.cut(spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parse, PARSED))
+    whole = parsed.where("segment is null").select("rid", "page_id", "type", "refers_to", "header_digest", F.col("body").alias("payload"))
+    grouped = (parsed.where("segment is not null").groupBy("rid")
+               .agg(F.array_sort(F.collect_set(F.struct("segment", F.col("body").alias("block")))).alias("parts"),
+                    F.max("total").alias("total"), F.max("header_digest").alias("header_digest")))
+    records = whole.unionByName(grouped.mapInArrow(_reassemble, WHOLE))
+    right = F.col("payload").isNull() | F.col("header_digest").isNull() | (payload_digest(F.col("payload")) == F.col("header_digest"))
+    wrong = F.raise_error(F.concat(F.lit("payload and digest of a record differ: "), F.col("rid"))).cast("binary")
+    return records.withColumn("payload", F.when(right, F.col("payload")).otherwise(wrong))
+
+
+def round_trip(pages: DataFrame, path: str, scratch: Scratch) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to per page, from the archives.
 
     Defined cases: null html is an empty payload; empty payloads are equal payloads like others; a
@@ -215,10 +215,10 @@ def round_trip(pages: DataFrame, path: str) -> DataFrame:
     """
     spark = pages.sparkSession
     write_archives(pages, path)
-    back = read_archives(spark, path)
+    back = read_archives(spark, path, scratch)
     whole = back.where("type = 'response'").select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        payload_digest(F.col("payload")).alias("payload_digest"), F.lit("response").alias("record_type"),
+        F.coalesce("header_digest", payload_digest(F.col("payload"))).alias("payload_digest"), F.lit("response").alias("record_type"),
         F.lit(None).cast("long").alias("refers_to")).distinct()
     visits = back.where("type = 'revisit'").select(F.col("page_id"), "refers_to").distinct()
     named = whole.select(F.col("page_id").alias("_p"), "payload_bytes", "payload_digest")
@@ -231,10 +231,11 @@ def op9_warc(spark, sf_dir):
     """Writes the archives to the shared folder, reads them back, and removes them again."""
     from kestrel.llm.common import table
 
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    out = cut(round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path))
-    drop_folder(spark, path)
-    return out
+    scratch = Scratch(spark)
+    try:
+        return cut(round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), f"{scratch.folder}/warc", scratch))
+    finally:
+        scratch.close()
 
 
 OP9_SQL = """
