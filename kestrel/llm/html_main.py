@@ -47,27 +47,47 @@ NAMED = frozenset("ad ads advert adverts advertisement advertising banner sponso
                   "notice alert sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments commentlist reply replies "
                   "discussion disqus share sharing social related recommended newsletter subscribe subscription signup login popup modal "
                   "overlay widget toolbar pagination pager masthead copyright disclaimer topbar skip paywall hidden".split())
+ARTICLE_NAMED, HEADER_NAMED = frozenset({"comment", "comments", "reply", "ad", "related"}), frozenset({"header"})
+# Words before a name that say what the page has or lacks, and words after it that only hold the thing named.
+STATES = frozenset("no not non without has have with is are hide show toggle".split())
+HOLDERS = frozenset("area articles bar block bottom box button buttons center column container content group heading holder icon icons inner item items left "
+                    "link links list main news outer panel posts primary right row secondary section slot space stories title top unit wrap wrapper "
+                    "wrapping zone box1 1 2 3 4 5 6 7 8 9".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 CLOSES_SELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}}
 
 
-def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
+def _named(token: str, names=NAMED) -> bool:
+    """Whether a class or id names boilerplate: alone, as the thing itself (main-nav), or with words that only hold
+    it (ad-slot). What it has or lacks (no-sidebar), its state (menu-open) and other compounds (notice-period) do not."""
+    parts = [x.lower() for x in NAME.findall(token)]
+    if not parts or parts[0] in STATES:
+        return False
+    return parts[-1] in names or (parts[0] in names and all(x in HOLDERS or x in names for x in parts[1:]))
+
+
+HARD, SOFT = "drop", "soft"       # a soft one ends where the page's main element or first article begins
+
+
+def _is_noise(tag: str, attrs: str, in_article: bool) -> str | None:
+    if tag == "form":
+        return SOFT
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return HARD
     if not attrs or attrs.isspace() or tag in ("html", "body", "main"):
-        return False
+        return None
     found = {}
     for m in ATTR.finditer(attrs):
         found.setdefault((m[1] or m[5]).lower(), m[2] or m[3] or m[4] or "")
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
+        return HARD
     if found.get("role", "").lower() in ROLES:
-        return True
-    names = {x.lower() for key in ("class", "id") for x in NAME.findall(found.get(key, ""))}
+        return HARD
+    names = [x for key in ("class", "id") for x in found.get(key, "").split()]
     if tag == "article":    # it may be a reader's comment
-        return bool(names & {"comment", "comments", "reply", "ad", "related"})
-    return bool(names & NAMED) or ("header" in names and not in_article)
+        return SOFT if any(_named(x, ARTICLE_NAMED) for x in names) else None
+    return SOFT if any(_named(x) or (not in_article and _named(x, HEADER_NAMED)) for x in names) else None
 
 
 def blocks(page: str) -> list[tuple[str, int, str]]:
@@ -75,12 +95,12 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
     article numbers the innermost article element (0 outside)."""
     out, text = [], []
     stack = []          # (tag, zone, article) of open elements
-    zone, article, n_articles = "body", 0, 0
+    zone, article, n_articles, seen = "body", 0, 0, False
 
     def flush():
         if text:
             line = " ".join(html.unescape("".join(text)).split())
-            if line and zone != "drop":
+            if line and zone not in (HARD, SOFT):
                 out.append((zone, article, line))
             text.clear()
 
@@ -108,15 +128,19 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 stack.pop()
                 _, zone, article = stack[-1] if stack else ("", "body", 0)
             new, inner = zone, article
-            if zone != "drop":
-                if _is_noise(tag, m[4], article > 0):
+            if zone != HARD:
+                drop = _is_noise(tag, m[4], article > 0)
+                if zone == SOFT and not drop and not seen and tag in ("main", "article"):
+                    zone = new = "body"     # what seemed boilerplate by its name holds the page's main part
+                if drop or zone == SOFT:
                     flush()
-                    new = "drop"
+                    new = HARD if drop == HARD else SOFT
                 elif tag == "article":
                     n_articles += 1
                     inner = n_articles
                 elif tag == "main" and not article:
                     new = "main"
+                seen = seen or new == "main" or inner > 0
             if not m[4].rstrip().endswith("/"):
                 stack.append((tag, new, inner))
         _, zone, article = stack[-1] if stack else ("", "body", 0)

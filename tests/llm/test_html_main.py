@@ -103,3 +103,23 @@ def test_neighbours_do_not_depend_on_the_ranges(spark):
 
 def test_empty_table(spark):
     assert html_main.extract_main(spark_pages(spark, [])).collect() == []
+
+
+def test_wrappers_states_and_compounds_stay():
+    """Names that only say what a page has, wrappers of the main part, and compounds are no boilerplate."""
+    body = "<article><p>Body text</p></article>"
+    for page_ in (f'<div class="layout no-sidebar">{body}</div>', f'<div id="page" class="site has-comments"><main>{body}</main></div>',
+                  f'<div class="menu-open wrapper"><main>{body}</main></div>', f'<form action="/x"><div>{body}</div></form>',
+                  f'<div class="sidebar"><div>{body}</div></div>', f'<div id="comments-wrapper"><main><p>Body text</p></main></div>'):
+        assert html_main.main_text(page_) == "Body text", page_
+    assert html_main.main_text('<main><p>One</p><p class="notice-period">Three months</p></main>') == "One Three months"
+    assert html_main.main_text('<main><section id="related-work"><p>Others did this</p></section></main>') == "Others did this"
+
+
+def test_named_boilerplate_still_goes():
+    keep = "<main><article><p>Body</p></article></main>"
+    for name in ("ad", "ads-top", "ad-slot-3", "cookie-banner", "main-nav", "site-footer", "commentList", "related-posts", "comments_list", "newsletter"):
+        assert html_main.main_text(f'<div class="{name}"><p>gone</p></div>{keep}<div class="x {name}">gone</div>') == "Body", name
+    assert html_main.main_text(f'{keep}<div id="comments"><article><p>reader</p></article></div>') == "Body"
+    assert html_main.main_text(f'<nav><article>card</article></nav>{keep}<form><p>field</p></form>') == "Body"
+    assert html_main.main_text('<form><p>only a form</p></form>') == ""
