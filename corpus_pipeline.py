@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's ``docs``; all but the last return the columns of ``documents``.
+
+Defined cases, for all stages: null, empty and wordless texts stay until the mix, which takes no word of them; texts
+of any length are read whole; null ids stay (they are in no near-duplicate group); of rows that agree on id and text
+one stays after the second stage; null languages, sources and lengths are values of their own; other columns
+of ``documents`` are ignored, whatever their names; an empty table runs through and gives no rows.
 """
 
 from __future__ import annotations
@@ -94,12 +99,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     written there itself, so the call is eager."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i == len(STAGES) - 1:
-            out = cut(out)
-            drop_folder(spark, folder)
-            return out
-        out.write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
-    return docs
+    try:
+        for i, (_, stage) in enumerate(STAGES[:-1]):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+            docs = spark.read.parquet(f"{folder}/{i}")
+        return cut(STAGES[-1][1](spark, docs, sf_dir))
+    finally:
+        drop_folder(spark, folder)
