@@ -71,3 +71,25 @@ def test_run_registers_and_works(spark):
 
     assert entry.queries()["pipeline"] is pipeline.run and len([q for q in entry.queries() if re.match(r"op\d+_", q)]) == 10
     assert pipeline.run(spark, SMALL).count() > 0
+
+
+def _tables(spark, folder, rows):
+    odd.documents(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    marks = [(r[0], i % 2, 0) for i, r in enumerate(rows) if r[0] is not None and i % 3]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_odd_rows_and_clashing_columns_run_through(spark, tmp_path):
+    rows = odd.document_rows()
+    got = pipeline.run(spark, _tables(spark, tmp_path, rows))
+    known = {(r[0], w) for r in rows for w in (r[1] or "").split()}
+    out = got.collect()
+    assert out and all(r.n_words > 0 for r in out)
+    for r in out:
+        assert all((r.doc_id, w) in known or w.startswith("[") for w in r.text.split())
+
+
+def test_empty_tables_run_through(spark, tmp_path):
+    assert pipeline.run(spark, _tables(spark, tmp_path, [])).collect() == []
