@@ -1,10 +1,11 @@
 """Personal data by weak supervision: labelling functions, EM over their votes, a span classifier.
 
-1. Patterns give candidate spans: the four base kinds (email, ip, card, phone), and looser forms
-   (spelled-out emails, national phone numbers, IPv6, long digit groups that fail the card check).
-2. Labelling functions vote on each candidate: the strict pattern, a validity check, gazetteers
-   (top-level domains, calling codes, issuer prefixes), context words before the span,
-   and clean borders. The pattern and the context say yes or abstain, the others yes or no.
+1. Patterns give candidate spans: the four base kinds (email, ip, card, phone), looser forms
+   (spelled-out emails, national phone numbers, IPv6, long digit groups that fail the card check), and
+   secrets (keys, tokens, passwords: long runs of letters and digits).
+2. Labelling functions vote on each candidate: the strict pattern, a validity check (of a secret: how mixed its
+   characters are), gazetteers (top-level domains, calling codes, issuer prefixes, prefixes of issued keys and the
+   names that secrets are assigned to), context words before the span, and clean borders. The pattern and the context say yes or abstain, the others yes or no.
 3. Expectation-maximisation over the table of distinct vote patterns (at most 2 ** 5 rows per kind)
    estimates each function's hit and false alarm rates, starting from and held near what is believed of them,
    and a probability per pattern.
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import cut
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = KINDS[:4]      # with a strict pattern; secrets only come from the labelling functions
 ACCEPT = 0.9
 EM_ROUNDS = 25
 
@@ -37,12 +39,17 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 SPELLED = r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]{1,63}+){1,6}+"
 NATIONAL = r"(?<![0-9+(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"
 IPV6 = r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
+# A run of 16 or more characters that keys are made of, with a digit and a letter in it.
+SECRET = r"(?:(?<![A-Za-z0-9+/_-])|\G)(?=[+/_-]*+[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+={0,2}"
 
 # Gazetteers and context words of the labelling functions.
 TLDS = r"(\.|dot[)\]]) ?(com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us|it|nl|ch|at|be|ca)$"
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
 CALLING_CODES = r"^(\+(1|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])|\(?[2-9])"
-CONTEXT = (r"(?i)(mail|contact|write)", r"(?i)(\bip\b|host|server|address)", r"(?i)(card|visa|pay|credit)", r"(?i)(call|tel|phone|fax|mobile)")
+SECRET_NAMES = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential|signature)[A-Za-z_\x20\"']*[=:]?[\x20\"']*$"
+ISSUED_KEYS = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|pk_live_|sk-|eyJ)"
+CONTEXT = (r"(?i)(mail|contact|write)", r"(?i)(\bip\b|host|server|address)", r"(?i)(card|visa|pay|credit)", r"(?i)(call|tel|phone|fax|mobile)",
+           r"[=:][\x20\"']*$")
 # The functions, and what is believed of them before any vote is seen: how often they say yes on
 # personal data and on other spans. The strict pattern and the context words only ever say yes.
 FUNCTIONS = ("pattern", "valid", "known", "context", "clean")
@@ -104,7 +111,8 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         _matches(text, t.contains("+"), PHONE, 3, lambda m: n_digits(m).between(9, 15), yes),
         _matches(text, t.rlike(r"(?i)[(\[]at[)\]]"), SPELLED, 0, yes, no),
         _matches(text, t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}"), NATIONAL, 3, yes, no),
-        _matches(text, t.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"), IPV6, 1, yes, no))
+        _matches(text, t.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"), IPV6, 1, yes, no),
+        _matches(text, t.rlike(SECRET), SECRET, 4, yes, no))
     return (docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.explode_outer(spans).alias("_s"))
             .select("doc_id", "text_key", "_s.*"))
 
@@ -120,10 +128,13 @@ def votes(cands: DataFrame) -> DataFrame:
             out = F.when(kind == i, c).otherwise(out)
         return out
 
+    # a key changes between digits and letters often, and has many of both
+    letters, changes = F.length(F.regexp_replace(m, "[^A-Za-z]", "")), F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[A-Za-z]+", "a"), "[^9a]", ""))
+    mixed = (F.length(digits) >= 3) & (letters >= 3) & (changes >= 5)
     valid = by_kind(m.rlike(r"[A-Za-z]{2,24}$"), ~m.rlike(r"^(0|255)\b|\.0[0-9]"), F.coalesce(_luhn(digits), F.lit(False)) & (F.length(digits) > 0),
-                    F.length(digits).between(10, 15))
+                    F.length(digits).between(10, 15), mixed)
     known = by_kind(F.lower(m).rlike(TLDS), m.rlike(r"^(1?[0-9]?[1-9]|1[0-9]0|2[01][0-9]|22[0-3])\."), digits.rlike(ISSUERS),
-                    m.rlike(CALLING_CODES))
+                    m.rlike(CALLING_CODES), m.rlike(ISSUED_KEYS) | F.col("before").rlike(SECRET_NAMES))
     context = by_kind(*[F.col("before").rlike(p) for p in CONTEXT])
     clean = ~F.col("before").rlike(r"[A-Za-z0-9]$") & ~F.col("after").rlike(r"^[A-Za-z0-9]")
     yes_only = lambda c: F.when(c, F.lit(1))
@@ -248,5 +259,5 @@ def op8_pii(spark, sf_dir):
 
     found = find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
-    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)],
                         F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans"))

@@ -88,3 +88,18 @@ def test_odd_rows_and_empty_table(spark):
     assert pii.find_spans(odd.empty(spark)).collect() == []
     docs = [(r[0], r[1]) for r in odd.document_rows()]
     assert len(pii.find_spans(odd.documents(spark)).collect()) == len(set(docs))
+
+
+def test_secrets_are_found_and_words_are_not(spark):
+    rnd = random.Random(8)
+    keys = ["".join(rnd.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    texts = [f'some words token = "{k}" and more' for k in keys[:30]] + [f"API_KEY: {k.upper()}" for k in keys[30:]]
+    plain = [f"the{'ing' * 6}and{'er' * 5} of it, item-{i}-of-the-long-named-thing order {10**17 + i}" for i in range(200)]
+    got = {r.doc_id: r for r in pii.find_spans(odd.documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts + plain)])).collect()}
+    secret = pii.KINDS.index("secret")
+    for i, k in enumerate(keys):
+        assert [texts[i][s.start:s.end].lower() for s in got[i].spans if s.kind == secret] == [k] and got[i].base == []
+    assert not any(s.kind == secret for i in range(len(plain)) for s in got[len(texts) + i].spans)
+    t = texts[0]
+    masked = spark.createDataFrame([(t,)], "t string").join(pii.find_spans(odd.documents(spark, [(i, x, None, None, None) for i, x in enumerate(texts)])).where("doc_id = 0"))
+    assert masked.select(pii.mask(F.col("t"), F.col("spans"))).first()[0] == 'some words token = "[SECRET]" and more'

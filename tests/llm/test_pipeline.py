@@ -31,7 +31,7 @@ def test_stages_one_after_another(spark, tmp_path):
     dirty = {x[0] for x in test_decontam.brute(single, items) if x[-1]}
     assert clean == [x for x in single if x[0] not in dirty]
     for (d, t), (e, new) in zip(clean, private):
-        spans = test_pii.base_spans(t)
+        spans = test_pii.base_spans(t) or re.search(r"[0-9A-Fa-f]{32,}", t)
         assert d == e and (new == t or spans) and (not spans or new != t)
         assert not any(k in (0, 3) for _, k, _ in test_pii.base_spans(new))
     lengths = {r.doc_id: r.n_chars for r in seen[4].collect()}
