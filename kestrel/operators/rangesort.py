@@ -316,8 +316,10 @@ def trie_boundaries(hist: DataFrame, n_buckets: int, prefix_len: int, ch_col: st
     nb = int(n_buckets)
     h = hist.select(F.col(ch_col).alias("_p"), F.col(n_col).cast("bigint").alias("_n"))
     step = h.agg(F.expr(f"sum(_n) div {nb}").alias("_step"))
+    # the root is '', made from a column: a literal would be folded, and the joins on it would have no key
+    root = F.substring(F.col("_t").cast("string"), 1, 0)
     frontier = (step.select(F.explode(F.sequence(F.lit(1), F.lit(nb))).alias("_t"), "_step")
-                .select("_t", F.greatest(F.col("_t") * F.col("_step"), F.lit(1).cast("bigint")).alias("_need"), F.lit("").alias("_node"), F.lit(0).cast("bigint").alias("_before")))
+                .select("_t", F.greatest(F.col("_t") * F.col("_step"), F.lit(1).cast("bigint")).alias("_need"), root.alias("_node"), F.lit(0).cast("bigint").alias("_before")))
     for depth in range(1, int(prefix_len) + 1):
         frontier = _children(h, frontier, depth)
     places = frontier.agg(F.sort_array(F.collect_list(F.struct("_t", "_node"))).alias("_l")).select(
