@@ -69,7 +69,7 @@ def test_mixing_stage_draws_each_piece_once_for_repeated_rows(spark):
 def test_run_registers_and_works(spark):
     import __spark_entry__ as entry
 
-    assert entry.queries()["pipeline"] is pipeline.run and len([q for q in entry.queries() if re.match(r"op\d+_", q)]) == 10
+    assert entry.queries()["pipeline"] is pipeline.run and len([q for q in entry.queries() if re.match(r"op\d+_", q)]) == 13
     assert pipeline.run(spark, SMALL).count() > 0
 
 
