@@ -14,9 +14,26 @@ from pyspark.sql import functions as F
 
 from kestrel import sinks
 from kestrel.operators import checksum, graph, rangesort, ranking, relational, text
+from kestrel.session import sized_session
 from kestrel.sources import text as src
 from kestrel.sources.byterange import read_byte_range
 
+# Bytes of text whose distinct bigrams one task holds, before the shuffle and after it.
+COUNT_SPLIT = 32 << 20
+
+
+def _counting_lines(spark: SparkSession, inputs) -> DataFrame:
+    """The lines of a count whose keys are nearly as many as its rows, in a session of its own.
+
+    A count holds every distinct key of a task in memory, so tasks get ``COUNT_SPLIT`` bytes of
+    text at most, and the shuffle has a partition for each such split (never fewer than the caller's).
+    """
+    own = sized_session(spark, COUNT_SPLIT)
+    lines = src.read_lines(own, inputs).withColumnRenamed("value", "line")
+    partitions = max(int(own.conf.get("spark.sql.shuffle.partitions")), lines.rdd.getNumPartitions())
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return lines
+
 
 def xor_checksum_job(spark: SparkSession, path: str, offset: int = 10**9, length: int = 1000) -> DataFrame:
     """XOR of ``length`` bytes at ``offset`` of each file -> path, checksum.
@@ -30,7 +47,7 @@ def xor_checksum_job(spark: SparkSession, path: str, offset: int = 10**9, length
 
 def bigram_job(spark: SparkSession, inputs, output: str, k: int = 10) -> None:
     """Most frequent bigrams: ``count<TAB>bigram`` for the k largest counts, ties kept."""
-    lines = src.read_lines(spark, inputs).withColumnRenamed("value", "line")
+    lines = _counting_lines(spark, inputs)
     top = ranking.top_k_distinct(text.bigram_count(lines), "n", k)
     ordered = ranking.order_by_count(top, "n", "bigram")
     sinks.write_lines(sinks.tab_pairs(ordered, "n", "bigram"), output)

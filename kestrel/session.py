@@ -46,3 +46,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
+
+
+def sized_session(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session of its own on the same context, with the caller's settings, that reads at most ``split_bytes`` of a file a task.
+
+    For eager jobs only: its DataFrames cannot be joined to those of the caller's session. The caller's
+    settings stay as they are, and a smaller ``spark.sql.files.maxPartitionBytes`` of the caller holds.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value and (spark.conf.isModifiable(key) or not key.startswith("spark.")):
+            own.conf.set(key, value)
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(own.conf.get("spark.sql.files.maxPartitionBytes")) > split_bytes:
+        own.conf.set("spark.sql.files.maxPartitionBytes", f"{split_bytes}b")
+    return own

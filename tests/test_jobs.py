@@ -1,11 +1,19 @@
 """File-to-file jobs on tiny text inputs: record formats and file ordering."""
 
 import glob
+import itertools
 import os
+import random
+import re
+from collections import Counter
 
 import pytest
+from conftest import plan_string
+from pyspark.sql import functions as F
 
+from kestrel.operators import text
 from kestrel.plans import jobs
+from kestrel.session import sized_session
 
 
 def _write(tmp_path, name, lines):
@@ -39,6 +47,41 @@ def test_bigram_job(spark, tmp_path):
     assert lines == ["3\ta b", "1\ty a", "1\tx y"] or lines == ["3\ta b", "1\tx y", "1\ty a"]
 
 
+def test_bigram_job_counts_a_bounded_text_in_a_task(spark, tmp_path, monkeypatch):
+    """Reading tasks and the partitions of the count follow the input, not the cores; the caller's settings stay."""
+    split = 1 << 16
+    monkeypatch.setattr(jobs, "COUNT_SPLIT", split, raising=False)
+    seen, count = [], text.bigram_count
+    monkeypatch.setattr(text, "bigram_count", lambda lines: seen.append(lines) or count(lines))
+    rnd = random.Random(3)
+    lines = [" ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 99)) for _ in range(12)) for _ in range(25_000)]
+    settings = spark.conf.getAll
+    jobs.bigram_job(spark, [_write(tmp_path, "in.txt", lines)], str(tmp_path / "out"), k=2)
+
+    size = sum(len(x) + 1 for x in lines)
+    most = seen[0].groupBy(F.spark_partition_id()).agg(F.sum(F.length("line") + 1).alias("n")).agg(F.max("n")).first()[0]
+    assert most <= split + 100
+    exchanges = [int(n) for n in re.findall(r"hashpartitioning\(bigram#\d+, (\d+)\)", plan_string(count(seen[0])))]
+    assert exchanges and min(exchanges) >= size // split
+    assert spark.conf.getAll == settings
+    times = Counter(f"{a} {b}" for x in lines for a, b in itertools.pairwise(x.split()))
+    largest = sorted(set(times.values()))[-2:]
+    got = [x for part in _read_parts(str(tmp_path / "out")) for x in part]
+    assert sorted(got) == sorted(f"{n}\t{b}" for b, n in times.items() if n in largest)
+
+
+def test_sized_session_takes_the_callers_settings(spark):
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.shuffle.partitions", "7")
+    caller.conf.set("fs.some.option", "x")
+    caller.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    own = sized_session(caller, 1 << 16)
+    assert [own.conf.get(k) for k in ("spark.sql.shuffle.partitions", "fs.some.option", "spark.sql.files.maxPartitionBytes")] == ["7", "x", "1k"]
+    caller.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    assert sized_session(caller, 1 << 16).conf.get("spark.sql.files.maxPartitionBytes") == "65536b"
+    assert caller.conf.get("spark.sql.files.maxPartitionBytes") == "1g"
+
+
 def test_word_count_job(spark, tmp_path):
     inp = _write(tmp_path, "in.txt", ["b a b", "", "c"])
     out = str(tmp_path / "out")
