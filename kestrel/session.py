@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -62,3 +64,19 @@ def sized_session(spark: SparkSession, split_bytes: int) -> SparkSession:
     if in_bytes(own.conf.get("spark.sql.files.maxPartitionBytes")) > split_bytes:
         own.conf.set("spark.sql.files.maxPartitionBytes", f"{split_bytes}b")
     return own
+
+
+def sized_read(spark: SparkSession, split_bytes: int, read: Callable[[SparkSession], DataFrame]) -> DataFrame:
+    """``read(session)`` as a DataFrame of ``spark`` whose files are read in splits of at most ``split_bytes``.
+
+    A file scan is split as the session says that opened the files, so a sized session opens them and
+    hands its plan over by a global temporary view, which is gone on return. A format may have larger
+    units that are read whole (row groups, files in gzip).
+    """
+    own = sized_session(spark, split_bytes)
+    name = f"sized_{uuid.uuid4().hex}"
+    read(own).createGlobalTempView(name)
+    try:
+        return spark.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)

@@ -7,6 +7,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan_string
 from pyspark.sql import functions as F
@@ -70,6 +72,29 @@ def test_bigram_job_counts_a_bounded_text_in_a_task(spark, tmp_path, monkeypatch
     assert sorted(got) == sorted(f"{n}\t{b}" for b, n in times.items() if n in largest)
 
 
+@pytest.mark.parametrize("name", ["bigram_count", "bigram_top_k"])
+def test_bigram_queries_count_a_bounded_text_in_a_task(spark, tmp_path, monkeypatch, name):
+    from kestrel.plans import queries
+
+    split = 1 << 17
+    monkeypatch.setattr(queries, "COUNT_SPLIT", split, raising=False)
+    seen, count = [], text.bigram_count
+    monkeypatch.setattr(text, "bigram_count", lambda lines: seen.append(lines) or count(lines))
+    rnd = random.Random(4)
+    docs = [(i, " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 99)) for _ in range(300))) for i in range(2000)]
+    table = pa.Table.from_pylist([{"doc_id": i, "text": t} for i, t in docs])
+    pq.write_table(table, tmp_path / "documents.parquet", row_group_size=50)
+    got = {r.bigram: r.n for r in queries.QUERIES[name](spark, str(tmp_path)).collect()}
+
+    assert seen[0].sparkSession is spark and spark.catalog.listTables("global_temp") == []
+    most = seen[0].groupBy(F.spark_partition_id()).agg(F.sum(F.length("line")).alias("n")).agg(F.max("n")).first()[0]
+    whole = sum(len(t) for _, t in docs)
+    assert os.path.getsize(tmp_path / "documents.parquet") > 3 * split and most < whole / 6
+    times = Counter(f"{a} {b}" for _, t in docs for a, b in itertools.pairwise(t.split()))
+    least = 0 if name == "bigram_count" else sorted(set(times.values()))[-10:][0]
+    assert got == {b: n for b, n in times.items() if n >= least}
+
+
 def test_sized_session_takes_the_callers_settings(spark):
     caller = spark.newSession()
     caller.conf.set("spark.sql.shuffle.partitions", "7")
