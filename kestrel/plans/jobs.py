@@ -19,7 +19,7 @@ from kestrel.sources import text as src
 from kestrel.sources.byterange import read_byte_range
 
 # Bytes of text whose distinct bigrams one task holds, before the shuffle and after it.
-COUNT_SPLIT = 32 << 20
+COUNT_SPLIT = 64 << 20
 
 
 def _counting_lines(spark: SparkSession, inputs) -> DataFrame:

@@ -40,8 +40,8 @@ def q_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents' lines in splits that bound the distinct bigrams a task holds (parquet is about half its text)."""
-    return sized_read(spark, COUNT_SPLIT // 2, lambda own: fx.doc_lines(own, sf_dir))
+    """The documents' lines in splits that bound the distinct bigrams a task holds (text is two or more times its parquet)."""
+    return sized_read(spark, COUNT_SPLIT // 4, lambda own: fx.doc_lines(own, sf_dir))
 
 
 def q_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
