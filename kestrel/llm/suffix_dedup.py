@@ -19,6 +19,10 @@ hash) marks a suffix. Equal windows mark the same place, so an equal window shar
 
 Counts are partial aggregates and joins are equi-joins that adaptive execution may split, so a
 string with a third of all occurrences is spread. The texts are shuffled once, by document.
+
+Passages counted in words take the same four steps in the same jobs, over words in place of bytes: their buckets
+are odd, those of bytes even. A passage repeats there when another document has it, so a document gives
+each of its runs once, and the last step finds the other places of a repeated window in the text itself.
 """
 
 from __future__ import annotations
@@ -36,18 +40,21 @@ from kestrel.llm.common import cut, in_batches
 LENGTH = 400
 GRAM = 128           # a power of two below LENGTH
 TOP = 256            # longest bucket kept: the largest power of two up to LENGTH
+PASSAGE = 51         # words of a passage of over 50 words
+WORD_GRAM = 8        # as GRAM and TOP, in words
+WORD_TOP = 32
 HOT = 64             # distinct runs of a bucket that may meet in one task
 SEGMENT = 1 << 21    # bytes of one text that are looked at together
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def bucket_levels(data: np.ndarray) -> dict[int, np.ndarray]:
-    """Identifier of the 1, 2, 4 .. TOP bytes at every offset (as far as they fit)."""
-    level, n = W._BYTE_CODE[data], 1
+def bucket_levels(codes: np.ndarray, top: int = TOP) -> dict[int, np.ndarray]:
+    """Identifier of the 1, 2, 4 .. ``top`` symbols (bytes or words, by their codes) at every offset (as far as they fit)."""
+    level, n = codes, 1
     out = {1: level}
     with np.errstate(over="ignore"):
-        while n < TOP:
+        while n < top:
             level = level[:max(len(level) - n, 0)] * _A + level[n:] * _B
             level ^= level >> np.uint64(31)
             n *= 2
@@ -56,12 +63,13 @@ def bucket_levels(data: np.ndarray) -> dict[int, np.ndarray]:
 
 
 def string_ids(levels, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Identifier of the ``size`` bytes (TOP to 3 TOP) at ``start``, from buckets at later offsets."""
-    top = levels[TOP]
+    """Identifier of the ``size`` symbols (once to thrice the longest bucket) at ``start``, from buckets at later offsets."""
+    n = max(levels)
+    top = levels[n]
     with np.errstate(over="ignore"):
         h = W.mix64(top[start] + size.astype(np.uint64) * _B)
-        h = W.mix64(h * _A + top[start + np.minimum(TOP, size - TOP)])
-        return W.mix64(h * _A + top[start + size - TOP])
+        h = W.mix64(h * _A + top[start + np.minimum(n, size - n)])
+        return W.mix64(h * _A + top[start + size - n])
 
 
 def _windows(offsets: np.ndarray, length: int):
@@ -72,13 +80,13 @@ def _windows(offsets: np.ndarray, length: int):
     return np.repeat(offsets[:-1] - before[:-1], count) + np.arange(total), np.repeat(np.arange(len(count)), count)
 
 
-def marked_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+def marked_runs(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int, top: int = TOP):
     """Per run of windows that mark the same suffix: text, first and last window, suffix, bucket, run id."""
     p, text = _windows(offsets, length)
     none = np.zeros(0, np.int64)
     if not len(p):
         return none, none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    levels = bucket_levels(data)
+    levels = bucket_levels(codes, top)
     grams = W.mix64(levels[gram])
     low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     width, n = length - gram + 1, 1
@@ -108,52 +116,114 @@ def _segments(data, offsets, length):
             yield a, piece, np.array([0, len(piece)]), s
 
 
-# span: suffix position << 20 | (suffix - first window) << 10 | (suffix - last window)
-RUNS = "k long, pos long, span int, bucket long, run long"
+# pos, size: the bytes of the run's windows. span: (suffix - first window) << 10 | (suffix - last window)
+RUNS = "k long, pos long, size int, span int, bucket long, run long"
+
+
+def _run_batch(k, pos, size, span, bucket, run, words):
+    bucket = (bucket & ~np.uint64(1)) | np.uint64(words)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k), pa.array(pos, pa.int64()), pa.array(size.astype(np.int32)), pa.array(span.astype(np.int32)),
+         pa.array(bucket.view(np.int64)), pa.array(run.view(np.int64))], names=["k", "pos", "size", "span", "bucket", "run"])
 
 
-def _run_rows(length, gram):
+def _run_rows(length, gram, words):
     def run(batches):
         for batch in batches:
             data, offsets = W.utf8(batch.column("text"))
             k = batch.column("k").to_numpy(zero_copy_only=False)
             for row, piece, off, shift in _segments(data, offsets, length):
-                text, start, end, suffix, bucket, ident = marked_runs(piece, off, length, gram)
+                text, start, end, suffix, bucket, ident = marked_runs(W._BYTE_CODE[piece], off, length, gram)
                 if len(text):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(k[row + text]), pa.array(suffix - off[text] + shift, pa.int64()),
-                         pa.array(((suffix - start) << 10 | (suffix - end)).astype(np.int32)),
-                         pa.array(bucket.view(np.int64)), pa.array(ident.view(np.int64))], names=["k", "pos", "span", "bucket", "run"])
+                    yield _run_batch(k[row + text], start - off[text] + shift, end - start + length, (suffix - start) << 10 | (suffix - end), bucket, ident, False)
+            for a, b in W.slices(offsets, SEGMENT) if words else ():
+                text, *found = _word_runs(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words)
+                if len(text):
+                    yield _run_batch(k[a + text], *found, True)
     return run
 
 
-def _window_ids(ctx: list[bytes], length):
-    """(context, window number in it, identifier) of every window of the contexts."""
+def _words(data, offsets):
+    """start, end, code of every word and the first word of each text."""
+    starts, ends, first = W.word_spans(data, offsets)
+    codes = np.zeros(len(starts), np.uint64)
+    for a, b in W.slices(offsets, SEGMENT):
+        at, i, j = offsets[a], first[a], first[b]
+        codes[i:j] = W.word_hashes(data[at:offsets[b]], starts[i:j] - at, ends[i:j] - at)
+    return starts, ends, codes, first
+
+
+def _word_runs(data, offsets, length):
+    """The distinct runs of words of each text: text, first byte, bytes, span, bucket, run id."""
+    starts, ends, codes, first = _words(data, offsets)
+    text, start, end, suffix, bucket, ident = marked_runs(codes, first, length, WORD_GRAM, WORD_TOP)
+    span = (suffix - start) << 10 | (suffix - end)
+    order = np.lexsort((start, ident, span, text))
+    new = np.ones(len(order), bool)
+    new[1:] = (text[order][1:] != text[order][:-1]) | (span[order][1:] != span[order][:-1]) | (ident[order][1:] != ident[order][:-1])
+    one = order[new]
+    text, pos = text[one], starts[start[one]]
+    return text, pos - offsets[text], ends[end[one] + length - 1] - pos, span[one], bucket[one], ident[one]
+
+
+def _windows_of(ctx: list[bytes], length, words):
+    """Every window of the contexts: context, number, identifier and its bytes (first, end) in the context."""
     data = np.frombuffer(b"".join(ctx), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(c) for c in ctx])])
-    p, text = _windows(off, length)
-    ids = string_ids(bucket_levels(data), p, np.full(len(p), length)) if len(p) else np.zeros(0, np.uint64)
-    return text, p - off[text], ids
+    if words:
+        starts, ends, codes, first = _words(data, off)
+        levels = bucket_levels(codes, WORD_TOP)
+    else:
+        first, levels = off, bucket_levels(W._BYTE_CODE[data])
+    p, text = _windows(first, length)
+    if not len(p):
+        return text, p, np.zeros(0, np.uint64), p, p
+    ids = string_ids(levels, p, np.full(len(p), length))
+    a, b = (starts[p], ends[p + length - 1]) if words else (p, p + length)
+    return text, p - first[text], ids, a - off[text], b - off[text]
+
+
+SPANS = "k long, words boolean, a long, b long"
 
 
-def _intervals(k, first, text, number, length):
+def _intervals(k, first, text, number, a, b, words):
     """Byte ranges covered by windows ``number`` of contexts ``text`` (both ascending)."""
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (number[1:] != number[:-1] + 1)
-    a = np.flatnonzero(new)
-    b = np.append(a[1:], len(text)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(k[text[a]]), pa.array(first[text[a]] + number[a], pa.int64()),
-                                       pa.array(first[text[b]] + number[b] + length, pa.int64())], names=["k", "a", "b"])
+    i = np.flatnonzero(new)
+    j = np.append(i, len(text))[1:] - 1
+    return pa.RecordBatch.from_arrays([pa.array(k[text[i]]), pa.array(np.full(len(i), words)), pa.array(first[text[i]] + a[i], pa.int64()),
+                                       pa.array(first[text[j]] + b[j], pa.int64())], names=["k", "words", "a", "b"])
+
+
+def _again(ids, c, k, words):
+    """Whether each window occurs again: at another place or, for words, in another document."""
+    if not len(ids):
+        return np.zeros(0, bool)
+    _, inverse = np.unique(ids, return_inverse=True)
+    if not words:
+        return np.bincount(inverse, weights=c)[inverse] >= 2
+    order = np.argsort(inverse, kind="stable")
+    at = np.flatnonzero(np.diff(inverse[order], prepend=-1))
+    return ((np.maximum.reduceat(c[order], at) >= 2) | (np.minimum.reduceat(k[order], at) != np.maximum.reduceat(k[order], at)))[inverse]
+
 
+def _of_kind(bucket, ctx, length, words):
+    """(words?, window length, numbers of the contexts, these contexts) for bytes and for words."""
+    for kind, n in ((False, length), (True, words)):
+        at = np.flatnonzero((bucket & 1) == kind)
+        if len(at):
+            yield kind, n, at, [ctx[i] for i in at]
 
-def _decide(length):
+
+def _decide(length, words):
     """Contexts sorted by bucket -> byte ranges of the single ones whose windows occur again."""
     def some(rows):
-        text, number, ids = _window_ids(rows["ctx"], length)
-        _, inverse = np.unique(ids, return_inverse=True)
-        times = np.bincount(inverse, weights=rows["c"][text])
-        hit = (times[inverse] >= 2) & (rows["c"][text] == 1)
-        return _intervals(rows["k"], rows["first"], text[hit], number[hit], length)
+        for kind, n, at, ctx in _of_kind(rows["bucket"], rows["ctx"], length, words):
+            k, c = rows["k"][at], rows["c"][at]
+            text, number, ids, a, b = _windows_of(ctx, n, kind)
+            hit = _again(ids, c[text], k[text], kind) & (c[text] == 1)
+            yield _intervals(k, rows["first"][at], text[hit], number[hit], a[hit], b[hit], kind)
 
     def run(batches):
         held, size = [], 0
@@ -169,13 +239,13 @@ def _decide(length):
                     held.append({c: v[:m] for c, v in rows.items()})
                     if m == len(key):
                         continue
-                    yield some(_joined(held))
+                    yield from some(_joined(held))
                     held, size = [], 0
                     rows = {c: v[m:] for c, v in rows.items()}
                 held.append(rows)
                 size += sum(map(len, rows["ctx"]))
         if held:
-            yield some(_joined(held))
+            yield from some(_joined(held))
     return run
 
 
@@ -183,49 +253,75 @@ def _joined(parts):
     return {c: sum((p[c] for p in parts), []) if c == "ctx" else np.concatenate([p[c] for p in parts]) for c in parts[0]}
 
 
-def _window_rows(length):
+def _window_rows(length, words):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                text, number, ids = _window_ids(part.column("ctx").to_pylist(), length)
-                k, first, c = (part.column(x).to_numpy(zero_copy_only=False)[text] for x in ("k", "first", "c"))
-                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(c, pa.int64()), pa.array(k),
-                                                  pa.array(first + number, pa.int64())], names=["w", "c", "k", "a"])
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                bucket, *rest = (part.column(x).to_numpy(zero_copy_only=False) for x in ("bucket", "k", "first", "c"))
+                for kind, n, at, ctx in _of_kind(bucket, part.column("ctx").to_pylist(), length, words):
+                    text, _, ids, a, b = _windows_of(ctx, n, kind)
+                    k, first, c = (x[at][text] for x in rest)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids.view(np.int64)), pa.array(c, pa.int64()), pa.array(k), pa.array(np.full(len(k), kind)),
+                         pa.array(first + a, pa.int64()), pa.array(first + b, pa.int64())], names=["w", "c", "k", "words", "a", "b"])
     return run
 
 
-def _removed(batches):
-    for batch in batches:
-        data, offsets = W.utf8(batch.column("text"))
-        out = []
-        for i, spans in enumerate(batch.column("spans")):
-            raw = data[offsets[i]:offsets[i + 1]]
-            runs, removed = 0, 0
-            keep = raw
-            if spans.is_valid and len(spans):
-                a = np.sort(spans.values.field("a").to_numpy(zero_copy_only=False))
-                b = np.sort(spans.values.field("b").to_numpy(zero_copy_only=False))
-                step = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(step, a, 1)
-                np.add.at(step, b, -1)
-                gone = np.cumsum(step[:-1]) > 0
-                removed = int(gone.sum())
-                runs = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
-                keep = raw[~gone]
-            out.append((len(raw), removed, runs, keep.tobytes()))
-        cols = list(zip(*out, strict=True)) if out else [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-             pa.array([hashlib.sha256(x).hexdigest() for x in cols[3]], pa.string()), pa.array(cols[3], pa.binary()),
-             pa.array([x.decode("utf-8", "ignore") for x in cols[3]], pa.string())],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text"])
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _repeated_words(raw, a, b, length):
+    """How many words of a text lie in its windows between the bytes ``a`` and ``b``, or in windows equal to these."""
+    starts, ends, codes, first = _words(raw, np.array([0, len(raw)]))
+    p, _ = _windows(first, length)
+    ids = string_ids(bucket_levels(codes, WORD_TOP), p, np.full(len(p), length))
+    step = np.zeros(len(p) + 1, np.int64)
+    np.add.at(step, np.searchsorted(starts, a), 1)
+    np.add.at(step, np.searchsorted(ends, b, side="right") - length + 1, -1)
+    hit = np.isin(ids, np.unique(ids[np.cumsum(step[:-1]) > 0]))
+    step = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(step, p[hit], 1)
+    np.add.at(step, p[hit] + length, -1)
+    return int((np.cumsum(step[:-1]) > 0).sum())
+
+
+def _removed(words):
+    def run(batches):
+        for batch in batches:
+            data, offsets = W.utf8(batch.column("text"))
+            out = []
+            for i, spans in enumerate(batch.column("spans")):
+                raw = data[offsets[i]:offsets[i + 1]]
+                runs = removed = repeated = 0
+                keep = raw
+                if spans.is_valid and len(spans):
+                    kind, a, b = (spans.values.field(x).to_numpy(zero_copy_only=False) for x in ("words", "a", "b"))
+                    if kind.any():
+                        repeated = _repeated_words(raw, a[kind], b[kind], words)
+                    if not kind.all():
+                        step = np.zeros(len(raw) + 1, np.int64)
+                        np.add.at(step, a[~kind], 1)
+                        np.add.at(step, b[~kind], -1)
+                        gone = np.cumsum(step[:-1]) > 0
+                        removed = int(gone.sum())
+                        runs = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
+                        keep = raw[~gone]
+                out.append((len(raw), removed, runs, keep.tobytes(), repeated))
+            cols = list(zip(*out, strict=True)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in cols[3]], pa.string()), pa.array(cols[3], pa.binary()),
+                 pa.array([x.decode("utf-8", "ignore") for x in cols[3]], pa.string()), pa.array(cols[4], pa.int64())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text", "n_repeated_words"])
+    return run
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) and text (these decoded, without
     the parts of characters that a cut may leave) per document.
 
+    With ``words`` (WORD_TOP to 51) also n_repeated_words: how many words of the document, all of its text, lie in a run of that
+    many consecutive words that another document has too. Words are runs of anything but space and TAB..CR, A-Z count as a-z,
+    white space between them may differ; such a passage may be shorter than ``length`` bytes, and it is not removed for that.
+
     ``length`` is 2 TOP at most and TOP at least. Defined cases: null or empty text has no bytes;
     shorter texts than ``length`` lose nothing; repeated rows are documents of their own, so each
     occurs in the other; a null id keeps its row; an empty table gives no rows; other columns
@@ -233,9 +329,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     if not TOP <= length <= 2 * TOP or gram >= length or gram not in (32, 64, 128, 256):
         raise ValueError("length must be 256 to 512 and gram a smaller power of two")
+    if words is not None and not WORD_TOP <= words <= PASSAGE:
+        raise ValueError("words must be 32 to 51")
     base = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     base = base.withColumn("k", F.xxhash64("doc_id", "text"))
-    runs = base.select("k", "text").mapInArrow(_run_rows(length, gram), RUNS)
+    runs = base.select("k", "text").mapInArrow(_run_rows(length, gram, words), RUNS)
 
     # initial buckets
     # cut: a join with a plain exchange on both sides is one whose hot keys Spark can split
@@ -243,33 +341,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     runs = cut(runs.join(shared, "bucket"))
     # refined buckets: equal runs. min_by gives the position that belongs to the smallest k
     same = ["bucket", "span", "run"]
-    refined = cut(runs.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k"), F.min_by("pos", "k").alias("pos")))
-    first = F.col("pos") - F.expr("span >> 10")
-    last = F.col("pos") - F.expr("span & 1023")
+    refined = cut(runs.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k"), F.min_by("pos", "k").alias("pos"), F.min_by("size", "k").alias("size")))
+    kind = (F.col("bucket").bitwiseAND(1) == 1).alias("words")
     whole = (runs.join(refined.where("c > 1").select(*same), same)
-             .select("k", first.alias("a"), (last + length).alias("b")))
+             .select("k", kind, F.col("pos").alias("a"), (F.col("pos") + F.col("size")).alias("b")))
 
     open_ = (refined.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least"))
              .where("n > 1 and least = 1").select("bucket", (F.col("n") > HOT).alias("hot")))
-    left = refined.join(open_, "bucket").select("bucket", "hot", "k", first.alias("first"), "c", (last - first + length).cast("int").alias("size"))
+    left = refined.join(open_, "bucket").select("bucket", "hot", "k", F.col("pos").alias("first"), "c", "size")
     # Both joins read one exchange of the texts. Equal rows of a document have c > 1 here, so their
     # several copies of a witness cannot change a decision.
     texts = base.select("k", "doc_id", "text")
     ctx = texts.join(left.hint("shuffle_hash"), "k").select(
         "bucket", "hot", "k", "first", "c", F.substring(F.col("text").cast("binary"), (F.col("first") + 1).cast("int"), F.col("size")).alias("ctx"))
     cold = (ctx.where("not hot").drop("hot").repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_decide(length), "k long, a long, b long"))
-    rows = ctx.where("hot").drop("hot", "bucket").mapInArrow(_window_rows(length), "w long, c long, k long, a long")
-    again = rows.groupBy("w").agg(F.sum("c").alias("n")).where("n > 1").select("w")
-    hot = rows.where("c = 1").join(again, "w").select("k", "a", (F.col("a") + length).alias("b"))
+            .mapInArrow(_decide(length, words), SPANS))
+    rows = ctx.where("hot").drop("hot").mapInArrow(_window_rows(length, words), "w long, c long, k long, words boolean, a long, b long")
+    again = (rows.groupBy("w", "words").agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.min("k").alias("k0"), F.max("k").alias("k1"))
+             .where("if(words, most > 1 or k0 <> k1, n > 1)").select("w", "words"))
+    hot = rows.where("c = 1").join(again, ["w", "words"]).select("k", "words", "a", "b")
 
-    spans = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    out = texts.join(spans.hint("shuffle_hash"), "k", "left")
-    return out.select("doc_id", "text", "spans").mapInArrow(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text string")
+    spans = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_set(F.struct("words", "a", "b")).alias("spans"))
+    out = texts.join(spans.hint("shuffle_hash"), "k", "left").select("doc_id", "text", "spans").mapInArrow(
+        _removed(words), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text string, n_repeated_words long")
+    return out.drop("n_repeated_words") if words is None else out
 
 
 def op6_suffix_dedup(spark, sf_dir):
     from kestrel.llm.common import table
 
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents"), words=PASSAGE).drop("kept")
