@@ -39,6 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Tables of one job in a folder of the shared file system, each removed as soon as it is of no more use.
 
@@ -63,8 +69,7 @@ class Scratch:
                 drop_folder(self.spark, self.places.pop(id(t))[1])
 
     def release(self) -> None:
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        release(self.spark)
 
     def close(self) -> None:
         self.places.clear()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import words as W
-from kestrel.llm.common import cut, in_batches
+from kestrel.llm.common import cut, in_batches, release
 
 LENGTH = 400
 GRAM = 128           # a power of two below LENGTH
@@ -45,31 +45,40 @@ WORD_GRAM = 8        # as GRAM and TOP, in words
 WORD_TOP = 32
 HOT = 64             # distinct runs of a bucket that may meet in one task
 SEGMENT = 1 << 21    # bytes of one text that are looked at together
+SLICE = 1 << 16      # bytes of short texts that are looked at together: their arrays stay in the cache
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
+def _longer(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Buckets of twice the length, from those at an offset and of what follows."""
+    with np.errstate(over="ignore"):
+        out = left * _A
+        out += right * _B
+    out ^= out >> np.uint64(31)
+    return out
+
+
 def bucket_levels(codes: np.ndarray, top: int = TOP) -> dict[int, np.ndarray]:
     """Identifier of the 1, 2, 4 .. ``top`` symbols (bytes or words, by their codes) at every offset (as far as they fit)."""
     level, n = codes, 1
     out = {1: level}
-    with np.errstate(over="ignore"):
-        while n < top:
-            level = level[:max(len(level) - n, 0)] * _A + level[n:] * _B
-            level ^= level >> np.uint64(31)
-            n *= 2
-            out[n] = level
+    while n < top:
+        level = _longer(level[:max(len(level) - n, 0)], level[n:])
+        n *= 2
+        out[n] = level
     return out
 
 
-def string_ids(levels, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Identifier of the ``size`` symbols (once to thrice the longest bucket) at ``start``, from buckets at later offsets."""
-    n = max(levels)
-    top = levels[n]
+def string_ids(levels, start: np.ndarray, size: np.ndarray, top: int = TOP) -> np.ndarray:
+    """Identifier of the ``size`` symbols (``top`` to 3 ``top``) at ``start``, from buckets of ``top`` at later offsets.
+    Where few are asked for, ``levels`` may end at half of ``top``."""
+    half = top // 2
+    at = levels[top].__getitem__ if top in levels else lambda x: _longer(levels[half][x], levels[half][x + half])
     with np.errstate(over="ignore"):
-        h = W.mix64(top[start] + size.astype(np.uint64) * _B)
-        h = W.mix64(h * _A + top[start + np.minimum(n, size - n)])
-        return W.mix64(h * _A + top[start + size - n])
+        h = W.mix64(at(start) + size.astype(np.uint64) * _B)
+        h = W.mix64(h * _A + at(start + np.minimum(top, size - top)))
+        return W.mix64(h * _A + at(start + size - top))
 
 
 def _windows(offsets: np.ndarray, length: int):
@@ -86,7 +95,7 @@ def marked_runs(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int,
     none = np.zeros(0, np.int64)
     if not len(p):
         return none, none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    levels = bucket_levels(codes, top)
+    levels = bucket_levels(codes, max(top // 2, gram))
     grams = W.mix64(levels[gram])
     low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     width, n = length - gram + 1, 1
@@ -101,12 +110,12 @@ def marked_runs(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int,
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(p)) - 1
     start, end, suffix = p[first], p[last], at[first]
-    return text[first], start, end, suffix, grams[suffix], string_ids(levels, start, end - start + length)
+    return text[first], start, end, suffix, grams[suffix], string_ids(levels, start, end - start + length, top)
 
 
 def _segments(data, offsets, length):
     """(row offset, bytes, offsets, shift) pieces of a batch: runs of rows, long texts in overlapping parts."""
-    for a, b in W.slices(offsets, SEGMENT):
+    for a, b in W.slices(offsets, min(SLICE, SEGMENT)):
         size = int(offsets[b] - offsets[a])
         if b - a > 1 or size <= 2 * SEGMENT:
             yield a, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], 0
@@ -136,7 +145,7 @@ def _run_rows(length, gram, words):
                 text, start, end, suffix, bucket, ident = marked_runs(W._BYTE_CODE[piece], off, length, gram)
                 if len(text):
                     yield _run_batch(k[row + text], start - off[text] + shift, end - start + length, (suffix - start) << 10 | (suffix - end), bucket, ident, False)
-            for a, b in W.slices(offsets, SEGMENT) if words else ():
+            for a, b in W.slices(offsets, min(SLICE, SEGMENT)) if words else ():
                 text, *found = _word_runs(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words)
                 if len(text):
                     yield _run_batch(k[a + text], *found, True)
@@ -147,7 +156,7 @@ def _words(data, offsets):
     """start, end, code of every word and the first word of each text."""
     starts, ends, first = W.word_spans(data, offsets)
     codes = np.zeros(len(starts), np.uint64)
-    for a, b in W.slices(offsets, SEGMENT):
+    for a, b in W.slices(offsets, SLICE):
         at, i, j = offsets[a], first[a], first[b]
         codes[i:j] = W.word_hashes(data[at:offsets[b]], starts[i:j] - at, ends[i:j] - at)
     return starts, ends, codes, first
@@ -172,13 +181,13 @@ def _windows_of(ctx: list[bytes], length, words):
     off = np.concatenate([[0], np.cumsum([len(c) for c in ctx])])
     if words:
         starts, ends, codes, first = _words(data, off)
-        levels = bucket_levels(codes, WORD_TOP)
     else:
-        first, levels = off, bucket_levels(W._BYTE_CODE[data])
+        codes, first = W._BYTE_CODE[data], off
     p, text = _windows(first, length)
     if not len(p):
         return text, p, np.zeros(0, np.uint64), p, p
-    ids = string_ids(levels, p, np.full(len(p), length))
+    top = WORD_TOP if words else TOP
+    ids = string_ids(bucket_levels(codes, top), p, np.full(len(p), length), top)
     a, b = (starts[p], ends[p + length - 1]) if words else (p, p + length)
     return text, p - first[text], ids, a - off[text], b - off[text]
 
@@ -268,34 +277,36 @@ def _window_rows(length, words):
     return run
 
 
-def _repeated_words(raw, a, b, length):
-    """How many words of a text lie in its windows between the bytes ``a`` and ``b``, or in windows equal to these."""
-    starts, ends, codes, first = _words(raw, np.array([0, len(raw)]))
-    p, _ = _windows(first, length)
-    ids = string_ids(bucket_levels(codes, WORD_TOP), p, np.full(len(p), length))
-    step = np.zeros(len(p) + 1, np.int64)
-    np.add.at(step, np.searchsorted(starts, a), 1)
-    np.add.at(step, np.searchsorted(ends, b, side="right") - length + 1, -1)
-    hit = np.isin(ids, np.unique(ids[np.cumsum(step[:-1]) > 0]))
+def _repeated_words(data, offsets, text, a, b, length):
+    """Per text, how many words lie in its windows between bytes ``a`` and ``b`` of text ``text``, or in windows equal to these."""
+    starts, ends, codes, first = _words(data, offsets)
+    p, owner = _windows(first, length)
+    with np.errstate(over="ignore"):
+        ids = W.mix64(string_ids(bucket_levels(codes, WORD_TOP), p, np.full(len(p), length), WORD_TOP) + owner.astype(np.uint64) * _A)
+    step = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(step, np.searchsorted(starts, offsets[text] + a), 1)
+    np.add.at(step, np.searchsorted(ends, offsets[text] + b, side="right") - length + 1, -1)
+    hit = p[np.isin(ids, ids[np.cumsum(step)[p] > 0])]
     step = np.zeros(len(starts) + 1, np.int64)
-    np.add.at(step, p[hit], 1)
-    np.add.at(step, p[hit] + length, -1)
-    return int((np.cumsum(step[:-1]) > 0).sum())
+    np.add.at(step, hit, 1)
+    np.add.at(step, hit + length, -1)
+    covered = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
+    return np.diff(covered[first])
 
 
 def _removed(words):
     def run(batches):
         for batch in batches:
             data, offsets = W.utf8(batch.column("text"))
-            out = []
+            out, marks = [], []
             for i, spans in enumerate(batch.column("spans")):
                 raw = data[offsets[i]:offsets[i + 1]]
-                runs = removed = repeated = 0
+                runs = removed = 0
                 keep = raw
                 if spans.is_valid and len(spans):
                     kind, a, b = (spans.values.field(x).to_numpy(zero_copy_only=False) for x in ("words", "a", "b"))
                     if kind.any():
-                        repeated = _repeated_words(raw, a[kind], b[kind], words)
+                        marks.append((i, raw, a[kind], b[kind]))
                     if not kind.all():
                         step = np.zeros(len(raw) + 1, np.int64)
                         np.add.at(step, a[~kind], 1)
@@ -304,12 +315,19 @@ def _removed(words):
                         removed = int(gone.sum())
                         runs = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
                         keep = raw[~gone]
-                out.append((len(raw), removed, runs, keep.tobytes(), repeated))
-            cols = list(zip(*out, strict=True)) if out else [()] * 5
+                out.append((len(raw), removed, runs, keep.tobytes()))
+            repeated = np.zeros(len(out), np.int64)
+            if marks:
+                at, raws, a, b = zip(*marks, strict=True)
+                off = np.concatenate([[0], np.cumsum([len(x) for x in raws])])
+                for i, j in W.slices(off, SEGMENT):
+                    text = np.repeat(np.arange(j - i), [len(x) for x in a[i:j]])
+                    repeated[list(at[i:j])] = _repeated_words(np.concatenate(raws[i:j]), off[i:j + 1] - off[i], text, np.concatenate(a[i:j]), np.concatenate(b[i:j]), words)
+            cols = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in cols[3]], pa.string()), pa.array(cols[3], pa.binary()),
-                 pa.array([x.decode("utf-8", "ignore") for x in cols[3]], pa.string()), pa.array(cols[4], pa.int64())],
+                 pa.array([x.decode("utf-8", "ignore") for x in cols[3]], pa.string()), pa.array(repeated)],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text", "n_repeated_words"])
     return run
 
@@ -339,9 +357,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, word
     # cut: a join with a plain exchange on both sides is one whose hot keys Spark can split
     shared = cut(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     runs = cut(runs.join(shared, "bucket"))
+    del shared
+    release(docs.sparkSession)
     # refined buckets: equal runs. min_by gives the position that belongs to the smallest k
     same = ["bucket", "span", "run"]
     refined = cut(runs.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k"), F.min_by("pos", "k").alias("pos"), F.min_by("size", "k").alias("size")))
+    release(docs.sparkSession)
     kind = (F.col("bucket").bitwiseAND(1) == 1).alias("words")
     whole = (runs.join(refined.where("c > 1").select(*same), same)
              .select("k", kind, F.col("pos").alias("a"), (F.col("pos") + F.col("size")).alias("b")))
@@ -349,11 +370,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, word
     open_ = (refined.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least"))
              .where("n > 1 and least = 1").select("bucket", (F.col("n") > HOT).alias("hot")))
     left = refined.join(open_, "bucket").select("bucket", "hot", "k", F.col("pos").alias("first"), "c", "size")
-    # Both joins read one exchange of the texts. Equal rows of a document have c > 1 here, so their
-    # several copies of a witness cannot change a decision.
+    # Both joins read one exchange of the texts, since both keep doc_id: without it the exchanges would differ. Equal
+    # rows of a document have c > 1 here, so their several copies of a witness cannot change a decision.
     texts = base.select("k", "doc_id", "text")
     ctx = texts.join(left.hint("shuffle_hash"), "k").select(
-        "bucket", "hot", "k", "first", "c", F.substring(F.col("text").cast("binary"), (F.col("first") + 1).cast("int"), F.col("size")).alias("ctx"))
+        "bucket", "hot", "k", "doc_id", "first", "c", F.substring(F.col("text").cast("binary"), (F.col("first") + 1).cast("int"), F.col("size")).alias("ctx"))
     cold = (ctx.where("not hot").drop("hot").repartition("bucket").sortWithinPartitions("bucket")
             .mapInArrow(_decide(length, words), SPANS))
     rows = ctx.where("hot").drop("hot").mapInArrow(_window_rows(length, words), "w long, c long, k long, words boolean, a long, b long")

@@ -6,6 +6,8 @@ from collections import Counter
 import odd
 import pytest
 
+from conftest import plan_string
+
 from kestrel.llm import suffix_dedup
 
 
@@ -95,10 +97,11 @@ def word_rows(seed):
     return docs + [docs[-1], docs[-1], (609, None), (610, "")]
 
 
-@pytest.mark.parametrize("words, hot", [(51, 64), (51, 0), (33, 2)])
-def test_passages_of_words_against_brute_force(spark, monkeypatch, words, hot):
+@pytest.mark.parametrize("words, hot, size", [(51, 64, 1 << 21), (51, 0, 1 << 10), (33, 2, 1 << 12)])
+def test_passages_of_words_against_brute_force(spark, monkeypatch, words, hot, size):
     """Repeats across documents, however few bytes they have; a document's own repeats are none. The other columns stay."""
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", size)
     docs = word_rows(words + hot)
     df = odd.documents(spark, [(d, t, None, None, None) for d, t in docs])
     got = suffix_dedup.remove_repeats(df, words=words).drop("kept", "text").collect()
@@ -127,3 +130,11 @@ def test_a_shared_bucket_without_a_repeat(spark):
     docs = [(i, own(500) + part + own(500)) for i in range(2)]
     got = suffix_dedup.remove_repeats(odd.documents(spark, [(*d, None, None, None) for d in docs])).collect()
     assert sorted((r.doc_id, r.n_removed, r.text) for r in got) == [(i, 0, t) for i, t in docs]
+
+
+def test_the_texts_are_shuffled_once(spark, tmp_path):
+    """Both joins with the texts ask for the same exchange, so that Spark runs it once."""
+    odd.documents(spark, [(i, f"text {i}", None, None, None) for i in range(5)]).write.parquet(str(tmp_path / "d.parquet"))
+    plan = plan_string(suffix_dedup.remove_repeats(spark.read.parquet(str(tmp_path / "d.parquet")), words=51))
+    inputs = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan) if re.search(r"\btext#", x)]
+    assert len(inputs) > 1 and set(inputs) == {"k, doc_id, text"}
