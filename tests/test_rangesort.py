@@ -329,3 +329,10 @@ def test_no_window_over_all_prefixes(spark):
     windows = [w for w in plan.split("\n") if "windowspecdefinition(" in w]
     assert windows and all("windowspecdefinition(_at" in w or "windowspecdefinition(_g" in w for w in windows)
     assert "WindowGroupLimit" in plan
+
+
+def test_grouped_limit_where_it_can_cut(spark):
+    """Spark leaves the limit out only where it knows of no more rows than that (as of the five of the test before)."""
+    for n in (5, 11):
+        hist = spark.range(n).selectExpr("cast(id as string) as ch", "id as n")
+        assert ("WindowGroupLimit" in plan_string(rangesort.equi_depth_boundaries(hist, 10, prefix_len=4))) == (n > 10)
