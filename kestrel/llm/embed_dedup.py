@@ -1,50 +1,98 @@
 """Near-duplicate embeddings with an inverted multi-index.
 
-1. Equal vectors are one class (its smallest id stands for it), so copies never meet in pairs.
-2. Two independent codebooks, one per half of the vectors, are fitted by k-means on a bounded
-   sample (``SAMPLE`` classes). Their product is a grid of cells; every vector lies in one cell.
-   Vectors of each dimension have a grid and a sample of their own.
-3. A vector visits the cells of the grid in the order of the multi-sequence traversal: by the sum,
-   over the halves, of the squared distance to the border of the codeword's region. It stops at the cost at which
-   ``RECALL`` of neighbours lying exactly on the threshold (the hardest ones), drawn around sample
-   vectors, and of the sample's own neighbours, have been reached.
-4. A visited cell verifies: cosine in double precision against all its members. Cells are cut into blocks of
-   members and of visitors, so a cell with a third of all rows is many tasks. Each visitor counts its
+1. Equal vectors are one class (its smallest id stands for it), so copies never meet in pairs. Classes are found by a
+   128-bit hash of the vectors; the vectors themselves are shuffled once for this.
+2. A coarse codebook, fitted by k-means on a bounded sample (``SAMPLE`` classes), deals the classes to cells of some
+   thousands. A class is shipped to its own cell, and as a visitor to the cells whose border is near. Of two neighbours
+   one at least has to visit the other's cell, which is the nearer of two ways to a border: few visits are shipped.
+   Vectors of each dimension have cells and a sample of their own. Cells are shipped in rounds of about the size of the
+   table, each verified before the next, so the disk holds one round at a time.
+3. In a cell, the members lie in a grid: the product of two independent codebooks, one per half of the vectors, fitted
+   on the members. A vector visits the cells of the grid whose cost - the sum, over the halves, of the squared distance
+   to the border of the codeword's region - is at most the cost at which ``RECALL`` of neighbours lying exactly on the
+   threshold (the hardest ones), drawn around sample vectors, and of the sample's own neighbours, have been reached.
+   The coarse cells' distance is calibrated alike; each of the two may miss half of what ``RECALL`` leaves.
+4. A visited cell verifies: cosine in double precision wherever single precision does not decide. Coarse cells are cut
+   into blocks of members and of visitors, so a cell with a third of all rows is many tasks. Each vector counts its
    links; of the links themselves only a spanning forest per block leaves the task, so dense
    groups are not expanded. Components follow from these.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut
+from kestrel.llm.common import Scratch, cut, in_batches
 from kestrel.llm.components import components
 
 THRESHOLD = 0.95
 SAMPLE = 8_192
 RECALL = 0.9999
-PER_CELL = 128              # members per cell aimed at
-MEMBERS, VISITORS = 1024, 4096   # rows per block
+PER_CELL = 128              # members per cell of a grid aimed at
+CELL, CELLS, LARGE = 2_048, 64, 65_536  # members per coarse cell aimed at: the first up to so many cells, at most the last
+MEMBERS, VISITORS = 131_072, 1_048_576   # rows per block
+ROUND_BYTES, ROUND = 256 << 20, 1.25     # shipped in a round: so many bytes, or so many times the vectors
+QUERIES, SCORES = 8_192, 1 << 22         # visitors and scores held at a time
 SEED = 3
 
 
-def _unit_rows(batches):
-    """vec_id, v: the vector as normalised doubles, null if it links with nothing."""
+def _unit(raw: np.ndarray) -> np.ndarray:
+    """Rows as normalised doubles."""
+    a = raw.astype(np.float64)
+    a /= np.abs(a).max(1, keepdims=True)              # no overflow or underflow in the norm
+    return a / np.sqrt((a * a).sum(1, keepdims=True)) + 0.0
+
+
+def _linkable(col):
+    """(places, rows) per dimension of the vectors that can link: not null, empty or zero, all components finite."""
+    size = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    start = np.cumsum(size) - size
+    values = col.flatten().to_numpy(zero_copy_only=False)     # null components are NaN here
+    for d in np.unique(size[size > 0]).tolist():
+        at = np.flatnonzero(size == d)
+        raw = values.reshape(-1, d) if len(at) * d == len(values) else values[start[at][:, None] + np.arange(d)]
+        ok = np.isfinite(raw).all(1) & (raw != 0).any(1)
+        if ok.any():
+            yield at[ok], raw[ok]
+
+
+def _hashes(raw):
+    whole, width = memoryview(_unit(raw).tobytes()), 8 * raw.shape[1]
+    return [blake2b(whole[i:i + width], digest_size=16).digest() for i in range(0, len(whole), width)]
+
+
+def _keys(batches):
+    """vec_id, h: the hash of the normalised vector, null if it links with nothing."""
     for batch in batches:
-        out = []
-        for x in batch.column("embedding"):
-            v = None
-            if x.is_valid and len(x.values) and x.values.null_count == 0:
-                a = np.asarray(x.values.to_numpy(zero_copy_only=False), np.float64)
-                if np.isfinite(a).all() and (top := np.abs(a).max()) > 0:
-                    a = a / top                       # no overflow or underflow in the norm
-                    v = (a / np.sqrt((a * a).sum()) + 0.0).tobytes()
-            out.append(v)
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "v"])
+        h = np.full(batch.num_rows, None, object)
+        for at, raw in _linkable(batch.column("embedding")):
+            h[at] = _hashes(raw)
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(h, pa.binary())], names=["vec_id", "h"])
+
+
+def _vectors(batches):
+    """vec_id, h, v: the hash and the components, as they are, of the vectors that can link."""
+    for batch in batches:
+        ids = batch.column("vec_id").cast(pa.int64())
+        for at, raw in _linkable(batch.column("embedding")):
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(_hashes(raw), pa.binary()), _binary(raw)], names=["vec_id", "h", "v"])
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a binary column."""
+    ends = np.arange(len(rows) + 1, dtype=np.int64) * (rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _matrix(col, kind) -> np.ndarray:
+    """A binary column of rows of one length as a matrix."""
+    return np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), -1)
 
 
 def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
@@ -58,163 +106,349 @@ def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
 
 
 class Grid:
-    """Two codebooks and the stopping cost; plain arrays."""
+    """Codebooks, one per part of the vectors, and the stopping cost; plain arrays.
 
-    def __init__(self, sample: np.ndarray, k: int, threshold: float):
+    ``both``: of two neighbours it is enough that one visits the other's cell.
+    """
+
+    def __init__(self, sample: np.ndarray, k: int, threshold: float, parts: int = 2, both: bool = False):
         rng = np.random.default_rng(SEED)
         self.d = sample.shape[1]
-        half = self.d // 2 or 1
+        half = self.d if parts == 1 else self.d // 2 or 1
         self.cut = half
-        self.books = [_kmeans(sample[:, :half], k, rng), _kmeans(sample[:, half:], k, rng) if self.d > half else np.zeros((1, 0))]
-        # neighbours on the threshold in random directions, and the sample's own neighbours
-        base = np.repeat(sample[:1024], 8, axis=0)
-        step = rng.normal(size=base.shape)
-        step -= (step * base).sum(1, keepdims=True) * base
-        step /= np.maximum(np.linalg.norm(step, axis=1, keepdims=True), 1e-12)
-        near = threshold * base + np.sqrt(1 - threshold ** 2) * step
-        costs = [self._cost_of(base, near)]
-        for i in range(0, len(sample), 1024):
-            a, b = np.nonzero(sample[i:i + 1024] @ sample.T >= threshold)
-            if len(a):
-                few = rng.permutation(len(a))[:4096]
-                costs.append(self._cost_of(sample[i:i + 1024][a[few]], sample[b[few]]))
-        self.stop = max(float(np.quantile(c, RECALL)) for c in costs) + 1e-12
+        held = len(sample) // 4 if len(sample) >= 4 * k else 0     # codewords lie nearer to what they were fitted on
+        fit, test = (sample[held:], sample[:held]) if held else (sample, sample)
+        self.books = [_kmeans(fit[:, :half], k, rng), _kmeans(fit[:, half:], k, rng) if self.d > half else np.zeros((1, 0), sample.dtype)]
+        self.gaps = [2 * np.sqrt(np.maximum(((c * c).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * c @ c.T), 1e-12)) for c in self.books]
+        # neighbours on the threshold in random directions and towards other vectors of the sample, and the sample's own neighbours
+        base = np.repeat(test[:2048], 16 * max(1, 2048 // len(test)), axis=0)
+        costs = [self._near(base, rng.normal(size=base.shape).astype(base.dtype), threshold, both),
+                 self._near(base, sample[rng.integers(len(sample), size=len(base))], threshold, both)]
+        own = []
+        for i in range(0, len(test), 1024):
+            a, b = np.nonzero(test[i:i + 1024] @ sample.T >= threshold)
+            a, b = a[a + i != b], b[a + i != b]
+            few = rng.permutation(len(a))[:4096]
+            own.append(self._cost_of(test[i:i + 1024][a[few]], sample[b[few]], both))
+        costs.append(np.concatenate(own))
+        self.stop = max(float(np.quantile(c, 1 - (1 - RECALL) / 2)) for c in costs if len(c)) + 1e-7
+
+    def _near(self, base, step, threshold, both):
+        step = step - (step * base).sum(1, keepdims=True) * base
+        step /= np.maximum(np.linalg.norm(step, axis=1, keepdims=True), 1e-6)
+        return self._cost_of(base, threshold * base + np.sqrt(1 - threshold ** 2).astype(base.dtype) * step, both)
 
     def halves(self, x):
         return x[:, :self.cut], x[:, self.cut:]
 
     def costs(self, x):
-        """Per half: squared distance of every vector to the border of every codeword's region."""
+        """Per part: squared distance of every vector to the border of every codeword's region."""
         out = []
-        for part, c in zip(self.halves(x), self.books, strict=True):
+        for part, c, gap in zip(self.halves(x), self.books, self.gaps, strict=True):
             d = (c * c).sum(1)[None] - 2 * part @ c.T
-            own = d.argmin(1)
-            gap = np.sqrt(np.maximum(((c[own][:, None] - c[None]) ** 2).sum(2), 1e-18)) if len(c) * len(x) * c.shape[1] < 1e7 else \
-                np.sqrt(np.maximum((c * c).sum(1)[own][:, None] + (c * c).sum(1)[None] - 2 * c[own] @ c.T, 1e-18))
-            lead = np.maximum(d - d[np.arange(len(d)), own][:, None], 0)
-            border = lead / (2 * gap)
-            border[np.arange(len(d)), own] = 0
-            out.append((border ** 2, own))
+            own, at = d.argmin(1), np.arange(len(d))
+            d -= d[at, own][:, None]
+            d /= gap[own]
+            d[at, own] = 0
+            out.append((np.square(d, out=d), own))
         return out
 
     def cells(self, x):
-        (_, a), (_, b) = self.costs(x)
-        return a.astype(np.int64) * len(self.books[1]) + b
+        out = np.zeros(len(x), np.int64)
+        for i in range(0, len(x), QUERIES):
+            (_, a), (_, b) = self.costs(x[i:i + QUERIES])
+            out[i:i + QUERIES] = a * len(self.books[1]) + b
+        return out
 
-    def _cost_of(self, x, y):
-        (ca, _), (cb, _) = self.costs(x)
-        (_, ya), (_, yb) = self.costs(y)
-        at = np.arange(len(x))
-        return ca[at, ya] + cb[at, yb]
+    def _cost_of(self, x, y, both):
+        out = [np.zeros(0)]
+        for i in range(0, len(x), 2048):
+            (ca, xa), (cb, xb) = self.costs(x[i:i + 2048])
+            (da, ya), (db, yb) = self.costs(y[i:i + 2048])
+            at = np.arange(len(xa))
+            cost = ca[at, ya] + cb[at, yb]
+            out.append(np.minimum(cost, da[at, xa] + db[at, xb]) if both else cost)
+        return np.concatenate(out)
 
     def visits(self, x):
-        """(row, cell) of all visited cells, each vector's in the order of their cost."""
+        """Matrix: does this vector (row) visit this cell? Each visits its own."""
         (ca, _), (cb, _) = self.costs(x)
-        rows, cells = [], []
-        for i in range(len(x)):
-            sa, sb = np.flatnonzero(ca[i] <= self.stop), np.flatnonzero(cb[i] <= self.stop)
-            total = ca[i][sa][:, None] + cb[i][sb][None]
-            p, q = np.nonzero(total <= self.stop)
-            order = np.argsort(total[p, q], kind="stable")
-            cells.append(sa[p[order]] * len(self.books[1]) + sb[q[order]])
-            rows.append(np.full(len(p), i))
-        return np.concatenate(rows) if rows else np.zeros(0, int), np.concatenate(cells) if cells else np.zeros(0, int)
+        return (ca[:, :, None] + cb[:, None, :] <= self.stop).reshape(len(x), -1)
 
 
-ROWS = "cell long, side int, rep long, copies long, v binary"
+def _grid(state) -> Grid:
+    grid = Grid.__new__(Grid)
+    grid.__dict__.update(state)
+    return grid
 
 
-def _place(model):
+class Dealer:
+    """Where the classes of one dimension go: the coarse cells, their blocks and rounds; plain arrays.
+
+    Block ``first + i * vb + j`` of a cell has its members number i and its visitors number j.
+    """
+
+    def __init__(self, sample: np.ndarray, kind: str, total: int, threshold: float, first: int):
+        k = int(np.clip(total / CELL, 1, CELLS))
+        self.grid = vars(Grid(sample.astype(np.float32), int(np.clip(total / LARGE, k, max(1, len(sample) // 4))), threshold, parts=1, both=True))
+        self.kind, self.d = kind, sample.shape[1]
+        grid, cells = _grid(self.grid), len(self.grid["books"][0])
+        own, seen = np.zeros(cells), np.zeros(cells)
+        for i in range(0, len(sample), 2048):
+            x = sample[i:i + 2048].astype(np.float32)
+            own += np.bincount(grid.cells(x), minlength=cells)
+            seen += grid.visits(x).sum(0)
+        own, seen = own * (total / len(sample)), seen * (total / len(sample))
+        self.mb = np.maximum(1, np.ceil(own / MEMBERS)).astype(np.int64)
+        self.vb = np.maximum(1, np.ceil(seen / VISITORS)).astype(np.int64)
+        self.first = first + np.cumsum(self.mb * self.vb) - self.mb * self.vb
+        self.end = first + int((self.mb * self.vb).sum())
+        width = sample.shape[1] * np.dtype(kind).itemsize
+        self.bytes = (own * self.vb + np.where(self.mb * self.vb > 1, seen, seen - own) * self.mb) * (width + 80)
+        self.width = total * width
+
+    def alone(self):
+        """Cells that are one block, in which the members are the visitors of their own cell as well."""
+        return self.mb * self.vb == 1
+
+
+def _dealer(state) -> Dealer:
+    out = Dealer.__new__(Dealer)
+    out.__dict__.update(state)
+    return out
+
+
+ROWS = "k long, own int, rep long, copies long, seen binary, v binary"   # own: the visitor's own cell, -1 of a member
+
+
+def _expand(n):
+    """(place, 0 .. n[place] - 1) of every place, so often."""
+    at = np.repeat(np.arange(len(n)), n)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _place(model, now):
+    """The rows of the round ``now``: per dealer, its cells of this round."""
     def run(batches):
-        grids = [Grid.__new__(Grid) for _ in model.value]
-        for grid, (_, state) in zip(grids, model.value, strict=True):
-            grid.__dict__.update(state)
+        dealers = [_dealer(state) for state in model.value]
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                v = batch.column("v").to_pylist()
-                size = np.array([len(b) for b in v])
-                for grid, (base, _) in zip(grids, model.value, strict=True):
-                    fits = size == 8 * grid.d
-                    if not fits.any():
-                        continue
-                    x = np.frombuffer(b"".join(b for b, f in zip(v, fits, strict=True) if f), np.float64).reshape(-1, grid.d)
-                    rep = batch.column("rep").to_numpy(zero_copy_only=False)[fits]
-                    n = batch.column("copies").to_numpy(zero_copy_only=False)[fits]
-                    rows, cells = grid.visits(x)
-                    own = grid.cells(x)
-                    pick = np.concatenate([np.arange(len(x)), rows]).astype(int)
-                    packed = [x[i].tobytes() for i in range(len(x))]
+            size = pc.binary_length(whole.column("v")).to_numpy(zero_copy_only=False)
+            for dealer, cells in zip(dealers, now, strict=True):
+                fits = np.flatnonzero(size == dealer.d * np.dtype(dealer.kind).itemsize)
+                if not len(fits) or not cells.any():
+                    continue
+                batch, grid = whole.take(pa.array(fits)), _grid(dealer.grid)
+                raw = _matrix(batch.column("v"), dealer.kind)
+                rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "copies"))
+                x = _unit(raw).astype(np.float32)
+                own, visits = grid.cells(x), grid.visits(x)
+                visits[np.arange(len(x)), own] = True
+                row, cell = np.nonzero(visits)
+                ends = np.concatenate([[0], np.cumsum(visits.sum(1))]) * 4
+                seen = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cell.astype(np.int32))])
+                dealt = ((rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+                # members go to all blocks of visitors, visitors to all blocks of members
+                m = np.flatnonzero(cells[own])
+                at, o = _expand(dealer.vb[own[m]])
+                m = m[at]
+                keep = cells[cell] & ((cell != own[row]) | ~dealer.alone()[cell])
+                v, c = row[keep], cell[keep]
+                to, p = _expand(dealer.mb[c])
+                v, c = v[to], c[to]
+                pick = np.concatenate([m, v])
+                k = np.concatenate([dealer.first[own[m]] + dealt[m] % dealer.mb[own[m]] * dealer.vb[own[m]] + o,
+                                    dealer.first[c] + p * dealer.vb[c] + dealt[v] % dealer.vb[c]])
+                side = np.concatenate([np.full(len(m), -1), own[v]]).astype(np.int32)
+                told = pa.array(np.concatenate([m, np.full(len(v), -1)]), mask=side >= 0)
+                step = max(1, (32 << 20) // (raw.shape[1] * raw.itemsize))
+                for i in range(0, len(pick), step):
+                    part = pick[i:i + step]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([own, cells]) + base, pa.int64()),
-                         pa.array(np.concatenate([np.zeros(len(x)), np.ones(len(rows))]).astype(np.int32)),
-                         pa.array(rep[pick], pa.int64()), pa.array(n[pick], pa.int64()),
-                         pa.array([packed[i] for i in pick], pa.binary())], names=["cell", "side", "rep", "copies", "v"])
+                        [pa.array(k[i:i + step]), pa.array(side[i:i + step]), pa.array(rep[part]), pa.array(copies[part]),
+                         seen.take(told[i:i + step]), _binary(raw[part])], names=["k", "own", "rep", "copies", "seen", "v"])
     return run
 
 
-def _forest(x, y):
-    """Indices of a spanning forest of the links x[i] - y[i]."""
-    up, keep = {}, []
-
-    def find(a):
-        while (b := up.get(a, a)) != a:
-            up[a] = a = up.get(b, b)
-        return a
-
-    for i, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
-        a, b = find(a), find(b)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-            keep.append(i)
-    return np.array(keep, int)
-
-
-def _verify(threshold):
-    def block(rows):
-        side = rows["side"]
-        d = len(rows["v"][0]) // 8
-        x = np.frombuffer(b"".join(rows["v"]), np.float64).reshape(-1, d)
-        m, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        reps, copies = rows["rep"], rows["copies"]
-        a, n, b = [], [], []
-        for i in range(0, len(q), 1024):
-            part = q[i:i + 1024]
-            hit = (x[part] @ x[m].T >= threshold) & (reps[part][:, None] != reps[m][None])
-            counts = hit @ copies[m]
-            some = np.flatnonzero(counts)
-            a.append(reps[part[some]])
-            n.append(counts[some])
-            b.append(np.full(len(some), -1))
-            p, r = np.nonzero(hit)
-            xs, ys = reps[part[p]], reps[m[r]]
-            keep = _forest(xs, ys)
-            a.append(xs[keep])
-            n.append(np.zeros(len(keep), np.int64))
-            b.append(ys[keep])
-        a, n, b = (np.concatenate(z).astype(np.int64) if z else np.zeros(0, np.int64) for z in (a, n, b))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(n), pa.array(b, mask=n > 0)], names=["a", "n", "b"])
-
+class Block:
+    """One block: members first, then visitors; counts links and joins what is linked."""
+
+    def __init__(self, k, dealers, threshold):
+        self.dealer = next(d for d in dealers if d.first[0] <= k < d.end)
+        self.cell = int(np.searchsorted(self.dealer.first, k, "right")) - 1
+        self.threshold, self.k = threshold, k
+        self.close = (self.dealer.d + 4) * 2.0 ** -23     # single precision decides beyond this
+        self.members, self.visitors, self.waiting, self.ready = [], [], 0, False
+
+    def add(self, rows):
+        own = rows.column("own").to_numpy()
+        n = int(np.searchsorted(own, 0))
+        if n:
+            self.members.append(rows.slice(0, n))
+        if n < len(own):
+            self.visitors.append(rows.slice(n))
+            self.waiting += len(own) - n
+            if self.waiting >= QUERIES:
+                yield from self.answer()
+
+    def read(self, pieces):
+        rep, copies = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in pieces]) for c in ("rep", "copies"))
+        raw = np.concatenate([_matrix(p.column("v"), self.dealer.kind) for p in pieces])
+        return rep, copies, raw
+
+    def index(self):
+        """The members by their cells of the grid, in the order of their ids there."""
+        self.ready = True
+        rep, copies, raw = self.read(self.members)
+        seen = [s for p in self.members for s in p.column("seen").to_pylist()]
+        self.members = None
+        by = np.argsort(rep, kind="stable")
+        rep, copies, raw, seen = rep[by], copies[by], raw[by], [seen[i] for i in by]
+        x = np.concatenate([_unit(raw[i:i + QUERIES]).astype(np.float32) for i in range(0, len(raw), QUERIES)])
+        k = int(np.sqrt(len(x) / PER_CELL))
+        self.grid, self.starts = None, np.array([0, len(x)])
+        if k >= 4:        # fewer are compared with all members
+            few = np.random.default_rng(SEED).permutation(len(x))[:SAMPLE]
+            self.grid = Grid(x[few], k, self.threshold)
+            cells = self.grid.cells(x)
+            by = np.argsort(cells, kind="stable")
+            rep, copies, raw, seen, x = rep[by], copies[by], raw[by], [seen[i] for i in by], x[by]
+            self.starts = np.searchsorted(cells[by], np.arange(len(self.grid.books[0]) * len(self.grid.books[1]) + 1))
+        self.rep, self.copies, self.raw, self.x = rep, copies, raw, x
+        n = np.array([len(s) // 4 for s in seen])
+        cell, row = np.frombuffer(b"".join(seen), np.int32), np.repeat(np.arange(len(x)), n)
+        self.bits = np.zeros((len(x), len(self.dealer.mb) // 8 + 1), np.uint8)
+        np.bitwise_or.at(self.bits, (row, cell >> 3), (1 << (cell & 7)).astype(np.uint8))
+        self.label, self.links = np.arange(len(x)), np.zeros(len(x), np.int64)
+
+    def scores(self, x):
+        """(p, r, cosine) of vectors and members that may link, as single precision has it; few at a time."""
+        low = np.float32(self.threshold - self.close)
+        visits = None if self.grid is None else np.ascontiguousarray(self.grid.visits(x).T)
+        for cell in range(len(self.starts) - 1):
+            s, e = int(self.starts[cell]), int(self.starts[cell + 1])
+            if s == e:
+                continue
+            rows = np.arange(len(x)) if visits is None else np.flatnonzero(visits[cell])
+            step = max(1, SCORES // (e - s))
+            for i in range(0, len(rows), step):
+                part = rows[i:i + step]
+                g = x[part] @ self.x[s:e].T
+                hit = np.flatnonzero(g >= low)
+                if len(hit):
+                    yield part[hit // (e - s)], s + hit % (e - s), g.reshape(-1)[hit]
+
+    def batches_of_hits(self, x, raw, rep):
+        """(p, r) of vectors and members that link."""
+        held, n = [], 0
+        for found in self.scores(x):
+            held.append(found)
+            n += len(found[0])
+            if n >= SCORES // 4:
+                yield self.exact(held, raw, rep)
+                held, n = [], 0
+        if held:
+            yield self.exact(held, raw, rep)
+
+    def exact(self, held, raw, rep):
+        p, r, g = (np.concatenate(z) for z in zip(*held, strict=True))
+        keep = rep[p] != self.rep[r]
+        unsure = np.flatnonzero(keep & (g < self.threshold + self.close))
+        for i in range(0, len(unsure), QUERIES):
+            at = unsure[i:i + QUERIES]
+            keep[at] = (_unit(raw[p[at]]) * _unit(self.raw[r[at]])).sum(1) >= self.threshold
+        return p[keep], r[keep]
+
+    def unite(self, a, b):
+        """Members a[i] and b[i] get one label, the smallest."""
+        while True:
+            la, lb = self.label[a], self.label[b]
+            if (la == lb).all():
+                return
+            np.minimum.at(self.label, np.maximum(la, lb), np.minimum(la, lb))
+            while (self.label[self.label] != self.label).any():
+                self.label = self.label[self.label]
+
+    def answer(self):
+        """Links of the visitors that wait."""
+        if not self.ready and self.members:
+            self.index()
+        pieces, self.visitors, self.waiting = self.visitors, [], 0
+        if not self.ready or not pieces:
+            return
+        rep, copies, raw = self.read(pieces)
+        own = np.concatenate([p.column("own").to_numpy() for p in pieces])
+        for i in range(0, len(rep), QUERIES):
+            s = slice(i, i + QUERIES)
+            yield self.visit(rep[s], copies[s], raw[s], own[s])
+
+    def visit(self, rep, copies, raw, own):
+        links, linked = np.zeros(len(rep), np.int64), np.full(len(rep), -1)
+        for p, r in self.batches_of_hits(_unit(raw).astype(np.float32), raw, rep):
+            np.add.at(links, p, self.copies[r])
+            # a member that does not visit the visitor's cell counts the link here
+            back = own[p] != self.cell
+            back &= (self.bits[r, own[p] >> 3] >> (own[p] & 7) & 1) == 0
+            np.add.at(self.links, r[back], copies[p[back]])
+            new = linked[p] < 0
+            linked[p[new][::-1]] = r[new][::-1]
+            self.unite(linked[p], r)
+        some = linked >= 0
+        return _found(rep[some], links[some], self.rep[linked[some]], np.zeros(int(some.sum()), bool))
+
+    def end(self):
+        yield from self.answer()
+        if not self.ready and self.members:
+            self.index()
+        if not self.ready:
+            return
+        if self.dealer.alone()[self.cell]:
+            for i in range(0, len(self.x), QUERIES):
+                s = slice(i, i + QUERIES)
+                for p, r in self.batches_of_hits(self.x[s], self.raw[s], self.rep[s]):
+                    np.add.at(self.links, p + i, self.copies[r])
+                    self.unite(p + i, r)
+        joined = self.label != np.arange(len(self.label))
+        some = joined | (self.links > 0)
+        yield _found(self.rep[some], self.links[some], self.rep[self.label[some]], ~joined[some])
+
+
+def _found(a, n, b, mask):
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(n), pa.array(b, mask=mask)], names=["a", "n", "b"])
+
+
+def _verify(model, threshold):
     def run(batches):
-        held = None
-        names = ("k", "side", "rep", "copies")
+        dealers, block = [_dealer(state) for state in model.value], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            new["v"] = batch.column("v").to_pylist()
-            held = new if held is None else {c: np.concatenate([held[c], new[c]]) if c != "v" else held[c] + new[c] for c in held}
-            edges = np.flatnonzero(held["k"][1:] != held["k"][:-1]) + 1
-            for s, e in zip(np.concatenate([[0], edges[:-1]]) if len(edges) else [], edges, strict=True):
-                yield block({c: v[s:e] for c, v in held.items()})
-            if len(edges):
-                held = {c: v[edges[-1]:] for c, v in held.items()}
-        if held is not None:
-            yield block(held)
+            k = batch.column("k").to_numpy()
+            edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+            for s, e in zip(edges[:-1], edges[1:], strict=True):
+                if block is None or block.k != k[s]:
+                    if block is not None:
+                        yield from block.end()
+                    block = Block(int(k[s]), dealers, threshold)
+                yield from block.add(batch.slice(s, e - s))
+        if block is not None:
+            yield from block.end()
 
     return run
 
 
+def _rounds(dealers) -> list[list[np.ndarray]]:
+    """Per round and dealer: which cells. A round ships at most ``ROUND_BYTES``, or ``ROUND`` times the vectors, or one cell."""
+    limit = max(ROUND_BYTES, ROUND * sum(d.width for d in dealers))
+    cost = np.concatenate([d.bytes for d in dealers])
+    least = max(1, int(np.ceil(cost.sum() / limit)))
+    of, load = np.zeros(len(cost), np.int64), np.zeros(least)
+    for c in np.argsort(-cost, kind="stable"):        # the largest first, each to the round with the least
+        of[c] = load.argmin()
+        load[of[c]] += cost[c]
+    ends = np.cumsum([len(d.bytes) for d in dealers])[:-1]
+    return [np.split(of == i, ends) for i in range(least)]
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector.
 
@@ -223,42 +457,55 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     count once; a null id links with nothing
     and has a null component; an empty table gives no rows; other columns are ignored.
     """
+    scratch = Scratch(vectors.sparkSession)
+    try:
+        return cut(_near_duplicates(vectors, threshold, scratch))
+    finally:
+        scratch.close()
+
+
+def _near_duplicates(vectors: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     spark = vectors.sparkSession
-    base = vectors.select(F.col("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    units = cut(base.mapInArrow(_unit_rows, "vec_id long, v binary").distinct())
-    classes = cut(units.where("v is not null and vec_id is not null").groupBy("v").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    dims = sorted((r.d, r.n) for r in classes.groupBy((F.length("v") / 8).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+    kind, of = ("f4", "array<float>") if dict(vectors.dtypes)["embedding"] == "array<float>" else ("f8", "array<double>")
+    base = in_batches(vectors).select(F.col("vec_id"), F.col("embedding").cast(of).alias("embedding"))
+    units = scratch.cut(base.mapInArrow(_keys, "vec_id long, h binary").distinct())
+    classes = (units.where("h is not null and vec_id is not null").groupBy("h")
+               .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    shown = base.where("vec_id is not null").mapInArrow(_vectors, "vec_id long, h binary, v binary")
+    shown = shown.join(classes.withColumnRenamed("h", "_h"), (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep")))
+    classes = scratch.cut(shown.dropDuplicates(["h", "vec_id"]).select("rep", "copies", "h", "v"))
+    del shown
+    scratch.release()
+    bytes_each = np.dtype(kind).itemsize
+    dims = sorted((r.d, r.n) for r in classes.groupBy((F.length("v") / bytes_each).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
     links = None
     counts = classes.select(F.col("rep").alias("a"), F.lit(0).cast("long").alias("n")).limit(0)
     if dims:
-        grids, cells = [], 0        # (number of the grid's first cell, its arrays) per dimension
+        dealers = []
         for d, total in dims:
-            own = classes.where(F.length("v") == 8 * d).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE)
-            sample = np.array([np.frombuffer(bytes(r.v), np.float64) for r in own.select("v").collect()])
-            k = int(np.clip(np.sqrt(total / PER_CELL), 1, max(1, len(sample) // 2)))
-            grid = Grid(sample, k, threshold)
-            grids.append((cells, vars(grid)))
-            cells += len(grid.books[0]) * len(grid.books[1])
-        model = spark.sparkContext.broadcast(grids)   # two codebooks per dimension, bounded by the samples
-        rows = classes.mapInArrow(_place(model), ROWS)
-        sizes = rows.groupBy("cell").agg(F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("m"), F.sum("side").alias("q"))
-        sizes = sizes.select(F.col("cell"), F.greatest(F.lit(1), F.ceil(F.col("m") / MEMBERS)).cast("int").alias("mb"),
-                             F.greatest(F.lit(1), F.ceil(F.col("q") / VISITORS)).cast("int").alias("qb"))
-        member = F.col("side") == 0
-        mine = F.pmod(F.xxhash64("rep"), F.when(member, F.col("mb")).otherwise(F.col("qb"))).cast("int")
-        dealt = (rows.join(sizes, "cell").withColumn("_i", mine)
-                 .withColumn("_o", F.explode(F.sequence(F.lit(0), F.when(member, F.col("qb")).otherwise(F.col("mb")) - 1))))
-        dealt = dealt.select(F.xxhash64("cell", F.when(member, F.col("_i")).otherwise(F.col("_o")),
-                                        F.when(member, F.col("_o")).otherwise(F.col("_i"))).alias("k"), "side", "rep", "copies", "v")
-        found = cut(dealt.repartition("k").sortWithinPartitions("k").mapInArrow(_verify(threshold), "a long, n long, b long"))
-        counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
+            some = classes.where(F.length("v") == bytes_each * d)
+            if total > 4 * SAMPLE:      # a hash sample first, so that the order is taken over few rows
+                some = some.where(F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * 1.5 * SAMPLE / total))
+            own = some.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE)
+            sample = _unit(np.array([np.frombuffer(bytes(r.v), kind) for r in own.select("v").collect()]))
+            dealers.append(Dealer(sample, kind, total, threshold, dealers[-1].end if dealers else 0))
+        model = spark.sparkContext.broadcast([vars(d) for d in dealers])   # codebooks and blocks, bounded by the samples
+        found = None
+        for now in _rounds(dealers):
+            blocks = sum(int((d.mb * d.vb)[c].sum()) for d, c in zip(dealers, now, strict=True))
+            rows = classes.mapInArrow(_place(model, now), ROWS)
+            part = scratch.cut(rows.repartition(blocks, "k").sortWithinPartitions("k", "own")
+                               .mapInArrow(_verify(model, threshold), "a long, n long, b long"))
+            found = part if found is None else found.union(part)
+            del rows, part
+            scratch.release()
+        counts = found.groupBy("a").agg(F.sum("n").alias("n"))
         links = found.where("b is not null").select("a", "b")
-    labels = components(links) if links is not None else counts.select(F.col("a").alias("id"), F.col("n").alias("component"))
+    labels = components(links, scratch=scratch) if links is not None else counts.select(F.col("a").alias("id"), F.col("n").alias("component"))
     named = (classes.join(counts, classes["rep"] == counts["a"], "left").join(labels, F.col("rep") == labels["id"], "left")
-             .select(F.col("v").alias("_v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("_n"),
+             .select(F.col("h").alias("_h"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("_n"),
                      F.coalesce("component", "rep").alias("_c")))
-    out = units.join(named, (units["v"] == named["_v"]) & units["vec_id"].isNotNull(), "left")
+    out = units.join(named, (units["h"] == named["_h"]) & units["vec_id"].isNotNull(), "left")
     return out.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("_c", "vec_id").alias("component_id"),
                       F.coalesce(F.coalesce("_c", "vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"))

@@ -66,3 +66,59 @@ def test_vectors_of_every_dimension_are_compared(spark):
 
 def test_empty_table(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def shuffled_bytes(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_vectors_are_not_shuffled_once_per_visited_cell(spark):
+    r = np.random.default_rng(5)
+    n, d = 8000, 64
+    x = r.normal(size=(n, d))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").coalesce(4)
+    before = shuffled_bytes(spark)
+    assert embed_dedup.near_duplicates(df).count() == n
+    assert shuffled_bytes(spark) - before < 8 * n * 4 * d
+
+
+def small_cells(monkeypatch, **other):
+    for name, value in ({"CELL": 64, "CELLS": 8, "LARGE": 64, "PER_CELL": 2, "QUERIES": 50, "SCORES": 64, "ROUND_BYTES": 1, "ROUND": 0.5} | other).items():
+        monkeypatch.setattr(embed_dedup, name, value)
+
+
+def near_rows(r, n, d):
+    base = r.normal(size=(n, d))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    step = r.normal(size=(n, d)) / np.sqrt(d)
+    near = base + step * r.uniform(0.05, 0.4, size=(n, 1))       # cosines on both sides of the threshold
+    hot = base[0] + r.normal(size=(n // 3, d)) * 0.06
+    return [(i, v.tolist()) for i, v in enumerate(r.permutation(np.concatenate([base, near, hot])))]
+
+
+def test_many_cells_in_rounds(spark, monkeypatch):
+    small_cells(monkeypatch)
+    rows = near_rows(np.random.default_rng(6), 300, 16)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {tuple(x) for x in embed_dedup.near_duplicates(df).collect()} == brute(rows)
+
+
+def test_many_cells_cut_into_blocks(spark, monkeypatch):
+    small_cells(monkeypatch, MEMBERS=24, VISITORS=60, ROUND=4.0)
+    rows = near_rows(np.random.default_rng(7), 200, 12)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {tuple(x) for x in embed_dedup.near_duplicates(df).collect()} == brute(rows)
+
+
+def test_nothing_of_a_run_stays_in_the_shared_folder(spark):
+    import os
+
+    from kestrel.llm.common import shared_dir
+
+    there = lambda: {x for x in os.listdir(shared_dir(spark).removeprefix("file:")) if x.startswith("scratch-")}
+    before = there()
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    assert {tuple(x) for x in embed_dedup.near_duplicates(df).collect()} == {(1, 1, 1, True), (2, 1, 1, False)}
+    assert there() == before
