@@ -35,10 +35,11 @@ THRESHOLD = 0.95
 SAMPLE = 8_192
 RECALL = 0.9999
 PER_CELL = 128              # members per cell of a grid aimed at
-CELL, CELLS, LARGE = 2_048, 64, 65_536  # members per coarse cell aimed at: the first up to so many cells, at most the last
+CELL, CELLS, LARGE = 2_048, 64, 32_768  # members per coarse cell aimed at: the first up to so many cells, at most the last
 MEMBERS, VISITORS = 131_072, 1_048_576   # rows per block
 ROUND_BYTES, ROUND = 256 << 20, 1.25     # shipped in a round: so many bytes, or so many times the vectors
 QUERIES, SCORES = 8_192, 1 << 22         # visitors and scores held at a time
+BOUND = 24                               # directions of the bound on the cosine
 SEED = 3
 
 
@@ -68,12 +69,12 @@ def _hashes(raw):
 
 
 def _keys(batches):
-    """vec_id, h: the hash of the normalised vector, null if it links with nothing."""
+    """vec_id, h, d: the hash of the normalised vector, null if it links with nothing, and its dimension."""
     for batch in batches:
-        h = np.full(batch.num_rows, None, object)
+        h, d = np.full(batch.num_rows, None, object), np.zeros(batch.num_rows, np.int32)
         for at, raw in _linkable(batch.column("embedding")):
-            h[at] = _hashes(raw)
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(h, pa.binary())], names=["vec_id", "h"])
+            h[at], d[at] = _hashes(raw), raw.shape[1]
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(h, pa.binary()), pa.array(d)], names=["vec_id", "h", "d"])
 
 
 def _vectors(batches):
@@ -116,14 +117,14 @@ class Grid:
         self.d = sample.shape[1]
         half = self.d if parts == 1 else self.d // 2 or 1
         self.cut = half
-        held = len(sample) // 4 if len(sample) >= 4 * k else 0     # codewords lie nearer to what they were fitted on
+        self.held = held = len(sample) // 4 if len(sample) >= 4 * k else 0     # codewords lie nearer to what they were fitted on
         fit, test = (sample[held:], sample[:held]) if held else (sample, sample)
         self.books = [_kmeans(fit[:, :half], k, rng), _kmeans(fit[:, half:], k, rng) if self.d > half else np.zeros((1, 0), sample.dtype)]
         self.gaps = [2 * np.sqrt(np.maximum(((c * c).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * c @ c.T), 1e-12)) for c in self.books]
-        # neighbours on the threshold in random directions and towards other vectors of the sample, and the sample's own neighbours
+        # neighbours on the threshold in random directions and towards other vectors, and the sample's own neighbours
         base = np.repeat(test[:2048], 16 * max(1, 2048 // len(test)), axis=0)
         costs = [self._near(base, rng.normal(size=base.shape).astype(base.dtype), threshold, both),
-                 self._near(base, sample[rng.integers(len(sample), size=len(base))], threshold, both)]
+                 self._near(base, test[rng.integers(len(test), size=len(base))], threshold, both)]
         own = []
         for i in range(0, len(test), 1024):
             a, b = np.nonzero(test[i:i + 1024] @ sample.T >= threshold)
@@ -193,18 +194,15 @@ class Dealer:
         self.grid = vars(Grid(sample.astype(np.float32), int(np.clip(total / LARGE, k, max(1, len(sample) // 4))), threshold, parts=1, both=True))
         self.kind, self.d = kind, sample.shape[1]
         grid, cells = _grid(self.grid), len(self.grid["books"][0])
-        own, seen = np.zeros(cells), np.zeros(cells)
-        for i in range(0, len(sample), 2048):
-            x = sample[i:i + 2048].astype(np.float32)
-            own += np.bincount(grid.cells(x), minlength=cells)
-            seen += grid.visits(x).sum(0)
-        own, seen = own * (total / len(sample)), seen * (total / len(sample))
+        test = sample[:grid.held] if grid.held else sample        # as in the table: not what the codewords were fitted on
+        own = np.bincount(grid.cells(sample.astype(np.float32)), minlength=cells) * (total / len(sample))
+        seen = sum(grid.visits(test[i:i + 1024].astype(np.float32)).sum(0) for i in range(0, len(test), 1024)) * (total / len(test))
         self.mb = np.maximum(1, np.ceil(own / MEMBERS)).astype(np.int64)
         self.vb = np.maximum(1, np.ceil(seen / VISITORS)).astype(np.int64)
         self.first = first + np.cumsum(self.mb * self.vb) - self.mb * self.vb
         self.end = first + int((self.mb * self.vb).sum())
         width = sample.shape[1] * np.dtype(kind).itemsize
-        self.bytes = (own * self.vb + np.where(self.mb * self.vb > 1, seen, seen - own) * self.mb) * (width + 80)
+        self.bytes = (own * self.vb + np.where(self.mb * self.vb > 1, seen, np.maximum(seen - own, 0)) * self.mb) * (width + 80)
         self.width = total * width
 
     def alone(self):
@@ -218,6 +216,7 @@ def _dealer(state) -> Dealer:
     return out
 
 
+VECTORS = "vec_id long, h binary, v binary"
 ROWS = "k long, own int, rep long, copies long, seen binary, v binary"   # own: the visitor's own cell, -1 of a member
 
 
@@ -227,6 +226,29 @@ def _expand(n):
     return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _see(model):
+    """rep, copies, seen, v: the coarse cells that a class visits, its own first."""
+    def run(batches):
+        dealers = [_dealer(state) for state in model.value]
+        for whole in batches:
+            size = pc.binary_length(whole.column("v")).to_numpy(zero_copy_only=False)
+            for dealer in dealers:
+                fits = np.flatnonzero(size == dealer.d * np.dtype(dealer.kind).itemsize)
+                if not len(fits):
+                    continue
+                batch, grid = whole.take(pa.array(fits)), _grid(dealer.grid)
+                x = _unit(_matrix(batch.column("v"), dealer.kind)).astype(np.float32)
+                own, visits, at = grid.cells(x), grid.visits(x), np.arange(len(x))
+                visits[at, own] = False
+                row, cell = np.nonzero(visits)
+                by = np.argsort(np.concatenate([at, row]), kind="stable")
+                ends = np.concatenate([[0], np.cumsum(visits.sum(1) + 1)]) * 4
+                cells = np.concatenate([own, cell])[by].astype(np.int32)
+                seen = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cells)])
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), seen, batch.column("v")], names=["rep", "copies", "seen", "v"])
+    return run
+
+
 def _place(model, now):
     """The rows of the round ``now``: per dealer, its cells of this round."""
     def run(batches):
@@ -237,15 +259,12 @@ def _place(model, now):
                 fits = np.flatnonzero(size == dealer.d * np.dtype(dealer.kind).itemsize)
                 if not len(fits) or not cells.any():
                     continue
-                batch, grid = whole.take(pa.array(fits)), _grid(dealer.grid)
-                raw = _matrix(batch.column("v"), dealer.kind)
+                batch = whole if len(fits) == len(size) else whole.take(pa.array(fits))
+                raw, seen = _matrix(batch.column("v"), dealer.kind), batch.column("seen")
                 rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "copies"))
-                x = _unit(raw).astype(np.float32)
-                own, visits = grid.cells(x), grid.visits(x)
-                visits[np.arange(len(x)), own] = True
-                row, cell = np.nonzero(visits)
-                ends = np.concatenate([[0], np.cumsum(visits.sum(1))]) * 4
-                seen = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cell.astype(np.int32))])
+                n = pc.binary_length(seen).to_numpy(zero_copy_only=False) // 4
+                row, cell = np.repeat(np.arange(len(n)), n), np.frombuffer(b"".join(seen.to_pylist()), np.int32).astype(np.int64)
+                own = cell[np.cumsum(n) - n]
                 dealt = ((rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
                 # members go to all blocks of visitors, visitors to all blocks of members
                 m = np.flatnonzero(cells[own])
@@ -269,6 +288,29 @@ def _place(model, now):
     return run
 
 
+class Bound:
+    """An upper bound on the cosine from the ``BOUND`` main directions of some vectors, as one short product.
+
+    With u and w the differences of two vectors to the mean, of length p and q outside the directions, u w is at most
+    their product in the directions, plus p q.
+    """
+
+    def __init__(self, some: np.ndarray):
+        self.mean = some.mean(0)
+        u, rng = some - self.mean, np.random.default_rng(SEED)
+        self.axes = rng.normal(size=(some.shape[1], BOUND)).astype(some.dtype)
+        for _ in range(3):
+            self.axes = np.linalg.qr(u.T @ (u @ self.axes) + 1e-6 * self.axes)[0]
+        self.slack = (some.shape[1] + 64) * 2.0 ** -22
+
+    def sides(self, x):
+        """The rows' two sides: the product of a left and a right one, plus 1, is at least the cosine less ``slack``."""
+        u = x - self.mean
+        inside, whole = u @ self.axes, (u * u).sum(1)
+        rest, one = np.sqrt(np.maximum(whole - (inside * inside).sum(1), 0)), np.ones(len(x), x.dtype)
+        return (np.column_stack([inside, rest, whole / -2, one]), np.column_stack([inside, rest, one, whole / -2]))
+
+
 class Block:
     """One block: members first, then visitors; counts links and joins what is linked."""
 
@@ -314,6 +356,9 @@ class Block:
             rep, copies, raw, seen, x = rep[by], copies[by], raw[by], [seen[i] for i in by], x[by]
             self.starts = np.searchsorted(cells[by], np.arange(len(self.grid.books[0]) * len(self.grid.books[1]) + 1))
         self.rep, self.copies, self.raw, self.x = rep, copies, raw, x
+        self.bound = Bound(x[np.random.default_rng(SEED).permutation(len(x))[:SAMPLE]]) if self.dealer.d > 2 * BOUND else None
+        if self.bound is not None:
+            self.sides = np.concatenate([self.bound.sides(x[i:i + QUERIES])[1] for i in range(0, len(x), QUERIES)])
         n = np.array([len(s) // 4 for s in seen])
         cell, row = np.frombuffer(b"".join(seen), np.int32), np.repeat(np.arange(len(x)), n)
         self.bits = np.zeros((len(x), len(self.dealer.mb) // 8 + 1), np.uint8)
@@ -324,6 +369,8 @@ class Block:
         """(p, r, cosine) of vectors and members that may link, as single precision has it; few at a time."""
         low = np.float32(self.threshold - self.close)
         visits = None if self.grid is None else np.ascontiguousarray(self.grid.visits(x).T)
+        short = None if self.bound is None else self.bound.sides(x)[0]
+        least = None if self.bound is None else np.float32(self.threshold - 1 - self.bound.slack)
         for cell in range(len(self.starts) - 1):
             s, e = int(self.starts[cell]), int(self.starts[cell + 1])
             if s == e:
@@ -332,6 +379,15 @@ class Block:
             step = max(1, SCORES // (e - s))
             for i in range(0, len(rows), step):
                 part = rows[i:i + step]
+                if short is not None:       # few pairs reach the bound, or the whole product is cheaper
+                    hit = np.flatnonzero(short[part] @ self.sides[s:e].T >= least)
+                    if len(hit) * 16 < len(part) * (e - s):
+                        if len(hit):
+                            p, r = part[hit // (e - s)], s + hit % (e - s)
+                            g = np.einsum("ij,ij->i", x[p], self.x[r])
+                            yes = g >= low
+                            yield p[yes], r[yes], g[yes]
+                        continue
                 g = x[part] @ self.x[s:e].T
                 hit = np.flatnonzero(g >= low)
                 if len(hit):
@@ -468,37 +524,40 @@ def _near_duplicates(vectors: DataFrame, threshold: float, scratch: Scratch) ->
     spark = vectors.sparkSession
     kind, of = ("f4", "array<float>") if dict(vectors.dtypes)["embedding"] == "array<float>" else ("f8", "array<double>")
     base = in_batches(vectors).select(F.col("vec_id"), F.col("embedding").cast(of).alias("embedding"))
-    units = scratch.cut(base.mapInArrow(_keys, "vec_id long, h binary").distinct())
-    classes = (units.where("h is not null and vec_id is not null").groupBy("h")
-               .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    shown = base.where("vec_id is not null").mapInArrow(_vectors, "vec_id long, h binary, v binary")
-    shown = shown.join(classes.withColumnRenamed("h", "_h"), (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep")))
-    classes = scratch.cut(shown.dropDuplicates(["h", "vec_id"]).select("rep", "copies", "h", "v"))
-    del shown
-    scratch.release()
-    bytes_each = np.dtype(kind).itemsize
-    dims = sorted((r.d, r.n) for r in classes.groupBy((F.length("v") / bytes_each).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+    units = scratch.cut(base.mapInArrow(_keys, "vec_id long, h binary, d int").distinct())
+    classes = scratch.cut(units.where("h is not null and vec_id is not null").groupBy("h")
+                          .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("d").alias("d")))
+    dims = sorted((r.d, r.n) for r in classes.groupBy("d").agg(F.count(F.lit(1)).alias("n")).collect())
     links = None
     counts = classes.select(F.col("rep").alias("a"), F.lit(0).cast("long").alias("n")).limit(0)
     if dims:
         dealers = []
         for d, total in dims:
-            some = classes.where(F.length("v") == bytes_each * d)
+            some = classes.where(F.col("d") == d)
             if total > 4 * SAMPLE:      # a hash sample first, so that the order is taken over few rows
                 some = some.where(F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * 1.5 * SAMPLE / total))
-            own = some.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE)
-            sample = _unit(np.array([np.frombuffer(bytes(r.v), kind) for r in own.select("v").collect()]))
+            some = some.orderBy(F.xxhash64("rep"), "rep", "h").limit(SAMPLE).select("rep", "h").collect()
+            some = F.broadcast(spark.createDataFrame([(r.rep, r.h) for r in some], "rep long, _h binary"))
+            shown = base.join(some.select(F.col("rep").alias("vec_id")).distinct(), "vec_id").mapInArrow(_vectors, VECTORS)
+            shown = {bytes(r.h): bytes(r.v) for r in shown.join(some, (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep"))).orderBy("v").collect()}
+            sample = _unit(np.array([np.frombuffer(shown[h], kind) for h in sorted(shown)]))
             dealers.append(Dealer(sample, kind, total, threshold, dealers[-1].end if dealers else 0))
         model = spark.sparkContext.broadcast([vars(d) for d in dealers])   # codebooks and blocks, bounded by the samples
+        shown = base.where("vec_id is not null").mapInArrow(_vectors, VECTORS)
+        shown = (shown.join(classes.withColumnRenamed("h", "_h"), (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep")))
+                 .dropDuplicates(["h", "vec_id"]).select("rep", "copies", "v"))
+        shown = scratch.cut(shown.mapInArrow(_see(model), "rep long, copies long, seen binary, v binary"))
+        scratch.release()
         found = None
         for now in _rounds(dealers):
             blocks = sum(int((d.mb * d.vb)[c].sum()) for d, c in zip(dealers, now, strict=True))
-            rows = classes.mapInArrow(_place(model, now), ROWS)
+            rows = shown.mapInArrow(_place(model, now), ROWS)
             part = scratch.cut(rows.repartition(blocks, "k").sortWithinPartitions("k", "own")
                                .mapInArrow(_verify(model, threshold), "a long, n long, b long"))
             found = part if found is None else found.union(part)
             del rows, part
             scratch.release()
+        scratch.drop(shown)
         counts = found.groupBy("a").agg(F.sum("n").alias("n"))
         links = found.where("b is not null").select("a", "b")
     labels = components(links, scratch=scratch) if links is not None else counts.select(F.col("a").alias("id"), F.col("n").alias("component"))
