@@ -40,6 +40,7 @@ MEMBERS, VISITORS = 131_072, 1_048_576   # rows per block
 ROUND_BYTES, ROUND = 256 << 20, 1.25     # shipped in a round: so many bytes, or so many times the vectors
 QUERIES, SCORES = 8_192, 1 << 22         # visitors and scores held at a time
 BOUND = 24                               # directions of the bound on the cosine
+BITS = 63                                # rounds that share a bit are told apart by their cells
 SEED = 3
 
 
@@ -93,7 +94,14 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 def _matrix(col, kind) -> np.ndarray:
     """A binary column of rows of one length as a matrix."""
-    return np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), -1)
+    return _joined(col, kind).reshape(len(col), -1)
+
+
+def _joined(col, kind) -> np.ndarray:
+    """The contents of a binary column without nulls, one after the other."""
+    col = col.cast(pa.binary())
+    ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])), kind)
 
 
 def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
@@ -217,6 +225,7 @@ def _dealer(state) -> Dealer:
 
 
 VECTORS = "vec_id long, h binary, v binary"
+SEEN = "rep long, copies long, rounds long, seen binary, v binary"
 ROWS = "k long, own int, rep long, copies long, seen binary, v binary"   # own: the visitor's own cell, -1 of a member
 
 
@@ -227,7 +236,7 @@ def _expand(n):
 
 
 def _see(model):
-    """rep, copies, seen, v: the coarse cells that a class visits, its own first."""
+    """rep, copies, rounds, seen, v: the coarse cells that a class visits, its own first, and a bit for each of their rounds."""
     def run(batches):
         dealers = [_dealer(state) for state in model.value]
         for whole in batches:
@@ -245,7 +254,9 @@ def _see(model):
                 ends = np.concatenate([[0], np.cumsum(visits.sum(1) + 1)]) * 4
                 cells = np.concatenate([own, cell])[by].astype(np.int32)
                 seen = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cells)])
-                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), seen, batch.column("v")], names=["rep", "copies", "seen", "v"])
+                rounds = np.bitwise_or.reduceat(np.int64(1) << dealer.round[cells], ends[:-1] // 4)
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), pa.array(rounds), seen, batch.column("v")],
+                                                 names=["rep", "copies", "rounds", "seen", "v"])
     return run
 
 
@@ -263,7 +274,7 @@ def _place(model, now):
                 raw, seen = _matrix(batch.column("v"), dealer.kind), batch.column("seen")
                 rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "copies"))
                 n = pc.binary_length(seen).to_numpy(zero_copy_only=False) // 4
-                row, cell = np.repeat(np.arange(len(n)), n), np.frombuffer(b"".join(seen.to_pylist()), np.int32).astype(np.int64)
+                row, cell = np.repeat(np.arange(len(n)), n), _joined(seen, np.int32).astype(np.int64)
                 own = cell[np.cumsum(n) - n]
                 dealt = ((rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
                 # members go to all blocks of visitors, visitors to all blocks of members
@@ -542,16 +553,19 @@ def _near_duplicates(vectors: DataFrame, threshold: float, scratch: Scratch) ->
             shown = {bytes(r.h): bytes(r.v) for r in shown.join(some, (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep"))).orderBy("v").collect()}
             sample = _unit(np.array([np.frombuffer(shown[h], kind) for h in sorted(shown)]))
             dealers.append(Dealer(sample, kind, total, threshold, dealers[-1].end if dealers else 0))
+        rounds = _rounds(dealers)
+        for number, dealer in enumerate(dealers):
+            dealer.round = sum(np.where(now[number], i % BITS, 0) for i, now in enumerate(rounds)).astype(np.int64)
         model = spark.sparkContext.broadcast([vars(d) for d in dealers])   # codebooks and blocks, bounded by the samples
         shown = base.where("vec_id is not null").mapInArrow(_vectors, VECTORS)
         shown = (shown.join(classes.withColumnRenamed("h", "_h"), (F.col("h") == F.col("_h")) & (F.col("vec_id") == F.col("rep")))
                  .dropDuplicates(["h", "vec_id"]).select("rep", "copies", "v"))
-        shown = scratch.cut(shown.mapInArrow(_see(model), "rep long, copies long, seen binary, v binary"))
+        shown = scratch.cut(shown.mapInArrow(_see(model), SEEN))
         scratch.release()
         found = None
-        for now in _rounds(dealers):
+        for i, now in enumerate(rounds):
             blocks = sum(int((d.mb * d.vb)[c].sum()) for d, c in zip(dealers, now, strict=True))
-            rows = shown.mapInArrow(_place(model, now), ROWS)
+            rows = shown.where(F.col("rounds").bitwiseAND(F.lit(1 << i % BITS)) != 0).mapInArrow(_place(model, now), ROWS)
             part = scratch.cut(rows.repartition(blocks, "k").sortWithinPartitions("k", "own")
                                .mapInArrow(_verify(model, threshold), "a long, n long, b long"))
             found = part if found is None else found.union(part)

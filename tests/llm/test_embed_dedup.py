@@ -85,7 +85,7 @@ def test_vectors_are_not_shuffled_once_per_visited_cell(spark):
 
 
 def small_cells(monkeypatch, **other):
-    for name, value in ({"CELL": 64, "CELLS": 8, "LARGE": 64, "PER_CELL": 2, "QUERIES": 50, "SCORES": 64, "ROUND_BYTES": 1, "ROUND": 0.5} | other).items():
+    for name, value in ({"CELL": 64, "CELLS": 8, "LARGE": 64, "PER_CELL": 2, "QUERIES": 50, "SCORES": 64, "ROUND_BYTES": 1, "ROUND": 0.5, "BITS": 2} | other).items():
         monkeypatch.setattr(embed_dedup, name, value)
 
 
