@@ -260,8 +260,8 @@ def _see(model):
     return run
 
 
-def _place(model, now):
-    """The rows of the round ``now``: per dealer, its cells of this round."""
+def _place(model, now, keys):
+    """The rows of the round ``now``: per dealer, its cells of this round; ``keys`` has the key of each block."""
     def run(batches):
         dealers = [_dealer(state) for state in model.value]
         for whole in batches:
@@ -286,8 +286,8 @@ def _place(model, now):
                 to, p = _expand(dealer.mb[c])
                 v, c = v[to], c[to]
                 pick = np.concatenate([m, v])
-                k = np.concatenate([dealer.first[own[m]] + dealt[m] % dealer.mb[own[m]] * dealer.vb[own[m]] + o,
-                                    dealer.first[c] + p * dealer.vb[c] + dealt[v] % dealer.vb[c]])
+                k = keys[np.concatenate([dealer.first[own[m]] + dealt[m] % dealer.mb[own[m]] * dealer.vb[own[m]] + o,
+                                         dealer.first[c] + p * dealer.vb[c] + dealt[v] % dealer.vb[c]])]
                 side = np.concatenate([np.full(len(m), -1), own[v]]).astype(np.int32)
                 told = pa.array(np.concatenate([m, np.full(len(v), -1)]), mask=side >= 0)
                 step = max(1, (32 << 20) // (raw.shape[1] * raw.itemsize))
@@ -328,7 +328,7 @@ class Block:
     def __init__(self, k, dealers, threshold):
         self.dealer = next(d for d in dealers if d.first[0] <= k < d.end)
         self.cell = int(np.searchsorted(self.dealer.first, k, "right")) - 1
-        self.threshold, self.k = threshold, k
+        self.threshold = threshold
         self.close = (self.dealer.d + 4) * 2.0 ** -23     # single precision decides beyond this
         self.members, self.visitors, self.waiting, self.ready = [], [], 0, False
 
@@ -483,19 +483,21 @@ def _found(a, n, b, mask):
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(n), pa.array(b, mask=mask)], names=["a", "n", "b"])
 
 
-def _verify(model, threshold):
+def _verify(model, threshold, blocks):
+    """Links of the members and visitors of each block; ``blocks`` has the block of each key."""
     def run(batches):
-        dealers, block = [_dealer(state) for state in model.value], None
+        dealers, block, last = [_dealer(state) for state in model.value], None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             k = batch.column("k").to_numpy()
             edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                if block is None or block.k != k[s]:
+                if last != k[s]:
                     if block is not None:
                         yield from block.end()
-                    block = Block(int(k[s]), dealers, threshold)
+                    last = int(k[s])
+                    block = Block(blocks[last], dealers, threshold)
                 yield from block.add(batch.slice(s, e - s))
         if block is not None:
             yield from block.end()
@@ -516,6 +518,13 @@ def _rounds(dealers) -> list[list[np.ndarray]]:
     return [np.split(of == i, ends) for i in range(least)]
 
 
+def _keys_of(spark, n: int) -> list[int]:
+    """A key for each of ``n`` blocks, so that hash partitioning by key into ``n`` partitions gives each its own."""
+    ids = spark.range(32 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p")).collect()
+    first = {r.p: r.id for r in reversed(ids)}
+    return [first.get(p, 32 * n + p) for p in range(n)]
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector.
 
@@ -564,10 +573,12 @@ def _near_duplicates(vectors: DataFrame, threshold: float, scratch: Scratch) ->
         scratch.release()
         found = None
         for i, now in enumerate(rounds):
-            blocks = sum(int((d.mb * d.vb)[c].sum()) for d, c in zip(dealers, now, strict=True))
-            rows = shown.where(F.col("rounds").bitwiseAND(F.lit(1 << i % BITS)) != 0).mapInArrow(_place(model, now), ROWS)
-            part = scratch.cut(rows.repartition(blocks, "k").sortWithinPartitions("k", "own")
-                               .mapInArrow(_verify(model, threshold), "a long, n long, b long"))
+            blocks = np.flatnonzero(np.concatenate([np.repeat(c, d.mb * d.vb) for d, c in zip(dealers, now, strict=True)])).tolist()
+            keys = np.zeros(dealers[-1].end, np.int64)
+            keys[blocks] = _keys_of(spark, len(blocks))
+            rows = shown.where(F.col("rounds").bitwiseAND(F.lit(1 << i % BITS)) != 0).mapInArrow(_place(model, now, keys), ROWS)
+            part = scratch.cut(rows.repartition(len(blocks), "k").sortWithinPartitions("k", "own")
+                               .mapInArrow(_verify(model, threshold, dict(zip(keys[blocks].tolist(), blocks, strict=True))), "a long, n long, b long"))
             found = part if found is None else found.union(part)
             del rows, part
             scratch.release()

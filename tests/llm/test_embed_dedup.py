@@ -122,3 +122,12 @@ def test_nothing_of_a_run_stays_in_the_shared_folder(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
     assert {tuple(x) for x in embed_dedup.near_duplicates(df).collect()} == {(1, 1, 1, True), (2, 1, 1, False)}
     assert there() == before
+
+
+def test_each_block_has_a_partition_of_its_own(spark):
+    from pyspark.sql import functions as F
+
+    for n in (1, 7, 25):
+        keys = embed_dedup._keys_of(spark, n)
+        df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(n, "k")
+        assert df.select(F.spark_partition_id().alias("p")).distinct().count() == n == len(set(keys))
